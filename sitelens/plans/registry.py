@@ -4,5 +4,6 @@ from __future__ import annotations
 
 
 def all_reports() -> dict:
+    from . import quarantine_reports  # noqa: F401  (registers into reports.REPORTS)
     from . import reports
     return dict(reports.REPORTS)

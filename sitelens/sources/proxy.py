@@ -169,3 +169,59 @@ def as_of(spark: SparkSession, sf_dir: str) -> Column:
 
 def as_of_value(spark: SparkSession, sf_dir: str):
     return _max_ts(spark, sf_dir)
+
+
+# Fixed values of the quarantine proxy (shared with the oracle SQL).
+FIRST_UPDATE_DAYS_BEFORE = 3
+STATUS_CHANGE_HOURS_AFTER = 1
+STATUS_BY_SITE_MOD = 5
+STATUS_BY_SITE = [(0, "investigating"), (1, "wrong_url"), (2, "resolved"), (3, "removed")]
+STATUS_NOTE_PREFIX = "status set to "
+SITE_KEY_PATTERN = r"cidade([0-9]+)"
+
+
+def site_key(url) -> Column:
+    return F.regexp_extract(X._c(url), SITE_KEY_PATTERN, 1).cast("long")
+
+
+@functools.lru_cache(maxsize=8)
+def quarantine_steps(spark: SparkSession, sf_dir: str) -> dict:
+    """The quarantine table after the proxy's history of changes.
+
+    1. update at ``as_of - 3 days`` (audits up to then) on an empty table;
+    2. update at ``as_of``;
+    3. status changes one hour later by site number % 5 (U3), then removals (U4).
+    Every step appends rows numbered after the previous maximum id.
+    """
+    import datetime as dt
+
+    from ..operators import quarantine as Q
+    a = audits(spark, sf_dir)
+    t2 = _max_ts(spark, sf_dir)
+    t1 = t2 - dt.timedelta(days=FIRST_UPDATE_DAYS_BEFORE)
+    t3 = t2 + dt.timedelta(hours=STATUS_CHANGE_HOURS_AFTER)
+    empty = spark.createDataFrame([], schemas.QUARANTINE)
+    rows1 = Q.update_quarantine(a, empty, t1)
+    q1 = rows1
+    changes2 = Q.quarantine_changes(a, q1, t2)
+    rows2 = Q.update_quarantine(a, q1, t2)
+    q2 = q1.unionByName(rows2)
+    key = site_key("url") % STATUS_BY_SITE_MOD
+    status = F.lit(None).cast("string")
+    for rem, st in reversed(STATUS_BY_SITE):
+        status = F.when(key == rem, F.lit(st)).otherwise(status)
+    cur2 = Q.current_one(q2).select("url", status.alias("status"))
+    set_changes = cur2.filter(F.col("status").isin(*schemas.QUARANTINE_STATUSES)) \
+        .withColumn("notes", F.concat(F.lit(STATUS_NOTE_PREFIX), F.col("status")))
+    rows3 = Q.set_quarantine_status(q2, set_changes, t3)
+    q3 = q2.unionByName(rows3)
+    removals = cur2.filter(F.col("status") == schemas.REMOVED_STATUS).select("url")
+    rows4 = Q.remove_from_quarantine(q3, removals, t3)
+    q4 = q3.unionByName(rows4)
+    return {"t1": t1, "t2": t2, "t3": t3, "rows1": rows1, "changes2": changes2,
+            "rows2": rows2, "rows3": rows3, "rows4": rows4, "q2": q2, "q3": q3,
+            "quarantine": q4}
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine_steps(spark, sf_dir)["quarantine"]
