@@ -92,8 +92,12 @@ def score_percent(x, null_as_zero: bool = True) -> Column:
 
 
 def iso_text(ts) -> Column:
-    """ISO-8601 text of a naive timestamp, microseconds kept."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """ISO-8601 text of a naive timestamp like Python's ``isoformat()``:
+    six fraction digits, none when the microseconds are zero."""
+    t = _c(ts)
+    frac = F.date_format(t, "SSSSSS")
+    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
 
 
 def score_band(x) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 
 def all_reports() -> dict:
-    from . import quarantine_reports  # noqa: F401  (registers into reports.REPORTS)
+    # importing a report module registers its reports into reports.REPORTS
+    from . import io_reports, quarantine_reports  # noqa: F401
     from . import reports
     return dict(reports.REPORTS)
