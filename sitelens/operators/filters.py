@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import scalars as X
@@ -19,13 +20,23 @@ def not_error(col: str = "has_errors") -> Column:
     return ~F.col(col)
 
 
+def within_days(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """Partition pruning: when the table is partitioned by ``day``, keep only
+    the days that can hold rows between ``lo`` and ``hi`` (literals fold, so
+    the scan lists only those folders).  The exact time filter still applies."""
+    if "day" not in df.columns:
+        return df
+    return df.filter((F.col("day") >= F.to_date(lo)) & (F.col("day") <= F.to_date(hi)))
+
+
 def recently_audited_urls(audits: DataFrame, as_of, hours: float = 24) -> DataFrame:
     """F1 + X14: distinct urls audited without error in the last ``hours``.
 
     Strictly after ``as_of - hours``; failed audits are not skipped (retried).
     """
     t = X.as_time(as_of)
-    return (audits.filter((F.col("timestamp") > X.minus_hours(t, hours))
+    return (within_days(audits, X.minus_hours(t, hours), t)
+            .filter((F.col("timestamp") > X.minus_hours(t, hours))
                           & (F.col("timestamp") <= t)
                           & F.col("error_message").isNull())
             .select("url").distinct())
@@ -57,7 +68,7 @@ def skip_list(audits: DataFrame, as_of, hours: float = 24,
     if current_quarantine is not None:
         parts.append(quarantine_skip_urls(current_quarantine))
     if not parts:
-        return audits.sparkSession.createDataFrame([], "url string")
+        return schemas.empty_frame(audits.sparkSession, T.StructType([T.StructField("url", T.StringType())]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalars as X
-from .filters import not_error
+from .filters import not_error, within_days
 
 
 def _rate(part, total) -> F.Column:
@@ -80,7 +80,8 @@ def failing_urls(audits: DataFrame, as_of, min_failures: int = 3) -> DataFrame:
     """
     lookback_days = int(min_failures * 2)
     t = X.as_time(as_of)
-    f = audits.filter(F.col("error_message").isNotNull()
+    f = within_days(audits, X.minus_days(t, lookback_days), t).filter(
+        F.col("error_message").isNotNull()
                       & (F.col("timestamp") >= X.minus_days(t, lookback_days))
                       & (F.col("timestamp") <= t))
     return (f.groupBy("url")

@@ -62,7 +62,9 @@ def ranking_rows(latest: DataFrame) -> DataFrame:
         F.col("mobile_accessibility").alias("__order_score"))
 
 
-RANK_ORDER = [F.desc_nulls_last("__order_score"), F.asc("url")]
+def rank_order() -> list:
+    """Ranking order: best mobile accessibility first, url breaks ties."""
+    return [F.desc_nulls_last("__order_score"), F.asc("url")]
 
 
 def site_ranking(summaries: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def site_ranking(summaries: DataFrame) -> DataFrame:
     """
     rows = ranking_rows(latest_per_site(summaries.select(
         "id", "has_errors", *RANKING_SOURCE_COLUMNS)))
-    return number_rows(rows, RANK_ORDER, col="rank").drop("__order_score")
+    return number_rows(rows, rank_order(), col="rank").drop("__order_score")
 
 
 def top_sites(ranking: DataFrame, n: int = 50) -> DataFrame:

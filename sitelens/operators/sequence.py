@@ -7,42 +7,54 @@ task.  Instead:
    sample, so the work spreads over all tasks even when one sort value holds a
    third of the rows (the order key must be total, e.g. end with a unique key);
 2. tag rows with ``monotonically_increasing_id`` (partition id in the high
-   bits, position in the partition in the low 33 bits);
+   bits, position in the partition in the low 33 bits), and evaluate the
+   ``start`` value once;
 3. checkpoint into the shared folder named by ``spark.checkpoint.dir``, so the
    partition contents are fixed even if executors are lost or the plan is
    re-run (a re-sampled range bound would otherwise shift rows);
-4. count rows per partition, turn the counts into offsets (one row per
-   partition — bounded by the partition count, so broadcasting it is safe),
-   and add offset + position.
+4. count rows per partition — one row per partition, a size bounded by the
+   partition count — turn the counts into offsets and broadcast them as a
+   local relation; number = start + offset + position.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import work_root
 
-_MID, _PID, _N, _OFF = "__seq_mid", "__seq_pid", "__seq_n", "__seq_off"
+_MID, _PID, _N, _OFF, _START = "__seq_mid", "__seq_pid", "__seq_n", "__seq_off", "__seq_start"
+_OFFSETS = T.StructType([T.StructField(_PID, T.LongType(), False),
+                         T.StructField(_OFF, T.LongType(), False)])
 
 
 def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1) -> DataFrame:
     """``df`` with ``col`` = start, start+1, ... following ``order_cols``.
 
-    ``start`` may be an int or a one-value Column expression (e.g. a scalar
-    subquery for ``MAX(id) + 1``).
+    ``start`` may be an int or a one-value Column (e.g. a scalar subquery for
+    ``MAX(id) + 1``); it is evaluated once, inside the checkpoint job.
     """
     spark = df.sparkSession
-    work_root(spark)  # the checkpoint folder: the cluster's, or a local one in tests
-    tagged = df.orderBy(*order_cols).withColumn(_MID, F.monotonically_increasing_id())
+    work_root(spark)  # the cluster's checkpoint folder, or a local one in tests
+    first = F.lit(start) if isinstance(start, int) else start
+    tagged = (df.orderBy(*order_cols)
+              .withColumn(_MID, F.monotonically_increasing_id())
+              .withColumn(_START, first.cast("long")))
     fixed = tagged.checkpoint(eager=True)
     pid = F.shiftright(F.col(_MID), 33)
-    counts = fixed.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    counts = sorted((r[0], r[1]) for r in
+                    fixed.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias(_N)).collect())
+    offsets, acc = [], 0
+    for p, n in counts:  # at most one entry per partition
+        offsets.append((int(p), acc))
+        acc += int(n)
+    # pandas + Arrow: a local relation built in the JVM, no Python worker
+    off = spark.createDataFrame(pd.DataFrame(offsets or [(0, 0)], columns=[_PID, _OFF]), _OFFSETS)
     pos = F.col(_MID) - F.shiftleft(F.col(_PID), 33)
-    first = start if not isinstance(start, int) else F.lit(start)
     out = (fixed.withColumn(_PID, pid)
-           .join(F.broadcast(offsets), on=_PID, how="inner")
-           .withColumn(col, (F.col(_OFF) + pos + first).cast("long")))
-    return out.drop(_MID, _PID, _OFF)
+           .join(F.broadcast(off), on=_PID, how="inner")
+           .withColumn(col, (F.col(_START) + F.col(_OFF) + pos).cast("long")))
+    return out.drop(_MID, _PID, _OFF, _START)

@@ -87,7 +87,7 @@ def _stored_raw(spark, sf, name="raw-responses", files=STREAM_FILES):
     "\"timestamp\" AS created_at, NOT has_errors AS has_mobile_result, "
     "NOT has_errors AS has_desktop_result FROM summaries"))
 def q_assemble_audits(spark, sf):
-    raw = S.read_raw_responses(spark, _stored_raw(spark, sf))
+    raw = S.read_raw_responses(spark, P.raw_responses_path(spark, sf))
     a = A.assemble_audits(raw)
     return a.select("id", "url", "timestamp", "error_message", "retry_count", "created_at",
                     F.col("mobile_result").isNotNull().alias("has_mobile_result"),

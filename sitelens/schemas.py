@@ -80,3 +80,15 @@ REMOVED_STATUS = "removed"
 REMOVED_NOTE = "Removed from quarantine"
 SKIP_STATUSES = ["quarantined", "wrong_url"]
 LONG_METRIC_NAMES = ["performance", "accessibility", "seo", "bestPractices"]
+
+
+def empty_frame(spark, schema: T.StructType):
+    """An empty DataFrame of ``schema`` planned in the JVM (no Python worker)."""
+    from pyspark.sql import functions as F
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+# Driver tables as stored (declared, so reading them runs no inference job).
+EVENTS = T.StructType([_f("event_id", L), _f("ts", TS), _f("user_id", L), _f("event_type", S),
+                       _f("value", D), _f("props", S)])
+PAGES = T.StructType([_f("page_id", L), _f("url", S), _f("html", S)])

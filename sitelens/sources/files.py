@@ -23,7 +23,8 @@ def read_site_list(spark: SparkSession, path: str, url_column: str = "url") -> D
     raw = (spark.read.option("header", True).option("encoding", "UTF-8")
            .option("mode", "PERMISSIVE").option("inferSchema", False).csv(path))
     if url_column not in raw.columns:
-        return spark.createDataFrame([], "url string, position long")
+        return schemas.empty_frame(spark, T.StructType([T.StructField("url", T.StringType()),
+                                                        T.StructField("position", T.LongType())]))
     u = F.trim(F.col(f"`{url_column}`"))
     return (raw.select(u.alias("url"), F.monotonically_increasing_id().alias("position"))
             .filter(F.col("url").isNotNull() & (F.col("url") != "") & X.is_valid_url("url")))

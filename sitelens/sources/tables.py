@@ -27,7 +27,7 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/{name}"
     schema = TABLE_SCHEMAS[name]
     if "://" not in base and not os.path.exists(path):
-        return spark.createDataFrame([], schema)
+        return schemas.empty_frame(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 
