@@ -15,12 +15,16 @@ task.  Instead:
 4. count rows per partition — one row per partition, a size bounded by the
    partition count — turn the counts into offsets and broadcast them as a
    local relation; number = start + offset + position.
+
+When a bounded check (``limit(n + 1).count()``) proves the input holds at
+most ``single_task_limit`` rows, one window task numbers them instead: the
+total order makes that deterministic, so no checkpoint is needed.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,15 +35,25 @@ _OFFSETS = T.StructType([T.StructField(_PID, T.LongType(), False),
                          T.StructField(_OFF, T.LongType(), False)])
 
 
-def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1) -> DataFrame:
+SINGLE_TASK_LIMIT = 100_000
+
+
+def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1,
+                single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
     """``df`` with ``col`` = start, start+1, ... following ``order_cols``.
 
-    ``start`` may be an int or a one-value Column (e.g. a scalar subquery for
-    ``MAX(id) + 1``); it is evaluated once, inside the checkpoint job.
+    ``order_cols`` must be a total order.  ``start`` may be an int or a
+    one-value Column (e.g. a scalar subquery for ``MAX(id) + 1``); it is
+    evaluated once (a single scalar).
     """
     spark = df.sparkSession
+    if not isinstance(start, int):
+        start = int(spark.range(1).select(start.cast("long")).first()[0])
+    if single_task_limit and df.limit(single_task_limit + 1).count() <= single_task_limit:
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(col, (F.row_number().over(w) + (start - 1)).cast("long"))
     work_root(spark)  # the cluster's checkpoint folder, or a local one in tests
-    first = F.lit(start) if isinstance(start, int) else start
+    first = F.lit(start)
     tagged = (df.orderBy(*order_cols)
               .withColumn(_MID, F.monotonically_increasing_id())
               .withColumn(_START, first.cast("long")))

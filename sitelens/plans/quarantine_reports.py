@@ -95,7 +95,9 @@ def q_failing_urls(spark, sf):
 
 @report("quarantine_update", qsql("SELECT * FROM rows2"))
 def q_quarantine_update(spark, sf):
-    return _steps(spark, sf)["rows2"]
+    """U2 at ``as_of`` over the stored table of the first update (computed fresh)."""
+    st = _steps(spark, sf)
+    return Q.update_quarantine(P.audits(spark, sf), st["rows1"], st["t2"])
 
 
 @report("quarantine_update_stats", qsql(
@@ -156,12 +158,16 @@ def q_quarantine_skip(spark, sf):
 
 @report("quarantine_set_status", qsql("SELECT * FROM rows3"))
 def q_quarantine_set_status(spark, sf):
-    return _steps(spark, sf)["rows3"]
+    """U3 over the stored table after both updates (computed fresh)."""
+    st = _steps(spark, sf)
+    return Q.set_quarantine_status(st["q2"], st["set_changes"], st["t3"])
 
 
 @report("quarantine_remove", qsql("SELECT * FROM rows4"))
 def q_quarantine_remove(spark, sf):
-    return _steps(spark, sf)["rows4"]
+    """U4 over the stored table after the status changes (computed fresh)."""
+    st = _steps(spark, sf)
+    return Q.remove_from_quarantine(st["q3"], st["removals"], st["t3"])
 
 
 @report("status_domain", qsql(

@@ -128,13 +128,17 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     base = scratch_path(spark, "proxy-tables")
     cores = spark.sparkContext.defaultParallelism
     ext = derived_summaries_ext(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
-    summ = ext.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day")
+    # REBALANCE: AQE sizes the write tasks — small days share files, a hot day
+    # is split over several tasks instead of landing in one
+    summ = ext.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day").hint("rebalance", "day")
     summ.write.partitionBy("day").parquet(f"{base}/audit_summaries")
     audits_cols = ["id", "url", "timestamp", "error_message",
                    F.lit(0).cast("long").alias("retry_count"), "created_at", "day"]
-    spark.read.parquet(f"{base}/audit_summaries").select(*audits_cols) \
+    spark.read.schema(schemas.T.StructType(schemas.AUDIT_SUMMARIES.fields + [_DAY])) \
+        .parquet(f"{base}/audit_summaries").select(*audits_cols) \
         .write.partitionBy("day").parquet(f"{base}/audits")
     derived_psi_metrics(spark, sf_dir).write.parquet(f"{base}/psi_metrics")
+    # both responses of a run in one file: cluster by run, then by day
     derived_raw_responses(spark, sf_dir).withColumn("day", F.to_date("fetched_at")) \
         .repartition(cores, "run_id").write.partitionBy("day").parquet(f"{base}/raw_responses")
     return {n: f"{base}/{n}" for n in ("audit_summaries", "audits", "psi_metrics", "raw_responses")}
@@ -226,7 +230,7 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @functools.lru_cache(maxsize=16)
 def _max_ts(spark: SparkSession, sf_dir: str):
-    return events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    return table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
 
 
 def as_of(spark: SparkSession, sf_dir: str) -> Column:
@@ -255,9 +259,16 @@ def site_key(url) -> Column:
     return F.regexp_extract(X._c(url), SITE_KEY_PATTERN, 1).cast("long")
 
 
+def _store(df: DataFrame) -> DataFrame:
+    """Append-only table rows as written: a checkpoint in the shared folder."""
+    from ..session import work_root
+    work_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 @functools.lru_cache(maxsize=8)
 def quarantine_steps(spark: SparkSession, sf_dir: str) -> dict:
-    """The quarantine table after the proxy's history of changes.
+    """The quarantine table after the proxy's history of changes, stored.
 
     1. update at ``as_of - 3 days`` (audits up to then) on an empty table;
     2. update at ``as_of``;
@@ -272,10 +283,10 @@ def quarantine_steps(spark: SparkSession, sf_dir: str) -> dict:
     t1 = t2 - dt.timedelta(days=FIRST_UPDATE_DAYS_BEFORE)
     t3 = t2 + dt.timedelta(hours=STATUS_CHANGE_HOURS_AFTER)
     empty = schemas.empty_frame(spark, schemas.QUARANTINE)
-    rows1 = Q.update_quarantine(a, empty, t1)
+    rows1 = _store(Q.update_quarantine(a, empty, t1))
     q1 = rows1
     changes2 = Q.quarantine_changes(a, q1, t2)
-    rows2 = Q.update_quarantine(a, q1, t2)
+    rows2 = _store(Q.update_quarantine(a, q1, t2))
     q2 = q1.unionByName(rows2)
     key = site_key("url") % STATUS_BY_SITE_MOD
     status = F.lit(None).cast("string")
@@ -284,23 +295,25 @@ def quarantine_steps(spark: SparkSession, sf_dir: str) -> dict:
     cur2 = Q.current_one(q2).select("url", status.alias("status"))
     set_changes = cur2.filter(F.col("status").isin(*schemas.QUARANTINE_STATUSES)) \
         .withColumn("notes", F.concat(F.lit(STATUS_NOTE_PREFIX), F.col("status")))
-    rows3 = Q.set_quarantine_status(q2, set_changes, t3, strict=False)  # domain filtered above
+    rows3 = _store(Q.set_quarantine_status(q2, set_changes, t3, strict=False))  # domain filtered
     q3 = q2.unionByName(rows3)
     removals = cur2.filter(F.col("status") == schemas.REMOVED_STATUS).select("url")
-    rows4 = Q.remove_from_quarantine(q3, removals, t3)
+    rows4 = _store(Q.remove_from_quarantine(q3, removals, t3))
     q4 = q3.unionByName(rows4)
     return {"t1": t1, "t2": t2, "t3": t3, "rows1": rows1, "changes2": changes2,
             "rows2": rows2, "rows3": rows3, "rows4": rows4, "q2": q2, "q3": q3,
-            "quarantine": q4}
+            "set_changes": set_changes, "removals": removals, "quarantine": q4}
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_steps(spark, sf_dir)["quarantine"]
 
 
-def reset_caches() -> None:
-    """Forget memoised clocks and quarantine histories (bench isolation)."""
+def reset_caches(keep_tables: bool = False) -> None:
+    """Forget memoised clocks and stored tables (bench isolation); with
+    ``keep_tables`` the stored derived tables and quarantine history stay."""
     _max_ts.cache_clear()
-    _scan_partitions.cache_clear()
-    stored_tables.cache_clear()
-    quarantine_steps.cache_clear()
+    if not keep_tables:
+        quarantine_steps.cache_clear()
+        _scan_partitions.cache_clear()
+        stored_tables.cache_clear()
