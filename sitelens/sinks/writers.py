@@ -20,6 +20,7 @@ from ..operators import metrics as M
 from ..operators import ranking as R
 from ..operators.assemble import summarize_audits
 from ..operators.quarantine import quarantine_current
+from ..session import work_root
 
 
 def _iso_lit(t) -> F.Column:
@@ -33,11 +34,17 @@ def _iso_cols(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def append_audits(audits: DataFrame, base: str) -> dict[str, str]:
-    """Append audits and their summaries (T2) from one persisted input."""
-    a = audits.select(*schemas.AUDITS.fieldNames()).persist()
+    """Append audits and their summaries (T2) from one persisted input.
+
+    Both tables are partitioned by ``day`` of the audit, so time-window
+    reports prune folders; REBALANCE lets AQE size the write tasks.
+    """
+    a = audits.select(*schemas.AUDITS.fieldNames()).withColumn("day", X.day("timestamp")).persist()
     try:
-        a.write.mode("append").parquet(f"{base}/audits")
-        summarize_audits(a).write.mode("append").parquet(f"{base}/audit_summaries")
+        a.hint("rebalance", "day").write.mode("append").partitionBy("day") \
+            .parquet(f"{base}/audits")
+        summarize_audits(a).withColumn("day", X.day("timestamp")).hint("rebalance", "day") \
+            .write.mode("append").partitionBy("day").parquet(f"{base}/audit_summaries")
     finally:
         a.unpersist()
     return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
@@ -126,8 +133,9 @@ def export_metrics(metrics: DataFrame, out: str, formats=("csv", "json")) -> dic
 def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
                      generated_at) -> dict[str, str]:
     """K7: summary, ranking, top50, worst50, by-state and quarantine datasets,
-    all stamped with one ``generated_at``.  The ranking is numbered once
-    (checkpointed by W3) and reused for the top and bottom lists."""
+    all stamped with one ``generated_at``.  The ranking is numbered once,
+    checkpointed in the shared folder, and reused for the top and bottom lists."""
+    work_root(summaries.sparkSession)
     g = _iso_lit(generated_at)
     paths = {}
 
@@ -137,7 +145,7 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
         paths[name] = f"{out}/{name}"
 
     put("summary", M.aggregated_metrics(summaries), one=True)
-    ranking = R.site_ranking(summaries)
+    ranking = R.site_ranking(summaries).checkpoint(eager=True)
     put("ranking", _iso_cols(ranking, "timestamp"))
     put("top50", _iso_cols(R.top_sites(ranking, 50), "timestamp"), one=True)
     put("worst50", _iso_cols(R.bottom_sites(ranking, 50), "timestamp"), one=True)

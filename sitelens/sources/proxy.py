@@ -54,22 +54,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events columns the proxy uses.
 
-    A table stored as one row group scans as one task; then the rows are
+    A table stored as fewer files than cores (the driver's tables are one
+    file, one row group) scans as that many tasks; then the rows are
     hash-spread by ``event_id`` (the run) over the default parallelism so the
-    per-row work runs on every core, and grouping by run needs no second
-    exchange.  Inputs that already scan as many partitions are left alone.
+    per-row work runs on every core.  Inputs of many files are left alone.
     """
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
     cores = spark.sparkContext.defaultParallelism
-    if _scan_partitions(spark, sf_dir) < cores:
+    if _input_files(spark, sf_dir) < cores:
         ev = ev.repartition(cores, "event_id")
     return ev
 
 
 @functools.lru_cache(maxsize=16)
-def _scan_partitions(spark: SparkSession, sf_dir: str) -> int:
-    return table(spark, sf_dir, "events").select("event_id").rdd.getNumPartitions()
+def _input_files(spark: SparkSession, sf_dir: str) -> int:
+    return len(table(spark, sf_dir, "events").inputFiles())
 
 
 def site_url(user_id: Column) -> Column:
@@ -126,7 +126,6 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """
     from ..session import scratch_path
     base = scratch_path(spark, "proxy-tables")
-    cores = spark.sparkContext.defaultParallelism
     ext = derived_summaries_ext(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
     # REBALANCE: AQE sizes the write tasks — small days share files, a hot day
     # is split over several tasks instead of landing in one
@@ -138,9 +137,9 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         .parquet(f"{base}/audit_summaries").select(*audits_cols) \
         .write.partitionBy("day").parquet(f"{base}/audits")
     derived_psi_metrics(spark, sf_dir).write.parquet(f"{base}/psi_metrics")
-    # both responses of a run in one file: cluster by run, then by day
+    # both responses of a run share a day, so they land in the same day folder
     derived_raw_responses(spark, sf_dir).withColumn("day", F.to_date("fetched_at")) \
-        .repartition(cores, "run_id").write.partitionBy("day").parquet(f"{base}/raw_responses")
+        .hint("rebalance", "day").write.partitionBy("day").parquet(f"{base}/raw_responses")
     return {n: f"{base}/{n}" for n in ("audit_summaries", "audits", "psi_metrics", "raw_responses")}
 
 
@@ -315,5 +314,5 @@ def reset_caches(keep_tables: bool = False) -> None:
     _max_ts.cache_clear()
     if not keep_tables:
         quarantine_steps.cache_clear()
-        _scan_partitions.cache_clear()
+        _input_files.cache_clear()
         stored_tables.cache_clear()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.quarantine import quarantine_current
@@ -22,10 +23,20 @@ TABLE_SCHEMAS = {
 }
 
 
+DAY_PARTITIONED = {"audits", "audit_summaries"}
+_DAY = T.StructField("day", T.DateType())
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A table folder read with its declared schema (empty if the folder is absent)."""
+    """A table folder read with its declared schema (empty if the folder is absent).
+
+    ``audits`` and ``audit_summaries`` keep their ``day`` partition column,
+    which the time-window operators use to prune folders.
+    """
     path = f"{base.rstrip('/')}/{name}"
     schema = TABLE_SCHEMAS[name]
+    if name in DAY_PARTITIONED:
+        schema = T.StructType(schema.fields + [_DAY])
     if "://" not in base and not os.path.exists(path):
         return schemas.empty_frame(spark, schema)
     return spark.read.schema(schema).parquet(path)
