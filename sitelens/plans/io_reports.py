@@ -31,7 +31,7 @@ from .reports import (DIGITS, SQL_LATEST, SQL_LATEST_STRATEGY, SQL_RANKING, repo
 from .sql import run_sql
 
 SITE_LIST_COLUMN = "Endereço Eletrônico"
-STREAM_FILES, STREAM_FILES_PER_TRIGGER = 16, 4
+STREAM_FILES, STREAM_FILES_PER_TRIGGER = 8, 4
 APPEND_SPLIT_DAYS = 15
 SQL_SINCE_DAYS = 7
 
