@@ -16,9 +16,10 @@ task.  Instead:
    partition count — turn the counts into offsets and broadcast them as a
    local relation; number = start + offset + position.
 
-When a bounded check (``limit(n + 1).count()``) proves the input holds at
-most ``single_task_limit`` rows, one window task numbers them instead: the
-total order makes that deterministic, so no checkpoint is needed.
+The input itself is checkpointed first, so its (possibly expensive) plan
+runs once; counting the checkpoint is cheap.  When the count proves at most
+``single_task_limit`` rows, one window task numbers them instead (a proven
+bound; the total order makes it deterministic).
 """
 
 from __future__ import annotations
@@ -47,14 +48,15 @@ def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1,
     evaluated once (a single scalar).
     """
     spark = df.sparkSession
+    work_root(spark)  # the cluster's checkpoint folder, or a local one in tests
     if not isinstance(start, int):
         start = int(spark.range(1).select(start.cast("long")).first()[0])
-    if single_task_limit and df.limit(single_task_limit + 1).count() <= single_task_limit:
+    base = df.checkpoint(eager=True)  # the input plan runs once
+    if single_task_limit and base.count() <= single_task_limit:
         w = Window.orderBy(*order_cols)
-        return df.withColumn(col, (F.row_number().over(w) + (start - 1)).cast("long"))
-    work_root(spark)  # the cluster's checkpoint folder, or a local one in tests
+        return base.withColumn(col, (F.row_number().over(w) + (start - 1)).cast("long"))
     first = F.lit(start)
-    tagged = (df.orderBy(*order_cols)
+    tagged = (base.orderBy(*order_cols)
               .withColumn(_MID, F.monotonically_increasing_id())
               .withColumn(_START, first.cast("long")))
     fixed = tagged.checkpoint(eager=True)
