@@ -257,7 +257,7 @@ _DASH = [("summary", "SELECT 1"), ("ranking", "SELECT * FROM ranking"),
     SQL_LATEST + ",\n" + SQL_RANKING + ",\n" + Q_CTES))
 def q_dashboard_bundle(spark, sf):
     paths = W.export_dashboard(P.summaries(spark, sf), P.quarantine(spark, sf),
-                               scratch_path(spark, "dashboard"), P.as_of_value(spark, sf))
+                               scratch_path(spark, "dashboard"), P.as_of_value(spark, sf))["files"]
     # one JSON record per line: count lines (no schema inference needed)
     parts = [spark.read.text(p).agg(F.count(F.lit(1)).alias("n_rows"))
              .select(F.lit(n).alias("dataset"), "n_rows") for n, p in paths.items()]

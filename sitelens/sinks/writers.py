@@ -131,7 +131,7 @@ def export_metrics(metrics: DataFrame, out: str, formats=("csv", "json")) -> dic
 
 
 def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
-                     generated_at) -> dict[str, str]:
+                     generated_at) -> dict:
     """K7: summary, ranking, top50, worst50, by-state and quarantine datasets,
     all stamped with one ``generated_at``.  The ranking is numbered once,
     checkpointed in the shared folder, and reused for the top and bottom lists."""
@@ -153,4 +153,9 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
     cur = quarantine_current(quarantine)
     q = export_quarantine_json(cur, f"{out}/quarantine", generated_at)
     paths["quarantine/stats"], paths["quarantine/sites"] = q["stats"], q["sites"]
-    return paths
+    return {"generated_at": _iso_text_value(generated_at), "files": paths,
+            "total_sites": ranking.count()}  # count of the checkpointed ranking
+
+
+def _iso_text_value(t) -> str:
+    return t.isoformat() if isinstance(t, dt.datetime) else str(t)

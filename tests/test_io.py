@@ -113,3 +113,42 @@ def test_quality_checks(spark):
     assert all(r.ok for r in res.values())
     bad = QL.schema_check(s.withColumn("id", F.col("id").cast("int")), schemas.AUDIT_SUMMARIES)
     assert [r.column_name for r in bad.filter("NOT ok").collect()] == ["id"]
+
+
+def _lines(path):
+    return [json.loads(x) for f in sorted(os.listdir(path)) if f.startswith("part-")
+            for x in open(os.path.join(path, f)) if x.strip()]
+
+
+def test_dashboard_from_empty_tables(spark, tmp_dir):
+    res = W.export_dashboard(summaries_df(spark, []), schemas.empty_frame(spark, schemas.QUARANTINE),
+                             os.path.join(tmp_dir, "dash"), NOW)
+    assert res["total_sites"] == 0 and res["generated_at"] == NOW.isoformat()
+    assert sorted(res["files"]) == ["by-state", "quarantine/sites", "quarantine/stats", "ranking",
+                                    "summary", "top50", "worst50"]
+    summary = _lines(res["files"]["summary"])
+    assert len(summary) == 1 and summary[0]["total_audits"] == 0
+    assert "avg_mobile_performance" not in summary[0]  # NULL mean
+    stats = _lines(res["files"]["quarantine/stats"])[0]
+    assert stats["total"] == 0 and stats["avg_failures"] == 0.0
+    assert _lines(res["files"]["ranking"]) == []
+
+
+def test_metrics_export_csv_and_json(spark, tmp_dir):
+    from sitelens.operators.assemble import to_long_metrics
+    rows = [summary_row(1, "https://a/", NOW, mobile_performance=0.5)]
+    long = to_long_metrics(summaries_df(spark, rows))
+    paths = W.export_metrics(long, os.path.join(tmp_dir, "m"))
+    csv_text = "".join(open(os.path.join(paths["csv"], f)).read()
+                       for f in sorted(os.listdir(paths["csv"])) if f.startswith("part-"))
+    assert "url,performance,accessibility,seo,bestPractices,timestamp,ibge_code" in csv_text
+    assert "https://a/,0.5,,,," in csv_text
+    back = S.read_metrics_json(spark, paths["json"], multi_line=False).collect()
+    assert sorted(r.performance for r in back if r.performance is not None) == [0.5]
+
+
+def test_sql_positional_parameters(spark):
+    df = spark.range(10).selectExpr("id", "CAST(id AS STRING) AS s")
+    out = run_sql(spark, "SELECT count(*) AS n FROM t_pos WHERE id >= ? AND s <> ?",
+                  [3, "5"], tables={"t_pos": df}).first()
+    assert out.n == 6

@@ -124,3 +124,26 @@ def test_list_and_stats_and_time_travel(spark):
     past = Q.quarantine_as_of(q, t1).collect()
     assert sorted((r.url, r.status) for r in past) == [("a", "quarantined"), ("b", "investigating")]
     assert F is not None
+
+
+def test_exact_stats_three_quarantined_two_investigating(spark):
+    rows = [_qrow(i, f"u{i}", 1, "quarantined" if i < 3 else "investigating", 5) for i in range(5)]
+    s = M.quarantine_stats(Q.quarantine_current(_q(spark, rows))).first()
+    assert (s.total, s.quarantined, s.investigating, s.avg_failures, s.max_failures) == \
+        (5, 3, 2, 5.0, 5)
+
+
+def test_recovered_site_leaves_skip_list(spark):
+    url = "https://recovered.sp.gov.br/"
+    fails = [(i, url, NOW - dt.timedelta(days=i + 1), "down") for i in range(8)]
+    a = audits_df(spark, fails + [(100, url, NOW, None)])
+    q = Q.update_quarantine(a, schemas.empty_frame(spark, schemas.QUARANTINE), NOW)
+    assert [r.url for r in FL.quarantine_skip_urls(Q.quarantine_current(q)).collect()] == [url]
+    ch = spark.createDataFrame([(url, "resolved")], "url string, status string")
+    q = q.unionByName(Q.set_quarantine_status(q, ch, NOW))
+    assert FL.quarantine_skip_urls(Q.quarantine_current(q)).count() == 0
+    # the recent success also keeps it out of the recently-failed skip list
+    sites = spark.createDataFrame([(url.rstrip("/"),), ("https://other.sp.gov.br",)], "url string")
+    todo = FL.urls_to_audit(sites, a, NOW, 24, Q.quarantine_current(q))
+    assert [r.url for r in todo.collect()] == ["https://other.sp.gov.br"]
+    assert FL.urls_to_audit(sites, a, NOW, 0).count() == 2  # hours <= 0: no skipping

@@ -93,3 +93,32 @@ def test_sort_metrics_nulls_last(spark):
     long = to_long_metrics(summaries_df(spark, rows))
     vals = [r.performance for r in R.sort_metrics(long, "performance", True).collect()]
     assert vals == [0.1, 0.2, 0.9, None]
+
+
+def test_temporal_evolution_accepts_both_url_forms(spark):
+    from sitelens.operators import filters as FL
+    rows = [summary_row(i, "https://t.sp.gov.br/" if i % 2 else "https://t.sp.gov.br",
+                        NOW - dt.timedelta(days=30 - i), mobile_performance=0.5 + 0.015 * i)
+            for i in range(30)]
+    rows.append(summary_row(99, "https://t.sp.gov.br/", NOW, has_errors=True))
+    ev = FL.temporal_evolution(summaries_df(spark, rows), "https://t.sp.gov.br").collect()
+    assert len(ev) == 30 and ev[-1].mobile_performance > ev[0].mobile_performance
+
+
+def test_search_sites_filters(spark):
+    from sitelens.operators import filters as FL
+    ranking = R.site_ranking(_fifty(spark))
+    assert FL.search_sites(ranking, term="  CIDADE4 ", state="SP").count() == 11
+    assert FL.search_sites(ranking, state="RJ").count() == 0
+    assert FL.search_sites(ranking).count() == 50
+    assert FL.search_sites(ranking, population="big").count() == 0
+    with_pop = ranking.withColumn("population", F.when(F.col("rank") <= 5, "big").otherwise("small"))
+    assert FL.search_sites(with_pop, population="big").count() == 5
+
+
+def test_find_url_case_flag(spark):
+    from sitelens.operators import filters as FL
+    from sitelens.operators.assemble import to_long_metrics
+    long = to_long_metrics(summaries_df(spark, [summary_row(1, "https://Cidade.sp.gov.br/", NOW)]))
+    assert FL.find_url(long, "cidade").count() == 0
+    assert FL.find_url(long, "cidade", ignore_case=True).count() == 2
