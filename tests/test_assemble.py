@@ -14,7 +14,7 @@ def ok_body(perf=0.75, acc=0.80, seo=0.85, bp=0.90, fcp=2000.0, lcp=3000.0, cls=
     if drop_category:
         cats.pop(drop_category)
     return json.dumps({
-        "kind": "pagespeedonline#result", "id": "https://x/", "captchaResult": "CAPTCHA_NOT_NEEDED",
+        "kind": "result", "id": "https://x/", "captchaResult": "CAPTCHA_NOT_NEEDED",
         "loadingExperience": {}, "analysisUTCTimestamp": "2024-01-01T00:00:00Z",
         "lighthouseResult": {
             "requestedUrl": "https://x/", "finalUrl": "https://x/", "lighthouseVersion": "11",

@@ -48,7 +48,7 @@ def test_metrics_by_state_order_and_audit_count(spark):
     for i, uf in enumerate(states):
         for j in range(10):
             k += 1
-            rows.append(summary_row(k, f"https://prefeitura{j}.{uf}.gov.br", NOW,
+            rows.append(summary_row(k, f"https://municipio{j}.{uf}.gov.br", NOW,
                                     mobile_performance=0.5 + 0.1 * i,
                                     mobile_accessibility=0.7 + 0.05 * i))
     rows.append(summary_row(999, "https://semuf.gov.br", NOW, mobile_performance=1.0))

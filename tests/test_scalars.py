@@ -24,14 +24,14 @@ def test_state_label_lower_cases_and_marks_missing(spark):
 def test_site_name_rules(spark):
     urls = [
         "https://www.saopaulo.sp.gov.br/",       # www and .gov.br removed
-        "https://Prefeitura.RJ.gov.br:8080/x",   # lower case, port dropped
+        "https://Camara.RJ.gov.br:8080/x",       # lower case, port dropped
         "http://user@www.cidade_x.mg.gov.br",    # user info and '_' in host
         "https://a.www.b.com.br.gov.br/",        # every www. removed, both suffixes
         "https://cidade.org.br",                 # .org.br
         "not a url",                             # no host -> url itself
     ]
     assert _eval(spark, urls, X.site_name) == [
-        "saopaulo.sp", "prefeitura.rj", "cidade_x.mg", "a.b", "cidade", "not a url"]
+        "saopaulo.sp", "camara.rj", "cidade_x.mg", "a.b", "cidade", "not a url"]
 
 
 def test_normalize_url_adds_exactly_one_slash(spark):
