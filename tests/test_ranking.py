@@ -122,3 +122,50 @@ def test_find_url_case_flag(spark):
     long = to_long_metrics(summaries_df(spark, [summary_row(1, "https://Cidade.sp.gov.br/", NOW)]))
     assert FL.find_url(long, "cidade").count() == 0
     assert FL.find_url(long, "cidade", ignore_case=True).count() == 2
+
+
+def test_ranking_null_and_zero_scores(spark):
+    # D3: a NULL mobile score is 0.0 and ranks last; D4: desktop NULL stays NULL, 0.0 stays 0.0
+    rows = [summary_row(1, "https://a.sp.gov.br/", NOW, mobile_accessibility=None,
+                        desktop_accessibility=0.0, desktop_performance=None),
+            summary_row(2, "https://b.sp.gov.br/", NOW, mobile_accessibility=0.0,
+                        desktop_accessibility=None, desktop_performance=0.5),
+            summary_row(3, "https://c.sp.gov.br/", NOW, mobile_accessibility=0.9)]
+    out = {r.url: r for r in R.site_ranking(summaries_df(spark, rows)).collect()}
+    a, b, c = out["https://a.sp.gov.br/"], out["https://b.sp.gov.br/"], out["https://c.sp.gov.br/"]
+    assert (c.rank, b.rank, a.rank) == (1, 2, 3)
+    assert a.score == 0.0 and a.performance == 0.0
+    assert a.desktop_accessibility == 0.0 and a.desktop_performance is None
+    assert b.desktop_accessibility is None and b.desktop_performance == 50.0
+
+
+def test_operators_on_empty_input(spark):
+    from sitelens import schemas
+    from sitelens.operators import assemble as A
+    from sitelens.operators import filters as FL
+    from sitelens.operators import metrics as M
+    from sitelens.operators import quarantine as Q
+    s = summaries_df(spark, [])
+    a = s.select("id", "url", "timestamp", "error_message",
+                 F.lit(0).cast("long").alias("retry_count"), "created_at")
+    long = A.to_long_metrics(s)
+    q = schemas.empty_frame(spark, schemas.QUARANTINE)
+    raw = schemas.empty_frame(spark, schemas.RAW_RESPONSES)
+    empties = [
+        R.latest_per_site(s), R.site_ranking(s), R.worst_performing(s), R.best_accessibility(s),
+        R.recent_audits(a), R.latest_audits(s), R.latest_per_site_strategy(long),
+        R.list_worst(long, "seo", 5), R.sort_metrics(long, "url"),
+        M.metrics_by_state(s), M.failing_urls(a, NOW), M.performance_trend(s),
+        M.score_distribution(long), M.duplicate_keys(long), M.batch_counts(a),
+        FL.recently_audited_urls(a, NOW), FL.find_url(long, "x"), FL.filter_metrics(long, "x"),
+        FL.temporal_evolution(s, "https://x"), FL.list_quarantined(Q.quarantine_current(q)),
+        Q.update_quarantine(a, q, NOW), A.assemble_audits(raw),
+        A.summarize_audits(A.assemble_audits(raw)),
+    ]
+    for df in empties:
+        assert df.count() == 0
+    ones = [M.aggregated_metrics(s), M.audit_stats(a), M.quarantine_stats(q),
+            M.metrics_overview(long), M.avg_scores(long)]
+    for df in ones:
+        assert df.count() == 1
+    assert tuple(M.audit_stats(a).first()) == (0, 0, 0.0)
