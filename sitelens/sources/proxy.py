@@ -107,13 +107,18 @@ def derived_summaries_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*cols)
 
 
-def derived_psi_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def long_metrics_from(summaries_with_user: DataFrame) -> DataFrame:
+    """``psi_metrics``: the summaries in long layout, ibge_code from the site."""
     from ..operators.assemble import to_long_metrics
-    s = derived_summaries_ext(spark, sf_dir).withColumn(
+    s = summaries_with_user.withColumn(
         "ibge_code", (F.lit(IBGE_BASE) + F.col("user_id")).cast("string"))
     return to_long_metrics(s, ibge_code="ibge_code")
 
 
+def derived_psi_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return long_metrics_from(derived_summaries_ext(spark, sf_dir))
+
+
 @functools.lru_cache(maxsize=8)
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the derived tables once per session into the shared work folder.
@@ -136,9 +141,13 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     spark.read.schema(schemas.T.StructType(schemas.AUDIT_SUMMARIES.fields + [_DAY])) \
         .parquet(f"{base}/audit_summaries").select(*audits_cols) \
         .write.partitionBy("day").parquet(f"{base}/audits")
-    derived_psi_metrics(spark, sf_dir).write.parquet(f"{base}/psi_metrics")
+    # the other tables come from the stored summaries (one pass over events)
+    stored = spark.read.schema(schemas.T.StructType(schemas.AUDIT_SUMMARIES.fields + [_DAY])) \
+        .parquet(f"{base}/audit_summaries")
+    long_metrics_from(stored.withColumn("user_id", site_key("url"))) \
+        .write.parquet(f"{base}/psi_metrics")
     # both responses of a run share a day, so they land in the same day folder
-    derived_raw_responses(spark, sf_dir).withColumn("day", F.to_date("fetched_at")) \
+    raw_responses_from(stored).withColumn("day", F.to_date("fetched_at")) \
         .hint("rebalance", "day").write.partitionBy("day").parquet(f"{base}/raw_responses")
     return {n: f"{base}/{n}" for n in ("audit_summaries", "audits", "psi_metrics", "raw_responses")}
 
@@ -185,14 +194,17 @@ def replayed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two responses per event, built from the summary columns.
+    return raw_responses_from(derived_summaries_ext(spark, sf_dir))
+
+
+def raw_responses_from(s: DataFrame) -> DataFrame:
+    """Two responses per summary row, built from the summary columns.
 
     For a failed event the mobile response carries HTTP 500-503 and an error
     body while the desktop response succeeds, so the all-or-nothing rule of
     assembly is visible.
     """
     from ..operators.assemble import CATEGORY_COLUMNS, VITAL_AUDITS, response_body
-    s = derived_summaries_ext(spark, sf_dir)
     per_strategy = []
     for strategy in ("mobile", "desktop"):
         p = f"{strategy}_"
