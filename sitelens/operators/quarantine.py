@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import scalars as X
 from .metrics import failing_urls
-from .sequence import number_rows
+from .sequence import SINGLE_TASK_LIMIT, number_rows
 
 QUARANTINE_COLUMNS = schemas.QUARANTINE.fieldNames()
 
@@ -45,10 +45,11 @@ def next_id(existing: DataFrame) -> Column:
     return existing.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).cast("long")).scalar()
 
 
-def assign_ids(new_rows: DataFrame, existing: DataFrame, order_cols=("url",)) -> DataFrame:
+def assign_ids(new_rows: DataFrame, existing: DataFrame, order_cols=("url",),
+               single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
     """Consecutive ids after ``MAX(id)`` of ``existing``, in ``order_cols`` order."""
     return number_rows(new_rows, [F.asc(c) for c in order_cols], col="id",
-                       start=next_id(existing))
+                       start=next_id(existing), single_task_limit=single_task_limit)
 
 
 def quarantine_as_of(quarantine: DataFrame, t) -> DataFrame:
@@ -56,10 +57,11 @@ def quarantine_as_of(quarantine: DataFrame, t) -> DataFrame:
     return quarantine_current(quarantine.filter(F.col("valid_from") <= X.as_time(t)))
 
 
-def _finish(rows: DataFrame, quarantine: DataFrame, as_of) -> DataFrame:
+def _finish(rows: DataFrame, quarantine: DataFrame, as_of,
+            single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
     t = X.as_time(as_of)
     with_time = rows.withColumn("valid_from", t).withColumn("created_at", t)
-    numbered = assign_ids(with_time, quarantine)
+    numbered = assign_ids(with_time, quarantine, single_task_limit=single_task_limit)
     return numbered.select(*[F.col(c).cast(f.dataType).alias(c)
                              for c, f in zip(QUARANTINE_COLUMNS, schemas.QUARANTINE.fields)])
 
@@ -81,14 +83,15 @@ def quarantine_changes(audits: DataFrame, quarantine: DataFrame, as_of,
 
 
 def update_quarantine(audits: DataFrame, quarantine: DataFrame, as_of,
-                      min_days: int = 3) -> DataFrame:
+                      min_days: int = 3, single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
     """Rows to append after one quarantine update at ``as_of``.
 
     New url: version 1, status 'quarantined'.  Known url with a different
     failure count: version + 1 keeping the original first_failure and the
-    current status, notes reset to NULL.  Same count: no row.  The result is
-    numbered (W5) and written to the checkpoint folder, so appending it to the
-    table it was computed from is safe.
+    current status, notes reset to NULL.  Same count: no row.  The rows are
+    numbered (W5) from a checkpoint of themselves in the shared folder and the
+    id start is a plain number, so the result no longer reads the table it was
+    computed from: appending it to that table is safe.
     """
     c = quarantine_changes(audits, quarantine, as_of, min_days).filter(F.col("change") != "unchanged")
     added = F.col("change") == "added"
@@ -101,7 +104,7 @@ def update_quarantine(audits: DataFrame, quarantine: DataFrame, as_of,
         F.when(added, F.lit("quarantined")).otherwise(F.col("cur_status")).alias("status"),
         F.lit(None).cast("string").alias("notes"),
         F.when(added, F.lit(1)).otherwise(F.col("cur_version") + 1).cast("long").alias("version"))
-    return _finish(rows, quarantine, as_of)
+    return _finish(rows, quarantine, as_of, single_task_limit)
 
 
 def update_stats(changes: DataFrame) -> DataFrame:
