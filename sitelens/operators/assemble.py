@@ -1,6 +1,7 @@
 """From stored API responses to audits, summaries and the long metric layout.
 
 T1  assemble_audits     pair the mobile and desktop response of one run
+T1+T2 assemble_with_summaries  both in one pass, each body parsed once
 T1b response_error      error text of one response
 T2  summarize_audits    scores and vitals out of the stored documents
 T3  to_long_metrics     wide summary -> one row per strategy
@@ -72,35 +73,74 @@ def validate_responses(raw: DataFrame) -> DataFrame:
     return raw.select("*", outcome.alias("outcome"), err.alias("problem"))
 
 
-def assemble_audits(raw: DataFrame, created_at=None) -> DataFrame:
-    """One audit per (run, url) out of its mobile and desktop responses.
-
-    All or nothing: if either response failed both documents are NULL and the
-    error text is the mobile one first, else the desktop one.  A missing
-    response counts as a failure.  Repeated responses of one strategy: the
-    newest wins.  One shuffle on (run_id, url); every group holds two rows.
-    """
-    r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
-                   response_error().alias("_err"))
+def _per_strategy_aggs(value_cols: list[str]) -> list:
     aggs = [F.min("fetched_at").alias("timestamp")]
     for s in STRATEGIES:
         when_s = F.when(F.col("strategy") == s, F.col("fetched_at"))
         aggs += [F.max_by("body", when_s).alias(f"_{s}_body"),
                  F.max_by("_err", when_s).alias(f"_{s}_err"),
                  F.count(when_s).alias(f"_{s}_n")]
-    g = r.groupBy("run_id", "url").agg(*aggs)
+        aggs += [F.max_by(c, when_s).alias(f"_{s}_{c}") for c in value_cols]
+    return aggs
+
+
+def _audit_columns(created_at) -> tuple[Column, list]:
     errs = [F.when(F.col(f"_{s}_n") == 0, F.lit(f"Request error: missing {s} response"))
             .otherwise(F.col(f"_{s}_err")) for s in STRATEGIES]
     error_message = F.coalesce(*errs)
     ok = error_message.isNull()
-    return g.select(
-        F.col("run_id").alias("id"), "url", "timestamp",
+    cols = [
+        F.col("run_id").alias("id"), F.col("url"), F.col("timestamp"),
         F.when(ok, F.col("_mobile_body")).alias("mobile_result"),
         F.when(ok, F.col("_desktop_body")).alias("desktop_result"),
         error_message.alias("error_message"),
         F.lit(0).cast("long").alias("retry_count"),
         (X.as_time(created_at) if created_at is not None else F.col("timestamp")).alias("created_at"),
-    )
+    ]
+    return ok, cols
+
+
+def assemble_with_summaries(raw: DataFrame, created_at=None) -> DataFrame:
+    """T1 and T2 in one pass: every audit column plus every summary column.
+
+    Each response body is parsed once, before the shuffle: the same parse
+    decides validity (T1b) and yields the four scores and four vitals (X12),
+    which travel through the (run_id, url) exchange next to the body.  The
+    audits table is ``select(AUDITS)`` of the result and the summaries table
+    ``select(AUDIT_SUMMARIES)``, with the same values as T2 over the stored
+    documents.
+    """
+    parsed = parse_body("body")
+    values = {f"c_{suffix}": X.category_score(parsed, name) for name, suffix in CATEGORY_COLUMNS}
+    values.update({f"v_{suffix}": X.audit_value(parsed, name) for name, suffix in VITAL_AUDITS})
+    r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
+                   response_error().alias("_err"),
+                   *[v.alias(k) for k, v in values.items()])
+    g = r.groupBy("run_id", "url").agg(*_per_strategy_aggs(list(values)))
+    ok, cols = _audit_columns(created_at)
+    for s in STRATEGIES:
+        for _, suffix in CATEGORY_COLUMNS:
+            cols.append(F.when(ok, F.col(f"_{s}_c_{suffix}")).alias(f"{s}_{suffix}"))
+    for s in STRATEGIES:
+        for _, suffix in VITAL_AUDITS:
+            cols.append(F.when(ok, F.col(f"_{s}_v_{suffix}")).alias(f"{s}_{suffix}"))
+    cols.append((~ok).alias("has_errors"))
+    return g.select(*cols)
+
+
+def assemble_audits(raw: DataFrame, created_at=None) -> DataFrame:
+    """One audit per (run, url) out of its mobile and desktop responses.
+
+    All or nothing: if either response failed both documents are NULL and the
+    error text is the mobile one first, else the desktop one.  A missing
+    response counts as a failure.  Repeated responses of one strategy: the
+    newest wins.  One shuffle on (run_id, url); every group holds two rows.
+    """
+    r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
+                   response_error().alias("_err"))
+    g = r.groupBy("run_id", "url").agg(*_per_strategy_aggs([]))
+    _, cols = _audit_columns(created_at)
+    return g.select(*cols)
 
 
 def summarize_audits(audits: DataFrame) -> DataFrame:

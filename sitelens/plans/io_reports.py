@@ -113,8 +113,8 @@ def q_appended_audits(spark, sf):
     base = scratch_path(spark, "tables")
     raw = P.raw_responses(spark, sf)
     split = X.minus_days(P.as_of(spark, sf), APPEND_SPLIT_DAYS)
-    W.append_audits(A.assemble_audits(raw.filter(F.col("fetched_at") < split)), base)
-    W.append_audits(A.assemble_audits(raw.filter(F.col("fetched_at") >= split)), base)
+    W.append_responses(raw.filter(F.col("fetched_at") < split), base)
+    W.append_responses(raw.filter(F.col("fetched_at") >= split), base)
     return spark.read.schema(schemas.AUDIT_SUMMARIES).parquet(f"{base}/audit_summaries") \
         .select(*schemas.AUDIT_SUMMARIES.fieldNames())
 

@@ -18,7 +18,7 @@ from ..functions import scalars as X
 from ..operators import filters as FL
 from ..operators import metrics as M
 from ..operators import ranking as R
-from ..operators.assemble import summarize_audits
+from ..operators.assemble import assemble_with_summaries, summarize_audits
 from ..operators.quarantine import quarantine_current
 from ..session import work_root
 
@@ -50,6 +50,20 @@ def append_audits(audits: DataFrame, base: str) -> dict[str, str]:
     return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
 
 
+def append_responses(raw: DataFrame, base: str) -> dict[str, str]:
+    """U1 from stored responses: audits and summaries written from one pass
+    (``assemble_with_summaries``: each response body parsed once)."""
+    both = assemble_with_summaries(raw).withColumn("day", X.day("timestamp")).persist()
+    try:
+        both.select(*schemas.AUDITS.fieldNames(), "day").hint("rebalance", "day") \
+            .write.mode("append").partitionBy("day").parquet(f"{base}/audits")
+        both.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day").hint("rebalance", "day") \
+            .write.mode("append").partitionBy("day").parquet(f"{base}/audit_summaries")
+    finally:
+        both.unpersist()
+    return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
+
+
 def export_audits_parquet(audits: DataFrame, out: str) -> str:
     """K1 + X6: url, timestamp, error_message, retry_count in one folder per day."""
     (audits.select("url", "timestamp", "error_message", "retry_count",

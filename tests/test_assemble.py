@@ -117,3 +117,22 @@ def test_long_metrics_two_rows_per_audit(spark):
     long = A.to_long_metrics(A.summarize_audits(A.assemble_audits(raw(spark, rows))))
     got = sorted((r.strategy, r.performance, r.bestPractices) for r in long.collect())
     assert got == [("desktop", 0.1, 0.9), ("mobile", 0.75, 0.9)]
+
+
+def test_fused_assembly_equals_t2_of_t1(spark):
+    err = json.dumps({"error": {"code": 429, "message": "Quota exceeded"}})
+    rows = [(1, "https://a/", "mobile", 429, "x", None, err),
+            (1, "https://a/", "desktop", 200, "OK", None, ok_body()),
+            (2, "https://b/", "mobile", 200, "OK", None, ok_body(drop_category="seo")),
+            (2, "https://b/", "desktop", 200, "OK", None, ok_body(perf=0.2, fid=9.5)),
+            (3, "https://c/", "mobile", 200, "OK", None, "{broken"),
+            (3, "https://c/", "desktop", 200, "OK", None, ok_body()),
+            (4, "https://d/", "mobile", 200, "OK", None, ok_body())]
+    r = raw(spark, rows)
+    fused = A.assemble_with_summaries(r)
+    two_step = A.assemble_audits(r)
+    assert fused.select(*schemas.AUDITS.fieldNames()).exceptAll(two_step).count() == 0
+    summ = A.summarize_audits(two_step)
+    got = fused.select(*schemas.AUDIT_SUMMARIES.fieldNames())
+    assert got.count() == 4
+    assert got.exceptAll(summ).count() == 0 and summ.exceptAll(got).count() == 0
