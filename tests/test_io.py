@@ -152,3 +152,32 @@ def test_sql_positional_parameters(spark):
     out = run_sql(spark, "SELECT count(*) AS n FROM t_pos WHERE id >= ? AND s <> ?",
                   [3, "5"], tables={"t_pos": df}).first()
     assert out.n == 6
+
+
+def test_daily_batch_run(spark, tmp_dir):
+    from sitelens.plans.batch import run_batch
+    sites_csv = os.path.join(tmp_dir, "sites.csv")
+    with open(sites_csv, "w") as f:
+        f.write("url,name\nhttps://a.sp.gov.br,A\nhttps://b.sp.gov.br/,B\nhttps://c.sp.gov.br,C\n"
+                "not_a_url,D\n")
+    base = os.path.join(tmp_dir, "tables")
+
+    def responses(run0, when, urls, failing=()):
+        rows = []
+        for i, u in enumerate(urls):
+            for s in ("mobile", "desktop"):
+                bad = u in failing and s == "mobile"
+                rows.append((run0 + i, u, s, when, 500 if bad else 200, "x", None,
+                             "{}" if bad else ok_body()))
+        return spark.createDataFrame(rows, schemas.RAW_RESPONSES)
+
+    day1 = NOW - dt.timedelta(days=1)
+    urls = ["https://a.sp.gov.br/", "https://b.sp.gov.br/", "https://c.sp.gov.br/"]
+    r1 = run_batch(spark, base, sites_csv, responses(1, day1, urls, {"https://c.sp.gov.br/"}),
+                   day1, out_dir=os.path.join(tmp_dir, "out1")).first()
+    assert (r1.processed, r1.errors) == (3, 1)
+    # next run an hour later: a and b succeeded recently and are skipped, c is retried
+    r2 = run_batch(spark, base, sites_csv, responses(10, day1 + dt.timedelta(hours=1), urls),
+                   day1 + dt.timedelta(hours=1)).first()
+    assert (r2.processed, r2.errors) == (1, 0)
+    assert spark.read.parquet(os.path.join(tmp_dir, "out1", "audit_summaries")).count() == 3
