@@ -55,3 +55,29 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     appended = read_table(spark, base, "audits").join(
         run_ids.withColumnRenamed("run_id", "id"), "id", "left_semi")
     return M.batch_counts(appended, F.lit("batch").alias("run"))
+
+
+def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int = 3) -> DataFrame:
+    """The quarantine update command: U2 over the stored tables, appended to
+    ``base/quarantine``; returns added, updated and total_checked.
+
+    The new rows are computed from a checkpoint (see ``update_quarantine``),
+    so appending them to the table they were computed from is safe.
+    """
+    from ..operators import quarantine as Q
+    audits = read_table(spark, base, "audits")
+    quarantine = read_table(spark, base, "quarantine")
+    work_root(spark)
+    stats = Q.update_stats(Q.quarantine_changes(audits, quarantine, as_of, min_days)) \
+        .checkpoint(eager=True)
+    rows = Q.update_quarantine(audits, quarantine, as_of, min_days)
+    rows.write.mode("append").parquet(f"{base}/quarantine")
+    return stats
+
+
+def run_dashboard_export(spark: SparkSession, base: str, out_dir: str, generated_at) -> dict:
+    """The dashboard export command (K7) over the stored tables."""
+    summaries = read_table(spark, base, "audit_summaries").select(
+        *schemas.AUDIT_SUMMARIES.fieldNames())
+    return W.export_dashboard(summaries, read_table(spark, base, "quarantine"), out_dir,
+                              generated_at)

@@ -181,3 +181,27 @@ def test_daily_batch_run(spark, tmp_dir):
                    day1 + dt.timedelta(hours=1)).first()
     assert (r2.processed, r2.errors) == (1, 0)
     assert spark.read.parquet(os.path.join(tmp_dir, "out1", "audit_summaries")).count() == 3
+
+
+def test_quarantine_update_and_dashboard_commands(spark, tmp_dir):
+    from sitelens.plans.batch import run_dashboard_export, run_quarantine_update
+    base = os.path.join(tmp_dir, "tables")
+    rows = []
+    for d in range(5):
+        for s in ("mobile", "desktop"):
+            bad = s == "mobile"
+            rows.append((d, "https://down.sp.gov.br/", s, NOW - dt.timedelta(days=d),
+                         503 if bad else 200, "x", None, "{}" if bad else ok_body()))
+            rows.append((100 + d, "https://up.sp.gov.br/", s, NOW - dt.timedelta(days=d), 200,
+                         "OK", None, ok_body()))
+    W.append_responses(spark.createDataFrame(rows, schemas.RAW_RESPONSES), base)
+    s1 = run_quarantine_update(spark, base, NOW).first()
+    assert (s1.added, s1.updated, s1.total_checked) == (1, 0, 1)
+    s2 = run_quarantine_update(spark, base, NOW).first()
+    assert (s2.added, s2.updated, s2.total_checked) == (0, 0, 1)
+    q = spark.read.schema(schemas.QUARANTINE).parquet(os.path.join(base, "quarantine"))
+    assert [(r.url, r.version, r.consecutive_failures) for r in q.collect()] == \
+        [("https://down.sp.gov.br/", 1, 5)]
+    res = run_dashboard_export(spark, base, os.path.join(tmp_dir, "dash"), NOW)
+    assert res["total_sites"] == 1
+    assert len(_lines(res["files"]["quarantine/sites"])) == 1
