@@ -2,8 +2,10 @@
 
 The driver ships ``events(event_id, ts, user_id, event_type, value, props)``
 and ``pages(page_id, url, html)``.  ``user_id`` plays the site, an ``error``
-event a failed audit, and the newest ``ts`` the clock.  Every table here is a
-DataFrame plan over those files, so its size grows with them.
+event a failed audit, and the newest ``ts`` the clock.  Spark derives the
+audit tables from those files in one pass and writes them once per session
+to the shared work folder (:func:`stored_tables`), laid out as a deployment
+keeps them; reports read the stored tables, whose size grows with the input.
 
 The column rules are fixed values shared with the SQL oracle; keep them equal.
 """
@@ -115,10 +117,6 @@ def long_metrics_from(summaries_with_user: DataFrame) -> DataFrame:
     return to_long_metrics(s, ibge_code="ibge_code")
 
 
-def derived_psi_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return long_metrics_from(derived_summaries_ext(spark, sf_dir))
-
-
 @functools.lru_cache(maxsize=8)
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the derived tables once per session into the shared work folder.
@@ -181,7 +179,7 @@ def raw_responses_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored responses, two per event (see :func:`derived_raw_responses`)."""
+    """Stored responses, two per event (see :func:`raw_responses_from`)."""
     return spark.read.schema(schemas.T.StructType(schemas.RAW_RESPONSES.fields + [_DAY])) \
         .parquet(raw_responses_path(spark, sf_dir)).select(*schemas.RAW_RESPONSES.fieldNames())
 
@@ -193,10 +191,6 @@ def replayed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.unionByName(m.filter(F.to_date("timestamp") == last_day))
 
 
-def derived_raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_responses_from(derived_summaries_ext(spark, sf_dir))
-
-
 def raw_responses_from(s: DataFrame) -> DataFrame:
     """Two responses per summary row, built from the summary columns.
 
