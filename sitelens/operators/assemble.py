@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import scalars as X
 
+# Strategies, document field names and error texts.
 STRATEGIES = ["mobile", "desktop"]
 # category name in the document -> column suffix
 CATEGORY_COLUMNS = [("performance", "performance"), ("accessibility", "accessibility"),
@@ -23,6 +24,8 @@ CATEGORY_COLUMNS = [("performance", "performance"), ("accessibility", "accessibi
 # audit name in the document -> column suffix (fid comes from max-potential-fid)
 VITAL_AUDITS = [("first-contentful-paint", "fcp"), ("largest-contentful-paint", "lcp"),
                 ("cumulative-layout-shift", "cls"), ("max-potential-fid", "fid")]
+HTTP_PREFIX, TIMEOUT_PREFIX = "HTTP ", "Timeout: "
+REQUEST_PREFIX, VALIDATION_PREFIX = "Request error: ", "Validation error: "
 BODY_SNIPPET = 200
 VALIDATION_TEXT = "response body does not match the expected schema"
 
@@ -55,12 +58,12 @@ def response_error(status_code="status_code", failure="failure", reason="reason"
         .otherwise(F.substring(text, 1, BODY_SNIPPET))
     detail = F.coalesce(F.nullif(detail, F.lit("")), why, F.lit(""))
     usable = parse_body(text).getField("lighthouseResult").isNotNull()
-    return (F.when(fail == "timeout", F.concat(F.lit("Timeout: "), F.coalesce(why, F.lit(""))))
-            .when(fail == "request", F.concat(F.lit("Request error: "), F.coalesce(why, F.lit(""))))
+    return (F.when(fail == "timeout", F.concat(F.lit(TIMEOUT_PREFIX), F.coalesce(why, F.lit(""))))
+            .when(fail == "request", F.concat(F.lit(REQUEST_PREFIX), F.coalesce(why, F.lit(""))))
             .when(fail.isNotNull(), F.coalesce(why, fail))
-            .when(code >= 400, F.concat(F.lit("HTTP "), code.cast("string"), F.lit(": "), detail))
+            .when(code >= 400, F.concat(F.lit(HTTP_PREFIX), code.cast("string"), F.lit(": "), detail))
             .when(~F.coalesce(usable, F.lit(False)),
-                  F.concat(F.lit("Validation error: "), F.lit(VALIDATION_TEXT))))
+                  F.concat(F.lit(VALIDATION_PREFIX), F.lit(VALIDATION_TEXT))))
 
 
 def validate_responses(raw: DataFrame) -> DataFrame:
@@ -85,7 +88,7 @@ def _per_strategy_aggs(value_cols: list[str]) -> list:
 
 
 def _audit_columns(created_at) -> tuple[Column, list]:
-    errs = [F.when(F.col(f"_{s}_n") == 0, F.lit(f"Request error: missing {s} response"))
+    errs = [F.when(F.col(f"_{s}_n") == 0, F.lit(f"{REQUEST_PREFIX}missing {s} response"))
             .otherwise(F.col(f"_{s}_err")) for s in STRATEGIES]
     error_message = F.coalesce(*errs)
     ok = error_message.isNull()
