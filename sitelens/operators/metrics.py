@@ -103,11 +103,18 @@ def quarantine_stats(current: DataFrame) -> DataFrame:
         F.coalesce(F.max("consecutive_failures"), F.lit(0).cast("long")).alias("max_failures"))
 
 
-def metrics_overview(metrics: DataFrame) -> DataFrame:
-    """Record count, newest timestamp, distinct urls."""
+def metrics_overview(metrics: DataFrame, approximate: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Record count, newest timestamp, distinct urls.
+
+    Exact by default (two-level distinct aggregation).  ``approximate`` uses a
+    HyperLogLog++ sketch (``rsd`` relative error) whose partial state is a few
+    KB per task, for dashboards over very large histories.
+    """
+    distinct = (F.approx_count_distinct("url", rsd) if approximate
+                else F.countDistinct("url"))
     return metrics.agg(F.count(F.lit(1)).alias("total_records"),
                        F.max("timestamp").alias("latest_timestamp"),
-                       F.countDistinct("url").alias("unique_urls"))
+                       distinct.alias("unique_urls"))
 
 
 def _score_means():

@@ -20,7 +20,6 @@ from ..operators import metrics as M
 from ..operators import ranking as R
 from ..operators.assemble import assemble_with_summaries, summarize_audits
 from ..operators.quarantine import quarantine_current
-from ..session import work_root
 
 
 def _iso_lit(t) -> F.Column:
@@ -147,9 +146,9 @@ def export_metrics(metrics: DataFrame, out: str, formats=("csv", "json")) -> dic
 def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
                      generated_at) -> dict:
     """K7: summary, ranking, top50, worst50, by-state and quarantine datasets,
-    all stamped with one ``generated_at``.  The ranking is numbered once,
-    checkpointed in the shared folder, and reused for the top and bottom lists."""
-    work_root(summaries.sparkSession)
+    all stamped with one ``generated_at``.  The ranking is numbered once (from
+    a checkpoint of its rows in the shared folder) and reused for the top and
+    bottom lists."""
     g = _iso_lit(generated_at)
     paths = {}
 
@@ -159,7 +158,7 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
         paths[name] = f"{out}/{name}"
 
     put("summary", M.aggregated_metrics(summaries), one=True)
-    ranking = R.site_ranking(summaries).checkpoint(eager=True)
+    ranking = R.site_ranking(summaries)
     put("ranking", _iso_cols(ranking, "timestamp"))
     put("top50", _iso_cols(R.top_sites(ranking, 50), "timestamp"), one=True)
     put("worst50", _iso_cols(R.bottom_sites(ranking, 50), "timestamp"), one=True)

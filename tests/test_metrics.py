@@ -124,3 +124,12 @@ def test_audit_stats_and_batch_counts(spark):
     r = M.audit_stats(a).first()
     assert (r.total_audits, r.total_errors, r.success_pct) == (8, 3, 62.5)
     assert sorted((x.processed, x.errors) for x in M.batch_counts(a).collect()) == [(4, 1), (4, 2)]
+
+
+def test_metrics_overview_exact_and_approximate(spark):
+    from sitelens.operators.assemble import to_long_metrics
+    long = to_long_metrics(summaries_df(spark, _rows(100)))
+    exact = M.metrics_overview(long).first()
+    approx = M.metrics_overview(long, approximate=True).first()
+    assert exact.total_records == 200 and exact.unique_urls == 7
+    assert approx.unique_urls == 7
