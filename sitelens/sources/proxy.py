@@ -144,9 +144,11 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         .parquet(f"{base}/audit_summaries")
     long_metrics_from(stored.withColumn("user_id", site_key("url"))) \
         .write.parquet(f"{base}/psi_metrics")
-    # both responses of a run share a day, so they land in the same day folder
+    # the stored summaries are read day by day (one file per day), so writing
+    # the responses by day needs no shuffle; both responses of a run come from
+    # one summary row, hence one task and one file
     raw_responses_from(stored).withColumn("day", F.to_date("fetched_at")) \
-        .hint("rebalance", "day").write.partitionBy("day").parquet(f"{base}/raw_responses")
+        .write.partitionBy("day").parquet(f"{base}/raw_responses")
     return {n: f"{base}/{n}" for n in ("audit_summaries", "audits", "psi_metrics", "raw_responses")}
 
 
