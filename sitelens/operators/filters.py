@@ -23,10 +23,12 @@ def not_error(col: str = "has_errors") -> Column:
 def within_days(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
     """Partition pruning: when the table is partitioned by ``day``, keep only
     the days that can hold rows between ``lo`` and ``hi`` (literals fold, so
-    the scan lists only those folders).  The exact time filter still applies."""
+    the scan lists only those folders).  The exact time filter still applies.
+    A table stored without day folders reads ``day`` as NULL and keeps all rows."""
     if "day" not in df.columns:
         return df
-    return df.filter((F.col("day") >= F.to_date(lo)) & (F.col("day") <= F.to_date(hi)))
+    d = F.col("day")
+    return df.filter(d.isNull() | ((d >= F.to_date(lo)) & (d <= F.to_date(hi))))
 
 
 def recently_audited_urls(audits: DataFrame, as_of, hours: float = 24) -> DataFrame:

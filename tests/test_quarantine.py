@@ -147,3 +147,14 @@ def test_recovered_site_leaves_skip_list(spark):
     todo = FL.urls_to_audit(sites, a, NOW, 24, Q.quarantine_current(q))
     assert [r.url for r in todo.collect()] == ["https://other.sp.gov.br"]
     assert FL.urls_to_audit(sites, a, NOW, 0).count() == 2  # hours <= 0: no skipping
+
+
+def test_time_windows_on_a_table_without_day_folders(spark, tmp_dir):
+    # a flat audits table read with the declared schema has day = NULL: nothing is lost
+    from sitelens.sources.tables import read_table
+    base = tmp_dir
+    audits_df(spark, _failing(spark)).write.parquet(f"{base}/audits")
+    a = read_table(spark, base, "audits")
+    assert "day" in a.columns and a.filter("day IS NOT NULL").count() == 0
+    assert M.failing_urls(a, NOW, 3).first().failure_count == 5
+    assert FL.recently_audited_urls(a, NOW, 24 * 10).count() == 0  # all are failures
