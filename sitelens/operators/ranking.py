@@ -36,6 +36,19 @@ def latest_per_site(summaries: DataFrame) -> DataFrame:
             .filter(F.col("__rn") == 1).drop("__rn"))
 
 
+def update_latest(previous_latest: DataFrame, new_summaries: DataFrame) -> DataFrame:
+    """W1 maintained incrementally: the newest successful audit per url of
+    (previous result ∪ new audits).
+
+    "Newest by (timestamp, id)" is an associative max, so this equals W1 over
+    the whole history while reading only the previous result (one row per
+    site) and the new day.  Daily ranking and dashboard cost then grows with
+    the number of sites, not with years of history.
+    """
+    return latest_per_site(previous_latest.unionByName(
+        new_summaries.select(*previous_latest.columns)))
+
+
 def latest_per_site_strategy(metrics: DataFrame, strategy: str | None = None) -> DataFrame:
     """Newest row per (url, strategy); the strategy filter comes first."""
     m = metrics
@@ -74,9 +87,14 @@ def site_ranking(summaries: DataFrame, single_task_limit: int = SINGLE_TASK_LIMI
     ordered by url.  Numbered by :func:`number_rows`, so no single task holds
     the whole ranking.
     """
-    rows = ranking_rows(latest_per_site(summaries.select(
-        "id", "has_errors", *RANKING_SOURCE_COLUMNS)))
-    return number_rows(rows, rank_order(), col="rank",
+    latest = latest_per_site(summaries.select("id", "has_errors", *RANKING_SOURCE_COLUMNS))
+    return site_ranking_from_latest(latest, single_task_limit)
+
+
+def site_ranking_from_latest(latest: DataFrame,
+                             single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+    """W3 over an already computed W1 result (e.g. the maintained latest table)."""
+    return number_rows(ranking_rows(latest), rank_order(), col="rank",
                        single_task_limit=single_task_limit).drop("__order_score")
 
 

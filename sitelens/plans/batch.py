@@ -44,6 +44,7 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     work_root(spark)
     batch = batch.checkpoint(eager=True)
     W.append_responses(batch, base)
+    _update_latest_table(spark, base, batch)
     if out_dir:
         all_audits = read_table(spark, base, "audits")
         summaries = read_table(spark, base, "audit_summaries").select(
@@ -57,6 +58,31 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     return M.batch_counts(appended, F.lit("batch").alias("run"))
 
 
+LATEST_TABLE = "latest_per_site"
+
+
+def _update_latest_table(spark: SparkSession, base: str, batch: DataFrame) -> None:
+    """Keep ``base/latest_per_site`` (W1) current from this batch's audits only."""
+    from ..operators.ranking import update_latest
+    summaries = read_table(spark, base, "audit_summaries").select(
+        *schemas.AUDIT_SUMMARIES.fieldNames())
+    new = summaries.join(batch.select(F.col("run_id").alias("id")).distinct(), "id", "left_semi")
+    path = f"{base}/{LATEST_TABLE}"
+    previous = read_latest(spark, base)
+    # the result replaces the table it reads: materialise it first
+    updated = update_latest(previous, new).checkpoint(eager=True)
+    updated.write.mode("overwrite").parquet(path)
+
+
+def read_latest(spark: SparkSession, base: str) -> DataFrame:
+    """The maintained latest-per-site table (empty when absent)."""
+    import os
+    path = f"{base}/{LATEST_TABLE}"
+    if "://" not in base and not os.path.exists(path):
+        return schemas.empty_frame(spark, schemas.AUDIT_SUMMARIES)
+    return spark.read.schema(schemas.AUDIT_SUMMARIES).parquet(path)
+
+
 def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int = 3) -> DataFrame:
     """The quarantine update command: U2 over the stored tables, appended to
     ``base/quarantine``; returns added, updated and total_checked.
@@ -76,8 +102,12 @@ def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int =
 
 
 def run_dashboard_export(spark: SparkSession, base: str, out_dir: str, generated_at) -> dict:
-    """The dashboard export command (K7) over the stored tables."""
+    """The dashboard export command (K7) over the stored tables; the ranking
+    comes from the maintained latest-per-site table when it exists."""
+    import os
     summaries = read_table(spark, base, "audit_summaries").select(
         *schemas.AUDIT_SUMMARIES.fieldNames())
+    has_latest = "://" in base or os.path.exists(f"{base}/{LATEST_TABLE}")
+    latest = read_latest(spark, base) if has_latest else None
     return W.export_dashboard(summaries, read_table(spark, base, "quarantine"), out_dir,
-                              generated_at)
+                              generated_at, latest=latest)

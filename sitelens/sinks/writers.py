@@ -144,7 +144,7 @@ def export_metrics(metrics: DataFrame, out: str, formats=("csv", "json")) -> dic
 
 
 def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
-                     generated_at) -> dict:
+                     generated_at, latest: DataFrame | None = None) -> dict:
     """K7: summary, ranking, top50, worst50, by-state and quarantine datasets,
     all stamped with one ``generated_at``.  The ranking is numbered once (from
     a checkpoint of its rows in the shared folder) and reused for the top and
@@ -158,7 +158,9 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
         paths[name] = f"{out}/{name}"
 
     put("summary", M.aggregated_metrics(summaries), one=True)
-    ranking = R.site_ranking(summaries)
+    # the maintained W1 table when given (no scan of the whole history)
+    ranking = (R.site_ranking_from_latest(latest) if latest is not None
+               else R.site_ranking(summaries))
     put("ranking", _iso_cols(ranking, "timestamp"))
     put("top50", _iso_cols(R.top_sites(ranking, 50), "timestamp"), one=True)
     put("worst50", _iso_cols(R.bottom_sites(ranking, 50), "timestamp"), one=True)

@@ -181,6 +181,14 @@ def test_daily_batch_run(spark, tmp_dir):
                    day1 + dt.timedelta(hours=1)).first()
     assert (r2.processed, r2.errors) == (1, 0)
     assert spark.read.parquet(os.path.join(tmp_dir, "out1", "audit_summaries")).count() == 3
+    # the maintained latest table equals W1 over everything appended
+    from sitelens.operators.ranking import latest_per_site
+    from sitelens.plans.batch import read_latest
+    from sitelens.sources.tables import read_table
+    full = latest_per_site(read_table(spark, base, "audit_summaries")
+                           .select(*schemas.AUDIT_SUMMARIES.fieldNames()))
+    kept = read_latest(spark, base)
+    assert kept.count() == 3 and kept.exceptAll(full).count() == 0
 
 
 def test_quarantine_update_and_dashboard_commands(spark, tmp_dir):

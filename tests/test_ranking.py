@@ -169,3 +169,19 @@ def test_operators_on_empty_input(spark):
     for df in ones:
         assert df.count() == 1
     assert tuple(M.audit_stats(a).first()) == (0, 0, 0.0)
+
+
+def test_incremental_latest_equals_full_history(spark):
+    rows = [summary_row(i, f"https://s{i % 9}.sp.gov.br/", NOW - dt.timedelta(hours=i),
+                        has_errors=(i % 7 == 0), mobile_accessibility=(i % 10) / 10)
+            for i in range(1, 120)]
+    s = summaries_df(spark, rows)
+    older = s.filter(F.col("timestamp") < NOW - dt.timedelta(hours=60))
+    newer = s.filter(F.col("timestamp") >= NOW - dt.timedelta(hours=60))
+    step1 = R.update_latest(R.latest_per_site(older), newer.filter(F.col("id") % 2 == 0))
+    step2 = R.update_latest(step1, newer.filter(F.col("id") % 2 == 1))
+    full = R.latest_per_site(s)
+    assert step2.exceptAll(full).count() == 0 and full.exceptAll(step2).count() == 0
+    a = R.site_ranking(s).collect()
+    b = R.site_ranking_from_latest(step2).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
