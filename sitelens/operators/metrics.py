@@ -173,3 +173,86 @@ def batch_counts(audits: DataFrame, run_col=None) -> DataFrame:
     run = run_col if run_col is not None else X.day("timestamp").alias("run_date")
     return audits.groupBy(run).agg(F.count(F.lit(1)).alias("processed"),
                                    F.count("error_message").alias("errors"))
+
+
+# ---------------------------------------------------------------------------
+# Mergeable per-day partials: A1 and A3 without scanning the whole history
+# ---------------------------------------------------------------------------
+
+_MEAN_COLS = ["mobile_performance", "desktop_performance", "mobile_accessibility",
+              "desktop_accessibility", "mobile_seo", "desktop_seo", "mobile_best_practices",
+              "desktop_best_practices"]
+_STD_COLS = ["mobile_performance", "desktop_performance"]
+
+
+def daily_partials(summaries: DataFrame) -> DataFrame:
+    """One mergeable row per (day, state): counts, sums, M2 and min/max.
+
+    A1 and A3 over any set of days are exact combinations of these rows
+    (sums add; M2 merges with the parallel-variance formula), so a dashboard
+    reads one row per day and state instead of every audit.
+    """
+    ok = ~F.col("has_errors")
+    aggs = [F.count(F.lit(1)).alias("n_all"), F.count_if(ok).alias("n_ok"),
+            F.count_if(F.col("has_errors")).alias("n_err")]
+    for c in _MEAN_COLS:
+        aggs += [F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"s_{c}")]
+    for c in _STD_COLS:
+        aggs.append((F.var_pop(c) * F.count(c)).alias(f"m2_{c}"))
+    aggs += [F.min("mobile_performance").alias("min_mp"), F.max("mobile_performance").alias("max_mp")]
+    # A3 inputs: successful audits only
+    ok_perf = F.when(ok, F.col("mobile_performance"))
+    ok_acc = F.when(ok, F.col("mobile_accessibility"))
+    aggs += [F.count(ok_perf).alias("n_ok_perf"), F.sum(ok_perf).alias("s_ok_perf"),
+             F.count(ok_acc).alias("n_ok_acc"), F.sum(ok_acc).alias("s_ok_acc")]
+    return summaries.groupBy(X.day("timestamp").alias("day"),
+                             X.state_from_url("url").alias("state")).agg(*aggs)
+
+
+def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
+    """A1 + A2 from :func:`daily_partials` rows (same columns as A1)."""
+    sums = [F.sum("n_all").alias("total_audits"), F.sum("n_ok").alias("successful_audits"),
+            F.sum("n_err").alias("failed_audits")]
+    for c in _MEAN_COLS:
+        sums += [F.sum(f"n_{c}").alias(f"N_{c}"), F.sum(f"s_{c}").alias(f"S_{c}")]
+    sums += [F.min("min_mp").alias("min_mobile_performance"),
+             F.max("max_mp").alias("max_mobile_performance")]
+    g = partials.agg(*sums)
+    # M2 of the union: sum(M2_i) + sum(n_i * (mean_i - mean)^2); a second small
+    # aggregate over the partial rows with the global means as literals of g
+    means = {c: F.col(f"S_{c}") / F.col(f"N_{c}") for c in _STD_COLS}
+    m2 = partials.agg(*[F.sum(f"m2_{c}").alias(f"M2a_{c}") for c in _STD_COLS],
+                      *[F.sum(F.col(f"n_{c}") * F.pow(F.col(f"s_{c}") / F.col(f"n_{c}"), 2))
+                        .alias(f"Q_{c}") for c in _STD_COLS])
+    both = _one_row_join(g, m2)
+    t = F.col("total_audits")
+    out = [F.coalesce(t, F.lit(0)).cast("long").alias("total_audits"),
+           F.coalesce(F.col("successful_audits"), F.lit(0)).cast("long").alias("successful_audits"),
+           F.coalesce(F.col("failed_audits"), F.lit(0)).cast("long").alias("failed_audits")]
+    out += [F.when(t > 0, F.col("successful_audits") / t).otherwise(F.lit(0.0)).alias("success_rate"),
+            F.when(t > 0, F.col("failed_audits") / t).otherwise(F.lit(0.0)).alias("error_rate")]
+    out += [(F.col(f"S_{c}") / F.col(f"N_{c}")).alias(f"avg_{c}") for c in _MEAN_COLS]
+    for c in _STD_COLS:
+        n = F.col(f"N_{c}")
+        # sum n_i (mean_i - mean)^2 = sum n_i mean_i^2 - N mean^2
+        m2_total = F.col(f"M2a_{c}") + F.col(f"Q_{c}") - n * F.pow(means[c], 2)
+        out.append(F.when(n > 1, F.sqrt(F.greatest(m2_total, F.lit(0.0)) / (n - 1)))
+                   .alias(f"std_{c}"))
+    out += ["min_mobile_performance", "max_mobile_performance"]
+    return both.select(*out)
+
+
+def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Side by side of two one-row aggregates (an equi-join on a constant key)."""
+    return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k")
+
+
+def metrics_by_state_from_partials(partials: DataFrame) -> DataFrame:
+    """A3 from :func:`daily_partials` rows (same columns and order as A3)."""
+    return (partials.filter(F.col("state") != "")
+            .groupBy("state")
+            .agg(F.sum("n_ok").alias("site_count"),
+                 (F.sum("s_ok_perf") / F.sum("n_ok_perf")).alias("avg_performance"),
+                 (F.sum("s_ok_acc") / F.sum("n_ok_acc")).alias("avg_accessibility"))
+            .filter(F.col("site_count") > 0)
+            .orderBy(F.desc_nulls_last("avg_performance"), F.asc("state")))

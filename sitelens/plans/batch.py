@@ -45,6 +45,7 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     batch = batch.checkpoint(eager=True)
     W.append_responses(batch, base)
     _update_latest_table(spark, base, batch)
+    _update_partials_table(spark, base, batch)
     if out_dir:
         all_audits = read_table(spark, base, "audits")
         summaries = read_table(spark, base, "audit_summaries").select(
@@ -74,6 +75,36 @@ def _update_latest_table(spark: SparkSession, base: str, batch: DataFrame) -> No
     updated.write.mode("overwrite").parquet(path)
 
 
+PARTIALS_TABLE = "daily_partials"
+
+
+def _update_partials_table(spark: SparkSession, base: str, batch: DataFrame) -> None:
+    """Recompute the mergeable per-day partials of the days this batch touched.
+
+    The touched days are a handful of dates (bounded by the batch), read as
+    literals so only those summary folders are scanned; dynamic partition
+    overwrite replaces just those day folders of ``base/daily_partials``.
+    """
+    ids = batch.select(F.col("run_id").alias("id")).distinct()
+    touched = read_table(spark, base, "audits").join(ids, "id", "left_semi") \
+        .select("day").distinct()
+    days = [r[0] for r in touched.collect()]
+    if not days:
+        return
+    summaries = read_table(spark, base, "audit_summaries").filter(F.col("day").isin(*days))
+    (M.daily_partials(summaries.select(*schemas.AUDIT_SUMMARIES.fieldNames()))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(f"{base}/{PARTIALS_TABLE}"))
+
+
+def read_partials(spark: SparkSession, base: str) -> DataFrame | None:
+    import os
+    path = f"{base}/{PARTIALS_TABLE}"
+    if "://" not in base and not os.path.exists(path):
+        return None
+    return spark.read.parquet(path)
+
+
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
     """The maintained latest-per-site table (empty when absent)."""
     import os
@@ -102,12 +133,13 @@ def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int =
 
 
 def run_dashboard_export(spark: SparkSession, base: str, out_dir: str, generated_at) -> dict:
-    """The dashboard export command (K7) over the stored tables; the ranking
-    comes from the maintained latest-per-site table when it exists."""
+    """The dashboard export command (K7) over the stored tables; the ranking,
+    summary and per-state lists come from the maintained latest-per-site and
+    per-day partial tables when they exist."""
     import os
     summaries = read_table(spark, base, "audit_summaries").select(
         *schemas.AUDIT_SUMMARIES.fieldNames())
     has_latest = "://" in base or os.path.exists(f"{base}/{LATEST_TABLE}")
     latest = read_latest(spark, base) if has_latest else None
     return W.export_dashboard(summaries, read_table(spark, base, "quarantine"), out_dir,
-                              generated_at, latest=latest)
+                              generated_at, latest=latest, partials=read_partials(spark, base))

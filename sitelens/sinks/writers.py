@@ -144,7 +144,8 @@ def export_metrics(metrics: DataFrame, out: str, formats=("csv", "json")) -> dic
 
 
 def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
-                     generated_at, latest: DataFrame | None = None) -> dict:
+                     generated_at, latest: DataFrame | None = None,
+                     partials: DataFrame | None = None) -> dict:
     """K7: summary, ranking, top50, worst50, by-state and quarantine datasets,
     all stamped with one ``generated_at``.  The ranking is numbered once (from
     a checkpoint of its rows in the shared folder) and reused for the top and
@@ -157,14 +158,18 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
         (d.coalesce(1) if one else d).write.mode("overwrite").json(f"{out}/{name}")
         paths[name] = f"{out}/{name}"
 
-    put("summary", M.aggregated_metrics(summaries), one=True)
+    # maintained per-day partials when given (no scan of the whole history)
+    summary = (M.aggregated_metrics_from_partials(partials) if partials is not None
+               else M.aggregated_metrics(summaries))
+    put("summary", summary, one=True)
     # the maintained W1 table when given (no scan of the whole history)
     ranking = (R.site_ranking_from_latest(latest) if latest is not None
                else R.site_ranking(summaries))
     put("ranking", _iso_cols(ranking, "timestamp"))
     put("top50", _iso_cols(R.top_sites(ranking, 50), "timestamp"), one=True)
     put("worst50", _iso_cols(R.bottom_sites(ranking, 50), "timestamp"), one=True)
-    put("by-state", M.metrics_by_state(summaries))
+    put("by-state", M.metrics_by_state_from_partials(partials) if partials is not None
+        else M.metrics_by_state(summaries))
     cur = quarantine_current(quarantine)
     q = export_quarantine_json(cur, f"{out}/quarantine", generated_at)
     paths["quarantine/stats"], paths["quarantine/sites"] = q["stats"], q["sites"]

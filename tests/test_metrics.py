@@ -133,3 +133,43 @@ def test_metrics_overview_exact_and_approximate(spark):
     approx = M.metrics_overview(long, approximate=True).first()
     assert exact.total_records == 200 and exact.unique_urls == 7
     assert approx.unique_urls == 7
+
+
+def _close(a, b):
+    if a is None or b is None:
+        return a is None and b is None
+    return abs(a - b) <= 1e-9 * max(1.0, abs(a), abs(b))
+
+
+def _assert_rows_close(r1, r2):
+    assert r1.__fields__ == r2.__fields__
+    for f in r1.__fields__:
+        v1, v2 = r1[f], r2[f]
+        assert (_close(v1, v2) if isinstance(v1, float) or isinstance(v2, float) else v1 == v2), f
+
+
+@pytest.mark.parametrize("source", ["fixture", "driver"])
+def test_partials_combine_to_direct_aggregates(spark, source):
+    if source == "fixture":
+        rows = _rows(100) + [summary_row(500, "https://n.rj.gov.br/", NOW, has_errors=None,
+                                         mobile_performance=0.3)]
+        s = summaries_df(spark, rows)
+    else:
+        from sitelens.sources import proxy as P
+        s = P.summaries(spark, "/root/testdata/sf0.01")
+    p = M.daily_partials(s)
+    _assert_rows_close(M.aggregated_metrics_from_partials(p).first(),
+                       M.aggregated_metrics(s).first())
+    direct = M.metrics_by_state(s).collect()
+    merged = M.metrics_by_state_from_partials(p).collect()
+    assert [r.state for r in merged] == [r.state for r in direct]
+    for a, b in zip(merged, direct):
+        _assert_rows_close(a, b)
+
+
+def test_partials_on_empty_input(spark):
+    s = summaries_df(spark, [])
+    r = M.aggregated_metrics_from_partials(M.daily_partials(s)).first()
+    assert (r.total_audits, r.successful_audits, r.failed_audits, r.success_rate) == (0, 0, 0, 0.0)
+    assert r.avg_mobile_performance is None and r.std_mobile_performance is None
+    assert M.metrics_by_state_from_partials(M.daily_partials(s)).count() == 0
