@@ -340,3 +340,37 @@ def q_sort_metrics(spark, sf):
 @report("long_metrics", O.sql("SELECT * FROM psi_metrics"))
 def q_long_metrics(spark, sf):
     return P.psi_metrics(spark, sf)
+
+
+# ---------------------------------------------------------------------------
+# The same operators through their at-scale plans (same oracles)
+# ---------------------------------------------------------------------------
+
+INCREMENTAL_SPLIT_DAYS = 15
+
+
+@report("aggregated_metrics_from_partials", REPORTS["aggregated_metrics"][1])
+def q_aggregated_metrics_from_partials(spark, sf):
+    """A1 combined from mergeable per-(day, state) partials."""
+    p = M.daily_partials(P.summaries(spark, sf))
+    return rounded(M.aggregated_metrics_from_partials(p),
+                   *[f"avg_{c}" for c in _MEANS], "std_mobile_performance",
+                   "std_desktop_performance")
+
+
+@report("metrics_by_state_from_partials", REPORTS["metrics_by_state"][1])
+def q_metrics_by_state_from_partials(spark, sf):
+    """A3 combined from mergeable per-(day, state) partials."""
+    p = M.daily_partials(P.summaries(spark, sf))
+    return rounded(M.metrics_by_state_from_partials(p), "avg_performance", "avg_accessibility")
+
+
+@report("site_ranking_incremental", REPORTS["site_ranking"][1])
+def q_site_ranking_incremental(spark, sf):
+    """W3 from a latest-per-site result maintained in two steps (older history,
+    then the newest days) instead of one pass over all history."""
+    s = P.summaries(spark, sf)
+    split = X.minus_days(P.as_of(spark, sf), INCREMENTAL_SPLIT_DAYS)
+    latest = R.update_latest(R.latest_per_site(s.filter(F.col("timestamp") < split)),
+                             s.filter(F.col("timestamp") >= split))
+    return R.site_ranking_from_latest(latest)
