@@ -210,21 +210,21 @@ def daily_partials(summaries: DataFrame) -> DataFrame:
 
 
 def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
-    """A1 + A2 from :func:`daily_partials` rows (same columns as A1)."""
+    """A1 + A2 from :func:`daily_partials` rows (same columns as A1), one aggregate.
+
+    M2 of the union = sum(M2_i) + sum(n_i * (mean_i - mean)^2), and the second
+    term is sum(s_i^2 / n_i) - S^2 / N: plain sums, so no second pass or join.
+    """
     sums = [F.sum("n_all").alias("total_audits"), F.sum("n_ok").alias("successful_audits"),
             F.sum("n_err").alias("failed_audits")]
     for c in _MEAN_COLS:
         sums += [F.sum(f"n_{c}").alias(f"N_{c}"), F.sum(f"s_{c}").alias(f"S_{c}")]
+    for c in _STD_COLS:
+        sums += [F.sum(f"m2_{c}").alias(f"M2a_{c}"),
+                 F.sum(F.pow(F.col(f"s_{c}"), 2) / F.col(f"n_{c}")).alias(f"Q_{c}")]
     sums += [F.min("min_mp").alias("min_mobile_performance"),
              F.max("max_mp").alias("max_mobile_performance")]
     g = partials.agg(*sums)
-    # M2 of the union: sum(M2_i) + sum(n_i * (mean_i - mean)^2); a second small
-    # aggregate over the partial rows with the global means as literals of g
-    means = {c: F.col(f"S_{c}") / F.col(f"N_{c}") for c in _STD_COLS}
-    m2 = partials.agg(*[F.sum(f"m2_{c}").alias(f"M2a_{c}") for c in _STD_COLS],
-                      *[F.sum(F.col(f"n_{c}") * F.pow(F.col(f"s_{c}") / F.col(f"n_{c}"), 2))
-                        .alias(f"Q_{c}") for c in _STD_COLS])
-    both = _one_row_join(g, m2)
     t = F.col("total_audits")
     out = [F.coalesce(t, F.lit(0)).cast("long").alias("total_audits"),
            F.coalesce(F.col("successful_audits"), F.lit(0)).cast("long").alias("successful_audits"),
@@ -233,18 +233,12 @@ def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
             F.when(t > 0, F.col("failed_audits") / t).otherwise(F.lit(0.0)).alias("error_rate")]
     out += [(F.col(f"S_{c}") / F.col(f"N_{c}")).alias(f"avg_{c}") for c in _MEAN_COLS]
     for c in _STD_COLS:
-        n = F.col(f"N_{c}")
-        # sum n_i (mean_i - mean)^2 = sum n_i mean_i^2 - N mean^2
-        m2_total = F.col(f"M2a_{c}") + F.col(f"Q_{c}") - n * F.pow(means[c], 2)
+        n, total = F.col(f"N_{c}"), F.col(f"S_{c}")
+        m2_total = F.col(f"M2a_{c}") + F.col(f"Q_{c}") - F.pow(total, 2) / n
         out.append(F.when(n > 1, F.sqrt(F.greatest(m2_total, F.lit(0.0)) / (n - 1)))
                    .alias(f"std_{c}"))
     out += ["min_mobile_performance", "max_mobile_performance"]
-    return both.select(*out)
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side by side of two one-row aggregates (an equi-join on a constant key)."""
-    return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    return g.select(*out)
 
 
 def metrics_by_state_from_partials(partials: DataFrame) -> DataFrame:
