@@ -132,15 +132,37 @@ def best_accessibility(summaries: DataFrame, limit: int = 10) -> DataFrame:
                     "mobile_performance", "timestamp"))
 
 
-def recent_audits(audits: DataFrame, n: int = 10) -> DataFrame:
+def newest_days(df: DataFrame, day_counts: DataFrame | None, n: int) -> DataFrame:
+    """Keep only the newest days that together hold at least ``n`` rows.
+
+    ``day_counts(day, n)`` (e.g. from the per-day partials) is one row per day,
+    so the cut-off is found on a table bounded by the number of days and read
+    as one scalar; the ``day`` filter then prunes partition folders.  Exact:
+    the ``n`` newest rows all lie on or after that day.  Without counts or a
+    ``day`` column the input is returned as is.
+    """
+    if day_counts is None or "day" not in df.columns:
+        return df
+    upto = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
+    per_day = day_counts.groupBy("day").agg(F.sum("n").alias("n"))
+    cut = (per_day.withColumn("cum", F.sum("n").over(upto))
+           .filter(F.col("cum") >= n).agg(F.max("day")).first()[0])
+    return df if cut is None else df.filter(F.col("day") >= F.lit(cut))
+
+
+def recent_audits(audits: DataFrame, n: int = 10, day_counts: DataFrame | None = None) -> DataFrame:
     """L3 + X11: newest audits with a status mark."""
-    return (audits.orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
+    return (newest_days(audits, day_counts, n)
+            .orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
             .select("url", "timestamp", X.status_mark("error_message").alias("status")))
 
 
-def latest_audits(summaries: DataFrame, n: int = 1000) -> DataFrame:
-    """L4: newest ``n`` summary rows, errors included, not per site."""
-    return (summaries.orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
+def latest_audits(summaries: DataFrame, n: int = 1000,
+                  day_counts: DataFrame | None = None) -> DataFrame:
+    """L4: newest ``n`` summary rows, errors included, not per site (with
+    ``day_counts`` only the newest days are scanned, see :func:`newest_days`)."""
+    return (newest_days(summaries, day_counts, n)
+            .orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
             .select("url", "timestamp", "mobile_performance", "desktop_performance",
                     "mobile_accessibility", "desktop_accessibility", "has_errors",
                     "error_message"))

@@ -48,11 +48,12 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     _update_partials_table(spark, base, batch)
     if out_dir:
         all_audits = read_table(spark, base, "audits")
-        summaries = read_table(spark, base, "audit_summaries").select(
-            *schemas.AUDIT_SUMMARIES.fieldNames())
+        summaries = read_table(spark, base, "audit_summaries")  # with its day folders
         W.export_audits_parquet(all_audits, f"{out_dir}/audits")
         W.export_summaries_parquet(summaries, f"{out_dir}/audit_summaries")
-        W.export_latest_json(summaries, f"{out_dir}/latest_audits", as_of)
+        partials = read_partials(spark, base)
+        counts = None if partials is None else partials.select("day", F.col("n_all").alias("n"))
+        W.export_latest_json(summaries, f"{out_dir}/latest_audits", as_of, day_counts=counts)
     run_ids = batch.select("run_id").distinct()
     appended = read_table(spark, base, "audits").join(
         run_ids.withColumnRenamed("run_id", "id"), "id", "left_semi")

@@ -77,12 +77,14 @@ def export_summaries_parquet(summaries: DataFrame, out: str) -> str:
     return out
 
 
-def export_latest_json(summaries: DataFrame, out: str, generated_at, n: int = 1000) -> str:
+def export_latest_json(summaries: DataFrame, out: str, generated_at, n: int = 1000,
+                       day_counts: DataFrame | None = None) -> str:
     """K3: one document {last_updated, total_sites, audits[<= n, newest first]}.
 
-    ``n`` bounds the rows gathered into the document's single task.
+    ``n`` bounds the rows gathered into the document's single task; with
+    ``day_counts`` only the newest day folders are read.
     """
-    rows = R.latest_audits(summaries, n)
+    rows = R.latest_audits(summaries, n, day_counts)
     item = F.struct(F.col("timestamp").alias("__ts"), F.col("url").alias("__url"),
                     "url", X.iso_text("timestamp").alias("timestamp"), "mobile_performance",
                     "desktop_performance", "mobile_accessibility", "desktop_accessibility",

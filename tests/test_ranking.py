@@ -185,3 +185,18 @@ def test_incremental_latest_equals_full_history(spark):
     a = R.site_ranking(s).collect()
     b = R.site_ranking_from_latest(step2).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+@pytest.mark.parametrize("n", [1, 5, 12, 40])
+def test_latest_audits_with_day_cutoff_is_exact(spark, n):
+    from sitelens.operators import metrics as M
+    rows = [summary_row(i, f"https://s{i % 4}.sp.gov.br/", NOW - dt.timedelta(hours=7 * i),
+                        has_errors=(i % 5 == 0), mobile_performance=0.5) for i in range(30)]
+    s = summaries_df(spark, rows).withColumn("day", F.to_date("timestamp"))
+    counts = M.daily_partials(s).select("day", F.col("n_all").alias("n"))
+    plain = R.latest_audits(s, n).collect()
+    cut = R.latest_audits(s, n, day_counts=counts).collect()
+    assert cut == plain and len(plain) == min(n, 30)
+    assert R.recent_audits(s, n, day_counts=counts).collect() == R.recent_audits(s, n).collect()
+    if n <= 5:  # few rows needed: only the newest day(s) survive the cut-off
+        assert R.newest_days(s, counts, n).count() < 30
