@@ -317,10 +317,11 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reset_caches(keep_tables: bool = False) -> None:
-    """Forget memoised clocks and stored tables (bench isolation); with
-    ``keep_tables`` the stored derived tables and quarantine history stay."""
-    _max_ts.cache_clear()
+    """Forget the memoised clock and stored tables (bench isolation); with
+    ``keep_tables`` the stored derived tables, the quarantine history and the
+    clock (an input, like "now" in production) stay."""
     if not keep_tables:
+        _max_ts.cache_clear()
         quarantine_steps.cache_clear()
         _input_files.cache_clear()
         stored_tables.cache_clear()
