@@ -117,9 +117,25 @@ def long_metrics_from(summaries_with_user: DataFrame) -> DataFrame:
     return to_long_metrics(s, ibge_code="ibge_code")
 
 
-@functools.lru_cache(maxsize=8)
+_STORED: dict = {}
+_CLOCK: dict = {}
+
+
+def _app_key(spark: SparkSession, sf_dir: str) -> tuple:
+    # paths and the clock are plain values, valid for every session of the app
+    return spark.sparkContext.applicationId, sf_dir
+
+
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the derived tables once per session into the shared work folder.
+    """Paths of the derived tables, written once per Spark application."""
+    key = _app_key(spark, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = _write_stored_tables(spark, sf_dir)
+    return _STORED[key]
+
+
+def _write_stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Write the derived tables into the shared work folder.
 
     Layout as a deployment keeps them: ``audits``, ``audit_summaries`` and
     ``raw_responses`` partitioned by ``day`` (time-window reports prune
@@ -235,9 +251,11 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url")
 
 
-@functools.lru_cache(maxsize=16)
 def _max_ts(spark: SparkSession, sf_dir: str):
-    return table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    key = _app_key(spark, sf_dir)
+    if key not in _CLOCK:
+        _CLOCK[key] = table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    return _CLOCK[key]
 
 
 def as_of(spark: SparkSession, sf_dir: str) -> Column:
@@ -321,7 +339,7 @@ def reset_caches(keep_tables: bool = False) -> None:
     ``keep_tables`` the stored derived tables, the quarantine history and the
     clock (an input, like "now" in production) stay."""
     if not keep_tables:
-        _max_ts.cache_clear()
+        _CLOCK.clear()
         quarantine_steps.cache_clear()
         _input_files.cache_clear()
-        stored_tables.cache_clear()
+        _STORED.clear()
