@@ -199,6 +199,14 @@ def test_daily_batch_run(spark, tmp_dir):
     assert abs(a.avg_mobile_performance - b.avg_mobile_performance) < 1e-12
     assert [r.state for r in M.metrics_by_state_from_partials(read_partials(spark, base)).collect()] \
         == [r.state for r in M.metrics_by_state(all_s).collect()]
+    # a later day: only that day's partials are written, the earlier day stays
+    day3 = day1 + dt.timedelta(days=2)
+    r3 = run_batch(spark, base, sites_csv, responses(20, day3, urls), day3).first()
+    assert (r3.processed, r3.errors) == (3, 0)
+    p = read_partials(spark, base)
+    assert sorted(r.day for r in p.select("day").distinct().collect()) == [day1.date(), day3.date()]
+    assert M.aggregated_metrics_from_partials(p).first().total_audits == 7
+    assert read_latest(spark, base).count() == 3
 
 
 def test_quarantine_update_and_dashboard_commands(spark, tmp_dir):
