@@ -3,8 +3,8 @@
 The driver ships ``events(event_id, ts, user_id, event_type, value, props)``
 and ``pages(page_id, url, html)``.  ``user_id`` plays the site, an ``error``
 event a failed audit, and the newest ``ts`` the clock.  Spark derives the
-audit tables from those files in one pass and writes them once per session
-to the shared work folder (:func:`stored_tables`), laid out as a deployment
+audit tables from those files in one pass and writes them once per Spark
+application to the shared work folder (:func:`stored_tables`), laid out as a deployment
 keeps them; reports read the stored tables, whose size grows with the input.
 
 The column rules are fixed values shared with the SQL oracle; keep them equal.
