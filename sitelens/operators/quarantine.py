@@ -47,9 +47,14 @@ def next_id(existing: DataFrame) -> Column:
 
 def assign_ids(new_rows: DataFrame, existing: DataFrame, order_cols=("url",),
                single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
-    """Consecutive ids after ``MAX(id)`` of ``existing``, in ``order_cols`` order."""
+    """Consecutive ids after ``MAX(id)`` of ``existing``, in ``order_cols`` order.
+
+    ``MAX(id) + 1`` is one aggregate read as a single scalar (partial max per
+    task), then a plain number for the numbering.
+    """
+    start = existing.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).cast("long")).first()[0]
     return number_rows(new_rows, [F.asc(c) for c in order_cols], col="id",
-                       start=next_id(existing), single_task_limit=single_task_limit)
+                       start=int(start), single_task_limit=single_task_limit)
 
 
 def quarantine_as_of(quarantine: DataFrame, t) -> DataFrame:
