@@ -75,3 +75,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared work folder."""
     root = work_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(actions, max_workers: int = 4) -> list:
+    """Submit independent Spark actions (callables) as concurrent jobs.
+
+    Small jobs overlap instead of queueing one after another; on a cluster
+    they share the executors under the scheduler.  Results come back in
+    order; the first failure is raised.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    actions = list(actions)
+    if len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(actions))) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]

@@ -20,6 +20,7 @@ from ..operators import metrics as M
 from ..operators import ranking as R
 from ..operators.assemble import assemble_with_summaries, summarize_audits
 from ..operators.quarantine import quarantine_current
+from ..session import run_concurrently
 
 
 def _iso_lit(t) -> F.Column:
@@ -153,11 +154,12 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
     a checkpoint of its rows in the shared folder) and reused for the top and
     bottom lists."""
     g = _iso_lit(generated_at)
-    paths = {}
+    paths, jobs = {}, []
 
     def put(name, df, one=False):
         d = df.withColumn("generated_at", g)
-        (d.coalesce(1) if one else d).write.mode("overwrite").json(f"{out}/{name}")
+        jobs.append(lambda: (d.coalesce(1) if one else d).write.mode("overwrite")
+                    .json(f"{out}/{name}"))
         paths[name] = f"{out}/{name}"
 
     # maintained per-day partials when given (no scan of the whole history)
@@ -173,10 +175,12 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
     put("by-state", M.metrics_by_state_from_partials(partials) if partials is not None
         else M.metrics_by_state(summaries))
     cur = quarantine_current(quarantine)
-    q = export_quarantine_json(cur, f"{out}/quarantine", generated_at)
-    paths["quarantine/stats"], paths["quarantine/sites"] = q["stats"], q["sites"]
+    put("quarantine/stats", M.quarantine_stats(cur), one=True)
+    put("quarantine/sites", quarantine_sites(cur))
+    # the datasets are independent: submit the writes as concurrent jobs
+    run_concurrently(jobs)
     return {"generated_at": _iso_text_value(generated_at), "files": paths,
-            "total_sites": ranking.count()}  # count of the checkpointed ranking
+            "total_sites": ranking.count()}  # reads the numbered ranking's checkpoint
 
 
 def _iso_text_value(t) -> str:

@@ -143,7 +143,7 @@ def _write_stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     ``psi_metrics`` as plain files.  Reports then read stored Parquet tables
     with pushed filters and pruned columns instead of re-deriving them.
     """
-    from ..session import scratch_path
+    from ..session import run_concurrently, scratch_path
     base = scratch_path(spark, "proxy-tables")
     ext = derived_summaries_ext(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
     # REBALANCE: AQE sizes the write tasks — small days share files, a hot day
@@ -152,19 +152,20 @@ def _write_stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     summ.write.partitionBy("day").parquet(f"{base}/audit_summaries")
     audits_cols = ["id", "url", "timestamp", "error_message",
                    F.lit(0).cast("long").alias("retry_count"), "created_at", "day"]
-    spark.read.schema(schemas.T.StructType(schemas.AUDIT_SUMMARIES.fields + [_DAY])) \
-        .parquet(f"{base}/audit_summaries").select(*audits_cols) \
-        .write.partitionBy("day").parquet(f"{base}/audits")
-    # the other tables come from the stored summaries (one pass over events)
+    # the other tables come from the stored summaries (one pass over events);
+    # their three writes are independent jobs, submitted together
     stored = spark.read.schema(schemas.T.StructType(schemas.AUDIT_SUMMARIES.fields + [_DAY])) \
         .parquet(f"{base}/audit_summaries")
-    long_metrics_from(stored.withColumn("user_id", site_key("url"))) \
-        .write.parquet(f"{base}/psi_metrics")
     # the stored summaries are read day by day (one file per day), so writing
     # the responses by day needs no shuffle; both responses of a run come from
     # one summary row, hence one task and one file
-    raw_responses_from(stored).withColumn("day", F.to_date("fetched_at")) \
-        .write.partitionBy("day").parquet(f"{base}/raw_responses")
+    run_concurrently([
+        lambda: stored.select(*audits_cols).write.partitionBy("day").parquet(f"{base}/audits"),
+        lambda: long_metrics_from(stored.withColumn("user_id", site_key("url")))
+        .write.parquet(f"{base}/psi_metrics"),
+        lambda: raw_responses_from(stored).withColumn("day", F.to_date("fetched_at"))
+        .write.partitionBy("day").parquet(f"{base}/raw_responses"),
+    ])
     return {n: f"{base}/{n}" for n in ("audit_summaries", "audits", "psi_metrics", "raw_responses")}
 
 
