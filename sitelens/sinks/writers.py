@@ -55,10 +55,13 @@ def append_responses(raw: DataFrame, base: str) -> dict[str, str]:
     (``assemble_with_summaries``: each response body parsed once)."""
     both = assemble_with_summaries(raw).withColumn("day", X.day("timestamp")).persist()
     try:
-        both.select(*schemas.AUDITS.fieldNames(), "day").hint("rebalance", "day") \
-            .write.mode("append").partitionBy("day").parquet(f"{base}/audits")
-        both.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day").hint("rebalance", "day") \
-            .write.mode("append").partitionBy("day").parquet(f"{base}/audit_summaries")
+        run_concurrently([
+            lambda: both.select(*schemas.AUDITS.fieldNames(), "day").hint("rebalance", "day")
+            .write.mode("append").partitionBy("day").parquet(f"{base}/audits"),
+            lambda: both.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day")
+            .hint("rebalance", "day").write.mode("append").partitionBy("day")
+            .parquet(f"{base}/audit_summaries"),
+        ])
     finally:
         both.unpersist()
     return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}

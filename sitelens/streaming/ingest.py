@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..operators.assemble import assemble_with_summaries
+from ..session import run_concurrently
 
 
 def ingest_stream(spark: SparkSession, raw_path: str, out_base: str, checkpoint: str,
@@ -28,10 +29,12 @@ def ingest_stream(spark: SparkSession, raw_path: str, out_base: str, checkpoint:
         # T1 + T2 in one pass (each body parsed once), written as two tables
         both = assemble_with_summaries(batch).persist()
         try:
-            both.select(*schemas.AUDITS.fieldNames()).write.mode("overwrite") \
-                .parquet(f"{out_base}/audits/batch_id={batch_id}")
-            both.select(*schemas.AUDIT_SUMMARIES.fieldNames()).write.mode("overwrite") \
-                .parquet(f"{out_base}/audit_summaries/batch_id={batch_id}")
+            run_concurrently([
+                lambda: both.select(*schemas.AUDITS.fieldNames()).write.mode("overwrite")
+                .parquet(f"{out_base}/audits/batch_id={batch_id}"),
+                lambda: both.select(*schemas.AUDIT_SUMMARIES.fieldNames()).write
+                .mode("overwrite").parquet(f"{out_base}/audit_summaries/batch_id={batch_id}"),
+            ])
         finally:
             both.unpersist()
 
