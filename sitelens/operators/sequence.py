@@ -7,8 +7,8 @@ task.  Instead:
    sample, so the work spreads over all tasks even when one sort value holds a
    third of the rows (the order key must be total, e.g. end with a unique key);
 2. tag rows with ``monotonically_increasing_id`` (partition id in the high
-   bits, position in the partition in the low 33 bits), and evaluate the
-   ``start`` value once;
+   bits, position in the partition in the low 33 bits); ``start`` is a
+   plain number evaluated once;
 3. checkpoint into the shared folder named by ``spark.checkpoint.dir``, so the
    partition contents are fixed even if executors are lost or the plan is
    re-run (a re-sampled range bound would otherwise shift rows);
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ..session import work_root
 
-_MID, _PID, _N, _OFF, _START = "__seq_mid", "__seq_pid", "__seq_n", "__seq_off", "__seq_start"
+_MID, _PID, _N, _OFF = "__seq_mid", "__seq_pid", "__seq_n", "__seq_off"
 _OFFSETS = T.StructType([T.StructField(_PID, T.LongType(), False),
                          T.StructField(_OFF, T.LongType(), False)])
 
@@ -55,10 +55,7 @@ def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1,
     if single_task_limit and base.count() <= single_task_limit:
         w = Window.orderBy(*order_cols)
         return base.withColumn(col, (F.row_number().over(w) + (start - 1)).cast("long"))
-    first = F.lit(start)
-    tagged = (base.orderBy(*order_cols)
-              .withColumn(_MID, F.monotonically_increasing_id())
-              .withColumn(_START, first.cast("long")))
+    tagged = base.orderBy(*order_cols).withColumn(_MID, F.monotonically_increasing_id())
     fixed = tagged.checkpoint(eager=True)
     pid = F.shiftright(F.col(_MID), 33)
     counts = sorted((r[0], r[1]) for r in
@@ -72,5 +69,5 @@ def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1,
     pos = F.col(_MID) - F.shiftleft(F.col(_PID), 33)
     out = (fixed.withColumn(_PID, pid)
            .join(F.broadcast(off), on=_PID, how="inner")
-           .withColumn(col, (F.col(_START) + F.col(_OFF) + pos).cast("long")))
-    return out.drop(_MID, _PID, _OFF, _START)
+           .withColumn(col, (F.lit(start) + F.col(_OFF) + pos).cast("long")))
+    return out.drop(_MID, _PID, _OFF)
