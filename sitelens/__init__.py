@@ -1,7 +1,8 @@
 """sitelens — site-audit analytics on Spark DataFrames.
 
 Every operator takes DataFrames (plus plain arguments) and returns a
-DataFrame; nothing is collected to the driver inside an operator.
+DataFrame; only bounded scalars (a maximum id, per-partition counts, a
+cut-off day, one-row checks) are ever read on the driver.
 
 Where things are:
 
