@@ -24,10 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_name, stored, text_of
+from .common import stored, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAST_WEIGHT = 0.01
+#: Weight of a document without a label.
+UNLABELLED = 0.6
 #: Ranges per narrowing step, rows at which a range is small, and the most steps (then only equal keys are left).
 RANGES = 256
 EDGE_ROWS = 20_000
@@ -63,18 +65,21 @@ def source_targets(sizes: DataFrame, shares=(5.0, 2.0, 1.0), at_most: float = 3.
     return w.select("source", "n_docs", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, seed: int = 17,
+def mix(docs: DataFrame, weight: Column | None = None, labels: DataFrame | None = None, seed: int = 17,
         shares=(5.0, 2.0, 1.0), at_most: float = 3.0) -> DataFrame:
     """Per row of ``docs``: doc_id, source, size, source_size, target, taken (words), copies.
 
-    ``weight``: quality weight of a document (default 1); larger is taken earlier.
+    The quality weight of a document (larger is taken earlier) is ``weight`` (default 1), times
+    its weight by ``labels`` if they are given.
     """
-    u = ((F.xxhash64(F.lit(seed), F.col("doc_id"), F.xxhash64(text_of())).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5)
-         / float(1 << 52))
+    # only ids, sizes and hashes go on from here; texts are read once and never move
     wt = F.lit(1.0) if weight is None else weight.cast("double")
-    wt = F.when(wt.isNull() | F.isnan(wt) | (wt > 1e6), F.lit(LEAST_WEIGHT)).otherwise(F.greatest(wt, F.lit(LEAST_WEIGHT)))
-    d = stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                           (-F.log(u) / wt).alias("key"), F.xxhash64(text_of()).alias("tie")), "mix-docs")
+    d = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64(text_of()).alias("tie"), wt.alias("w"))
+    if labels is not None:
+        d = d.join(label_weights(labels), "doc_id", "left").withColumn("w", F.col("w") * F.coalesce("label_weight", F.lit(UNLABELLED)))
+    w = F.when(F.col("w").isNull() | F.isnan("w") | (F.col("w") > 1e6), F.lit(LEAST_WEIGHT)).otherwise(F.greatest("w", F.lit(LEAST_WEIGHT)))
+    u = (F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("tie")).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
+    d = stored(d.select("doc_id", "source", "size", (-F.log(u) / w).alias("key"), "tie"), "mix-docs")
     sizes = d.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"))
     t = source_targets(sizes, shares, at_most)
     t = t.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0))
@@ -130,12 +135,10 @@ def _few(t: DataFrame, rows: int = 100_000) -> bool:
     return t.limit(rows + 1).count() <= rows
 
 
-def quality_weight(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Column]:
-    """``docs`` plus a weight column from the labels: good 1, unlabelled 0.6, bad 0.2."""
-    name, key = fresh_name(docs, "mix_quality"), fresh_name(docs, "mix_key")
-    lab = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias(key)).agg(F.min("quality").alias(name))
-    q = docs.join(lab, F.col("doc_id") == F.col(key), "left").drop(key)
-    return q, F.when(F.col(name) == 1, 1.0).when(F.col(name).isNull(), 0.6).otherwise(0.2)
+def label_weights(labels: DataFrame) -> DataFrame:
+    """(doc_id, label_weight): good 1, bad 0.2; of several labels the worst counts."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"))
+    return known.select("doc_id", F.when(F.col("q") == 1, 1.0).otherwise(0.2).alias("label_weight"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, seed: int = 17) -> DataFrame:
@@ -143,8 +146,7 @@ def mixed(docs: DataFrame, labels: DataFrame, seed: int = 17) -> DataFrame:
 
     A document is found again by id, source and a hash of its text, so texts move once.
     """
-    weighted, weight = quality_weight(docs, labels)
-    took = mix(weighted, weight, seed).where("copies > 0").groupBy("doc_id", "source", "tie").agg(F.max("copies").alias("__copies"))
+    took = mix(docs, labels=labels, seed=seed).where("copies > 0").groupBy("doc_id", "source", "tie").agg(F.max("copies").alias("__copies"))
     took = stored(took.withColumnsRenamed({"doc_id": "__id", "source": "__source", "tie": "__tie"}), "mix-copies")
     same = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.col("source").eqNullSafe(F.col("__source"))) & (F.xxhash64(text_of()) == F.col("__tie"))
     out = docs.join(took, same)

@@ -63,8 +63,7 @@ def op9_language_id(spark, sf_dir):
 
 
 def op10_source_mixing(spark, sf_dir):
-    docs, weight = mixing.quality_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return mixing.mix(docs, weight).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
