@@ -10,9 +10,11 @@ in the same document or another; matches do not cross documents.
 2.  Regions are counted by (anchor, region hash), pre-aggregated.  An anchor that occurs
     once is done: nothing repeats.  A region that occurs twice repeats as a whole.
 3.  Different regions of one anchor go, one copy each with its count, to a
-    shard given by the anchor.  The shard builds a suffix array of its regions by
-    induced sorting, permuted common prefixes, and so the classes of equal
-    windows; windows in a class with two or more starts are repeated.
+    shard given by the anchor.  Parts of regions whose windows cannot repeat (the
+    bytes that neighbouring windows share occur once) are left out.  Of the
+    rest the shard builds a suffix array by induced sorting, permuted common
+    prefixes, and so the classes of equal windows; windows in a class with two
+    or more starts are repeated.
 4.  An anchor with more than ``most_regions`` different regions (a passage in
     many contexts) is split: its regions are cut into narrower ranges of windows,
     keyed by the bytes that all windows of a range share, and counted again.
@@ -44,7 +46,9 @@ GRAM = 32
 MOST_REGIONS = 256
 #: Window starts in a region at each level of splitting; the last is a single window.
 WIDTHS = (1 << 30, 44, 6, 1)
-SHARD_BYTES = 1_500_000
+SHARD_BYTES = 2_000_000
+#: Window starts that a shard's filter takes together.
+FILTER_WIDTH = 44
 _PIECE = 1 << 24
 _POS_BITS = np.uint64(26)
 _SEPARATOR = 0xFF                     # in no UTF-8 text
@@ -98,7 +102,7 @@ def find_regions(docs: DataFrame, min_bytes: int) -> DataFrame:
     def extract(batches):
         for b in batches:
             parts = list(_pieces([t.encode("utf-8", "surrogatepass") for t in b["text"]], min_bytes))
-            for i, j in slices(np.array([len(p[2]) for p in parts], np.int64), 2_000_000):
+            for i, j in slices(np.array([len(p[2]) for p in parts], np.int64), 1_000_000):
                 some = parts[i:j]
                 begin = np.concatenate([[0], np.cumsum([len(p[2]) for p in some])])
                 lo, hi, anchor, key, body = _regions(np.frombuffer(b"".join(p[2] for p in some), np.uint8), begin, min_bytes)
@@ -127,6 +131,35 @@ def repeated_starts(regions: list[bytes], counts: np.ndarray, min_bytes: int) ->
     return [hit[b:b + n] for b, n in zip(begin, starts)]
 
 
+def possible_parts(regions: list[bytes], key: np.ndarray, anchor: np.ndarray, counts: np.ndarray, min_bytes: int, width: int):
+    """(region, first start, last start) of the parts of regions whose windows can be repeated.
+
+    Windows are taken in ranges of ``width`` starts at fixed distances from the anchor.  The bytes
+    that all windows of a range share must occur twice with the anchor, else none of them repeats.
+    """
+    size = np.array([len(r) for r in regions], np.int64)
+    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+    starts = size - min_bytes + 1
+    first = -(anchor // width)                              # range numbers, counted from the anchor
+    last = (starts - 1 - anchor) // width
+    first = np.where(first * width + anchor > 0, first - 1, first)
+    n = last - first + 1
+    region = np.repeat(np.arange(len(regions)), n)
+    number = np.arange(len(region)) - np.repeat(np.cumsum(n) - n, n) + first[region]
+    u = anchor[region] + number * width
+    lo, hi = np.maximum(u, 0), np.minimum(u + width, starts[region]) - 1
+    h = RangeHash(np.frombuffer(b"".join(regions), np.uint8)).of(begin[region] + u + width - 1, begin[region] + u + min_bytes)
+    code = mix(h + mix(key[region].astype(np.uint64) + mix(number.astype(np.uint64))))
+    _, at = np.unique(code, return_inverse=True)
+    ok = np.bincount(at, counts[region])[at] >= 2
+    region, lo, hi = region[ok], lo[ok], hi[ok]
+    # neighbouring ranges of one region are one part
+    new = np.ones(len(region), bool)
+    new[1:] = (region[1:] != region[:-1]) | (lo[1:] != hi[:-1] + 1)
+    end = np.append(np.flatnonzero(new)[1:], len(region)) - 1 if len(region) else np.zeros(0, np.int64)
+    return region[new], lo[new], hi[end]
+
+
 def _runs(mask: np.ndarray):
     edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
     return edge[::2], edge[1::2] - 1
@@ -172,7 +205,7 @@ def repeated_ranges(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: i
 
 def _shards(docs: DataFrame, classes: DataFrame, min_bytes: int) -> DataFrame:
     """Answers (key, body, lo, hi) for regions whose windows a suffix array compares."""
-    classes = stored(classes.select("key", "body", "n", "d", "h", "lo", "hi"), "sfx-few")
+    classes = stored(classes.select("key", "body", "n", "d", "h", "lo", "hi", "zero"), "sfx-few")
     size = classes.agg(F.sum(F.col("hi") - F.col("lo") + min_bytes)).first()[0]
     if not size:
         return classes.select("key", "body", "lo", "hi")
@@ -180,30 +213,35 @@ def _shards(docs: DataFrame, classes: DataFrame, min_bytes: int) -> DataFrame:
 
     def cut(batches):
         for b in batches:
-            out = {"key": [], "body": [], "n": [], "bytes": []}
+            out = {"key": [], "body": [], "n": [], "anchor": [], "bytes": []}
             for text, items in zip(b["text"], b["items"]):
                 raw = text.encode("utf-8", "surrogatepass")
                 for x in items:
                     out["key"].append(x["key"])
                     out["body"].append(x["body"])
                     out["n"].append(x["n"])
+                    out["anchor"].append(x["zero"] - x["lo"])
                     out["bytes"].append(raw[x["lo"]:x["hi"] + min_bytes])
             yield pd.DataFrame(out)
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         g = g.drop_duplicates(["key", "body"])          # a document that is given twice
-        masks = repeated_starts(list(g["bytes"]), g["n"].to_numpy(np.int64), min_bytes)
+        regions, n = list(g["bytes"]), g["n"].to_numpy(np.int64)
+        which, first, last = possible_parts(regions, g["key"].to_numpy(np.int64), g["anchor"].to_numpy(np.int64), n, min_bytes, min(FILTER_WIDTH, min_bytes // 2))
         key, body, lo, hi = [], [], [], []
-        for k, b, n, m in zip(g["key"], g["body"], g["n"], masks):
-            if n < 2:                                    # else the whole region is answered
-                for x, y in zip(*_runs(m)):
-                    key.append(k)
-                    body.append(b)
-                    lo.append(x)
-                    hi.append(y)
+        if len(which):
+            masks = repeated_starts([regions[r][a:z + min_bytes] for r, a, z in zip(which, first, last)], n[which], min_bytes)
+            keys, bodies = g["key"].to_numpy(), g["body"].to_numpy()
+            for r, a, m in zip(which, first, masks):
+                if n[r] < 2:                             # else the whole region is answered
+                    for x, y in zip(*_runs(m)):
+                        key.append(keys[r])
+                        body.append(bodies[r])
+                        lo.append(a + x)
+                        hi.append(a + y)
         return pd.DataFrame({"key": np.array(key, np.int64), "body": np.array(body, np.int64), "lo": np.array(lo, np.int64), "hi": np.array(hi, np.int64)})
 
-    rows = _with_text(docs, classes).mapInPandas(cut, "key long, body long, n long, bytes binary")
+    rows = _with_text(docs, classes).mapInPandas(cut, "key long, body long, n long, anchor long, bytes binary")
     return (rows.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(int(n_shards)))).groupBy("shard")
             .applyInPandas(compare, "key long, body long, lo long, hi long"))
 
