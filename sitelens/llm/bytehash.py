@@ -62,31 +62,46 @@ def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
     return RangeHash(buf).of(start, end), counts
 
 
+def _rolled(words: np.ndarray, k: int) -> np.ndarray:
+    """48-bit hash of the k words from each word on."""
+    n = max(0, len(words) - k + 1)
+    with np.errstate(over="ignore"):
+        h = words[:n].copy()
+        for j in range(1, k):
+            h = mix(h + np.uint64(0x632BE59BD9B4E019)) + words[j:j + n]
+    return mix(h) >> np.uint64(16)
+
+
+def _short(words: np.ndarray) -> np.ndarray:
+    """48-bit hash of a sequence of fewer than k words."""
+    h = np.zeros(1, np.uint64)
+    with np.errstate(over="ignore"):
+        for w in words:
+            h = mix(h + np.uint64(0xA0761D6478BD642F)) + w
+        return mix(h + np.uint64(len(words))) >> np.uint64(16)
+
+
 def shingle_sets(texts, k: int) -> list[np.ndarray]:
     """Sorted distinct 48-bit hashes of each text's k-word shingles (fewer words: of the whole sequence)."""
     words, counts = word_hashes(texts)
-    with np.errstate(over="ignore"):
-        rolled = words.copy() if len(words) else words
-        n = max(0, len(words) - k + 1)
-        for j in range(1, k):
-            rolled = mix(rolled[:n] + np.uint64(0x632BE59BD9B4E019)) + words[j:j + n]
-        rolled = mix(rolled[:n]) >> np.uint64(16)
-    out, at = [], 0
+    rolled, out, at = _rolled(words, k), [], 0
     for c in counts:
         if c >= k:
             out.append(np.unique(rolled[at:at + c - k + 1]))
-        elif c:
-            h = np.zeros(1, np.uint64)
-            with np.errstate(over="ignore"):
-                for w in words[at:at + c]:
-                    h = mix(h + np.uint64(0xA0761D6478BD642F)) + w
-            out.append(mix(h + np.uint64(c)) >> np.uint64(16))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(_short(words[at:at + c]) if c else np.zeros(0, np.uint64))
         at += c
     return out
 
 
+def shingle_stream(texts, k: int) -> np.ndarray:
+    """Hashes of all k-word shingles of the texts, repeats included; texts of fewer words have none."""
+    words, counts = word_hashes(texts)
+    rolled = _rolled(words, k)
+    last = np.repeat(np.cumsum(counts), counts)             # end of the text that a word is in
+    return rolled[np.arange(len(rolled)) + k <= last[:len(rolled)]]
+
+
 def pack(values: np.ndarray) -> bytes:
     """48-bit values as 6 bytes each."""
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()

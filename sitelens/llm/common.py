@@ -14,7 +14,17 @@ from pyspark.sql.types import StructType
 from sitelens.session import scratch_path
 
 #: Longest slice (bytes of text) that a task works on at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
+#: Rows and bytes that go to a Python worker at once (the defaults are 10,000 rows of any size).
+ARROW_ROWS, ARROW_BYTES = 1_000, 8_000_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker holds of long texts; settings made by the user stay."""
+    for key, default, bound in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", ARROW_ROWS),
+                                ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", ARROW_BYTES)):
+        if spark.conf.get(key, "") == default:
+            spark.conf.set(key, str(bound))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -30,8 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytehash import pack, shingle_sets, unpack
-from .common import components, slices, stored
+from .bytehash import pack, shingle_sets, shingle_stream, unpack
+from .common import bounded_batches, components, slices, stored
 from .sketch import member_filter, slot_counts
 
 SKETCH_BITS = 20
@@ -40,8 +40,8 @@ MAX_MATCHES = 4
 VERIFY_COST = 8.0
 
 
-def shingle_table(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, f1, f2, grams): set size, 128-bit fingerprint of the set, packed sorted hashes."""
+def shingle_table(docs: DataFrame, k: int, grams: bool = False) -> DataFrame:
+    """(doc_id, n, f1, f2): set size and 128-bit fingerprint of the set; with ``grams`` its packed sorted hashes."""
     def extract(batches):
         for b in batches:
             texts = [t or "" for t in b["text"]]
@@ -49,11 +49,12 @@ def shingle_table(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(texts[i:j], k)
                 raw = [pack(s) for s in sets]
                 f = [np.frombuffer(hashlib.blake2b(r, digest_size=16).digest(), "<i8") for r in raw]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].to_numpy(), "n": np.array([len(s) for s in sets], np.int64),
-                                    "f1": [x[0] for x in f], "f2": [x[1] for x in f], "grams": raw})
+                out = pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].to_numpy(), "n": np.array([len(s) for s in sets], np.int64),
+                                    "f1": [x[0] for x in f], "f2": [x[1] for x in f]})
+                yield out.assign(grams=raw) if grams else out
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        extract, "doc_id long, n long, f1 long, f2 long, grams binary")
+        extract, "doc_id long, n long, f1 long, f2 long" + (", grams binary" if grams else ""))
 
 
 def choose_matches(freq: np.ndarray, base: int, most: int = MAX_MATCHES) -> int:
@@ -68,12 +69,21 @@ def choose_matches(freq: np.ndarray, base: int, most: int = MAX_MATCHES) -> int:
     return best
 
 
-def prefixes(sets: DataFrame, num: int, den: int, bits: int) -> DataFrame:
+def frequency_levels(docs: DataFrame, k: int, bits: int) -> np.ndarray:
+    """Estimated shingle frequency per hash slot over all documents, as powers of sqrt(2): an order needs one byte."""
+    def values(b):
+        texts = [t or "" for t in b["text"]]
+        parts = [shingle_stream(texts[i:j], k) for i, j in slices(np.array([len(t) for t in texts]))]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+    counts = slot_counts(docs.select("text"), values, bits)
+    # what is left above the noise of the slots
+    return np.minimum(255, 2 * np.log2(np.maximum(1, counts - np.median(counts) + 1))).astype(np.uint8)
+
+
+def prefixes(docs: DataFrame, k: int, num: int, den: int, bits: int) -> DataFrame:
     """(doc_id, n, f1, f2, matches, prefix) of non-empty sets, each with its own number of matches."""
-    counts = slot_counts(sets.select("grams"), lambda b: np.concatenate([unpack(x) for x in b["grams"]] or [np.zeros(0, np.uint64)]), bits)
-    # powers of sqrt(2) above the sketch's noise floor: one byte per slot is enough for an order
-    level = np.minimum(255, 2 * np.log2(np.maximum(1, counts - np.median(counts) + 1))).astype(np.uint8)
-    shared = sets.sparkSession.sparkContext.broadcast(level)
+    shared = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs, k, bits))
     mask = np.uint64((1 << bits) - 1)
 
     def extract(batches):
@@ -89,7 +99,8 @@ def prefixes(sets: DataFrame, num: int, den: int, bits: int) -> DataFrame:
                 prefix.append(g[order[:base + m - 1]].astype(np.int64))
             yield b[["doc_id", "n", "f1", "f2"]].assign(matches=np.array(matches, np.int32), prefix=prefix)
 
-    return sets.where("n > 0").mapInPandas(extract, "doc_id long, n long, f1 long, f2 long, matches int, prefix array<long>")
+    return shingle_table(docs, k, grams=True).where("n > 0").mapInPandas(
+        extract, "doc_id long, n long, f1 long, f2 long, matches int, prefix array<long>")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -98,21 +109,23 @@ def _common(a: bytes, b: bytes) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def verify(pairs: DataFrame, pre: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def verify(pairs: DataFrame, pre: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The (x, y) of ``pairs`` that share enough prefix shingles and then really link."""
     side = lambda s: pre.select(F.col("doc_id").alias(s), F.col("matches").alias(f"m{s}"), F.col("prefix").alias(f"p{s}"))
     cand = stored(pairs.join(side("x"), "x").join(side("y"), "y")
                   .where(F.size(F.array_intersect("px", "py")) >= F.least("mx", "my")).select("x", "y"), "jac-candidates")
-    # shuffle only sets that are asked for
-    wanted = member_filter(cand.select(F.explode(F.array("x", "y")).alias("id")).distinct().select(F.xxhash64("id").alias("h")))
-    some = sets.where(wanted(F.xxhash64("doc_id")))
-    grams = lambda s: some.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("grams").alias(f"g{s}"))
+
+    def grams(s: str) -> DataFrame:
+        # sets are made again for the documents asked for; no set of all documents is stored or shuffled
+        wanted = member_filter(cand.select(F.xxhash64(s).alias("h")).distinct())
+        return shingle_table(docs.where(wanted(F.xxhash64(F.col("doc_id").cast("long")))), k, grams=True).select(
+            F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("grams").alias(f"g{s}"))
 
     @F.pandas_udf("long")
     def common(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([_common(x, y) for x, y in zip(a, b)], dtype="int64")
 
-    return (cand.join(grams("x"), "x").join(grams("y"), "y").withColumn("both", common("gx", "gy"))
+    return (cand.join(grams("y"), "y").join(grams("x"), "x").withColumn("both", common("gx", "gy"))
             .where(F.lit(den) * F.col("both") >= F.lit(num) * (F.col("nx") + F.col("ny") - F.col("both"))).select("x", "y"))
 
 
@@ -120,50 +133,51 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_copies (rows with the same set)."""
     if not 0 < num <= den:
         raise ValueError("the threshold must be in (0, 1]")
+    bounded_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
     sets = stored(shingle_table(docs, k), "jac-sets")
     kind = ["n", "f1", "f2"]
     classes = stored(sets.where("n > 0 and doc_id is not null").groupBy(*kind).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "jac-classes")
-    pre = stored(prefixes(sets.where("doc_id is not null"), num, den, bits)
+    pre = stored(prefixes(docs.where(F.col("doc_id").isNotNull()), k, num, den, bits)
                  .join(classes.withColumnRenamed("rep", "doc_id").select("doc_id", *kind), ["doc_id", *kind], "left_semi")
                  .dropDuplicates(["doc_id"]), "jac-prefixes")
-    big = F.lit((1 << 62))
-    index = pre.select("doc_id", "n", (F.xxhash64(F.lit(5), F.col("doc_id")).bitwiseAND(big - 1) / big).alias("h"), F.explode("prefix").alias("token"))
-    posts = stored(index.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("h", "doc_id", "n")).alias("pivot")).where("df > 1"), "jac-postings")
-    index = stored(index.join(posts, "token"), "jac-index")
+    # postings of shingles that occur in two prefixes or more
+    tokens = pre.select(F.explode("prefix").alias("token"))
+    posts = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "jac-postings")
+    twice = member_filter(posts.select(F.col("token").alias("h")))
+    big = F.lit(1 << 62)
+    h = F.xxhash64(F.lit(5), F.col("doc_id")).bitwiseAND(big - 1) / big
+    index = stored(pre.select("doc_id", "n", F.explode("prefix").alias("token")).where(twice("token")).join(posts, "token").withColumn("h", h), "jac-index")
 
     def fits(a: str, b: str):
         return F.lit(den) * F.least(a, b) >= F.lit(num) * F.greatest(a, b)
 
-    def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-
-    pairs = stored(ordered(index.select(F.col("doc_id").alias("a"), F.col("pivot.doc_id").alias("b"), "n", F.col("pivot.n").alias("pn"))
-                           .where((F.col("a") != F.col("b")) & fits("n", "pn"))), "jac-pairs")
+    # x: the pivot, which has the lower hash; y: the other member
+    pivots = stored(index.groupBy("token").agg(F.min(F.struct("h", "doc_id", "n")).alias("p")).select("token", F.col("p.doc_id").alias("x"), F.col("p.n").alias("pn")), "jac-pivots")
+    pairs = stored(index.join(pivots, "token").where((F.col("doc_id") != F.col("x")) & fits("n", "pn")).select("x", F.col("doc_id").alias("y")).distinct(), "jac-pairs")
     seen = pairs
-    links = stored(verify(pairs, pre, sets, num, den), "jac-links")
+    links = stored(verify(pairs, pre, docs, k, num, den), "jac-links")
     comp = stored(components(links, "x", "y"), "jac-components")
     lower, upper = 0.0, 4.0
     while True:
-        now = (index.select("token", "df", "doc_id", "n", "h").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-               .withColumn("c", F.coalesce("component", "doc_id")))
+        now = (index.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")))
         # postings of more than two members whose members are in different components, and that have pivots left
         still = stored(now.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("df").alias("of"))
                        .where((F.col("lo") < F.col("hi")) & (F.col("of") > 2) & (F.col("of") > lower)).select("token"), "jac-open")
         if still.isEmpty():
             break
         now = stored(now.join(still, "token").withColumn("at", F.col("h") * F.col("df")).where(F.col("at") >= lower), "jac-round")
-        pivots = now.where(F.col("at") < upper).select("token", F.col("doc_id").alias("b"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("at").alias("pat"))
-        fresh = (now.join(pivots, "token").where((F.col("c") != F.col("pc")) & fits("n", "pn") & (F.struct("at", "doc_id") > F.struct("pat", "b")))
-                 .select(F.col("doc_id").alias("a"), "b"))
-        fresh = stored(ordered(fresh).join(seen, ["x", "y"], "left_anti"), "jac-pairs")
+        turn = now.where(F.col("at") < upper).select("token", F.col("doc_id").alias("x"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("h").alias("ph"))
+        fresh = (now.join(turn, "token").where((F.col("c") != F.col("pc")) & fits("n", "pn") & (F.struct("h", "doc_id") > F.struct("ph", "x")))
+                 .select("x", F.col("doc_id").alias("y")).distinct())
+        fresh = stored(fresh.join(seen, ["x", "y"], "left_anti"), "jac-pairs")
         if not fresh.isEmpty():
-            more = stored(verify(fresh, pre, sets, num, den), "jac-links")
+            more = stored(verify(fresh, pre, docs, k, num, den), "jac-links")
             seen = stored(seen.unionByName(fresh), "jac-seen")
             if not more.isEmpty():
-                links = links.unionByName(more)
                 comp = stored(components(comp.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(more), "x", "y"), "jac-components")
         lower, upper = upper, upper * 8
-    out = sets.select("doc_id", *kind).join(classes, kind, "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    out = sets.join(classes, kind, "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"),
                       F.coalesce("copies", F.lit(1)).alias("n_copies"))
 

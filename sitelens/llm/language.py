@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, slices
+from .common import bounded_batches, fresh_name, slices
 
 BUCKETS = 1 << 16
 MAX_DOCS = 4_000
@@ -133,6 +133,7 @@ def infer(texts: list[str], logp: np.ndarray, penalty: float = 3.0, rounds: int
 
 def identify(docs: DataFrame, model, penalty: float = 3.0) -> DataFrame:
     """``docs`` plus lang_pred and score (existing columns of those names are replaced)."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

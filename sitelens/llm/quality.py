@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name
+from .common import bounded_batches, fresh_name
 
 HASH_BITS = 14
 RANK = 8
@@ -169,6 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, max_train_rows: i
 
 def score(docs: DataFrame, model: FactorisationMachine, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` plus score and predicted (existing columns of those names are replaced)."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, slices
+from .common import bounded_batches, fresh_name, slices
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -238,6 +238,7 @@ def decode_ids(ids, table: PieceTable) -> str:
 
 def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` plus ``ids_col`` (array<int>)."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("array<int>")
@@ -254,6 +255,7 @@ def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col:
 
 def decode(docs: DataFrame, table: PieceTable, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` made from ``ids_col``; NULL ids give an empty text, unknown ids nothing."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("string")

@@ -42,18 +42,39 @@ def slot_counts(df: DataFrame, values, bits: int) -> np.ndarray:
     return out
 
 
-def member_filter(ids: DataFrame, bits: int = 22):
+def member_filter(ids: DataFrame, bits: int = 24):
     """A column function ``maybe(hash)`` that holds for every hash in ``ids`` (one long column ``h``).
 
-    A bitmap of fixed size goes to the tasks, so a join needs to shuffle only the rows that can
-    match; false positives are left to the join.
+    A bitmap of fixed size (2**bits bits) goes to the tasks, so a join needs to shuffle only the
+    rows that can match; false positives are left to the join.
     """
-    seen = slot_counts(ids, lambda b: b["h"].to_numpy(np.int64).view(np.uint64), bits) > 0
-    shared = ids.sparkSession.sparkContext.broadcast(np.packbits(seen))
+    mask, part = np.uint64((1 << bits) - 1), (1 << bits) // 8 // _CHUNKS
+
+    def slots(h: pd.Series) -> np.ndarray:
+        return (h.to_numpy(np.int64).view(np.uint64) & mask).astype(np.int64)
+
+    def collect(batches):
+        seen = np.zeros(1 << bits, bool)
+        for b in batches:
+            seen[slots(b["h"])] = True
+        if seen.any():
+            packed = np.packbits(seen)
+            yield pd.DataFrame({"chunk": np.arange(_CHUNKS, dtype=np.int32), "bits": [packed[i * part:(i + 1) * part].tobytes() for i in range(_CHUNKS)]})
+
+    def merge(g: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(part, np.uint8)
+        for raw in g["bits"]:
+            out |= np.frombuffer(raw, np.uint8)
+        return pd.DataFrame({"chunk": g["chunk"].iloc[:1], "bits": [out.tobytes()]})
+
+    bitmap = np.zeros((1 << bits) // 8, np.uint8)
+    for r in ids.mapInPandas(collect, "chunk int, bits binary").groupBy("chunk").applyInPandas(merge, "chunk int, bits binary").collect():
+        bitmap[r["chunk"] * part:(r["chunk"] + 1) * part] = np.frombuffer(r["bits"], np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def maybe(h: pd.Series) -> pd.Series:
-        at = (h.to_numpy(np.int64).view(np.uint64) & np.uint64((1 << bits) - 1)).astype(np.int64)
+        at = slots(h)
         return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0)
 
     return maybe

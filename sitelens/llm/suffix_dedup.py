@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import RangeHash, mix
-from .common import slices, stored, text_of
+from .common import bounded_batches, slices, stored, text_of
 from .sketch import member_filter
 from .suffix_array import permuted_lcp, suffix_array
 
@@ -46,7 +46,7 @@ GRAM = 32
 MOST_REGIONS = 256
 #: Window starts in a region at each level of splitting; the last is a single window.
 WIDTHS = (1 << 30, 44, 6, 1)
-SHARD_BYTES = 2_000_000
+SHARD_BYTES = 1_000_000
 #: Window starts that a shard's filter takes together.
 FILTER_WIDTH = 44
 _PIECE = 1 << 24
@@ -102,7 +102,7 @@ def find_regions(docs: DataFrame, min_bytes: int) -> DataFrame:
     def extract(batches):
         for b in batches:
             parts = list(_pieces([t.encode("utf-8", "surrogatepass") for t in b["text"]], min_bytes))
-            for i, j in slices(np.array([len(p[2]) for p in parts], np.int64), 1_000_000):
+            for i, j in slices(np.array([len(p[2]) for p in parts], np.int64)):
                 some = parts[i:j]
                 begin = np.concatenate([[0], np.cumsum([len(p[2]) for p in some])])
                 lo, hi, anchor, key, body = _regions(np.frombuffer(b"".join(p[2] for p in some), np.uint8), begin, min_bytes)
@@ -277,6 +277,7 @@ def _split(docs: DataFrame, classes: DataFrame, min_bytes: int, width: int) -> D
 
 def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: int = MOST_REGIONS, with_bytes: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept: the remaining bytes)."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64("text").alias("h"))
     ranges = repeated_ranges(rows, min_bytes, most_regions)
