@@ -23,7 +23,7 @@ def bounded_batches(spark: SparkSession) -> None:
     """Bound what a Python worker holds of long texts; settings made by the user stay."""
     for key, default, bound in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", ARROW_ROWS),
                                 ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", ARROW_BYTES)):
-        if spark.conf.get(key, "") == default:
+        if spark.conf.get(key, default) == default:
             spark.conf.set(key, str(bound))
 
 
