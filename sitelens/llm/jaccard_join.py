@@ -6,10 +6,11 @@ frequency (a sketch over all documents), rarest first.  If two sets are
 similar enough, their prefixes of length ``n - ceil(t n) + l`` share at least
 ``l`` shingles.  Every document chooses its own ``l``: it lengthens the prefix
 while the estimated cost of candidates falls; a pair is verified only if its
-prefixes share ``min(l_x, l_y)`` shingles or more.
+prefixes share ``min(l_x, l_y)`` shingles or more, and the shingles left after
+its first common one are enough.
 
 Equal sets collapse first.  Within the postings of a shingle not all pairs are
-made: the member with the least hash is compared with the others, links are
+made: one member is compared with the others, links are
 contracted to components, and only postings that still hold different
 components go on, with geometrically more pivots and pairs across components
 only.  So every pair that might join two components is verified, and a large
@@ -146,19 +147,29 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     posts = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "jac-postings")
     twice = member_filter(posts.select(F.col("token").alias("h")))
     big = F.lit(1 << 62)
-    h = F.xxhash64(F.lit(5), F.col("doc_id")).bitwiseAND(big - 1) / big
-    index = stored(pre.select("doc_id", "n", F.explode("prefix").alias("token")).where(twice("token")).join(posts, "token").withColumn("h", h), "jac-index")
+    def rank(col: str):
+        return F.xxhash64(F.lit(5), F.col(col)).bitwiseAND(big - 1) / big
 
-    def fits(a: str, b: str):
-        return F.lit(den) * F.least(a, b) >= F.lit(num) * F.greatest(a, b)
+    index = stored(pre.select("doc_id", "n", F.posexplode("prefix").alias("pos", "token")).where(twice("token")).join(posts, "token")
+                   .withColumn("room", F.col("n") - F.col("pos")).drop("pos").withColumn("h", rank("doc_id")), "jac-index")
 
-    # x: the pivot, which has the lower hash; y: the other member
-    pivots = stored(index.groupBy("token").agg(F.min(F.struct("h", "doc_id", "n")).alias("p")).select("token", F.col("p.doc_id").alias("x"), F.col("p.n").alias("pn")), "jac-pivots")
-    pairs = stored(index.join(pivots, "token").where((F.col("doc_id") != F.col("x")) & fits("n", "pn")).select("x", F.col("doc_id").alias("y")).distinct(), "jac-pairs")
+    def possible():
+        # at a pair's first common shingle no more than min(room) can be common; a pair that fails there fails everywhere
+        return F.lit(num) * (F.col("n") + F.col("pn")) <= F.lit(num + den) * F.least("room", "proom")
+
+    def pairs_of(rows: DataFrame) -> DataFrame:
+        """Distinct (x, y) of members and pivots; x has the lower hash."""
+        first = F.struct("h", "doc_id") < F.struct(rank("p").alias("h"), F.col("p").alias("doc_id"))
+        return rows.select(F.when(first, F.col("doc_id")).otherwise(F.col("p")).alias("x"), F.when(first, F.col("p")).otherwise(F.col("doc_id")).alias("y")).distinct()
+
+    # the first pivot of a posting is the member with most room
+    pivots = index.groupBy("token").agg(F.max(F.struct("room", -F.col("h"), "doc_id", "n")).alias("p"))
+    pivots = stored(pivots.select("token", F.col("p.doc_id").alias("p"), F.col("p.n").alias("pn"), F.col("p.room").alias("proom")), "jac-pivots")
+    pairs = stored(pairs_of(index.join(pivots, "token").where((F.col("doc_id") != F.col("p")) & possible())), "jac-pairs")
     seen = pairs
     links = stored(verify(pairs, pre, docs, k, num, den), "jac-links")
     comp = stored(components(links, "x", "y"), "jac-components")
-    lower, upper = 0.0, 4.0
+    lower, upper = 0.0, 8.0
     while True:
         now = (index.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")))
         # postings of more than two members whose members are in different components, and that have pivots left
@@ -167,16 +178,15 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
         if still.isEmpty():
             break
         now = stored(now.join(still, "token").withColumn("at", F.col("h") * F.col("df")).where(F.col("at") >= lower), "jac-round")
-        turn = now.where(F.col("at") < upper).select("token", F.col("doc_id").alias("x"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("h").alias("ph"))
-        fresh = (now.join(turn, "token").where((F.col("c") != F.col("pc")) & fits("n", "pn") & (F.struct("h", "doc_id") > F.struct("ph", "x")))
-                 .select("x", F.col("doc_id").alias("y")).distinct())
+        turn = now.where(F.col("at") < upper).select("token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("room").alias("proom"), F.col("c").alias("pc"), F.col("h").alias("ph"))
+        fresh = pairs_of(now.join(turn, "token").where((F.col("c") != F.col("pc")) & possible() & (F.struct("h", "doc_id") > F.struct("ph", "p"))))
         fresh = stored(fresh.join(seen, ["x", "y"], "left_anti"), "jac-pairs")
         if not fresh.isEmpty():
             more = stored(verify(fresh, pre, docs, k, num, den), "jac-links")
             seen = stored(seen.unionByName(fresh), "jac-seen")
             if not more.isEmpty():
                 comp = stored(components(comp.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(more), "x", "y"), "jac-components")
-        lower, upper = upper, upper * 8
+        lower, upper = upper, upper * 32
     out = sets.join(classes, kind, "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"),
                       F.coalesce("copies", F.lit(1)).alias("n_copies"))
