@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytehash import mix
 from .common import bounded_batches, fresh_name, slices
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -40,6 +41,11 @@ _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 NO_RANK = np.iinfo(np.int32).max
 
 
+def _roll(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return h * np.uint64(0x9E3779B97F4A7C15) + code + np.uint64(1)
+
+
 class PieceTable:
     """(piece, id, score) rows of a model, with byte pieces and the kind of model."""
 
@@ -59,6 +65,38 @@ class PieceTable:
         for b, i in self.byte.items():
             back[i] = bytes([b])
         self.back = back
+        self._place()
+
+    def _place(self):
+        """Hash table of the pieces with two places for each key."""
+        keys = []
+        for p in self.ids:
+            h = np.zeros(1, np.uint64)
+            for c in p:
+                h = _roll(h, np.array([ord(c)], np.uint64))
+            keys.append((int(mix(h + np.uint64(len(p) << 40))[0]), self.ids[p]))
+        bits = 12
+        while True:
+            bits += 2
+            size, full, ok = 1 << bits, {}, True
+            for k, i in keys:
+                at = next((x for x in (k & (size - 1), (k >> 32) & (size - 1)) if x not in full), None)
+                if at is None:
+                    ok = False
+                    break
+                full[at] = (k, i)
+            if ok and size >= 4 * len(keys):
+                break
+        self.mask = np.uint64(size - 1)
+        self.slot_key, self.slot_id = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        for at, (k, i) in full.items():
+            self.slot_key[at], self.slot_id[at] = k, i
+
+    def find(self, h: np.ndarray, size: int) -> np.ndarray:
+        """Ids of the pieces with these rolling hashes and this length, -1 where there is none."""
+        k = mix(h + np.uint64(size << 40))
+        a, b = (k & self.mask).astype(np.int64), ((k >> np.uint64(32)) & self.mask).astype(np.int64)
+        return np.where(self.slot_key[a] == k, self.slot_id[a], np.where(self.slot_key[b] == k, self.slot_id[b], np.int32(-1)))
 
     @classmethod
     def load(cls, path: str = MODEL_FILE) -> "PieceTable":
@@ -85,20 +123,21 @@ def words_of(text: str) -> list[str]:
 
 
 def lattice(words: list[str], table: PieceTable) -> pd.DataFrame:
-    """Edge table (word, start, len, id) of all substrings that are pieces."""
-    ids, longest = table.ids, table.longest
-    word, start, size, found = [], [], [], []
-    for w, s in enumerate(words):
-        n = len(s)
-        for i in range(n):
-            for j in range(i + 1, min(n, i + longest) + 1):
-                p = ids.get(s[i:j])
-                if p is not None:
-                    word.append(w)
-                    start.append(i)
-                    size.append(j - i)
-                    found.append(p)
-    return pd.DataFrame({"word": np.array(word, np.int64), "start": np.array(start, np.int64), "len": np.array(size, np.int64), "id": np.array(found, np.int64)})
+    """Edge table (word, start, len, id) of all substrings, of words of one length, that are pieces.
+
+    Substrings are exploded length by length as rolling hashes and joined to the piece table by
+    hash and length.
+    """
+    n = len(words[0])
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(len(words), n)
+    h, out = np.zeros((len(words), n), np.uint64), []
+    for size in range(1, min(n, table.longest) + 1):
+        h = _roll(h[:, :n - size + 1], codes[:, size - 1:])
+        found = table.find(h, size)
+        word, start = np.nonzero(found >= 0)
+        out.append((word, start, np.full(len(word), size), found[word, start]))
+    word, start, size, ids = (np.concatenate(x) for x in zip(*out))
+    return pd.DataFrame({"word": word, "start": start, "len": size, "id": ids.astype(np.int64)})
 
 
 def fold_merges(n: int, rank: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
@@ -197,7 +236,7 @@ def encode_words(words: list[str], table: PieceTable) -> dict[str, np.ndarray]:
     for w in words:
         by_length.setdefault(len(w), []).append(w)
     for n, group in by_length.items():
-        step = max(1, 400_000 // ((n + 1) * (n + 2)))
+        step = max(1, 2_000_000 // ((n + 1) * (n + 2)))
         for k in range(0, len(group), step):
             some = group[k:k + step]
             edges = lattice(some, table)
