@@ -112,15 +112,21 @@ def _common(a: bytes, b: bytes) -> int:
 
 def verify(pairs: DataFrame, pre: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The (x, y) of ``pairs`` that share enough prefix shingles and then really link."""
-    side = lambda s: pre.select(F.col("doc_id").alias(s), F.col("matches").alias(f"m{s}"), F.col("prefix").alias(f"p{s}"))
+    # sort-merge joins at every size: a hot pivot is split, and no side is broadcast by a size that may grow
+    def asked(rows: DataFrame, s: str):
+        return member_filter(rows.select(F.xxhash64(s).alias("h")).distinct())
+
+    def side(s: str) -> DataFrame:
+        some = pre.where(asked(pairs, s)(F.xxhash64("doc_id")))
+        return some.select(F.col("doc_id").alias(s), F.col("matches").alias(f"m{s}"), F.col("prefix").alias(f"p{s}")).hint("merge")
+
     cand = stored(pairs.join(side("x"), "x").join(side("y"), "y")
                   .where(F.size(F.array_intersect("px", "py")) >= F.least("mx", "my")).select("x", "y"), "jac-candidates")
 
     def grams(s: str) -> DataFrame:
         # sets are made again for the documents asked for; no set of all documents is stored or shuffled
-        wanted = member_filter(cand.select(F.xxhash64(s).alias("h")).distinct())
-        return shingle_table(docs.where(wanted(F.xxhash64(F.col("doc_id").cast("long")))), k, grams=True).select(
-            F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("grams").alias(f"g{s}"))
+        some = docs.where(asked(cand, s)(F.xxhash64(F.col("doc_id").cast("long"))))
+        return shingle_table(some, k, grams=True).select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("grams").alias(f"g{s}")).hint("merge")
 
     @F.pandas_udf("long")
     def common(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -141,7 +147,7 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     classes = stored(sets.where("n > 0 and doc_id is not null").groupBy(*kind).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "jac-classes")
     pre = stored(prefixes(docs.where(F.col("doc_id").isNotNull()), k, num, den, bits)
                  .join(classes.withColumnRenamed("rep", "doc_id").select("doc_id", *kind), ["doc_id", *kind], "left_semi")
-                 .dropDuplicates(["doc_id"]), "jac-prefixes")
+                 .dropDuplicates(["doc_id", *kind]), "jac-prefixes")
     # postings of shingles that occur in two prefixes or more
     tokens = pre.select(F.explode("prefix").alias("token"))
     posts = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "jac-postings")
@@ -169,12 +175,13 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     seen = pairs
     links = stored(verify(pairs, pre, docs, k, num, den), "jac-links")
     comp = stored(components(links, "x", "y"), "jac-components")
+    index = index.where("df > 2")                           # the others are done
     lower, upper = 0.0, 8.0
     while True:
         now = (index.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")))
         # postings of more than two members whose members are in different components, and that have pivots left
         still = stored(now.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("df").alias("of"))
-                       .where((F.col("lo") < F.col("hi")) & (F.col("of") > 2) & (F.col("of") > lower)).select("token"), "jac-open")
+                       .where((F.col("lo") < F.col("hi")) & (F.col("of") > lower)).select("token"), "jac-open")
         if still.isEmpty():
             break
         now = stored(now.join(still, "token").withColumn("at", F.col("h") * F.col("df")).where(F.col("at") >= lower), "jac-round")
@@ -186,6 +193,7 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
             seen = stored(seen.unionByName(fresh), "jac-seen")
             if not more.isEmpty():
                 comp = stored(components(comp.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(more), "x", "y"), "jac-components")
+        index = now.select(*index.columns)                  # done postings stay done
         lower, upper = upper, upper * 32
     out = sets.join(classes, kind, "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"),
