@@ -75,18 +75,15 @@ class PieceTable:
             for c in p:
                 h = _roll(h, np.array([ord(c)], np.uint64))
             keys.append((int(mix(h + np.uint64(len(p) << 40))[0]), self.ids[p]))
-        bits = 12
-        while True:
-            bits += 2
-            size, full, ok = 1 << bits, {}, True
-            for k, i in keys:
-                at = next((x for x in (k & (size - 1), (k >> 32) & (size - 1)) if x not in full), None)
-                if at is None:
-                    ok = False
-                    break
-                full[at] = (k, i)
-            if ok and size >= 4 * len(keys):
-                break
+        size = 1 << max(4, (4 * len(keys)).bit_length())
+        full: dict[int, tuple[int, int]] = {}
+        for one in keys:
+            at = one[0] & (size - 1)
+            while one is not None:                          # a key that is pushed out goes to its other place
+                one, full[at] = full.get(at), one
+                if one is not None:
+                    first, second = one[0] & (size - 1), (one[0] >> 32) & (size - 1)
+                    at = second if at == first else first
         self.mask = np.uint64(size - 1)
         self.slot_key, self.slot_id = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
         for at, (k, i) in full.items():
