@@ -6,8 +6,9 @@ frequency (a sketch over all documents), rarest first.  If two sets are
 similar enough, their prefixes of length ``n - ceil(t n) + l`` share at least
 ``l`` shingles.  Every document chooses its own ``l``: it lengthens the prefix
 while the estimated cost of candidates falls; a pair is verified only if its
-prefixes share ``min(l_x, l_y)`` shingles or more, and the shingles left after
-its first common one are enough.
+prefixes share ``min(l_x, l_y)`` shingles or more, the shingles left after
+its first common one are enough, and parity signatures do not show too many
+differences.  Each of these is a necessary condition: no link is lost.
 
 Equal sets collapse first.  Within the postings of a shingle not all pairs are
 made: one member is compared with the others, links are
@@ -37,6 +38,8 @@ from .sketch import member_filter, slot_counts
 
 SKETCH_BITS = 20
 MAX_MATCHES = 4
+#: Longs in a set's parity signature.
+SIGNATURE = 16
 #: Cost of fetching and verifying a candidate, in postings read.
 VERIFY_COST = 8.0
 
@@ -83,25 +86,30 @@ def frequency_levels(docs: DataFrame, k: int, bits: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, num: int, den: int, bits: int) -> DataFrame:
-    """(doc_id, n, f1, f2, matches, prefix) of non-empty sets, each with its own number of matches."""
+    """(doc_id, n, f1, f2, matches, prefix, parity) of non-empty sets, each with its own number of matches.
+
+    parity: per hash slot whether it holds an odd number of shingles.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs, k, bits))
     mask = np.uint64((1 << bits) - 1)
 
     def extract(batches):
         for b in batches:
-            matches, prefix = [], []
+            matches, prefix, parity = [], [], []
             for raw, n in zip(b["grams"], b["n"]):
                 g = unpack(raw)
+                odd = (np.bincount((g >> np.uint64(20)).astype(np.int64) % (64 * SIGNATURE), minlength=64 * SIGNATURE) & 1).astype(np.uint8)
+                parity.append(np.packbits(odd).view("<i8"))
                 lv = shared.value[(g & mask).astype(np.int64)]
                 order = np.lexsort((g, lv))
                 base = n - (num * n + den - 1) // den + 1
                 m = choose_matches(2.0 ** (lv[order].astype(np.float64) / 2) - 1, base)
                 matches.append(m)
                 prefix.append(g[order[:base + m - 1]].astype(np.int64))
-            yield b[["doc_id", "n", "f1", "f2"]].assign(matches=np.array(matches, np.int32), prefix=prefix)
+            yield b[["doc_id", "n", "f1", "f2"]].assign(matches=np.array(matches, np.int32), prefix=prefix, parity=parity)
 
     return shingle_table(docs, k, grams=True).where("n > 0").mapInPandas(
-        extract, "doc_id long, n long, f1 long, f2 long, matches int, prefix array<long>")
+        extract, "doc_id long, n long, f1 long, f2 long, matches int, prefix array<long>, parity array<long>")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -118,11 +126,17 @@ def verify(pairs: DataFrame, pre: DataFrame, docs: DataFrame, k: int, num: int,
 
     def side(s: str) -> DataFrame:
         some = pre.where(asked(pairs, s)(F.xxhash64("doc_id")))
-        return some.select(F.col("doc_id").alias(s), F.col("matches").alias(f"m{s}"), F.col("prefix").alias(f"p{s}")).hint("merge")
+        return some.select(F.col("doc_id").alias(s), F.col("matches").alias(f"m{s}"), F.col("prefix").alias(f"p{s}"), F.col("n").alias(f"n{s}"), F.col("parity").alias(f"q{s}")).hint("merge")
 
-    cand = stored(pairs.join(side("x"), "x").join(side("y"), "y")
+    # every slot whose parity differs holds a shingle that only one of the sets has
+    differ = F.aggregate(F.zip_with("qx", "qy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    close = F.lit(num + den) * differ <= F.lit(den - num) * (F.col("nx") + F.col("ny"))
+    cand = stored(pairs.join(side("x"), "x").join(side("y"), "y").where(close)
                   .where(F.size(F.array_intersect("px", "py")) >= F.least("mx", "my")).select("x", "y"), "jac-candidates")
 
+    if cand.isEmpty():
+        return cand
+
     def grams(s: str) -> DataFrame:
         # sets are made again for the documents asked for; no set of all documents is stored or shuffled
         some = docs.where(asked(cand, s)(F.xxhash64(F.col("doc_id").cast("long"))))
