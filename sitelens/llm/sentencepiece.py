@@ -217,9 +217,9 @@ def _fold_bulk(words: list[str], edges: pd.DataFrame, table: PieceTable) -> list
     is_start = size > 0
     w, i = np.nonzero(is_start)
     r = grid[w, i, size[w, i]]
-    cut = np.cumsum(is_start.sum(1))[:-1]
+    upto = np.cumsum(is_start.sum(1)).tolist()
     known = np.where(r < NO_RANK, table.by_rank[np.minimum(r, len(table.by_rank) - 1)], -1)
-    out = np.split(known, cut)
+    out = [known[a:b] for a, b in zip([0, *upto], upto)]
     for x in np.unique(w[known < 0]):                       # single characters without a piece
         starts = np.flatnonzero(is_start[x])
         out[x] = np.array(list(chain.from_iterable([p] if p >= 0 else table.of_char(words[x][s]) for p, s in zip(out[x], starts))), np.int64)
