@@ -14,9 +14,9 @@ from pyspark.sql.types import StructType
 from sitelens.session import scratch_path
 
 #: Longest slice (bytes of text) that a task works on at once.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 #: Rows and bytes that go to a Python worker at once (the defaults are 10,000 rows of any size).
-ARROW_ROWS, ARROW_BYTES = 1_000, 8_000_000
+ARROW_ROWS, ARROW_BYTES = 500, 4_000_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
