@@ -7,13 +7,13 @@ DataFrames (one join, one append) instead of one lookup per url.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalars as X
 from .metrics import failing_urls
-from .sequence import SINGLE_TASK_LIMIT, number_rows
+from .sequence import number_rows
 
 QUARANTINE_COLUMNS = schemas.QUARANTINE.fieldNames()
 
@@ -40,21 +40,18 @@ def next_version(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("url").agg((F.max("version") + 1).alias("next_version"))
 
 
-def next_id(existing: DataFrame) -> Column:
-    """``MAX(id) + 1`` of a table (1 when empty), as a scalar subquery."""
-    return existing.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).cast("long")).scalar()
+def next_id(existing: DataFrame) -> int:
+    """``MAX(id) + 1`` of a table (1 when empty): one aggregate over one column."""
+    return int(existing.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).cast("long")).first()[0])
 
 
-def assign_ids(new_rows: DataFrame, existing: DataFrame, order_cols=("url",),
-               single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def assign_ids(new_rows: DataFrame, existing: DataFrame, order_cols=("url",)) -> DataFrame:
     """Consecutive ids after ``MAX(id)`` of ``existing``, in ``order_cols`` order.
 
     ``MAX(id) + 1`` is one aggregate read as a single scalar (partial max per
     task), then a plain number for the numbering.
     """
-    start = existing.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).cast("long")).first()[0]
-    return number_rows(new_rows, [F.asc(c) for c in order_cols], col="id",
-                       start=int(start), single_task_limit=single_task_limit)
+    return number_rows(new_rows, [F.asc(c) for c in order_cols], col="id", start=next_id(existing))
 
 
 def quarantine_as_of(quarantine: DataFrame, t) -> DataFrame:
@@ -62,11 +59,10 @@ def quarantine_as_of(quarantine: DataFrame, t) -> DataFrame:
     return quarantine_current(quarantine.filter(F.col("valid_from") <= X.as_time(t)))
 
 
-def _finish(rows: DataFrame, quarantine: DataFrame, as_of,
-            single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def _finish(rows: DataFrame, quarantine: DataFrame, as_of) -> DataFrame:
     t = X.as_time(as_of)
     with_time = rows.withColumn("valid_from", t).withColumn("created_at", t)
-    numbered = assign_ids(with_time, quarantine, single_task_limit=single_task_limit)
+    numbered = assign_ids(with_time, quarantine)
     return numbered.select(*[F.col(c).cast(f.dataType).alias(c)
                              for c, f in zip(QUARANTINE_COLUMNS, schemas.QUARANTINE.fields)])
 
@@ -88,7 +84,7 @@ def quarantine_changes(audits: DataFrame, quarantine: DataFrame, as_of,
 
 
 def update_quarantine(audits: DataFrame, quarantine: DataFrame, as_of,
-                      min_days: int = 3, single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+                      min_days: int = 3) -> DataFrame:
     """Rows to append after one quarantine update at ``as_of``.
 
     New url: version 1, status 'quarantined'.  Known url with a different
@@ -98,7 +94,12 @@ def update_quarantine(audits: DataFrame, quarantine: DataFrame, as_of,
     id start is a plain number, so the result no longer reads the table it was
     computed from: appending it to that table is safe.
     """
-    c = quarantine_changes(audits, quarantine, as_of, min_days).filter(F.col("change") != "unchanged")
+    return rows_of_changes(quarantine_changes(audits, quarantine, as_of, min_days), quarantine, as_of)
+
+
+def rows_of_changes(changes: DataFrame, quarantine: DataFrame, as_of) -> DataFrame:
+    """The rows that a set of changes (:func:`quarantine_changes`) appends."""
+    c = changes.filter(F.col("change") != "unchanged")
     added = F.col("change") == "added"
     rows = c.select(
         "url",
@@ -109,7 +110,7 @@ def update_quarantine(audits: DataFrame, quarantine: DataFrame, as_of,
         F.when(added, F.lit("quarantined")).otherwise(F.col("cur_status")).alias("status"),
         F.lit(None).cast("string").alias("notes"),
         F.when(added, F.lit(1)).otherwise(F.col("cur_version") + 1).cast("long").alias("version"))
-    return _finish(rows, quarantine, as_of, single_task_limit)
+    return _finish(rows, quarantine, as_of)
 
 
 def update_stats(changes: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import scalars as X
 from .filters import not_error
-from .sequence import SINGLE_TASK_LIMIT, number_rows
+from .sequence import number_rows
 
 RANKING_SOURCE_COLUMNS = ["url", "timestamp", "mobile_accessibility", "mobile_performance",
                           "mobile_seo", "mobile_best_practices", "desktop_accessibility",
@@ -80,7 +80,7 @@ def rank_order() -> list:
     return [F.desc_nulls_last("__order_score"), F.asc("url")]
 
 
-def site_ranking(summaries: DataFrame, single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def site_ranking(summaries: DataFrame) -> DataFrame:
     """Latest successful audit per site, best mobile accessibility first.
 
     ``rank`` is the 1-based position (no shared ranks); equal scores are
@@ -88,14 +88,12 @@ def site_ranking(summaries: DataFrame, single_task_limit: int = SINGLE_TASK_LIMI
     the whole ranking.
     """
     latest = latest_per_site(summaries.select("id", "has_errors", *RANKING_SOURCE_COLUMNS))
-    return site_ranking_from_latest(latest, single_task_limit)
+    return site_ranking_from_latest(latest)
 
 
-def site_ranking_from_latest(latest: DataFrame,
-                             single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def site_ranking_from_latest(latest: DataFrame) -> DataFrame:
     """W3 over an already computed W1 result (e.g. the maintained latest table)."""
-    return number_rows(ranking_rows(latest), rank_order(), col="rank",
-                       single_task_limit=single_task_limit).drop("__order_score")
+    return number_rows(ranking_rows(latest), rank_order(), col="rank").drop("__order_score")
 
 
 def top_sites(ranking: DataFrame, n: int = 50) -> DataFrame:

@@ -16,16 +16,13 @@ task.  Instead:
    partition count — turn the counts into offsets and broadcast them as a
    local relation; number = start + offset + position.
 
-The input itself is checkpointed first, so its (possibly expensive) plan
-runs once; counting the checkpoint is cheap.  When the count proves at most
-``single_task_limit`` rows, one window task numbers them instead (a proven
-bound; the total order makes it deterministic).
+The plan is the same at every size.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,27 +33,24 @@ _OFFSETS = T.StructType([T.StructField(_PID, T.LongType(), False),
                          T.StructField(_OFF, T.LongType(), False)])
 
 
-SINGLE_TASK_LIMIT = 100_000
-
-
-def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1,
-                single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def number_rows(df: DataFrame, order_cols: list, col: str = "rank", start=1) -> DataFrame:
     """``df`` with ``col`` = start, start+1, ... following ``order_cols``.
 
     ``order_cols`` must be a total order.  ``start`` may be an int or a
     one-value Column (e.g. a scalar subquery for ``MAX(id) + 1``); it is
     evaluated once (a single scalar).
     """
+    return number_in_place(df.orderBy(*order_cols), col, start)
+
+
+def number_in_place(df: DataFrame, col: str, start=1) -> DataFrame:
+    """``df`` with ``col`` = start, start+1, ... in the order its partitions
+    hold the rows: no shuffle, and one stored copy of the rows."""
     spark = df.sparkSession
     work_root(spark)  # the cluster's checkpoint folder, or a local one in tests
     if not isinstance(start, int):
         start = int(spark.range(1).select(start.cast("long")).first()[0])
-    base = df.checkpoint(eager=True)  # the input plan runs once
-    if single_task_limit and base.count() <= single_task_limit:
-        w = Window.orderBy(*order_cols)
-        return base.withColumn(col, (F.row_number().over(w) + (start - 1)).cast("long"))
-    tagged = base.orderBy(*order_cols).withColumn(_MID, F.monotonically_increasing_id())
-    fixed = tagged.checkpoint(eager=True)
+    fixed = df.withColumn(_MID, F.monotonically_increasing_id()).checkpoint(eager=True)
     pid = F.shiftright(F.col(_MID), 33)
     counts = sorted((r[0], r[1]) for r in
                     fixed.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias(_N)).collect())

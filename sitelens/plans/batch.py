@@ -8,15 +8,21 @@ driver are the batch counts.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import scalars as X
 from ..operators import filters as FL
 from ..operators import metrics as M
-from ..operators.quarantine import quarantine_current
-from ..session import work_root
+from ..operators.assemble import assemble_with_summaries
+from ..operators.quarantine import next_id, quarantine_current
+from ..operators.ranking import update_latest
+from ..operators.sequence import number_in_place
+from ..session import child_names, path_exists, work_root
 from ..sinks import writers as W
 from ..sources import files as S
 from ..sources.tables import read_table
@@ -40,107 +46,109 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     wanted = todo.select(X.normalize_url("url").alias(key)).distinct()
     batch = (responses.withColumn(key, X.normalize_url("url"))
              .join(wanted, on=key, how="left_semi").drop(key))
-    # the skip list reads the table this run appends to: fix the batch first
-    work_root(spark)
-    batch = batch.checkpoint(eager=True)
-    W.append_responses(batch, base)
-    _update_latest_table(spark, base, batch)
-    _update_partials_table(spark, base, batch)
+    # staged once with new ids (W5); the skip list reads the table this run appends to
+    staged = number_in_place(assemble_with_summaries(batch).drop("id"), "id",
+                             next_id(read_table(spark, base, "audit_summaries")))
+    W.write_assembled(staged, base, W.new_load())
+    _, partials = maintained_tables(spark, base)
     if out_dir:
-        all_audits = read_table(spark, base, "audits")
         summaries = read_table(spark, base, "audit_summaries")  # with its day folders
-        W.export_audits_parquet(all_audits, f"{out_dir}/audits")
+        W.export_audits_parquet(read_table(spark, base, "audits"), f"{out_dir}/audits")
         W.export_summaries_parquet(summaries, f"{out_dir}/audit_summaries")
-        partials = read_partials(spark, base)
-        counts = None if partials is None else partials.select("day", F.col("n_all").alias("n"))
+        counts = partials.groupBy("day").agg(F.sum("n_all").alias("n"))
         W.export_latest_json(summaries, f"{out_dir}/latest_audits", as_of, day_counts=counts)
-    run_ids = batch.select("run_id").distinct()
-    appended = read_table(spark, base, "audits").join(
-        run_ids.withColumnRenamed("run_id", "id"), "id", "left_semi")
-    return M.batch_counts(appended, F.lit("batch").alias("run"))
+    return M.batch_counts(staged, F.lit("batch").alias("run"))
 
 
-LATEST_TABLE = "latest_per_site"
+MAINTAINED = "maintained"
+COVERED = T.StructType([T.StructField("day", T.DateType()), T.StructField("n", T.LongType())])
 
 
-def _update_latest_table(spark: SparkSession, base: str, batch: DataFrame) -> None:
-    """Keep ``base/latest_per_site`` (W1) current from this batch's audits only."""
-    from ..operators.ranking import update_latest
-    summaries = read_table(spark, base, "audit_summaries").select(
-        *schemas.AUDIT_SUMMARIES.fieldNames())
-    new = summaries.join(batch.select(F.col("run_id").alias("id")).distinct(), "id", "left_semi")
-    path = f"{base}/{LATEST_TABLE}"
-    previous = read_latest(spark, base)
-    # the result replaces the table it reads: materialise it first
-    updated = update_latest(previous, new).checkpoint(eager=True)
-    updated.write.mode("overwrite").parquet(path)
+def _partials_schema(spark: SparkSession) -> T.StructType:
+    return M.daily_partials(schemas.empty_frame(spark, schemas.AUDIT_SUMMARIES)).schema
 
 
-PARTIALS_TABLE = "daily_partials"
+def _version(spark: SparkSession, base: str) -> str | None:
+    """The newest version that was written to its end (``covered`` is its last folder)."""
+    root = f"{base}/{MAINTAINED}"
+    for name in reversed(child_names(spark, root)):
+        if path_exists(spark, f"{root}/{name}/covered/_SUCCESS"):
+            return name
+    return None
 
 
-def _update_partials_table(spark: SparkSession, base: str, batch: DataFrame) -> None:
-    """Recompute the mergeable per-day partials of the days this batch touched.
+def maintained_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """The latest-per-site (W1) and per-day partial tables, complete.
 
-    The touched days are a handful of dates (bounded by the batch), read as
-    literals so only those summary folders are scanned; dynamic partition
-    overwrite replaces just those day folders of ``base/daily_partials``.
+    A version records how many summaries of every day it covers.  The tables
+    are append-only, so a day whose count (Parquet footers only) is the recorded
+    one is covered, whoever wrote it; the other days' summaries are read anew, and
+    the result is written as a new version.  A version that a crash cut short is
+    never read, and the next call starts from the one before.
     """
-    ids = batch.select(F.col("run_id").alias("id")).distinct()
-    touched = read_table(spark, base, "audits").join(ids, "id", "left_semi") \
-        .select("day").distinct()
-    days = [r[0] for r in touched.collect()]
-    if not days:
-        return
-    summaries = read_table(spark, base, "audit_summaries").filter(F.col("day").isin(*days))
-    (M.daily_partials(summaries.select(*schemas.AUDIT_SUMMARIES.fieldNames()))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(f"{base}/{PARTIALS_TABLE}"))
-
-
-def read_partials(spark: SparkSession, base: str) -> DataFrame | None:
-    import os
-    path = f"{base}/{PARTIALS_TABLE}"
-    if "://" not in base and not os.path.exists(path):
-        return None
-    return spark.read.parquet(path)
+    summaries = read_table(spark, base, "audit_summaries")
+    now = summaries.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    root, name = f"{base}/{MAINTAINED}", _version(spark, base)
+    schema = _partials_schema(spark)
+
+    def part(version: str, kind: str, sch: T.StructType) -> DataFrame:
+        return spark.read.schema(sch).parquet(f"{root}/{version}/{kind}")
+
+    if name is None:
+        latest, partials, covered = (schemas.empty_frame(spark, x) for x in (schemas.AUDIT_SUMMARIES, schema, COVERED))
+    else:
+        latest, partials, covered = (part(name, *x) for x in (("latest", schemas.AUDIT_SUMMARIES), ("partials", schema), ("covered", COVERED)))
+    # one row per day at most
+    stale = [r["day"] for r in now.join(covered, ["day", "n"], "left_anti").select("day").collect()]
+    if not stale and name is not None:
+        return latest, partials
+    rows = summaries.filter(F.col("day").isin(*stale)) if stale else summaries.limit(0)
+    fresh = rows.select(*schemas.AUDIT_SUMMARIES.fieldNames())
+    # names sort by time, so the newest complete version is the last one
+    version = f"v-{int(name.split('-')[1]) + 1 if name else 1:012d}-{uuid.uuid4().hex[:8]}"
+    new_partials = M.daily_partials(fresh)
+    update_latest(latest, fresh).write.parquet(f"{root}/{version}/latest")
+    (partials.filter(~F.col("day").isin(*stale)) if stale else partials).unionByName(new_partials) \
+        .write.parquet(f"{root}/{version}/partials")
+    # covered is what the partials hold, not what the tables hold by now
+    part(version, "partials", schema).groupBy("day").agg(F.sum("n_all").alias("n")).coalesce(1) \
+        .write.parquet(f"{root}/{version}/covered")
+    return part(version, "latest", schemas.AUDIT_SUMMARIES), part(version, "partials", schema)
+
+
+def read_partials(spark: SparkSession, base: str) -> DataFrame:
+    return maintained_tables(spark, base)[1]
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    """The maintained latest-per-site table (empty when absent)."""
-    import os
-    path = f"{base}/{LATEST_TABLE}"
-    if "://" not in base and not os.path.exists(path):
-        return schemas.empty_frame(spark, schemas.AUDIT_SUMMARIES)
-    return spark.read.schema(schemas.AUDIT_SUMMARIES).parquet(path)
+    """The maintained latest-per-site table."""
+    return maintained_tables(spark, base)[0]
 
 
 def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int = 3) -> DataFrame:
     """The quarantine update command: U2 over the stored tables, appended to
     ``base/quarantine``; returns added, updated and total_checked.
 
-    The new rows are computed from a checkpoint (see ``update_quarantine``),
+    The new rows are computed from a checkpoint (see ``rows_of_changes``),
     so appending them to the table they were computed from is safe.
     """
     from ..operators import quarantine as Q
     audits = read_table(spark, base, "audits")
     quarantine = read_table(spark, base, "quarantine")
     work_root(spark)
-    stats = Q.update_stats(Q.quarantine_changes(audits, quarantine, as_of, min_days)) \
-        .checkpoint(eager=True)
-    rows = Q.update_quarantine(audits, quarantine, as_of, min_days)
-    rows.write.mode("append").parquet(f"{base}/quarantine")
+    # counts and rows come from the same change set
+    changes = Q.quarantine_changes(audits, quarantine, as_of, min_days).checkpoint(eager=True)
+    stats = Q.update_stats(changes)
+    Q.rows_of_changes(changes, quarantine, as_of).write.mode("append").parquet(f"{base}/quarantine")
     return stats
 
 
 def run_dashboard_export(spark: SparkSession, base: str, out_dir: str, generated_at) -> dict:
     """The dashboard export command (K7) over the stored tables; the ranking,
     summary and per-state lists come from the maintained latest-per-site and
-    per-day partial tables when they exist."""
-    import os
+    per-day partial tables, which are brought up to date first."""
     summaries = read_table(spark, base, "audit_summaries").select(
         *schemas.AUDIT_SUMMARIES.fieldNames())
-    has_latest = "://" in base or os.path.exists(f"{base}/{LATEST_TABLE}")
-    latest = read_latest(spark, base) if has_latest else None
+    latest, partials = maintained_tables(spark, base)
     return W.export_dashboard(summaries, read_table(spark, base, "quarantine"), out_dir,
-                              generated_at, latest=latest, partials=read_partials(spark, base))
+                              generated_at, latest=latest, partials=partials)

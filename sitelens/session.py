@@ -71,6 +71,23 @@ def work_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system Spark resolves it to (never the
+    driver's own disk, unless that is the default file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder, empty if the folder is absent."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared work folder."""
     root = work_root(spark).rstrip("/")

@@ -9,6 +9,7 @@ gathered into one document.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,14 +38,15 @@ def append_audits(audits: DataFrame, base: str) -> dict[str, str]:
     """Append audits and their summaries (T2) from one persisted input.
 
     Both tables are partitioned by ``day`` of the audit, so time-window
-    reports prune folders; REBALANCE lets AQE size the write tasks.
+    reports prune folders, and below it by ``load``, one name per append;
+    REBALANCE lets AQE size the write tasks.
     """
+    load = new_load()
     a = audits.select(*schemas.AUDITS.fieldNames()).withColumn("day", X.day("timestamp")).persist()
     try:
-        a.hint("rebalance", "day").write.mode("append").partitionBy("day") \
-            .parquet(f"{base}/audits")
-        summarize_audits(a).withColumn("day", X.day("timestamp")).hint("rebalance", "day") \
-            .write.mode("append").partitionBy("day").parquet(f"{base}/audit_summaries")
+        _write_days(a, f"{base}/audits", load)
+        _write_days(summarize_audits(a).withColumn("day", X.day("timestamp")),
+                    f"{base}/audit_summaries", load)
     finally:
         a.unpersist()
     return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
@@ -52,18 +54,35 @@ def append_audits(audits: DataFrame, base: str) -> dict[str, str]:
 
 def append_responses(raw: DataFrame, base: str) -> dict[str, str]:
     """U1 from stored responses: audits and summaries written from one pass
-    (``assemble_with_summaries``: each response body parsed once)."""
-    both = assemble_with_summaries(raw).withColumn("day", X.day("timestamp")).persist()
+    (``assemble_with_summaries``: each response body parsed once).  Audits keep
+    their ``run_id`` as id; ``run_batch`` numbers its audits anew."""
+    both = assemble_with_summaries(raw).persist()
     try:
-        run_concurrently([
-            lambda: both.select(*schemas.AUDITS.fieldNames(), "day").hint("rebalance", "day")
-            .write.mode("append").partitionBy("day").parquet(f"{base}/audits"),
-            lambda: both.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day")
-            .hint("rebalance", "day").write.mode("append").partitionBy("day")
-            .parquet(f"{base}/audit_summaries"),
-        ])
+        return write_assembled(both, base, new_load())
     finally:
         both.unpersist()
+
+
+def new_load() -> str:
+    """A fresh name for one append (never read as a number)."""
+    return f"load-{uuid.uuid4().hex[:12]}"
+
+
+def _write_days(rows: DataFrame, path: str, load: str) -> None:
+    # only the folders of this load are replaced, so a repeated write adds nothing
+    rows.withColumn("load", F.lit(load)).hint("rebalance", "day").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("day", "load").parquet(path)
+
+
+def write_assembled(both: DataFrame, base: str, load: str) -> dict[str, str]:
+    """Write the rows of ``assemble_with_summaries`` to both tables as one load."""
+    both = both.withColumn("day", X.day("timestamp"))
+    run_concurrently([
+        lambda: _write_days(both.select(*schemas.AUDITS.fieldNames(), "day"),
+                            f"{base}/audits", load),
+        lambda: _write_days(both.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day"),
+                            f"{base}/audit_summaries", load),
+    ])
     return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
 
 

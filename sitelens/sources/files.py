@@ -16,16 +16,18 @@ from ..functions import scalars as X
 def read_site_list(spark: SparkSession, path: str, url_column: str = "url") -> DataFrame:
     """Urls of a CSV site list with a header row.
 
-    Takes the named column, trims it, drops empty values and keeps rows with
-    a valid url (X5); duplicates are kept.  A missing column gives no rows.
+    Takes the named column, trims all white space, drops empty values and keeps
+    rows with a valid url (X5); duplicates are kept.  A missing column gives no
+    rows.  Quoted fields may hold commas, line breaks and doubled quotes.
     ``position`` is the row's place in the file order (for stable output).
     """
     raw = (spark.read.option("header", True).option("encoding", "UTF-8")
+           .option("quote", '"').option("escape", '"').option("multiLine", True)
            .option("mode", "PERMISSIVE").option("inferSchema", False).csv(path))
     if url_column not in raw.columns:
         return schemas.empty_frame(spark, T.StructType([T.StructField("url", T.StringType()),
                                                         T.StructField("position", T.LongType())]))
-    u = F.trim(F.col(f"`{url_column}`"))
+    u = F.regexp_replace(F.col(f"`{url_column}`"), r"(?U)^\s+|\s+$", "")
     return (raw.select(u.alias("url"), F.monotonically_increasing_id().alias("position"))
             .filter(F.col("url").isNotNull() & (F.col("url") != "") & X.is_valid_url("url")))
 

@@ -7,13 +7,12 @@ Tables live as Parquet folders below one base path (``audits``,
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.quarantine import quarantine_current
+from ..session import path_exists
 
 TABLE_SCHEMAS = {
     "audits": schemas.AUDITS,
@@ -31,15 +30,16 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A table folder read with its declared schema (empty if the folder is absent).
 
     ``audits`` and ``audit_summaries`` keep their ``day`` partition column,
-    which the time-window operators use to prune folders.
+    which the time-window operators use to prune folders.  Whether the folder
+    is there is asked of Spark's file system, whatever form the path has.
     """
     path = f"{base.rstrip('/')}/{name}"
     schema = TABLE_SCHEMAS[name]
     if name in DAY_PARTITIONED:
         schema = T.StructType(schema.fields + [_DAY])
-    if "://" not in base and not os.path.exists(path):
+    if not path_exists(spark, path):
         return schemas.empty_frame(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def register_tables(spark: SparkSession, base: str | None = None,

@@ -1,49 +1,86 @@
 """Incremental ingest of stored responses with Structured Streaming.
 
-New response files -> T1 -> T2 -> append, giving the same rows as the batch
-path.  A file holds both strategies of a run, so the pairing (T1) stays
-inside one micro-batch and needs no state store.  ``foreachBatch`` is
-at-least-once: each batch writes to a folder named by its ``batch_id`` in
-overwrite mode, so a replayed batch replaces its own output.
+New response files -> T1 -> T2 -> the tables of U1, giving the same rows as the
+batch path.  A run is assembled once both of its responses are there; until
+then its response waits in ``out_base/pending_responses`` and joins the next
+micro-batch.  ``foreachBatch`` is at-least-once: every folder written is named
+by the query's id and the batch id and replaced as a whole, so a replayed
+batch replaces its own output and another query's output is never touched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.assemble import assemble_with_summaries
-from ..session import run_concurrently
+from ..operators.assemble import STRATEGIES, assemble_with_summaries
+from ..session import path_exists
+from ..sinks.writers import write_assembled
+from ..sources.tables import read_table
+
+PENDING = "pending_responses"
+
+
+def _pending_path(out_base: str, query_id: str, batch_id: int) -> str:
+    return f"{out_base}/{PENDING}/query={query_id}/batch_id={batch_id}"
+
+
+def _read_pending(spark: SparkSession, path: str) -> DataFrame:
+    if not path_exists(spark, path):
+        return schemas.empty_frame(spark, schemas.RAW_RESPONSES)
+    return spark.read.schema(schemas.RAW_RESPONSES).parquet(path)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query of a checkpoint folder."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def ingest_stream(spark: SparkSession, raw_path: str, out_base: str, checkpoint: str,
                   fmt: str = "parquet", max_files_per_trigger: int | None = None,
                   available_now: bool = True):
-    """Start the ingest query; returns the ``StreamingQuery``."""
+    """Start the ingest query; returns the ``StreamingQuery``.
+
+    Runs of which one response never comes stay pending until
+    :func:`flush_pending`.
+    """
     reader = spark.readStream.schema(schemas.RAW_RESPONSES).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(raw_path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # T1 + T2 in one pass (each body parsed once), written as two tables
-        both = assemble_with_summaries(batch).persist()
+        qid, session = query_id(spark, checkpoint), batch.sparkSession
+        rows = batch.unionByName(_read_pending(session, _pending_path(out_base, qid, batch_id - 1)))
+        both_there = F.lit(True)
+        w = Window.partitionBy("run_id", "url")
+        for s in STRATEGIES:
+            both_there &= F.max(F.col("strategy") == s).over(w)
+        marked = rows.withColumn("__complete", F.coalesce(both_there, F.lit(False))).persist()
         try:
-            run_concurrently([
-                lambda: both.select(*schemas.AUDITS.fieldNames()).write.mode("overwrite")
-                .parquet(f"{out_base}/audits/batch_id={batch_id}"),
-                lambda: both.select(*schemas.AUDIT_SUMMARIES.fieldNames()).write
-                .mode("overwrite").parquet(f"{out_base}/audit_summaries/batch_id={batch_id}"),
-            ])
-        finally:
+            marked.filter(~F.col("__complete")).drop("__complete").write.mode("overwrite") \
+                .parquet(_pending_path(out_base, qid, batch_id))
+            both = assemble_with_summaries(marked.filter("__complete").drop("__complete")).persist()
+            write_assembled(both, out_base, f"load-{qid}-{batch_id}")
             both.unpersist()
+        finally:
+            marked.unpersist()
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def flush_pending(spark: SparkSession, out_base: str, query_id: str, batch_id: int) -> None:
+    """Assemble what was still pending after ``batch_id`` of a stopped query, the
+    last it ran; the missing response becomes the audit's error text.  Repeating it adds nothing."""
+    left = _read_pending(spark, _pending_path(out_base, query_id, batch_id))
+    write_assembled(assemble_with_summaries(left), out_base, f"load-{query_id}-rest")
+
+
 def read_ingested(spark: SparkSession, out_base: str, table: str = "audit_summaries") -> DataFrame:
-    """The appended table as one DataFrame (the batch_id folders merged)."""
-    schema = schemas.AUDIT_SUMMARIES if table == "audit_summaries" else schemas.AUDITS
-    return spark.read.schema(schema).parquet(f"{out_base}/{table}").select(*schema.fieldNames())
+    """The appended table as one DataFrame."""
+    return read_table(spark, out_base, table).drop("day")

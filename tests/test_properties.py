@@ -34,11 +34,10 @@ def _summaries(spark, rows):
 
 @SETTINGS
 @given(keys=st.lists(st.integers(0, 5), min_size=0, max_size=80),
-       start=st.integers(-3, 50), distributed=st.booleans())
-def test_number_rows_is_a_consecutive_total_order(spark, keys, start, distributed):
+       start=st.integers(-3, 50))
+def test_number_rows_is_a_consecutive_total_order(spark, keys, start):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
-    out = number_rows(df, [F.desc("k"), F.asc("i")], col="n", start=start,
-                      single_task_limit=0 if distributed else 100_000).collect()
+    out = number_rows(df, [F.desc("k"), F.asc("i")], col="n", start=start).collect()
     expected = sorted(((k, i) for i, k in enumerate(keys)), key=lambda t: (-t[0], t[1]))
     got = sorted(((r.k, r.i, r.n) for r in out), key=lambda t: t[2])
     assert [(k, i) for k, i, _ in got] == expected

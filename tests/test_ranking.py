@@ -38,12 +38,10 @@ def test_latest_per_site_skips_errors_and_breaks_ties_by_id(spark):
     assert [x.id for x in r] == [2]
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_number_rows_distributed_equals_single_task(spark, limit):
+def test_number_rows_over_many_partitions(spark):
     df = spark.range(0, 5000).select(
         (F.col("id") % 7).alias("g"), F.col("id").alias("k")).repartition(6)
-    out = number_rows(df, [F.desc("g"), F.asc("k")], col="n", start=11,
-                      single_task_limit=limit)
+    out = number_rows(df, [F.desc("g"), F.asc("k")], col="n", start=11)
     got = sorted((r.g, r.k, r.n) for r in out.collect())
     expected = sorted(((g, k) for g, k in ((i % 7, i) for i in range(5000))),
                       key=lambda t: (-t[0], t[1]))
@@ -56,7 +54,7 @@ def test_number_rows_hot_value(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("v"),
         F.col("id").alias("k"))
-    out = number_rows(df, [F.asc("v"), F.asc("k")], col="n", single_task_limit=0)
+    out = number_rows(df, [F.asc("v"), F.asc("k")], col="n")
     ns = sorted(r.n for r in out.collect())
     assert ns == list(range(1, 3001))
 

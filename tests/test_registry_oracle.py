@@ -63,7 +63,7 @@ def _same(df, rel):
 
 
 def test_distributed_numbering_on_driver_data(spark):
-    """The range-partitioned numbering path (used above 100k rows) gives the
+    """The range-partitioned numbering gives the
     same ranking and quarantine ids as the SQL oracle on the sf0.01 tables."""
     from sitelens.operators import quarantine as Q
     from sitelens.operators import ranking as R
@@ -72,8 +72,8 @@ def test_distributed_numbering_on_driver_data(spark):
     con = duckdb.connect()
     for t in ("events", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    _same(R.site_ranking(P.summaries(spark, sf), single_task_limit=0),
+    _same(R.site_ranking(P.summaries(spark, sf)),
           con.sql(E.oracle_sql()["site_ranking"]))
     st = P.quarantine_steps(spark, sf)
-    _same(Q.update_quarantine(P.audits(spark, sf), st["rows1"], st["t2"], single_task_limit=0),
+    _same(Q.update_quarantine(P.audits(spark, sf), st["rows1"], st["t2"]),
           con.sql(E.oracle_sql()["quarantine_update"]))
