@@ -128,13 +128,13 @@ def status_mark(error_message) -> Column:
 def category_score(body_struct, name: str) -> Column:
     """``categories[name].score`` of a parsed response; NULL if absent."""
     return F.try_element_at(_c(body_struct).getField("lighthouseResult").getField("categories"),
-                        F.lit(name)).getField("score")
+                        F.lit(name)).getField("score").try_cast("double")
 
 
 def audit_value(body_struct, name: str) -> Column:
     """``audits[name].numericValue`` of a parsed response; NULL if absent."""
     return F.try_element_at(_c(body_struct).getField("lighthouseResult").getField("audits"),
-                        F.lit(name)).getField("numericValue")
+                        F.lit(name)).getField("numericValue").try_cast("double")
 
 
 def as_time(t) -> Column:

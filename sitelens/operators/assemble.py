@@ -26,21 +26,34 @@ VITAL_AUDITS = [("first-contentful-paint", "fcp"), ("largest-contentful-paint",
                 ("cumulative-layout-shift", "cls"), ("max-potential-fid", "fid")]
 HTTP_PREFIX, TIMEOUT_PREFIX = "HTTP ", "Timeout: "
 REQUEST_PREFIX, VALIDATION_PREFIX = "Request error: ", "Validation error: "
+# error texts taken from a body are cut to so many characters (the domain's own rule)
 BODY_SNIPPET = 200
 VALIDATION_TEXT = "response body does not match the expected schema"
+# fields that a usable response must have
+REQUIRED_TOP = ["id", "analysisUTCTimestamp", "version"]
+REQUIRED_RESULT = ["requestedUrl", "finalUrl", "lighthouseVersion", "userAgent", "fetchTime",
+                   "environment", "configSettings", "categories", "audits"]
+REQUIRED_URLS = ["requestedUrl", "finalUrl"]
+REQUIRED_ITEM = ["id", "title", "description"]
 
 
 def response_body(url: Column, ts: Column, categories: dict, audits: dict) -> Column:
     """JSON text of a successful response document with the given values."""
     fetch = X.iso_text(ts)
-    cats = F.create_map(*[x for name, v in categories.items()
-                          for x in (F.lit(name), F.struct(F.lit(name).alias("id"), v.alias("score")))])
-    auds = F.create_map(*[x for name, v in audits.items()
-                          for x in (F.lit(name), F.struct(F.lit(name).alias("id"), v.alias("numericValue")))])
+
+    def items(values: dict, field: str) -> Column:
+        return F.create_map(*[x for name, v in values.items() for x in (
+            F.lit(name), F.struct(*[F.lit(name).alias(c) for c in REQUIRED_ITEM], v.alias(field)))])
+
+    settings = F.create_map(F.lit("locale"), F.lit("en"))
     return F.to_json(F.struct(
         url.alias("id"), fetch.alias("analysisUTCTimestamp"),
-        F.struct(url.alias("requestedUrl"), url.alias("finalUrl"), fetch.alias("fetchTime"),
-                 cats.alias("categories"), auds.alias("audits")).alias("lighthouseResult")))
+        F.create_map(F.lit("major"), F.lit("1")).alias("version"),
+        F.struct(url.alias("requestedUrl"), url.alias("finalUrl"),
+                 F.lit("1.0").alias("lighthouseVersion"), F.lit("agent").alias("userAgent"),
+                 fetch.alias("fetchTime"), settings.alias("environment"),
+                 settings.alias("configSettings"), items(categories, "score").alias("categories"),
+                 items(audits, "numericValue").alias("audits")).alias("lighthouseResult")))
 
 
 def parse_body(body) -> Column:
@@ -48,21 +61,55 @@ def parse_body(body) -> Column:
     return F.from_json(X._c(body), schemas.RESPONSE_BODY, {"mode": "PERMISSIVE"})
 
 
+def usable_body(body) -> Column:
+    """Q5: whether a parsed body has every required field and only numbers as scores."""
+    doc, res = body, body.getField("lighthouseResult")
+    ok = F.lit(True)
+    for name in REQUIRED_TOP:
+        ok &= doc.getField(name).isNotNull()
+    for name in REQUIRED_RESULT:
+        ok &= res.getField(name).isNotNull()
+    for url in [doc.getField("id"), *[res.getField(name) for name in REQUIRED_URLS]]:
+        ok &= X.is_valid_url(url)
+
+    def numbers(items: Column, *fields: str) -> Column:
+        def good(item):
+            fine = item.isNotNull()
+            for name in REQUIRED_ITEM:
+                fine &= item.getField(name).isNotNull()
+            for name in fields:
+                v = item.getField(name)
+                fine &= v.isNull() | v.try_cast("double").isNotNull()
+            return fine
+        return F.forall(F.map_values(items), good)
+
+    ok &= numbers(res.getField("categories"), "score")
+    ok &= numbers(res.getField("audits"), "score", "numericValue")
+    return F.coalesce(ok, F.lit(False))
+
+
+def is_http_error(code: Column) -> Column:
+    """Any completed exchange whose status is not 2xx."""
+    return code.isNotNull() & ~code.between(200, 299)
+
+
 def response_error(status_code="status_code", failure="failure", reason="reason",
                    body="body") -> Column:
     """Error text of one response, NULL when the response is usable."""
     code, fail, why, text = (X._c(c) for c in (status_code, failure, reason, body))
-    has_error_obj = F.get_json_object(text, "$.error").isNotNull()
-    detail = F.when(has_error_obj,
+    # an error object without a message gives the whole body; an error that is
+    # no object, like any other body, gives its first characters
+    error = F.get_json_object(text, "$.error")
+    detail = F.when(error.startswith("{"),
                     F.coalesce(F.get_json_object(text, "$.error.message"), text)) \
         .otherwise(F.substring(text, 1, BODY_SNIPPET))
     detail = F.coalesce(F.nullif(detail, F.lit("")), why, F.lit(""))
-    usable = parse_body(text).getField("lighthouseResult").isNotNull()
+    usable = usable_body(parse_body(text))
     return (F.when(fail == "timeout", F.concat(F.lit(TIMEOUT_PREFIX), F.coalesce(why, F.lit(""))))
             .when(fail == "request", F.concat(F.lit(REQUEST_PREFIX), F.coalesce(why, F.lit(""))))
             .when(fail.isNotNull(), F.coalesce(why, fail))
-            .when(code >= 400, F.concat(F.lit(HTTP_PREFIX), code.cast("string"), F.lit(": "), detail))
-            .when(~F.coalesce(usable, F.lit(False)),
+            .when(is_http_error(code), F.concat(F.lit(HTTP_PREFIX), code.cast("string"), F.lit(": "), detail))
+            .when(~usable,
                   F.concat(F.lit(VALIDATION_PREFIX), F.lit(VALIDATION_TEXT))))
 
 
@@ -70,7 +117,7 @@ def validate_responses(raw: DataFrame) -> DataFrame:
     """Q5: every response with ``outcome`` and ``problem``; nothing is dropped."""
     err = response_error()
     outcome = (F.when(F.col("failure").isNotNull(), F.lit("transport_error"))
-               .when(F.col("status_code") >= 400, F.lit("http_error"))
+               .when(is_http_error(F.col("status_code")), F.lit("http_error"))
                .when(err.isNotNull(), F.lit("invalid_body"))
                .otherwise(F.lit("ok")))
     return raw.select("*", outcome.alias("outcome"), err.alias("problem"))

@@ -58,20 +58,23 @@ METRICS_JSON = T.StructType([
     _f("bestPractices", D), _f("timestamp", S), _f("strategy", S), _f("ibge_code", S),
 ])
 
-# Response body: only the parts any operator reads.  Unknown fields are ignored.
-_CATEGORY = T.StructType([_f("id", S), _f("title", S), _f("score", D)])
-_AUDIT_ITEM = T.StructType([_f("id", S), _f("title", S), _f("score", D),
-                            _f("numericValue", D), _f("numericUnit", S)])
+# Response body: the parts an operator reads or validates.  Unknown fields are
+# ignored; numbers are read as text, so that one that is no number can be told from none.
+_TEXTS = T.MapType(S, S)
+_CATEGORY = T.StructType([_f("id", S), _f("title", S), _f("description", S), _f("score", S)])
+_AUDIT_ITEM = T.StructType([_f("id", S), _f("title", S), _f("description", S), _f("score", S),
+                            _f("numericValue", S)])
 RESPONSE_BODY = T.StructType([
     _f("id", S),
     _f("analysisUTCTimestamp", S),
+    _f("version", _TEXTS),
     _f("lighthouseResult", T.StructType([
         _f("requestedUrl", S), _f("finalUrl", S), _f("lighthouseVersion", S),
-        _f("fetchTime", S),
+        _f("userAgent", S), _f("fetchTime", S), _f("environment", _TEXTS),
+        _f("configSettings", _TEXTS),
         _f("categories", T.MapType(S, _CATEGORY)),
         _f("audits", T.MapType(S, _AUDIT_ITEM)),
     ])),
-    _f("error", T.StructType([_f("code", L), _f("message", S)])),
 ])
 
 # Fixed values of the domain.

@@ -8,25 +8,25 @@ from sitelens.operators import assemble as A
 from tests.conftest import NOW
 
 
-def ok_body(perf=0.75, acc=0.80, seo=0.85, bp=0.90, fcp=2000.0, lcp=3000.0, cls=0.1, fid=150.0,
-            drop_category=None):
+PERF, ACC, SEO, BP = 0.62, 0.71, 0.94, 0.58
+
+
+def ok_body(perf=PERF, acc=ACC, seo=SEO, bp=BP, fcp=812.5, lcp=1640.0, cls=0.03, fid=47.0,
+            drop_category=None, drop=(), **replaced):
+    """A response body; ``drop`` names fields left out, ``replaced`` sets fields of the result."""
     cats = {"performance": perf, "accessibility": acc, "seo": seo, "best-practices": bp}
     if drop_category:
         cats.pop(drop_category)
-    return json.dumps({
-        "kind": "result", "id": "https://x/", "captchaResult": "CAPTCHA_NOT_NEEDED",
-        "loadingExperience": {}, "analysisUTCTimestamp": "2024-01-01T00:00:00Z",
-        "lighthouseResult": {
-            "requestedUrl": "https://x/", "finalUrl": "https://x/", "lighthouseVersion": "11",
-            "userAgent": "ua", "fetchTime": "2024", "environment": {}, "runWarnings": [],
-            "configSettings": {},
-            "categories": {k: {"id": k, "title": k, "score": v} for k, v in cats.items()},
-            "audits": {
-                "first-contentful-paint": {"id": "fcp", "title": "t", "numericValue": fcp},
-                "largest-contentful-paint": {"id": "lcp", "title": "t", "numericValue": lcp},
-                "cumulative-layout-shift": {"id": "cls", "title": "t", "numericValue": cls},
-                "max-potential-fid": {"id": "fid", "title": "t", "numericValue": fid},
-            }}})
+    vitals = {"first-contentful-paint": fcp, "largest-contentful-paint": lcp,
+              "cumulative-layout-shift": cls, "max-potential-fid": fid}
+    item = {k: k for k in A.REQUIRED_ITEM}
+    result = {k: "https://site.example/" for k in A.REQUIRED_RESULT}
+    result |= {"environment": {}, "configSettings": {},
+               "categories": {k: item | {"score": v} for k, v in cats.items()},
+               "audits": {k: item | {"numericValue": v} for k, v in vitals.items()}} | replaced
+    doc = {"id": "https://site.example/", "analysisUTCTimestamp": "t", "version": {},
+           "lighthouseResult": {k: v for k, v in result.items() if k not in drop}}
+    return json.dumps({k: v for k, v in doc.items() if k not in drop})
 
 
 def raw(spark, rows):
@@ -44,7 +44,7 @@ def test_successful_run_gives_one_audit_and_summary(spark):
     assert a.count() == 1 and r.error_message is None and r.timestamp == NOW
     s = A.summarize_audits(a).first()
     assert (s.mobile_performance, s.desktop_performance, s.mobile_best_practices, s.mobile_fid) == \
-        (0.75, 0.5, 0.90, 150.0)
+        (PERF, 0.5, BP, 47.0)
     assert s.has_errors is False
 
 
@@ -79,7 +79,7 @@ def test_missing_category_gives_null_score(spark):
     rows = [(1, "https://a/", "mobile", 200, "OK", None, ok_body(drop_category="seo")),
             (1, "https://a/", "desktop", 200, "OK", None, ok_body())]
     s = A.summarize_audits(A.assemble_audits(raw(spark, rows))).first()
-    assert s.mobile_seo is None and s.desktop_seo == 0.85 and not s.has_errors
+    assert s.mobile_seo is None and s.desktop_seo == SEO and not s.has_errors
 
 
 def test_newest_response_of_a_strategy_wins(spark):
@@ -116,7 +116,7 @@ def test_long_metrics_two_rows_per_audit(spark):
             (1, "https://a/", "desktop", 200, "OK", None, ok_body(perf=0.1))]
     long = A.to_long_metrics(A.summarize_audits(A.assemble_audits(raw(spark, rows))))
     got = sorted((r.strategy, r.performance, r.bestPractices) for r in long.collect())
-    assert got == [("desktop", 0.1, 0.9), ("mobile", 0.75, 0.9)]
+    assert got == [("desktop", 0.1, BP), ("mobile", PERF, BP)]
 
 
 def test_fused_assembly_equals_t2_of_t1(spark):
@@ -136,3 +136,25 @@ def test_fused_assembly_equals_t2_of_t1(spark):
     got = fused.select(*schemas.AUDIT_SUMMARIES.fieldNames())
     assert got.count() == 4
     assert got.exceptAll(summ).count() == 0 and summ.exceptAll(got).count() == 0
+
+
+def test_required_fields_types_and_status(spark):
+    good = ok_body()
+    bodies = [(200, ok_body(drop=(f,))) for f in [*A.REQUIRED_TOP, *A.REQUIRED_RESULT]]
+    bodies += [(200, ok_body(perf="abc")), (200, ok_body(fcp="abc")), (200, ok_body(finalUrl="no url")),
+               (200, ok_body(environment="text")), (200, '{"lighthouseResult":{}}'), (200, None), (200, "")]
+    bad = len(bodies)
+    bodies += [(302, good), (100, good), (204, good), (200, ok_body(perf=None)), (200, ok_body(perf="0.5"))]
+    v = A.validate_responses(raw(spark, [(i, "https://a/", "mobile", c, "Found", None, b)
+                                         for i, (c, b) in enumerate(bodies)]))
+    got = [r.outcome for r in v.orderBy("run_id").collect()]
+    assert got == ["invalid_body"] * bad + ["http_error"] * 2 + ["ok"] * 3
+
+
+def test_error_text_of_an_error_that_is_no_object(spark):
+    body = json.dumps({"error": "y" * 500})
+    rows = [(1, "https://a/", "mobile", 500, "x", None, body),
+            (2, "https://b/", "mobile", 500, "x", None, json.dumps({"error": {"code": 1}}))]
+    got = {r.url: r.problem for r in A.validate_responses(raw(spark, rows)).collect()}
+    assert got["https://a/"] == "HTTP 500: " + body[:200]
+    assert got["https://b/"] == 'HTTP 500: {"error": {"code": 1}}'

@@ -231,3 +231,62 @@ def test_quarantine_update_and_dashboard_commands(spark, tmp_dir):
     res = run_dashboard_export(spark, base, os.path.join(tmp_dir, "dash"), NOW)
     assert res["total_sites"] == 1
     assert len(_lines(res["files"]["quarantine/sites"])) == 1
+
+
+def _pair(run, url, when, **kw):
+    return [(run, url, s, when, 200, "OK", None, ok_body(**kw)) for s in ("mobile", "desktop")]
+
+
+def test_site_list_dialect(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "sites.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('url,note\n"https://a/","said ""x"", twice"\nhttps://b/,"two\nhttps://not-a-row/,lines"\n'
+                '\thttps://c/\u00a0,tab\n,empty\n')
+    assert [r.url for r in S.read_site_list(spark, path).orderBy("position").collect()] == \
+        ["https://a/", "https://b/", "https://c/"]
+
+
+def test_stream_pairs_over_files_and_fresh_checkpoints(spark, tmp_dir):
+    out, src = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "in")
+    rows = _pair(1, "https://a/", NOW) + _pair(2, "https://b/", NOW)[:1]
+    for r in rows:
+        spark.createDataFrame([r], schemas.RAW_RESPONSES).coalesce(1).write.mode("append").parquet(src)
+    ck = os.path.join(tmp_dir, "ck1")
+    q = ST.ingest_stream(spark, src, out, ck, max_files_per_trigger=1)
+    q.awaitTermination()
+    got = ST.read_ingested(spark, out).collect()
+    assert [(r.id, r.has_errors) for r in got] == [(1, False)]
+    src2 = os.path.join(tmp_dir, "in2")
+    spark.createDataFrame(_pair(3, "https://c/", NOW), schemas.RAW_RESPONSES).write.parquet(src2)
+    ST.ingest_stream(spark, src2, out, os.path.join(tmp_dir, "ck2")).awaitTermination()
+    assert sorted(r.id for r in ST.read_ingested(spark, out).collect()) == [1, 3]
+    for _ in range(2):
+        ST.flush_pending(spark, out, ST.query_id(spark, ck), len(rows) - 1)
+        rest = {r.id: r.error_message for r in ST.read_ingested(spark, out).collect()}
+        assert rest == {1: None, 3: None, 2: "Request error: missing desktop response"}
+
+
+def test_dashboard_covers_history_written_by_any_path(spark, tmp_dir):
+    from sitelens.plans import batch as B
+    base = "file://" + os.path.join(tmp_dir, "tables")
+    sites_csv = os.path.join(tmp_dir, "sites.csv")
+    with open(sites_csv, "w") as f:
+        f.write("url\nhttps://s0/\nhttps://s1/\n")
+    day = dt.timedelta(days=1)
+
+    def frame(rows):
+        return spark.createDataFrame(rows, schemas.RAW_RESPONSES)
+
+    W.append_responses(frame([x for i in range(5) for x in _pair(i + 1, f"https://s{i}/", NOW - 3 * day)]), base)
+    # one run id over two sites, and ids that repeat in the next run
+    counts = [B.run_batch(spark, base, sites_csv, frame(_pair(1, "https://s0/", t) + _pair(1, "https://s1/", t)), t).first()
+              for t in (NOW - 2 * day, NOW)]
+    assert [(c.processed, c.errors) for c in counts] == [(2, 0), (2, 0)]
+    ids = [r.id for r in ST.read_ingested(spark, base).collect()]
+    assert sorted(ids) == list(range(1, 10))
+    # a crash between the append and the update, and a version that was cut short
+    W.append_responses(frame(_pair(50, "https://s9/", NOW)), base)
+    spark.range(3).write.parquet(f"{base}/{B.MAINTAINED}/v-999999999999-x/latest")
+    res = B.run_dashboard_export(spark, base, os.path.join(tmp_dir, "dash"), NOW)
+    assert res["total_sites"] == 6
+    assert _lines(res["files"]["summary"])[0]["total_audits"] == 10
