@@ -7,9 +7,9 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from sitelens.operators import metrics as M
 from sitelens.operators import ranking as R
+from sitelens.plans.registry import all_reports
 from tests.conftest import NOW, summaries_df, summary_row
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +26,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def reports():
-    return E.queries()
+    return {name: plan for name, (plan, _) in all_reports().items()}
 
 
 def test_by_state_pushes_filter_prunes_columns_and_aggregates_partially(spark, reports):
@@ -56,7 +56,7 @@ def test_top_k_is_take_ordered(spark, reports):
         assert "TakeOrderedAndProject" in plan(reports[name](spark, SF)), name
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(all_reports()))
 def test_no_cartesian_no_python_in_any_report(spark, reports, name):
     p = plan(reports[name](spark, SF))
     for bad in FORBIDDEN:
