@@ -100,11 +100,15 @@ def iso_text(ts) -> Column:
     return F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
 
 
+#: Names of the bands, best first.
+SCORE_BANDS = ("good", "ok", "bad")
+
+
 def score_band(x) -> Column:
     """Band of a 0..1 score; NULL stays NULL."""
     v = _c(x)
-    return (F.when(v >= BAND_GOOD, "good").when(v >= BAND_OK, "ok")
-            .when(v.isNotNull(), "bad"))
+    good, ok, bad = SCORE_BANDS
+    return F.when(v >= BAND_GOOD, good).when(v >= BAND_OK, ok).when(v.isNotNull(), bad)
 
 
 def badge_class(score100) -> Column:

@@ -134,6 +134,13 @@ def _per_strategy_aggs(value_cols: list[str]) -> list:
     return aggs
 
 
+def _by_run(r: DataFrame):
+    """Groups of (run_id, url).  A group holds two bodies, so combining before
+    the shuffle would only sort every body once more; the rows are dealt out
+    first, and both aggregation steps follow in one stage."""
+    return r.repartition("run_id", "url").groupBy("run_id", "url")
+
+
 def _audit_columns(created_at) -> tuple[Column, list]:
     errs = [F.when(F.col(f"_{s}_n") == 0, F.lit(f"{REQUEST_PREFIX}missing {s} response"))
             .otherwise(F.col(f"_{s}_err")) for s in STRATEGIES]
@@ -166,7 +173,7 @@ def assemble_with_summaries(raw: DataFrame, created_at=None) -> DataFrame:
     r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
                    response_error().alias("_err"),
                    *[v.alias(k) for k, v in values.items()])
-    g = r.groupBy("run_id", "url").agg(*_per_strategy_aggs(list(values)))
+    g = _by_run(r).agg(*_per_strategy_aggs(list(values)))
     ok, cols = _audit_columns(created_at)
     for s in STRATEGIES:
         for _, suffix in CATEGORY_COLUMNS:
@@ -188,7 +195,7 @@ def assemble_audits(raw: DataFrame, created_at=None) -> DataFrame:
     """
     r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
                    response_error().alias("_err"))
-    g = r.groupBy("run_id", "url").agg(*_per_strategy_aggs([]))
+    g = _by_run(r).agg(*_per_strategy_aggs([]))
     _, cols = _audit_columns(created_at)
     return g.select(*cols)
 

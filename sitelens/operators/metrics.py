@@ -137,11 +137,13 @@ def avg_scores(metrics: DataFrame, strategy: str = "all") -> DataFrame:
 def score_distribution(metrics: DataFrame, names=None) -> DataFrame:
     """A10 + X9: rows per (metric, band); NULL scores are skipped."""
     names = names or schemas.LONG_METRIC_NAMES
-    long = metrics.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("score")) for n in names])))
-    return (long.select("metric", X.score_band("score").alias("band"))
-            .filter(F.col("band").isNotNull())
-            .groupBy("metric", "band").agg(F.count(F.lit(1)).alias("n")))
+    # one row per task reaches the shuffle: a count for every (metric, band)
+    keys = [(n, b) for n in names for b in X.SCORE_BANDS]
+    counts = metrics.agg(*[F.count_if(X.score_band(F.col(n).cast("double")) == b).alias(f"{n}/{b}")
+                           for n, b in keys])
+    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.lit(b).alias("band"),
+                              F.col(f"`{n}/{b}`").alias("n")) for n, b in keys])
+    return counts.select(F.inline(rows)).filter(F.col("n") > 0)
 
 
 def duplicate_keys(metrics: DataFrame, keys=("url", "timestamp", "strategy")) -> DataFrame:
@@ -151,7 +153,11 @@ def duplicate_keys(metrics: DataFrame, keys=("url", "timestamp", "strategy")) ->
 
 
 def available_states(ranking: DataFrame) -> DataFrame:
-    """Distinct states without NULL, '' and 'N/A', ascending."""
+    """Distinct states without NULL, '' and 'N/A', ascending.
+
+    Only ``state`` is read, so any rows of the ranked sites will do
+    (``ranking.ranked_states`` needs no ranking).
+    """
     return (ranking.select("state")
             .filter(F.col("state").isNotNull() & ~F.col("state").isin("", X.NO_STATE))
             .distinct().orderBy("state"))

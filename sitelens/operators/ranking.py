@@ -16,6 +16,7 @@ from ..functions import scalars as X
 from .filters import not_error
 from .sequence import number_rows
 
+# Names of the summary columns behind the ranking, and of the sortable ones.
 RANKING_SOURCE_COLUMNS = ["url", "timestamp", "mobile_accessibility", "mobile_performance",
                           "mobile_seo", "mobile_best_practices", "desktop_accessibility",
                           "desktop_performance", "mobile_fcp", "mobile_lcp", "mobile_cls"]
@@ -96,11 +97,27 @@ def site_ranking_from_latest(latest: DataFrame) -> DataFrame:
     return number_rows(ranking_rows(latest), rank_order(), col="rank").drop("__order_score")
 
 
+def ranked_states(summaries: DataFrame) -> DataFrame:
+    """The state of every ranked site (repeated): a site is ranked if one of its audits succeeded."""
+    return summaries.filter(not_error()).select(X.state_label("url").alias("state"))
+
+
 def top_sites(ranking: DataFrame, n: int = 50) -> DataFrame:
     """The first ``n`` of the ranking."""
     return ranking.orderBy("rank").limit(n)
 
 
+def top_sites_from_latest(latest: DataFrame, n: int = 50) -> DataFrame:
+    """L5 out of W1 rows: only the ``n`` best are taken and numbered (one array of ``n`` rows)."""
+    best = ranking_rows(latest).orderBy(*rank_order()).limit(n)
+    score, cols = F.col("__order_score"), [c for c in best.columns if c != "__order_score"]
+    row = F.struct(score.isNull().alias("__none"), (-score).alias("__low"), F.col("url").alias("__url"),
+                   F.struct(*cols).alias("site"))
+    ordered = best.agg(F.sort_array(F.collect_list(row)).alias("sites"))
+    return (ordered.select(F.posexplode("sites").alias("pos", "of"))
+            .select("of.site.*", (F.col("pos") + 1).cast("long").alias("rank")))
+
+
 def bottom_sites(ranking: DataFrame, n: int = 50) -> DataFrame:
     """Lowest rounded score first, ties kept in ranking order."""
     return ranking.orderBy(F.asc("score"), F.asc("rank")).limit(n)

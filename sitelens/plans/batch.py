@@ -53,7 +53,7 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     _, partials = maintained_tables(spark, base)
     if out_dir:
         summaries = read_table(spark, base, "audit_summaries")  # with its day folders
-        W.export_audits_parquet(read_table(spark, base, "audits"), f"{out_dir}/audits")
+        W.export_audits_parquet(read_table(spark, base, "audits"), f"{out_dir}/audits", incremental=True)
         W.export_summaries_parquet(summaries, f"{out_dir}/audit_summaries")
         counts = partials.groupBy("day").agg(F.sum("n_all").alias("n"))
         W.export_latest_json(summaries, f"{out_dir}/latest_audits", as_of, day_counts=counts)

@@ -280,7 +280,8 @@ def q_site_ranking(spark, sf):
 @report("top_sites", O.sql("SELECT * FROM ranking ORDER BY rank LIMIT 50",
                            SQL_LATEST + ",\n" + SQL_RANKING))
 def q_top_sites(spark, sf):
-    return R.top_sites(R.site_ranking(P.summaries(spark, sf)), 50)
+    s = P.summaries(spark, sf).select("id", "has_errors", *R.RANKING_SOURCE_COLUMNS)
+    return R.top_sites_from_latest(R.latest_per_site(s), 50)
 
 
 @report("bottom_sites", O.sql("SELECT * FROM ranking ORDER BY score, rank LIMIT 50",
@@ -316,7 +317,7 @@ def q_search_sites(spark, sf):
     "SELECT DISTINCT state FROM ranking WHERE state IS NOT NULL AND state NOT IN ('', 'N/A') "
     "ORDER BY state", SQL_LATEST + ",\n" + SQL_RANKING))
 def q_available_states(spark, sf):
-    return M.available_states(R.site_ranking(P.summaries(spark, sf)))
+    return M.available_states(R.ranked_states(P.summaries(spark, sf)))
 
 
 @report("latest_per_site_strategy", O.sql("SELECT * FROM latest_s", SQL_LATEST_STRATEGY))

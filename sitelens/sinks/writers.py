@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -21,7 +21,7 @@ from ..operators import metrics as M
 from ..operators import ranking as R
 from ..operators.assemble import assemble_with_summaries, summarize_audits
 from ..operators.quarantine import quarantine_current
-from ..session import run_concurrently
+from ..session import path_exists, run_concurrently
 
 
 def _iso_lit(t) -> F.Column:
@@ -86,11 +86,33 @@ def write_assembled(both: DataFrame, base: str, load: str) -> dict[str, str]:
     return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
 
 
-def export_audits_parquet(audits: DataFrame, out: str) -> str:
-    """K1 + X6: url, timestamp, error_message, retry_count in one folder per day."""
-    (audits.select("url", "timestamp", "error_message", "retry_count",
-                   X.day("timestamp").alias("date"))
-     .write.mode("overwrite").partitionBy("date").parquet(out))
+def export_audits_parquet(audits: DataFrame, out: str, incremental: bool = False) -> str:
+    """K1 + X6: url, timestamp, error_message, retry_count in one folder per day.
+
+    ``incremental``: ``out`` is an earlier export of the same append-only
+    table, so a day whose number of rows there is the right one is kept, and
+    only the other days are written, whoever appended to them.
+    """
+    spark = audits.sparkSession
+    rows = audits.select("url", "timestamp", "error_message", "retry_count",
+                         X.day("timestamp").alias("date"))
+    if incremental and path_exists(spark, out):
+        day = F.col("day").alias("date") if "day" in audits.columns else X.day("timestamp").alias("date")
+        now = audits.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+        have = spark.read.schema(rows.schema).parquet(out).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+        # one row per day at most; a day that is gone or unknown means writing everything
+        both = now.alias("a").join(have.alias("b"), F.col("a.date").eqNullSafe(F.col("b.date")), "full")
+        stale = both.where(~F.col("a.n").eqNullSafe(F.col("b.n"))).select("a.date", F.col("a.n").alias("n")).collect()
+        if all(r["n"] is not None and r["date"] is not None for r in stale):
+            if not stale:
+                return out
+            days = [r["date"] for r in stale]
+            kept = audits.filter(F.col("day").isin(days)) if "day" in audits.columns else audits
+            rows = kept.select(*rows.columns[:-1], X.day("timestamp").alias("date")).filter(F.col("date").isin(days))
+            rows.hint("rebalance", "date").write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(out)
+            return out
+    rows.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(out)
     return out
 
 
@@ -191,7 +213,8 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
     # the maintained W1 table when given (no scan of the whole history)
     ranking = (R.site_ranking_from_latest(latest) if latest is not None
                else R.site_ranking(summaries))
-    put("ranking", _iso_cols(ranking, "timestamp"))
+    sites = Observation()  # the number of sites is counted while they are written
+    put("ranking", _iso_cols(ranking.observe(sites, F.count(F.lit(1)).alias("n")), "timestamp"))
     put("top50", _iso_cols(R.top_sites(ranking, 50), "timestamp"), one=True)
     put("worst50", _iso_cols(R.bottom_sites(ranking, 50), "timestamp"), one=True)
     put("by-state", M.metrics_by_state_from_partials(partials) if partials is not None
@@ -202,7 +225,7 @@ def export_dashboard(summaries: DataFrame, quarantine: DataFrame, out: str,
     # the datasets are independent: submit the writes as concurrent jobs
     run_concurrently(jobs)
     return {"generated_at": _iso_text_value(generated_at), "files": paths,
-            "total_sites": ranking.count()}  # reads the numbered ranking's checkpoint
+            "total_sites": sites.get["n"]}
 
 
 def _iso_text_value(t) -> str:

@@ -71,6 +71,33 @@ def test_audits_parquet_per_day_and_latest_json(spark, tmp_dir):
     assert ts == sorted(ts, reverse=True)
 
 
+def test_incremental_audits_export_writes_changed_days_only(spark, tmp_dir):
+    def audits(n):
+        rows = [summary_row(i, f"https://s{i}/", NOW - dt.timedelta(days=i % 3 if i < 9 else 0)) for i in range(n)]
+        return summaries_df(spark, rows).withColumn("retry_count", F.lit(0).cast("long"))
+
+    out = os.path.join(tmp_dir, "days")
+
+    def files():
+        return {d: sorted(f for f in os.listdir(os.path.join(out, d)) if f.startswith("part-"))
+                for d in os.listdir(out) if d.startswith("date=")}
+
+    def urls():
+        return sorted(r.url for r in spark.read.parquet(out).select("url").collect())
+
+    W.export_audits_parquet(audits(9), out, incremental=True)
+    before = files()
+    W.export_audits_parquet(audits(11), out, incremental=True)
+    after, today = files(), f"date={NOW.date()}"
+    assert {d for d in after if after[d] != before[d]} == {today}
+    assert urls() == sorted(f"https://s{i}/" for i in range(11))
+    W.export_audits_parquet(audits(11), out, incremental=True)
+    assert files() == after
+    # days that are gone: everything is written anew
+    W.export_audits_parquet(audits(1), out, incremental=True)
+    assert urls() == ["https://s0/"] and set(files()) == {today}
+
+
 def test_append_audits_and_register_tables_and_sql(spark, tmp_dir):
     rows = [(1, "https://a/", "mobile", NOW, 200, "OK", None, ok_body()),
             (1, "https://a/", "desktop", NOW, 200, "OK", None, ok_body())]

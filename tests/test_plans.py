@@ -56,6 +56,22 @@ def test_top_k_is_take_ordered(spark, reports):
         assert "TakeOrderedAndProject" in plan(reports[name](spark, SF)), name
 
 
+def test_bodies_are_dealt_out_before_they_are_sorted(spark, reports):
+    for name in ("assemble_audits", "summarize_audits"):
+        p = plan(reports[name](spark, SF))
+        tree = p[:p.index("\n\n")].splitlines()
+        names = [ln.split("- ")[-1].split(" (")[0].lstrip("* ") for ln in tree if "- " in ln]
+        assert names.count("Exchange") == 1 and names.count("Sort") <= 1, (name, names)
+        assert "Sort" not in names[names.index("Exchange"):], (name, names)
+
+
+def test_top_sites_and_states_number_nothing(spark, reports):
+    p = plan(reports["top_sites"](spark, SF))
+    assert "TakeOrderedAndProject" in p and "ExistingRDD" not in p
+    p = plan(reports["available_states"](spark, SF))
+    assert "Window" not in p and "ExistingRDD" not in p
+
+
 @pytest.mark.parametrize("name", sorted(all_reports()))
 def test_no_cartesian_no_python_in_any_report(spark, reports, name):
     p = plan(reports[name](spark, SF))

@@ -67,6 +67,18 @@ def test_top_and_bottom_sites(spark):
     assert [r.rank for r in bottom] == [50, 49, 48]
 
 
+def test_top_sites_from_latest_is_the_head_of_the_ranking(spark):
+    scores = [0.9, None, 0.4, 0.9, 0.0, None, 0.7]
+    s = summaries_df(spark, [summary_row(i, f"https://s{9 - i}.sp.gov.br/", NOW, mobile_accessibility=x)
+                             for i, x in enumerate(scores)])
+    ranking = R.site_ranking(s)
+    for n in (3, 6, 50):
+        want = {tuple(r) for r in R.top_sites(ranking, n).collect()}
+        got = R.top_sites_from_latest(R.latest_per_site(s), n)
+        assert {tuple(r) for r in got.select(*ranking.columns).collect()} == want
+    assert R.top_sites_from_latest(s.limit(0), 5).count() == 0
+
+
 def test_worst_and_best_lists(spark):
     rows = [summary_row(i, f"u{i}", NOW, mobile_performance=i / 10, mobile_accessibility=i / 10)
             for i in range(1, 8)]
