@@ -302,8 +302,24 @@ def decode(docs: DataFrame, table: PieceTable, ids_col: str = "ids", text_col: s
 
 
 def encode_with_check(docs: DataFrame, table: PieceTable) -> DataFrame:
-    """``docs`` plus ids, n_pieces and round_trip (whether decoding gives the text back)."""
-    back = fresh_name(docs, "decoded")
-    out = decode(encode(docs, table), table, "ids", back)
-    same = F.col(back) == F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit(MARK), F.lit(" "))
-    return out.withColumns({"n_pieces": F.size("ids").cast("long"), "round_trip": same}).drop(back)
+    """``docs`` plus ids, n_pieces and round_trip (whether decoding gives the text back).
+
+    Both directions run in one Python worker per task, which holds one copy of the pieces.
+    """
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known: dict[str, np.ndarray] = {}
+        for text in batches:
+            texts, out = [t or "" for t in text], []
+            for a, b in slices(np.array([len(t) for t in texts])):
+                out += encode_texts(texts[a:b], shared.value, known)
+            same = [decode_ids(x, shared.value) == t.replace(MARK, " ") for x, t in zip(out, texts)]
+            yield pd.DataFrame({"ids": pd.Series(out, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
+
+    made = fresh_name(docs, "encoded")
+    out = docs.withColumn(made, both(F.col("text")))
+    return out.withColumns({"ids": F.col(made)["ids"], "n_pieces": F.size(F.col(made)["ids"]).cast("long"),
+                            "round_trip": F.col(made)["round_trip"]}).drop(made)
