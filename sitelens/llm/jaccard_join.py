@@ -44,21 +44,27 @@ SIGNATURE = 16
 VERIFY_COST = 8.0
 
 
+def _sets_of(batches, k: int, grams: bool):
+    """Batches of (doc_id, text) -> batches of ``shingle_table``."""
+    for b in batches:
+        texts = [t or "" for t in b["text"]]
+        for i, j in slices(np.array([len(t) for t in texts])):
+            sets = shingle_sets(texts[i:j], k)
+            raw = [pack(s) for s in sets]
+            f = [np.frombuffer(hashlib.blake2b(r, digest_size=16).digest(), "<i8") for r in raw]
+            out = pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].to_numpy(), "n": np.array([len(s) for s in sets], np.int64),
+                                "f1": [x[0] for x in f], "f2": [x[1] for x in f]})
+            yield out.assign(grams=raw) if grams else out
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def shingle_table(docs: DataFrame, k: int, grams: bool = False) -> DataFrame:
     """(doc_id, n, f1, f2): set size and 128-bit fingerprint of the set; with ``grams`` its packed sorted hashes."""
-    def extract(batches):
-        for b in batches:
-            texts = [t or "" for t in b["text"]]
-            for i, j in slices(np.array([len(t) for t in texts])):
-                sets = shingle_sets(texts[i:j], k)
-                raw = [pack(s) for s in sets]
-                f = [np.frombuffer(hashlib.blake2b(r, digest_size=16).digest(), "<i8") for r in raw]
-                out = pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].to_numpy(), "n": np.array([len(s) for s in sets], np.int64),
-                                    "f1": [x[0] for x in f], "f2": [x[1] for x in f]})
-                yield out.assign(grams=raw) if grams else out
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        extract, "doc_id long, n long, f1 long, f2 long" + (", grams binary" if grams else ""))
+    return _texts(docs).mapInPandas(lambda batches: _sets_of(batches, k, grams),
+                                    "doc_id long, n long, f1 long, f2 long" + (", grams binary" if grams else ""))
 
 
 def choose_matches(freq: np.ndarray, base: int, most: int = MAX_MATCHES) -> int:
@@ -94,7 +100,11 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int, bits: int) -> DataFram
     mask = np.uint64((1 << bits) - 1)
 
     def extract(batches):
-        for b in batches:
+        # sets and prefixes in one Python worker per task
+        for b in _sets_of(batches, k, True):
+            b = b[b["n"] > 0]
+            if b.empty:
+                continue
             matches, prefix, parity = [], [], []
             for raw, n in zip(b["grams"], b["n"]):
                 g = unpack(raw)
@@ -108,7 +118,7 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int, bits: int) -> DataFram
                 prefix.append(g[order[:base + m - 1]].astype(np.int64))
             yield b[["doc_id", "n", "f1", "f2"]].assign(matches=np.array(matches, np.int32), prefix=prefix, parity=parity)
 
-    return shingle_table(docs, k, grams=True).where("n > 0").mapInPandas(
+    return _texts(docs).mapInPandas(
         extract, "doc_id long, n long, f1 long, f2 long, matches int, prefix array<long>, parity array<long>")
 
 
