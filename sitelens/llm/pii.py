@@ -3,19 +3,24 @@
 Base entities (email, ip, card, phone) are regular-expression matches that pass
 their checks.  They and long hexadecimal secrets are the seeds of the bootstrap:
 
-1.  Candidate instances are tokens with at least four digits; each
-    occurrence has a lexical pattern, the two words before it (lower-cased).
-2.  Distinct (pattern, instance) pairs form a graph.  In each round a pattern's
+1.  Every span of a seed is an occurrence; its lexical pattern is the two words
+    before the span's own start (lower-cased, without symbols glued to the start).
+2.  Patterns with at least ``MIN_SUPPORT`` known instances are looked up in all
+    texts: what follows one is an instance, whatever it is: a run of tokens with digits,
+    or a single token.  No other pattern can be trusted, so no other is looked up.
+3.  Distinct (pattern, instance) pairs form a graph.  A pattern's
     confidence is the mean score of its instances (with two unknown ones
     added), and an instance's score the noisy-or of its trusted patterns; seeds stay at 1.
-3.  Instances that end above ``accept`` and are no seeds are new identifiers;
-    all their occurrences become spans of kind ``ctx``, secrets ones of kind ``secret``.
+4.  Instances that reach ``accept`` and are no seeds are new identifiers, spans of kind
+    ``ctx`` (secrets: ``secret``).  Those with a digit or @ and ``WIDE`` characters are looked up in all texts,
+    and their patterns join the graph; shorter ones and plain words, which mean
+    something else elsewhere, are spans after trusted patterns only.
 
 Offsets come from splitting the text at the pattern: pieces and matches
 alternate, so their lengths add up to positions (code points).  Everything is
-DataFrame functions; texts are read once and never shuffled.
+DataFrame functions; texts are stored once and joined by what is looked up in them.
 
-Defined cases: NULL text is empty and has no spans; a match that fails its
+Defined cases: NULL text is empty and has no spans; two words of over ``NEAR`` characters together are no pattern; a match that fails its
 check is dropped without a retry; a ``ctx`` or ``secret`` span that touches a base span is
 dropped; repeated rows are judged each; columns of ``keep`` that clash with an
 output column are replaced.
@@ -36,26 +41,29 @@ IP_PARTS = r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?(?:\.|$)){4}
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 SECRET = r"(?<![A-Za-z0-9])[0-9A-Fa-f]{32,64}+(?![A-Za-z0-9])"
-TOKEN = r"(?<!\S)(?=(?:[^\s0-9]*+[0-9]){4})\S+"
+LEAD = r"^[^\p{L}0-9+@\s]*+"
+RUN = r"^(?:[^\s0-9]*+[0-9]\S*+(?:(?<=[\p{L}0-9)])[ \t]++[^\s0-9]*+[0-9]\S*+)*+|\S++)"
 BASE_KINDS = ("email", "ip", "card", "phone")
 
 ROUNDS = 3
 ACCEPT = 0.8
 TRUST = 0.5
 MIN_SUPPORT = 3
+WIDE = 6
+NEAR = 1_000
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, m, left>> of all matches; left: up to 80 characters before it."""
+    """array<struct<start, end, m>> of all matches."""
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.lit(None).cast("array<struct<start:int,end:int,m:string,left:string>>")
+    empty = F.lit(None).cast("array<struct<start:int,end:int,m:string>>")
     pairs = F.arrays_zip(pieces.alias("p"), found.alias("m"))
-    first = F.struct(F.lit(0).alias("at"), F.array_compact(F.coalesce(empty, F.array().cast("array<struct<start:int,end:int,m:string,left:string>>"))).alias("got"))
+    first = F.struct(F.lit(0).alias("at"), F.array_compact(F.coalesce(empty, F.array().cast("array<struct<start:int,end:int,m:string>>"))).alias("got"))
 
     def add(acc, x):
         start = acc["at"] + F.length(x["p"])
         end = start + F.length(x["m"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m"), F.substring(x["p"], -80, 80).alias("left"))
+        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m"))
         return F.when(x["m"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["got"], F.array(one)).alias("got")))
 
     return F.aggregate(pairs, first, add, lambda acc: acc["got"])
@@ -72,7 +80,7 @@ def _luhn(digits: Column) -> Column:
 
 
 def _none() -> Column:
-    return F.array().cast("array<struct<start:int,end:int,m:string,left:string>>")
+    return F.array().cast("array<struct<start:int,end:int,m:string>>")
 
 
 def base_entities(text: Column) -> dict[str, Column]:
@@ -99,17 +107,100 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _candidates(text: Column) -> Column:
-    """Tokens with four digits or more, trimmed of punctuation, and the two words before them."""
-    def one(x):
-        lead = F.length(F.regexp_extract(x["m"], r"^([^\p{L}0-9+@]*+)", 1))
-        core = F.regexp_extract(x["m"], r"^[^\p{L}0-9+@]*+(.*?)[^\p{L}0-9]*$", 1)
-        pattern = F.lower(F.regexp_extract(x["left"], r"(\S+\s+\S+)\s*$", 1))
-        return F.struct((x["start"] + lead).alias("start"), (x["start"] + lead + F.length(core)).alias("end"), F.lower(core).alias("value"),
-                        F.regexp_replace(pattern, r"\s+", " ").alias("pattern"))
+def _let(value: Column, f) -> Column:
+    """f(value), with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
-    found = F.when(text.rlike("[0-9]"), _matches(text, TOKEN)).otherwise(_none())
-    return F.filter(F.transform(found, one), lambda x: F.length(x["value"]) >= 6)
+
+def _pieces(text: Column) -> Column:
+    """Tokens with the blanks after them, also cut after each of : = #; joined they are the text."""
+    return F.split(text, r"(?<=[\s:=#])(?=\S)", -1)
+
+
+def _word(piece: Column) -> Column:
+    return F.lower(F.rtrim(piece, F.lit(" \t\n\x0b\f\r")))
+
+
+def _context(text: Column, start: Column) -> Column:
+    """Hash of the two words before ``start``, NULL if there are fewer; symbols glued to ``start`` are no word."""
+    def last_two(p):
+        a, b = _word(F.get(p, F.size(p) - 2)), _word(F.get(p, F.size(p) - 1))
+        return F.when((F.size(p) >= 2) & (a != ""), F.xxhash64(a, b))
+
+    def pieces(left):
+        return _pieces(F.regexp_replace(left, r"(?<![^\p{L}0-9\s:=#])[^\p{L}0-9\s:=#]++$", ""))
+
+    # of three pieces the last two are whole
+    near = pieces(text.substr(F.greatest(F.lit(1), start - (NEAR - 1)), F.least(start, F.lit(NEAR))))
+    return _let(near, lambda p: F.when((start <= NEAR) | (F.size(p) >= 3), last_two(p)))
+
+
+def _value(raw: Column) -> Column:
+    return F.lower(F.regexp_replace(raw, r"\s+", " "))
+
+
+def _core(raw: Column) -> Column:
+    return F.regexp_extract(raw, r"(?s)^(.*?)[^\p{L}0-9]*+$", 1)
+
+
+def _letters(piece: Column) -> Column:
+    return F.xxhash64(F.regexp_replace(F.lower(piece), r"[^\p{L}0-9]+", ""))
+
+
+def _occurrences(texts: DataFrame, hits: DataFrame, raw) -> DataFrame:
+    """Instances at ``hits`` (__row, pos of a piece, want); raw(tail, want) is what is taken of the text from there to the next seed."""
+    hits = stored(hits, "pii-hits").groupBy("__row").agg(F.collect_set(F.struct("pos", "want")).alias("__hits"))   # bounded by one document
+    found = texts.join(hits, "__row").withColumn("__pieces", _pieces(F.col("__text")))
+    text, seeds = F.col("__text"), F.col("__seeds")
+
+    def place(h):
+        lead = F.length(F.regexp_extract(F.get("__pieces", h["pos"]), LEAD, 0))
+        return F.struct((F.length(F.array_join(F.slice("__pieces", F.lit(1), h["pos"]), "")) + lead).alias("start"), h["want"].alias("want"))
+
+    def take(h):
+        later = F.array_min(F.transform(F.filter(seeds, lambda s: s["start"] >= h["start"]), lambda s: s["start"]))
+        tail = text.substr(h["start"] + 1, F.coalesce(later, F.length(text)) - h["start"])
+        # a token that runs into a seed is none
+        core = _core(raw(_let(later, lambda at: F.when(at.isNull(), tail).otherwise(F.regexp_replace(tail, r"(?<!\S)\S++$", ""))), h["want"]))
+        return _let(core, lambda core: F.struct(h["start"].alias("start"), (h["start"] + F.length(core)).alias("end"), _value(core).alias("value"), _context(text, h["start"]).alias("pattern"), h["want"].alias("want")))
+
+    placed = F.filter(F.transform("__hits", place), lambda h: ~F.exists(seeds, lambda s: (s["start"] <= h["start"]) & (h["start"] < s["end"])))
+    found = found.withColumn("__placed", placed).select("__row", F.explode(F.transform("__placed", take)).alias("o"))
+    found = found.where((F.col("o.end") > F.col("o.start")) & (F.col("o.want").isNull() | (F.col("o.want") == F.col("o.value"))))
+    wide = F.col("o.value").rlike("[0-9@]") & (F.length("o.value") >= WIDE)
+    return found.select("__row", "o.start", "o.end", "o.value", F.xxhash64("o.value", F.lit(1)).alias("instance"), "o.pattern", wide.alias("wide"))
+
+
+def _after(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """What follows each occurrence of ``patterns`` (pattern)."""
+    n = F.greatest(F.size("__words") - 2, F.lit(0))
+    pairs = F.arrays_zip(F.slice("__words", F.lit(1), n).alias("a"), F.slice("__words", F.lit(2), n).alias("b"))
+    each = (texts.select("__row", F.transform(_pieces(F.col("__text")), _word).alias("__words"))
+            .select("__row", F.posexplode(F.transform(pairs, lambda x: F.xxhash64(x["a"], x["b"]))).alias("pos", "pattern")))
+    hits = each.join(patterns, "pattern").select("__row", (F.col("pos") + 2).alias("pos"), F.lit(None).cast("string").alias("want"))
+    return _occurrences(texts, hits, lambda tail, want: F.regexp_extract(tail, RUN, 0))
+
+
+def _again(texts: DataFrame, instances: DataFrame) -> DataFrame:
+    """Each occurrence of ``instances`` (value), whatever is before it."""
+    each = texts.select("__row", F.posexplode(F.transform(_pieces(F.col("__text")), _letters)).alias("pos", "first"))
+    want = instances.select(_letters(F.get(_pieces(F.col("value")), F.lit(0))).alias("first"), F.col("value").alias("want"))
+    hits = each.join(want, "first").select("__row", "pos", "want")
+    tokens = lambda want: F.concat(F.lit(r"^\S++(?:[ \t]++\S++){"), (F.size(F.split(want, " ")) - 1).cast("string"), F.lit("}+"))
+    return _occurrences(texts, hits, lambda tail, want: F.coalesce(F.regexp_substr(tail, tokens(want)), F.lit("")))
+
+
+def _scores(graph: DataFrame, looked: DataFrame, accept: float) -> tuple[DataFrame, DataFrame]:
+    """(instances with their scores, trusted patterns); only patterns of ``looked`` have all their instances in ``graph``."""
+    score = stored(graph.groupBy("instance").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double")), "pii-scores")
+    full = stored(graph.join(looked, "pattern"), "pii-graph")
+    for _ in range(ROUNDS):
+        pattern = stored(full.join(score.select("instance", "score"), "instance").groupBy("pattern")
+                         .agg((F.sum("score") / (F.count(F.lit(1)) + 2)).alias("conf"), F.count_if(F.col("score") >= accept).alias("support"))
+                         .where((F.col("conf") >= TRUST) & (F.col("support") >= MIN_SUPPORT)), "pii-patterns")
+        told = (full.join(pattern, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999)))))).alias("told")))
+        score = stored(score.join(told, "instance", "left").select("instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("told", F.lit(0.0))).alias("score")), "pii-scores")
+    return score, pattern
 
 
 def _touches(a: Column, spans: Column) -> Column:
@@ -123,32 +214,49 @@ def find_pii(docs: DataFrame, keep: list[str], rounds: int = ROUNDS, accept: flo
     and secret, each by start.
     """
     text = F.col("__text")
+    kept = "text" in keep
     rows = docs.select(*keep, text_of().alias("__text"))
     base = base_entities(text)
     rows = rows.withColumn("__base", F.concat(*[_spans(k, base[k]) for k in BASE_KINDS]))
     secret = F.when(text.rlike("[0-9A-Fa-f]{32}"), _matches(text, SECRET)).otherwise(_none())
-    rows = rows.select(*keep, F.monotonically_increasing_id().alias("__row"), "__base", _spans("secret", secret).alias("__secret"), _candidates(text).alias("__cand"))
-    # written once: row numbers and spans are fixed even if an executor is lost
+    rows = rows.select(*keep, F.monotonically_increasing_id().alias("__row"), "__base", _spans("secret", secret).alias("__secret"), *[] if kept else ["__text"])
+    # written once: row numbers, spans and texts are fixed even if an executor is lost
     rows = stored(rows, "pii-rows")
     seeds = F.concat("__base", "__secret")
-    seen = rows.where(F.size("__cand") > 0).select("__row", "__base", F.explode("__cand").alias("c"), seeds.alias("s")).select(
-        "__row", "c.start", "c.end", F.xxhash64("c.value", F.lit(1)).alias("instance"), F.xxhash64("c.pattern").alias("pattern"),
-        (F.length("c.pattern") > 0).alias("framed"), _touches(F.col("c"), F.col("s")).alias("seed"))
-    seen = stored(seen, "pii-occurrences")
-    graph = stored(seen.where("framed").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-graph")
-    instances = seen.groupBy("instance").agg(F.max("seed").alias("seed"))
-    score = stored(instances.select("instance", "seed", F.col("seed").cast("double").alias("score")), "pii-scores")
+    texts = rows.select("__row", (text_of() if kept else text).alias("__text"), seeds.alias("__seeds"))
+    one = lambda s: F.struct(_context(text, s["start"]).alias("pattern"), F.xxhash64(_value(text.substr(s["start"] + 1, s["end"] - s["start"])), F.lit(0)).alias("instance"))
+    graph = stored(texts.where(F.size("__seeds") > 0).select(F.explode(F.transform("__seeds", one)).alias("o")).where("o.pattern IS NOT NULL")
+                   .select("o.pattern", "o.instance", F.lit(True).alias("seed")).distinct(), "pii-graph")
+    score = graph.select("instance", "seed", F.lit(1.0).alias("score")).distinct()
+    looked = searched = seen = None
     for _ in range(rounds):
-        pattern = stored(graph.join(score.select("instance", "score"), "instance").groupBy("pattern")
-                         .agg((F.sum("score") / (F.count(F.lit(1)) + 2)).alias("conf"), F.count_if(F.col("score") >= accept).alias("support"))
-                         .where((F.col("conf") >= TRUST) & (F.col("support") >= MIN_SUPPORT)), "pii-patterns")
-        told = (graph.join(pattern, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999)))))).alias("told")))
-        score = stored(score.join(told, "instance", "left").select("instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("told", F.lit(0.0))).alias("score")), "pii-scores")
-    new = stored(score.where((F.col("score") >= accept) & ~F.col("seed")).select("instance"), "pii-new")
-    found = seen.join(new, "instance").groupBy("__row").agg(
-        F.sort_array(F.collect_set(F.struct(F.lit("ctx").alias("kind"), "start", "end"))).alias("__ctx"))   # bounded by one document
-    out = rows.join(found, "__row", "left")
-    extra = F.coalesce("__ctx", F.array().cast("array<struct<kind:string,start:int,end:int>>"))
+        known = score.where(F.col("score") >= accept)
+        patterns = graph.join(known.select("instance"), "instance").groupBy("pattern").count().where(F.col("count") >= MIN_SUPPORT).select("pattern")
+        patterns = stored(patterns if looked is None else patterns.join(looked, "pattern", "left_anti"), "pii-look")
+        parts = [] if patterns.isEmpty() else [_after(texts, patterns)]
+        if seen is not None:
+            fresh = seen.where("wide").select("instance", "value").distinct().join(known.where("NOT seed").select("instance"), "instance")
+            fresh = stored(fresh if searched is None else fresh.join(searched, "instance", "left_anti"), "pii-fresh")
+            parts += [] if fresh.isEmpty() else [_again(texts, fresh.select("value"))]
+            searched = fresh.select("instance") if searched is None else stored(searched.union(fresh.select("instance")), "pii-searched")
+        if not parts:
+            break
+        for part in parts:
+            seen = part if seen is None else seen.union(part)
+        seen = stored(seen.distinct(), "pii-occurrences")
+        looked = patterns if looked is None else stored(looked.union(patterns), "pii-looked")
+        graph = stored(graph.where("seed").union(seen.where("pattern IS NOT NULL").select("pattern", "instance", F.lit(False)).distinct()), "pii-graph")
+        score, trusted = _scores(graph, looked, accept)
+    out = rows
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    if seen is None:
+        out = out.withColumn("__ctx", none)
+    else:
+        new = stored(score.where((F.col("score") >= accept) & ~F.col("seed")).select("instance"), "pii-new")
+        found = seen.join(new, "instance").join(trusted.select("pattern", F.lit(True).alias("told")), "pattern", "left").where("wide OR told")
+        found = found.groupBy("__row").agg(F.sort_array(F.collect_set(F.struct(F.lit("ctx").alias("kind"), "start", "end"))).alias("__ctx"))   # bounded by one document
+        out = out.join(found, "__row", "left")
+    extra = F.coalesce("__ctx", none)
     extra = F.concat(F.filter(extra, lambda x: ~_touches(x, seeds)), F.filter("__secret", lambda x: ~_touches(x, F.col("__base"))))
     count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
     made = {f"n_{k}": count(k) for k in BASE_KINDS} | {"base": F.col("__base"), "spans": F.concat("__base", extra)}

@@ -59,6 +59,19 @@ def test_patterns_find_unseen_identifiers(spark):
     assert all(got[i]["n_card"] == 1 and len(got[i]["spans"]) == 1 for i in range(len(good)))
 
 
+def test_every_base_entity_teaches_the_words_before_it(spark):
+    """E-mails, phones and spaced cards are seeds; any token, or run of tokens with digits, after their patterns is found."""
+    cards = [c for c in (f"4111 1111 1111 {1000 + i}" for i in range(200)) if base_spans(c)]
+    rows = [(i, f"then write to name.{i % 100}@mail5.example.com today") for i in range(20)]
+    rows += [(100 + i, f"or just call: +1 (743) 555-38{10 + i} today") for i in range(20)] + [(200 + i, f"take card no {c} today") for i, c in enumerate(cards)]
+    rows += [(900, "then write to jsmith today"), (901, "or just call:5550 1234 99 today"), (902, 'the card no "77-88" 12 today'), (903, "jsmith has 5550 1234 99 or 99 12")]
+    got = by_id(pii.find_pii(docs_df(spark, rows), ["doc_id"]))
+    assert len(cards) >= 10
+    found = {i: [t[a:b] for k, a, b in (tuple(s) for s in got[i]["spans"]) if k == "ctx"] for i, t in rows}
+    assert found[900] == ["jsmith"] and found[901] == ["5550 1234 99"] and found[902] == ["77-88"] and found[903] == ["5550 1234 99"]
+    assert not any(v for i, v in found.items() if i < 900)
+
+
 def test_redaction_replaces_spans_and_keeps_columns(spark):
     rows = [(1, "mail a@b.co or 10.0.0.1 é"), (2, "nothing"), (3, None), (4, "key " + "ab" * 16)]
     docs = docs_df(spark, rows).withColumn("spans", F.lit(5)).withColumn("base", F.lit("x")).drop("spans", "base")
