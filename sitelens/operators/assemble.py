@@ -93,9 +93,26 @@ def is_http_error(code: Column) -> Column:
     return code.isNotNull() & ~code.between(200, 299)
 
 
+DOCUMENT = "_doc"
+
+
+def with_documents(rows: DataFrame, bodies: dict[str, str]) -> DataFrame:
+    """``rows`` with a parsed document (X12) per entry of ``bodies`` (new column -> text column).
+
+    The documents pass through a Generate of one row, which the optimizer never
+    merges with the projections above it.  As plain columns they would be put
+    back into every expression that uses them, and parsed again in each.
+    """
+    docs = F.struct(*[parse_body(text).alias(name) for name, text in bodies.items()])
+    return rows.select("*", F.inline(F.array(docs)))
+
+
 def response_error(status_code="status_code", failure="failure", reason="reason",
-                   body="body") -> Column:
-    """Error text of one response, NULL when the response is usable."""
+                   body="body", document=DOCUMENT) -> Column:
+    """Error text of one response, NULL when the response is usable.
+
+    ``document`` is the parsed ``body`` (:func:`with_documents`).
+    """
     code, fail, why, text = (X._c(c) for c in (status_code, failure, reason, body))
     # an error object without a message gives the whole body; an error that is
     # no object, like any other body, gives its first characters
@@ -104,7 +121,7 @@ def response_error(status_code="status_code", failure="failure", reason="reason"
                     F.coalesce(F.get_json_object(text, "$.error.message"), text)) \
         .otherwise(F.substring(text, 1, BODY_SNIPPET))
     detail = F.coalesce(F.nullif(detail, F.lit("")), why, F.lit(""))
-    usable = usable_body(parse_body(text))
+    usable = usable_body(X._c(document))
     return (F.when(fail == "timeout", F.concat(F.lit(TIMEOUT_PREFIX), F.coalesce(why, F.lit(""))))
             .when(fail == "request", F.concat(F.lit(REQUEST_PREFIX), F.coalesce(why, F.lit(""))))
             .when(fail.isNotNull(), F.coalesce(why, fail))
@@ -120,7 +137,8 @@ def validate_responses(raw: DataFrame) -> DataFrame:
                .when(is_http_error(F.col("status_code")), F.lit("http_error"))
                .when(err.isNotNull(), F.lit("invalid_body"))
                .otherwise(F.lit("ok")))
-    return raw.select("*", outcome.alias("outcome"), err.alias("problem"))
+    judged = with_documents(raw, {DOCUMENT: "body"})
+    return judged.select(*raw.columns, outcome.alias("outcome"), err.alias("problem"))
 
 
 def _per_strategy_aggs(value_cols: list[str]) -> list:
@@ -160,19 +178,20 @@ def _audit_columns(created_at) -> tuple[Column, list]:
 def assemble_with_summaries(raw: DataFrame, created_at=None) -> DataFrame:
     """T1 and T2 in one pass: every audit column plus every summary column.
 
-    Each response body is parsed once, before the shuffle: the same parse
-    decides validity (T1b) and yields the four scores and four vitals (X12),
-    which travel through the (run_id, url) exchange next to the body.  The
+    Each response body is parsed once, before the shuffle: the same document
+    (:func:`with_documents`) decides validity (T1b) and yields the four scores and
+    four vitals (X12), which travel through the (run_id, url) exchange next to the body.  The
     audits table is ``select(AUDITS)`` of the result and the summaries table
     ``select(AUDIT_SUMMARIES)``, with the same values as T2 over the stored
     documents.
     """
-    parsed = parse_body("body")
+    parsed = F.col(DOCUMENT)
     values = {f"c_{suffix}": X.category_score(parsed, name) for name, suffix in CATEGORY_COLUMNS}
     values.update({f"v_{suffix}": X.audit_value(parsed, name) for name, suffix in VITAL_AUDITS})
-    r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
-                   response_error().alias("_err"),
-                   *[v.alias(k) for k, v in values.items()])
+    judged = with_documents(raw, {DOCUMENT: "body"})
+    r = judged.select("run_id", "url", "strategy", "fetched_at", "body",
+                      response_error().alias("_err"),
+                      *[v.alias(k) for k, v in values.items()])
     g = _by_run(r).agg(*_per_strategy_aggs(list(values)))
     ok, cols = _audit_columns(created_at)
     for s in STRATEGIES:
@@ -193,17 +212,19 @@ def assemble_audits(raw: DataFrame, created_at=None) -> DataFrame:
     response counts as a failure.  Repeated responses of one strategy: the
     newest wins.  One shuffle on (run_id, url); every group holds two rows.
     """
-    r = raw.select("run_id", "url", "strategy", "fetched_at", "body",
-                   response_error().alias("_err"))
+    judged = with_documents(raw, {DOCUMENT: "body"})
+    r = judged.select("run_id", "url", "strategy", "fetched_at", "body",
+                      response_error().alias("_err"))
     g = _by_run(r).agg(*_per_strategy_aggs([]))
     _, cols = _audit_columns(created_at)
     return g.select(*cols)
 
 
 def summarize_audits(audits: DataFrame) -> DataFrame:
-    """The wide summary row of every audit (narrow, no shuffle)."""
+    """The wide summary row of every audit (narrow, no shuffle, each document parsed once)."""
     cols = [F.col("id"), F.col("url"), F.col("timestamp")]
-    parsed = {s: parse_body(f"{s}_result") for s in STRATEGIES}
+    names = {s: f"_{s}{DOCUMENT}" for s in STRATEGIES}
+    parsed = {s: F.col(name) for s, name in names.items()}
     for s in STRATEGIES:
         for name, suffix in CATEGORY_COLUMNS:
             cols.append(X.category_score(parsed[s], name).alias(f"{s}_{suffix}"))
@@ -212,7 +233,7 @@ def summarize_audits(audits: DataFrame) -> DataFrame:
             cols.append(X.audit_value(parsed[s], name).alias(f"{s}_{suffix}"))
     cols += [F.col("error_message").isNotNull().alias("has_errors"), F.col("error_message"),
              F.col("created_at")]
-    out = audits.select(*cols)
+    out = with_documents(audits, {name: f"{s}_result" for s, name in names.items()}).select(*cols)
     return out.select(*schemas.AUDIT_SUMMARIES.fieldNames())
 
 

@@ -215,6 +215,22 @@ def daily_partials(summaries: DataFrame) -> DataFrame:
                              X.state_from_url("url").alias("state")).agg(*aggs)
 
 
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Rows of :func:`daily_partials` from several loads as one row per (day, state)."""
+    keys = ("day", "state")
+    aggs = []
+    for c in partials.columns:
+        if c.startswith("m2_"):
+            s, n = F.col(f"s_{c[3:]}"), F.col(f"n_{c[3:]}")
+            between = F.sum(F.pow(s, 2) / n) - F.pow(F.sum(s), 2) / F.sum(n)
+            # one row stays as it is
+            aggs.append((F.sum(c) + F.when(F.count(c) > 1, F.greatest(between, F.lit(0.0))).otherwise(0.0)).alias(c))
+        elif c not in keys:
+            f = {"min_mp": F.min, "max_mp": F.max}.get(c, F.sum)
+            aggs.append(f(c).alias(c))
+    return partials.groupBy(*keys).agg(*aggs).select(*partials.columns)
+
+
 def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
     """A1 + A2 from :func:`daily_partials` rows (same columns as A1), one aggregate.
 

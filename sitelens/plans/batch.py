@@ -8,6 +8,7 @@ driver are the batch counts.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,12 @@ from ..operators import filters as FL
 from ..operators import metrics as M
 from ..operators.assemble import assemble_with_summaries
 from ..operators.quarantine import next_id, quarantine_current
-from ..operators.ranking import update_latest
+from ..operators.ranking import latest_per_site, update_latest
 from ..operators.sequence import number_in_place
-from ..session import child_names, path_exists, work_root
+from ..session import child_names, path_exists, read_text, run_concurrently, work_root, write_once
 from ..sinks import writers as W
 from ..sources import files as S
+from ..sources.ledger import committed_loads, load_days, new_load
 from ..sources.tables import read_table
 
 
@@ -49,19 +51,19 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     # staged once with new ids (W5); the skip list reads the table this run appends to
     staged = number_in_place(assemble_with_summaries(batch).drop("id"), "id",
                              next_id(read_table(spark, base, "audit_summaries")))
-    W.write_assembled(staged, base, W.new_load())
-    _, partials = maintained_tables(spark, base)
+    W.write_assembled(staged, base, new_load())
+    maintained_tables(spark, base)
     if out_dir:
         summaries = read_table(spark, base, "audit_summaries")  # with its day folders
         W.export_audits_parquet(read_table(spark, base, "audits"), f"{out_dir}/audits", incremental=True)
         W.export_summaries_parquet(summaries, f"{out_dir}/audit_summaries")
-        counts = partials.groupBy("day").agg(F.sum("n_all").alias("n"))
+        counts = load_days(spark, base).select("day", "n")
         W.export_latest_json(summaries, f"{out_dir}/latest_audits", as_of, day_counts=counts)
     return M.batch_counts(staged, F.lit("batch").alias("run"))
 
 
 MAINTAINED = "maintained"
-COVERED = T.StructType([T.StructField("day", T.DateType()), T.StructField("n", T.LongType())])
+_COVERED = "covered.json"
 
 
 def _partials_schema(spark: SparkSession) -> T.StructType:
@@ -69,10 +71,10 @@ def _partials_schema(spark: SparkSession) -> T.StructType:
 
 
 def _version(spark: SparkSession, base: str) -> str | None:
-    """The newest version that was written to its end (``covered`` is its last folder)."""
+    """The newest version that was written to its end (``covered.json`` is its last file)."""
     root = f"{base}/{MAINTAINED}"
     for name in reversed(child_names(spark, root)):
-        if path_exists(spark, f"{root}/{name}/covered/_SUCCESS"):
+        if path_exists(spark, f"{root}/{name}/{_COVERED}"):
             return name
     return None
 
@@ -80,14 +82,17 @@ def _version(spark: SparkSession, base: str) -> str | None:
 def maintained_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """The latest-per-site (W1) and per-day partial tables, complete.
 
-    A version records how many summaries of every day it covers.  The tables
-    are append-only, so a day whose count (Parquet footers only) is the recorded
-    one is covered, whoever wrote it; the other days' summaries are read anew, and
-    the result is written as a new version.  A version that a crash cut short is
-    never read, and the next call starts from the one before.
+    A version records the names of the loads it covers.  Committed loads never
+    change, so only the loads that came since, whoever appended them, are read
+    and merged into the version before; the result is written as a new version.
+    A version that a crash cut short is never read, and the next call starts from the
+    one before.  Tables without a ledger are computed whole and not stored.
     """
-    summaries = read_table(spark, base, "audit_summaries")
-    now = summaries.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    loads = committed_loads(spark, base)
+    columns = schemas.AUDIT_SUMMARIES.fieldNames()
+    if loads is None:
+        rows = read_table(spark, base, "audit_summaries").select(*columns)
+        return latest_per_site(rows), M.daily_partials(rows)
     root, name = f"{base}/{MAINTAINED}", _version(spark, base)
     schema = _partials_schema(spark)
 
@@ -95,24 +100,22 @@ def maintained_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFr
         return spark.read.schema(sch).parquet(f"{root}/{version}/{kind}")
 
     if name is None:
-        latest, partials, covered = (schemas.empty_frame(spark, x) for x in (schemas.AUDIT_SUMMARIES, schema, COVERED))
+        covered = set()
+        latest, partials = (schemas.empty_frame(spark, x) for x in (schemas.AUDIT_SUMMARIES, schema))
     else:
-        latest, partials, covered = (part(name, *x) for x in (("latest", schemas.AUDIT_SUMMARIES), ("partials", schema), ("covered", COVERED)))
-    # one row per day at most
-    stale = [r["day"] for r in now.join(covered, ["day", "n"], "left_anti").select("day").collect()]
-    if not stale and name is not None:
+        covered = set(json.loads(read_text(spark, f"{root}/{name}/{_COVERED}")))
+        latest, partials = part(name, "latest", schemas.AUDIT_SUMMARIES), part(name, "partials", schema)
+    new = sorted(set(loads) - covered)
+    if not new and name is not None:
         return latest, partials
-    rows = summaries.filter(F.col("day").isin(*stale)) if stale else summaries.limit(0)
-    fresh = rows.select(*schemas.AUDIT_SUMMARIES.fieldNames())
+    fresh = read_table(spark, base, "audit_summaries", new).select(*columns)
     # names sort by time, so the newest complete version is the last one
     version = f"v-{int(name.split('-')[1]) + 1 if name else 1:012d}-{uuid.uuid4().hex[:8]}"
-    new_partials = M.daily_partials(fresh)
-    update_latest(latest, fresh).write.parquet(f"{root}/{version}/latest")
-    (partials.filter(~F.col("day").isin(*stale)) if stale else partials).unionByName(new_partials) \
-        .write.parquet(f"{root}/{version}/partials")
-    # covered is what the partials hold, not what the tables hold by now
-    part(version, "partials", schema).groupBy("day").agg(F.sum("n_all").alias("n")).coalesce(1) \
-        .write.parquet(f"{root}/{version}/covered")
+    run_concurrently([
+        lambda: update_latest(latest, fresh).write.parquet(f"{root}/{version}/latest"),
+        lambda: M.merge_partials(partials.unionByName(M.daily_partials(fresh))).write.parquet(f"{root}/{version}/partials"),
+    ])
+    write_once(spark, f"{root}/{version}/{_COVERED}", json.dumps(sorted(covered | set(new))))
     return part(version, "latest", schemas.AUDIT_SUMMARIES), part(version, "partials", schema)
 
 

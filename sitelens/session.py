@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _CKPT_CONF = "spark.checkpoint.dir"
@@ -71,21 +72,69 @@ def work_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def _resolved(spark: SparkSession, path: str):
+    """(file system, path) as Spark resolves them (never the driver's own disk,
+    unless that is the default file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the file system Spark resolves it to (never the
-    driver's own disk, unless that is the default file system)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _resolved(spark, path)
+    return fs.exists(p)
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a pattern of folders."""
+    fs, p = _resolved(spark, pattern)
+    return len(fs.globStatus(p) or []) > 0
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _resolved(spark, path)
+    fs.mkdirs(p)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Sorted names in a folder, empty if the folder is absent."""
-    if not path_exists(spark, path):
-        return []
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+    fs, p = _resolved(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    fs, p = _resolved(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create one small file whole, unless its name is taken; says whether it was created.
+
+    Written beside its place under a hidden name and renamed without
+    overwriting, so nobody reads half of it and of two writers one fails.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, p = _resolved(spark, path)
+    if fs.exists(p):
+        return False
+    beside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()) \
+            .rename(fs.makeQualified(beside), fs.makeQualified(p), none)
+    except Py4JJavaError as e:
+        fs.delete(beside, False)
+        if "FileAlreadyExistsException" in e.java_exception.toString():
+            return False
+        raise
+    return True
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,6 @@ gathered into one document.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -21,7 +20,8 @@ from ..operators import metrics as M
 from ..operators import ranking as R
 from ..operators.assemble import assemble_with_summaries, summarize_audits
 from ..operators.quarantine import quarantine_current
-from ..session import path_exists, run_concurrently
+from ..session import matches, path_exists, run_concurrently
+from ..sources.ledger import commit_load, is_committed, new_load, open_ledger
 
 
 def _iso_lit(t) -> F.Column:
@@ -39,17 +39,14 @@ def append_audits(audits: DataFrame, base: str) -> dict[str, str]:
 
     Both tables are partitioned by ``day`` of the audit, so time-window
     reports prune folders, and below it by ``load``, one name per append;
-    REBALANCE lets AQE size the write tasks.
+    REBALANCE lets AQE size the write tasks.  The load is committed last, for
+    both tables at once (:mod:`sitelens.sources.ledger`).
     """
-    load = new_load()
-    a = audits.select(*schemas.AUDITS.fieldNames()).withColumn("day", X.day("timestamp")).persist()
+    a = audits.select(*schemas.AUDITS.fieldNames()).persist()
     try:
-        _write_days(a, f"{base}/audits", load)
-        _write_days(summarize_audits(a).withColumn("day", X.day("timestamp")),
-                    f"{base}/audit_summaries", load)
+        return _append(a, summarize_audits(a), base, new_load())
     finally:
         a.unpersist()
-    return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
 
 
 def append_responses(raw: DataFrame, base: str) -> dict[str, str]:
@@ -63,27 +60,41 @@ def append_responses(raw: DataFrame, base: str) -> dict[str, str]:
         both.unpersist()
 
 
-def new_load() -> str:
-    """A fresh name for one append (never read as a number)."""
-    return f"load-{uuid.uuid4().hex[:12]}"
+def write_assembled(both: DataFrame, base: str, load: str) -> dict[str, str]:
+    """Write the rows of ``assemble_with_summaries`` to both tables as one load.
+
+    Repeating a committed load writes nothing; one that was cut short is replaced.
+    """
+    return _append(both.select(*schemas.AUDITS.fieldNames()),
+                   both.select(*schemas.AUDIT_SUMMARIES.fieldNames()), base, load)
+
+
+def _append(audits: DataFrame, summaries: DataFrame, base: str, load: str) -> dict[str, str]:
+    spark = audits.sparkSession
+    paths = {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
+    if is_committed(spark, base, load):
+        return paths
+    open_ledger(spark, base)
+    run_concurrently([lambda: _write_days(audits, paths["audits"], load),
+                      lambda: _write_days(summaries, paths["audit_summaries"], load)])
+    commit_load(spark, base, load, _written_days(spark, paths["audit_summaries"], load))
+    return paths
 
 
 def _write_days(rows: DataFrame, path: str, load: str) -> None:
     # only the folders of this load are replaced, so a repeated write adds nothing
-    rows.withColumn("load", F.lit(load)).hint("rebalance", "day").write.mode("overwrite") \
+    rows.withColumn("day", X.day("timestamp")).withColumn("load", F.lit(load)) \
+        .hint("rebalance", "day").write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "load").parquet(path)
 
 
-def write_assembled(both: DataFrame, base: str, load: str) -> dict[str, str]:
-    """Write the rows of ``assemble_with_summaries`` to both tables as one load."""
-    both = both.withColumn("day", X.day("timestamp"))
-    run_concurrently([
-        lambda: _write_days(both.select(*schemas.AUDITS.fieldNames(), "day"),
-                            f"{base}/audits", load),
-        lambda: _write_days(both.select(*schemas.AUDIT_SUMMARIES.fieldNames(), "day"),
-                            f"{base}/audit_summaries", load),
-    ])
-    return {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
+def _written_days(spark, path: str, load: str) -> list:
+    """(day, rows) of the files of one load (Parquet footers; one row per day)."""
+    files = f"{path}/day=*/load={load}"
+    if not matches(spark, files):
+        return []
+    rows = spark.read.schema("id long, day date").option("basePath", path).parquet(files)
+    return [tuple(r) for r in rows.groupBy("day").agg(F.count(F.lit(1))).collect()]
 
 
 def export_audits_parquet(audits: DataFrame, out: str, incremental: bool = False) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.quarantine import quarantine_current
 from ..session import path_exists
+from .ledger import committed_loads
 
 TABLE_SCHEMAS = {
     "audits": schemas.AUDITS,
@@ -24,22 +25,33 @@ TABLE_SCHEMAS = {
 
 DAY_PARTITIONED = {"audits", "audit_summaries"}
 _DAY = T.StructField("day", T.DateType())
+_LOAD = T.StructField("load", T.StringType())
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, loads: list[str] | None = None) -> DataFrame:
     """A table folder read with its declared schema (empty if the folder is absent).
 
     ``audits`` and ``audit_summaries`` keep their ``day`` partition column,
-    which the time-window operators use to prune folders.  Whether the folder
+    which the time-window operators use to prune folders, and show committed
+    loads only (``loads``: just these of them).  Whether the folder
     is there is asked of Spark's file system, whatever form the path has.
     """
     path = f"{base.rstrip('/')}/{name}"
     schema = TABLE_SCHEMAS[name]
+    committed = None
     if name in DAY_PARTITIONED:
         schema = T.StructType(schema.fields + [_DAY])
+        # asked before the files are listed: all files of these loads are there
+        committed = committed_loads(spark, base)
     if not path_exists(spark, path):
         return schemas.empty_frame(spark, schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    if committed is None:
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    wanted = committed if loads is None else sorted(set(loads) & set(committed))
+    if not wanted:
+        return schemas.empty_frame(spark, schema)
+    rows = spark.read.schema(T.StructType(schema.fields + [_LOAD])).parquet(path)
+    return rows.filter(rows["load"].isin(wanted)).select(*schema.fieldNames())
 
 
 def register_tables(spark: SparkSession, base: str | None = None,

@@ -94,3 +94,16 @@ def test_hot_url_with_a_third_of_rows(spark):
     assert by_state == {"SP": 200, "RJ": 400}
     trend = M.performance_trend(s.filter(F.col("url") == "https://hot.sp.gov.br/")).first()
     assert trend.n_audits == 200
+
+
+def test_each_body_is_parsed_once(spark):
+    from sitelens import schemas
+    from sitelens.operators import assemble as A
+    raw = schemas.empty_frame(spark, schemas.RAW_RESPONSES)
+    audits = schemas.empty_frame(spark, schemas.AUDITS)
+    # a real relation, so nothing is folded away
+    raw, audits = (spark.createDataFrame(x.rdd, x.schema) for x in (raw, audits))
+    for frame, parses in ((A.assemble_audits(raw), 1), (A.assemble_with_summaries(raw), 1),
+                          (A.validate_responses(raw), 1), (A.summarize_audits(audits), 2)):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert text.count("from_json(") == parses, text
