@@ -12,8 +12,9 @@ with the same checkpoint reads only files that came since.
 A digest seen more than once is a hit.  Its rows are compared byte by byte with the
 content at the locator of the row that stays; rows that differ (a collision of
 digests) form classes by their whole bytes instead.  Hits are written once and
-joined by digest; AQE splits a digest with very many rows.  No text of a row
-without a hit is moved further than that one join.
+joined by digest; AQE splits a digest with very many rows.  Texts of rows without a
+hit stay where they are read: a bitmap of the hits' digests (``BITS_PER_HIT`` bits each,
+``MAX_BITS`` in all, so 32 MB at most) is broadcast, and only rows that meet a bit move.
 
 Defined cases: a NULL text is empty and equal to empty texts; of equal texts the row
 with the largest id stays, a NULL id is the smallest, and of repeated rows with one
@@ -36,6 +37,9 @@ from .common import stored, text_of
 BYTES_PER_BATCH = 64 << 30
 #: Native memory of all state stores of an executor; the rest of the state stays on disk.
 STATE_MEMORY_MB = 256
+#: Size of the bitmap of hits; a fuller one lets more rows without a hit pass, which the join drops.
+BITS_PER_HIT, MAX_BITS = 16, 1 << 28
+_PAGE = 1 << 15          # bits that bitmap_construct_agg holds
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -53,6 +57,22 @@ def _located(rows: DataFrame, content: Callable[[], Column], digest: Callable[[C
                        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
 
 
+def _near_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """The rows whose digest may be in ``hits``."""
+    bits = _PAGE
+    wanted = min(MAX_BITS, BITS_PER_HIT * hits.count())
+    while bits < wanted:
+        bits *= 2
+    at = F.pmod(F.xxhash64("digest"), F.lit(bits))
+    page, place = F.shiftright(at, 15).alias("page"), at.bitwiseAND(F.lit(_PAGE - 1))
+    pages = hits.select(page, place.alias("place")).groupBy("page").agg(F.bitmap_construct_agg("place").alias("bitmap"))
+    byte = F.conv(F.hex(F.substring("bitmap", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
+    # at most MAX_BITS / _PAGE pages of 4 KB
+    near = rows.withColumn("page", page).join(F.broadcast(pages), "page").where(hit)
+    return near.select(*rows.columns)
+
+
 def advance(spark: SparkSession, path: str, checkpoint: str, content=text_of, digest=sha256_digest,
             files_per_batch: int | None = None) -> None:
     """Take all files that came below ``path`` since the last call into the state at ``checkpoint``."""
@@ -99,7 +119,7 @@ def deduplicate(spark: SparkSession, path: str, content=text_of, digest=sha256_d
     hits = stored(known.where("n > 1"), "dedup-hits")
     rows = _located(source, content, digest)
     here = (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))
-    texts = stored(rows.join(hits, "digest").select("digest", "doc_id", "file", "row", "content", here.alias("keeper")), "dedup-texts")
+    texts = stored(_near_hits(rows, hits).join(hits, "digest").select("digest", "doc_id", "file", "row", "content", here.alias("keeper")), "dedup-texts")
     keepers = texts.where("keeper").select("digest", F.col("content").cast("binary").alias("keep_bytes"))
     checked = texts.join(keepers, "digest", "left")
     same = F.coalesce(F.col("content").cast("binary") == F.col("keep_bytes"), F.lit(False))

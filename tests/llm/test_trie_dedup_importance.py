@@ -158,6 +158,15 @@ def test_dedup_state_is_kept_between_calls(spark, tmp_dir):
     assert state.agg(F.sum("n")).first()[0] == len(ROWS + more) and state.select("digest").distinct().count() == state.count()
 
 
+def test_dedup_bitmap_passes_all_hits_and_few_others(spark, monkeypatch):
+    rows = spark.range(20_000).select("id", exact_dedup.sha256_digest(F.col("id").cast("string")).alias("digest"))
+    for most, low, high in ((1 << 28, 500, 2_500), (1 << 15, 500, 2_500)):
+        monkeypatch.setattr(exact_dedup, "MAX_BITS", most)
+        near = exact_dedup._near_hits(rows, rows.where("id % 40 = 0").select("digest")).select("id")
+        assert near.where("id % 40 = 0").count() == 500 and low <= near.count() <= high
+    assert exact_dedup._near_hits(rows, rows.limit(0).select("digest")).count() == 0
+
+
 def test_dedup_of_an_empty_table(spark, tmp_dir):
     write(spark, f"{tmp_dir}/t", [])
     assert dedup_rows(spark, f"{tmp_dir}/t") == Counter()
