@@ -1,37 +1,80 @@
 """Incremental ingest of stored responses with Structured Streaming.
 
 New response files -> T1 -> T2 -> the tables of U1, giving the same rows as the
-batch path.  A run is assembled once both of its responses are there; until
-then its response waits in ``out_base/pending_responses`` and joins the next
-micro-batch.  ``foreachBatch`` is at-least-once: every folder written is named
-by the query's id and the batch id and replaced as a whole, so a replayed
-batch replaces its own output and another query's output is never touched.
+batch path.  The mobile and the desktop responses are two streams that meet in a
+full outer join by run (run_id, url).  The join's keyed state, in RocksDB below the
+query's checkpoint, holds a response until ``max_wait_seconds`` after it came: what a
+micro-batch writes grows with its own responses, not with those that wait.  A run is
+assembled with the micro-batch in which both of its responses are there.  A
+response that stays alone leaves the join when its wait is over, and the run ends with
+the missing response as its error text.
+
+The join's time is the time of arrival (the micro-batch's own, kept in its log, so a
+replay sees the same), not ``fetched_at``: responses of any age may come in any
+order, and none is dropped as too old.
+
+A run that is in the tables is never assembled again.  A response that comes for it is
+written to ``late_responses``.  Runs are looked up in the days within ``keep_days`` of
+the micro-batch's responses.
+
+``foreachBatch`` is at-least-once: every load is named by the query's id and the
+batch id and committed once (:mod:`sitelens.sources.ledger`), so a replayed batch adds nothing
+and another query's output is never touched.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.assemble import STRATEGIES, assemble_with_summaries
-from ..session import path_exists
+from ..session import path_exists, write_once
 from ..sinks.writers import write_assembled
+from ..sources.ledger import is_committed
 from ..sources.tables import read_table
 
-PENDING = "pending_responses"
-
-
-def _pending_path(out_base: str, query_id: str, batch_id: int) -> str:
-    return f"{out_base}/{PENDING}/query={query_id}/batch_id={batch_id}"
-
-
-def _read_pending(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return schemas.empty_frame(spark, schemas.RAW_RESPONSES)
-    return spark.read.schema(schemas.RAW_RESPONSES).parquet(path)
+#: How long a response waits for its partner, and how far apart the responses of a run may be fetched.
+MAX_WAIT_SECONDS, KEEP_DAYS = 24 * 3600, 30
+LATE_TABLE = "late_responses"
+_COLUMNS = schemas.RAW_RESPONSES.fieldNames()
+_FLUSHED = "flushed.json"
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # a micro-batch uploads its changes, snapshots follow in the background
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def _paired(responses: DataFrame, max_wait_seconds: float) -> DataFrame:
+    """Stream of (first, second): a mobile and a desktop response of one run, or one that stayed alone."""
+    came = responses.withColumn("came", F.current_timestamp()).withWatermark("came", "0 seconds")
+    first, second = STRATEGIES
+    is_second = F.col("strategy").eqNullSafe(second)
+    sides = [came.filter(~is_second), came.filter(is_second)]
+    a, b = (x.select(F.struct(*_COLUMNS, "came").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in ("run_id", "url", "strategy", "came")])
+            for x, n in zip(sides, ("first", "second")))
+    wait = F.expr(f"INTERVAL {float(max_wait_seconds)} SECONDS")
+    same_run = F.col("first_run_id").eqNullSafe(F.col("second_run_id")) & F.col("first_url").eqNullSafe(F.col("second_url"))
+    near = (F.col("first_came") >= F.col("second_came") - wait) & (F.col("first_came") <= F.col("second_came") + wait)
+    # a response of neither strategy stays alone; said of both sides at once, or it would not wait
+    proper = F.concat_ws("|", "first_strategy", "second_strategy") == f"{first}|{second}"
+    return a.join(b, same_run & near & proper, "full_outer").select("first", "second")
+
+
+def _known_runs(spark: SparkSession, out_base: str, responses: DataFrame, keep_days: int) -> DataFrame:
+    """(run_id, url) of the stored audits of the days around the responses' times."""
+    audits = read_table(spark, out_base, "audits")
+    lo, hi, some = responses.agg(F.to_date(F.min("fetched_at")), F.to_date(F.max("fetched_at")), F.max(F.col("fetched_at").isNull())).first()
+    if lo is not None:
+        # rows without time have no day
+        around = F.col("day").between(F.date_sub(F.lit(lo), keep_days), F.date_add(F.lit(hi), keep_days))
+        audits = audits.filter(around | F.col("day").isNull())
+    return audits.select(F.col("id").alias("run_id"), "url").distinct()
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -41,44 +84,82 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def ingest_stream(spark: SparkSession, raw_path: str, out_base: str, checkpoint: str,
                   fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                  available_now: bool = True):
+                  available_now: bool = True, max_wait_seconds: float = MAX_WAIT_SECONDS,
+                  keep_days: int = KEEP_DAYS):
     """Start the ingest query; returns the ``StreamingQuery``.
 
-    Runs of which one response never comes stay pending until
-    :func:`flush_pending`.
+    A response whose wait is over leaves with the first micro-batch after the one that
+    moved the clock past it.
     """
+    if path_exists(spark, f"{checkpoint}/{_FLUSHED}"):
+        raise ValueError("the runs of this checkpoint were ended by flush_pending; use a new one")
     reader = spark.readStream.schema(schemas.RAW_RESPONSES).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.load(raw_path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        qid, session = query_id(spark, checkpoint), batch.sparkSession
-        rows = batch.unionByName(_read_pending(session, _pending_path(out_base, qid, batch_id - 1)))
-        both_there = F.lit(True)
-        w = Window.partitionBy("run_id", "url")
-        for s in STRATEGIES:
-            both_there &= F.max(F.col("strategy") == s).over(w)
-        marked = rows.withColumn("__complete", F.coalesce(both_there, F.lit(False))).persist()
+        session = batch.sparkSession
+        load = f"load-{query_id(spark, checkpoint)}-{batch_id}"
+        if is_committed(session, out_base, load):
+            # a replay still has to bring the state to its next version
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        batch = batch.persist()  # the join runs once
         try:
-            marked.filter(~F.col("__complete")).drop("__complete").write.mode("overwrite") \
-                .parquet(_pending_path(out_base, qid, batch_id))
-            both = assemble_with_summaries(marked.filter("__complete").drop("__complete")).persist()
-            write_assembled(both, out_base, f"load-{qid}-{batch_id}")
+            # the last to come of a pair: the one that is late if the run is there already
+            newest = F.greatest("first.came", "second.came")
+            came = batch.select(F.inline(F.array_compact(F.array("first", "second"))), newest.alias("newest"))
+            known = _known_runs(session, out_base, came, keep_days).select(
+                F.col("run_id").alias("__run"), F.col("url").alias("__url"), F.lit(True).alias("__known"))
+            marked = came.join(known, F.col("run_id").eqNullSafe(F.col("__run")) & F.col("url").eqNullSafe(F.col("__url")), "left").persist()
+            late = marked.filter("__known AND came = newest").select(*_COLUMNS).distinct()
+            if not late.isEmpty():
+                late.write.mode("overwrite").parquet(f"{out_base}/{LATE_TABLE}/load={load}")
+            both = assemble_with_summaries(marked.filter("__known IS NULL").select(*_COLUMNS)).persist()
+            write_assembled(both, out_base, load)
             both.unpersist()
-        finally:
             marked.unpersist()
+        finally:
+            batch.unpersist()
 
-    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = _paired(reader.load(raw_path), max_wait_seconds).writeStream.foreachBatch(per_batch)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
-
-
-def flush_pending(spark: SparkSession, out_base: str, query_id: str, batch_id: int) -> None:
-    """Assemble what was still pending after ``batch_id`` of a stopped query, the
-    last it ran; the missing response becomes the audit's error text.  Repeating it adds nothing."""
-    left = _read_pending(spark, _pending_path(out_base, query_id, batch_id))
-    write_assembled(assemble_with_summaries(left), out_base, f"load-{query_id}-rest")
+    # the query takes a copy of the session's settings when it starts
+    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    for k, v in _STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        return w.start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def pending_responses(spark: SparkSession, out_base: str, checkpoint: str, keep_days: int = KEEP_DAYS) -> DataFrame:
+    """The responses in the state of a stopped query whose run is in no table yet."""
+    sides = [spark.read.format("statestore").option("joinSide", side).load(checkpoint).select(f"value.{name}.*")
+             for side, name in (("left", "first"), ("right", "second"))]
+    held = sides[0].unionByName(sides[1]).select(*_COLUMNS)
+    known = _known_runs(spark, out_base, held, keep_days)
+    same = held["run_id"].eqNullSafe(known["run_id"]) & held["url"].eqNullSafe(known["url"])
+    return held.join(known, same, "left_anti")
+
+
+def flush_pending(spark: SparkSession, out_base: str, checkpoint: str) -> None:
+    """End the runs that still wait in the state of a stopped query; the missing response
+    becomes the audit's error text.  The checkpoint cannot be used again; repeating it adds nothing."""
+    write_once(spark, f"{checkpoint}/{_FLUSHED}", "{}\n")
+    left = pending_responses(spark, out_base, checkpoint)
+    write_assembled(assemble_with_summaries(left), out_base, f"load-{query_id(spark, checkpoint)}-rest")
+
+
+def late_responses(spark: SparkSession, out_base: str) -> DataFrame:
+    """The responses that came after their run had ended."""
+    path = f"{out_base}/{LATE_TABLE}"
+    if not path_exists(spark, path):
+        return schemas.empty_frame(spark, schemas.RAW_RESPONSES)
+    return spark.read.schema(schemas.RAW_RESPONSES).parquet(path)
 
 
 def read_ingested(spark: SparkSession, out_base: str, table: str = "audit_summaries") -> DataFrame:

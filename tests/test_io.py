@@ -3,7 +3,9 @@
 import datetime as dt
 import json
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from sitelens import schemas
@@ -287,10 +289,86 @@ def test_stream_pairs_over_files_and_fresh_checkpoints(spark, tmp_dir):
     spark.createDataFrame(_pair(3, "https://c/", NOW), schemas.RAW_RESPONSES).write.parquet(src2)
     ST.ingest_stream(spark, src2, out, os.path.join(tmp_dir, "ck2")).awaitTermination()
     assert sorted(r.id for r in ST.read_ingested(spark, out).collect()) == [1, 3]
+    assert [(r.run_id, r.strategy, r.fetched_at) for r in ST.pending_responses(spark, out, ck).collect()] == [(2, "mobile", NOW)]
     for _ in range(2):
-        ST.flush_pending(spark, out, ST.query_id(spark, ck), len(rows) - 1)
+        ST.flush_pending(spark, out, ck)
         rest = {r.id: r.error_message for r in ST.read_ingested(spark, out).collect()}
         assert rest == {1: None, 3: None, 2: "Request error: missing desktop response"}
+    with pytest.raises(ValueError):
+        ST.ingest_stream(spark, src, out, ck)
+
+
+def _drop_file(spark, rows, src):
+    spark.createDataFrame(rows, schemas.RAW_RESPONSES).coalesce(1).write.mode("append").parquet(src)
+
+
+def test_stream_reports_late_responses_and_ends_lone_ones(spark, tmp_dir):
+    out, src, ck = (os.path.join(tmp_dir, x) for x in ("out", "in", "ck"))
+
+    def run(rows):
+        """Rows of state that the micro-batch of ``rows`` wrote."""
+        _drop_file(spark, rows, src)
+        q = ST.ingest_stream(spark, src, out, ck, max_wait_seconds=1)
+        q.awaitTermination()
+        return sum(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["numInputRows"])
+
+    def errors():
+        return {r.id: r.error_message for r in ST.read_ingested(spark, out).collect()}
+
+    missing = "Request error: missing desktop response"
+    a, b = _pair(1, "https://a/", NOW), _pair(2, "https://b/", NOW)
+    many = [r for i in range(10, 60) for r in _pair(i, f"https://s{i}/", NOW)[:1]]
+    # 50 runs and b wait; a is there; a response of neither strategy waits, too
+    odd = [(3, "https://o/", "tablet", NOW, 200, "OK", None, ok_body())]
+    assert run(a + b[:1] + many + odd) == 54
+    assert errors() == {1: None}
+    assert ST.pending_responses(spark, out, ck).count() == 52
+    time.sleep(1.5)
+    run(_pair(98, "https://n/", NOW))       # moves the clock
+    time.sleep(1.5)
+    assert run(_pair(99, "https://n/", NOW)) == 2
+    assert errors() == {1: None, 2: missing, 3: "Request error: missing mobile response", 98: None, 99: None} | {i: missing for i in range(10, 60)}
+    # a partner that comes after its run ended is late when its own wait is over
+    run(b[1:])
+    for i in (100, 101):
+        time.sleep(1.5)
+        run(_pair(i, "https://n/", NOW))
+    assert [(r.run_id, r.strategy) for r in ST.late_responses(spark, out).collect()] == [(2, "desktop")]
+    assert errors()[2] == missing and len(errors()) == ST.read_ingested(spark, out).count() == 57
+    assert ST.pending_responses(spark, out, ck).count() == 0
+
+
+def test_stream_reports_a_late_response_while_its_partner_is_in_the_state(spark, tmp_dir):
+    out, src, ck = (os.path.join(tmp_dir, x) for x in ("out", "in", "ck"))
+    many = [r for i in range(10, 60) for r in _pair(i, f"https://s{i}/", NOW)[:1]]
+    late = [(1, "https://a/", "mobile", NOW + dt.timedelta(hours=1), 500, "x", None, "{}")]
+    written = []
+    for rows in (_pair(1, "https://a/", NOW) + many, late, many[:3]):
+        _drop_file(spark, rows, src)
+        q = ST.ingest_stream(spark, src, out, ck)
+        q.awaitTermination()
+        written.append(sum(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["numInputRows"]))
+    # state written: the responses of the micro-batch, not the 50 that wait
+    assert written == [52, 1, 3]
+    assert [(r.run_id, r.strategy, r.status_code) for r in ST.late_responses(spark, out).collect()] == [(1, "mobile", 500)]
+    assert [(r.id, r.has_errors) for r in ST.read_ingested(spark, out).collect()] == [(1, False)]
+    assert ST.pending_responses(spark, out, ck).count() == 53
+
+
+def test_stream_replays_and_newest_response(spark, tmp_dir):
+    out, src, ck = (os.path.join(tmp_dir, x) for x in ("out", "in", "ck"))
+    old = [(1, "https://a/", "mobile", NOW, 500, "x", None, "{}")]
+    _drop_file(spark, old, src)
+    ST.ingest_stream(spark, src, out, ck).awaitTermination()
+    _drop_file(spark, _pair(1, "https://a/", NOW + dt.timedelta(minutes=1), perf=0.25), src)
+    ST.ingest_stream(spark, src, out, ck).awaitTermination()
+    assert [(r.mobile_performance, r.has_errors) for r in ST.read_ingested(spark, out).collect()] == [(0.25, False)]
+    # the last micro-batch once more, as after a crash before its end was recorded
+    last = max(int(n) for n in os.listdir(os.path.join(ck, "commits")) if n.isdigit())
+    for n in (str(last), f".{last}.crc"):
+        os.remove(os.path.join(ck, "commits", n))
+    ST.ingest_stream(spark, src, out, ck).awaitTermination()
+    assert ST.read_ingested(spark, out).count() == 1 and ST.read_ingested(spark, out, "audits").count() == 1
 
 
 def test_dashboard_covers_history_written_by_any_path(spark, tmp_dir):
