@@ -84,9 +84,13 @@ def urls_to_audit(sites: DataFrame, audits: DataFrame, as_of, hours: float = 24,
 
 
 def find_url(metrics: DataFrame, pattern: str, ignore_case: bool = False) -> DataFrame:
-    """rows whose url contains ``pattern`` (LIKE '%p%'), newest first."""
-    u, p = F.col("url"), F.lit(pattern)
-    cond = F.contains(F.lower(u), F.lower(p)) if ignore_case else F.contains(u, p)
+    """rows whose url is LIKE '%p%', newest first.
+
+    ``%`` and ``_`` in the pattern are wildcards, a backslash is an ordinary character.
+    Without wildcards the optimizer turns LIKE into a plain search.
+    """
+    like = "%" + pattern.replace("\\", "\\\\") + "%"
+    cond = F.col("url").ilike(like) if ignore_case else F.col("url").like(like)
     return metrics.filter(cond).orderBy(F.desc_nulls_last("timestamp"))
 
 

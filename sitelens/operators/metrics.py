@@ -64,12 +64,16 @@ def metrics_by_state(summaries: DataFrame) -> DataFrame:
 
 def audit_stats(audits: DataFrame) -> DataFrame:
     """A4: total, errors and success percentage (one decimal)."""
-    a = audits.agg(F.count(F.lit(1)).alias("total_audits"),
-                   F.count("error_message").alias("total_errors"))
-    t, e = F.col("total_audits"), F.col("total_errors")
-    return a.select("total_audits", "total_errors",
-                    F.when(t > 0, F.round((t - e) / t * 100, 1)).otherwise(F.lit(0.0))
-                    .alias("success_pct"))
+    return audit_stats_from_counts(audits.agg(F.count(F.lit(1)).alias("total"),
+                                              F.count("error_message").alias("errors")))
+
+
+def audit_stats_from_counts(counts: DataFrame) -> DataFrame:
+    """A4 from one row of ``total`` and ``errors`` (NULL: none)."""
+    t, e = (F.coalesce(c, F.lit(0)).cast("long") for c in ("total", "errors"))
+    return counts.select(t.alias("total_audits"), e.alias("total_errors"),
+                         F.when(t > 0, F.round((t - e) / t * 100, 1)).otherwise(F.lit(0.0))
+                         .alias("success_pct"))
 
 
 def failing_urls(audits: DataFrame, as_of, min_failures: int = 3) -> DataFrame:
@@ -185,10 +189,10 @@ def batch_counts(audits: DataFrame, run_col=None) -> DataFrame:
 # Mergeable per-day partials: A1 and A3 without scanning the whole history
 # ---------------------------------------------------------------------------
 
-_MEAN_COLS = ["mobile_performance", "desktop_performance", "mobile_accessibility",
+MEAN_COLS = ["mobile_performance", "desktop_performance", "mobile_accessibility",
               "desktop_accessibility", "mobile_seo", "desktop_seo", "mobile_best_practices",
               "desktop_best_practices"]
-_STD_COLS = ["mobile_performance", "desktop_performance"]
+STD_COLS = ["mobile_performance", "desktop_performance"]
 
 
 def daily_partials(summaries: DataFrame) -> DataFrame:
@@ -201,9 +205,9 @@ def daily_partials(summaries: DataFrame) -> DataFrame:
     ok = ~F.col("has_errors")
     aggs = [F.count(F.lit(1)).alias("n_all"), F.count_if(ok).alias("n_ok"),
             F.count_if(F.col("has_errors")).alias("n_err")]
-    for c in _MEAN_COLS:
+    for c in MEAN_COLS:
         aggs += [F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"s_{c}")]
-    for c in _STD_COLS:
+    for c in STD_COLS:
         aggs.append((F.var_pop(c) * F.count(c)).alias(f"m2_{c}"))
     aggs += [F.min("mobile_performance").alias("min_mp"), F.max("mobile_performance").alias("max_mp")]
     # A3 inputs: successful audits only
@@ -239,9 +243,9 @@ def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
     """
     sums = [F.sum("n_all").alias("total_audits"), F.sum("n_ok").alias("successful_audits"),
             F.sum("n_err").alias("failed_audits")]
-    for c in _MEAN_COLS:
+    for c in MEAN_COLS:
         sums += [F.sum(f"n_{c}").alias(f"N_{c}"), F.sum(f"s_{c}").alias(f"S_{c}")]
-    for c in _STD_COLS:
+    for c in STD_COLS:
         sums += [F.sum(f"m2_{c}").alias(f"M2a_{c}"),
                  F.sum(F.pow(F.col(f"s_{c}"), 2) / F.col(f"n_{c}")).alias(f"Q_{c}")]
     sums += [F.min("min_mp").alias("min_mobile_performance"),
@@ -253,8 +257,8 @@ def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
            F.coalesce(F.col("failed_audits"), F.lit(0)).cast("long").alias("failed_audits")]
     out += [F.when(t > 0, F.col("successful_audits") / t).otherwise(F.lit(0.0)).alias("success_rate"),
             F.when(t > 0, F.col("failed_audits") / t).otherwise(F.lit(0.0)).alias("error_rate")]
-    out += [(F.col(f"S_{c}") / F.col(f"N_{c}")).alias(f"avg_{c}") for c in _MEAN_COLS]
-    for c in _STD_COLS:
+    out += [(F.col(f"S_{c}") / F.col(f"N_{c}")).alias(f"avg_{c}") for c in MEAN_COLS]
+    for c in STD_COLS:
         n, total = F.col(f"N_{c}"), F.col(f"S_{c}")
         m2_total = F.col(f"M2a_{c}") + F.col(f"Q_{c}") - F.pow(total, 2) / n
         out.append(F.when(n > 1, F.sqrt(F.greatest(m2_total, F.lit(0.0)) / (n - 1)))

@@ -20,6 +20,8 @@ from ..functions import scalars as X
 from ..operators import filters as FL
 from ..operators import metrics as M
 from ..operators.assemble import assemble_with_summaries
+from ..operators import quarantine as Q
+from ..operators import ranking as R
 from ..operators.quarantine import next_id, quarantine_current
 from ..operators.ranking import latest_per_site, update_latest
 from ..operators.sequence import number_in_place
@@ -28,6 +30,7 @@ from ..sinks import writers as W
 from ..sources import files as S
 from ..sources.ledger import committed_loads, load_days, new_load
 from ..sources.tables import read_table
+from ..sources.versions import change_quarantine, publish
 
 
 def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFrame, as_of,
@@ -56,7 +59,7 @@ def run_batch(spark: SparkSession, base: str, sites_csv: str, responses: DataFra
     if out_dir:
         summaries = read_table(spark, base, "audit_summaries")  # with its day folders
         W.export_audits_parquet(read_table(spark, base, "audits"), f"{out_dir}/audits", incremental=True)
-        W.export_summaries_parquet(summaries, f"{out_dir}/audit_summaries")
+        W.export_summaries_parquet(summaries, f"{out_dir}/audit_summaries", incremental=True)
         counts = load_days(spark, base).select("day", "n")
         W.export_latest_json(summaries, f"{out_dir}/latest_audits", as_of, day_counts=counts)
     return M.batch_counts(staged, F.lit("batch").alias("run"))
@@ -129,29 +132,82 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame:
 
 
 def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int = 3) -> DataFrame:
-    """The quarantine update command: U2 over the stored tables, appended to
-    ``base/quarantine``; returns added, updated and total_checked.
+    """The quarantine update command: U2 over the stored tables, committed as the next
+    version of the quarantine; returns added, updated and total_checked."""
+    audits = read_table(spark, base, "audits")
+    work_root(spark)
+
+    def change(table: DataFrame):
+        # counts and rows come from the same change set
+        changes = Q.quarantine_changes(audits, table, as_of, min_days).checkpoint(eager=True)
+        return Q.rows_of_changes(changes, table, as_of), Q.update_stats(changes)
+
+    return change_quarantine(spark, base, change)
+
+
+def run_set_status(spark: SparkSession, base: str, changes: DataFrame, as_of) -> DataFrame:
+    """The set-status command: U3 over the stored quarantine; ``changes`` are (url, status[, notes]).
 
-    The new rows are computed from a checkpoint (see ``rows_of_changes``),
-    so appending them to the table they were computed from is safe.
+    Returns every requested url with ``found``: an unknown url is reported and changes nothing.
+    A status outside the domain raises ``ValueError`` before anything is written.
     """
-    from ..operators import quarantine as Q
-    audits = read_table(spark, base, "audits")
-    quarantine = read_table(spark, base, "quarantine")
+    return _change_urls(spark, base, changes, lambda table: Q.set_quarantine_status(table, changes, as_of))
+
+
+def run_remove(spark: SparkSession, base: str, urls: DataFrame, as_of) -> DataFrame:
+    """The remove command: U4 over the stored quarantine; returns every requested url with ``found``."""
+    return _change_urls(spark, base, urls, lambda table: Q.remove_from_quarantine(table, urls, as_of))
+
+
+def _change_urls(spark: SparkSession, base: str, asked: DataFrame, rows_of) -> DataFrame:
     work_root(spark)
-    # counts and rows come from the same change set
-    changes = Q.quarantine_changes(audits, quarantine, as_of, min_days).checkpoint(eager=True)
-    stats = Q.update_stats(changes)
-    Q.rows_of_changes(changes, quarantine, as_of).write.mode("append").parquet(f"{base}/quarantine")
-    return stats
+
+    def change(table: DataFrame):
+        rows = rows_of(table).checkpoint(eager=True)
+        done = rows.select("url", F.lit(True).alias("found"))
+        return rows, (asked.select("url").distinct().join(done, "url", "left")
+                      .select("url", F.coalesce("found", F.lit(False)).alias("found")))
+
+    return change_quarantine(spark, base, change)
+
+
+def run_metrics(spark: SparkSession, base: str, by_state: bool = False, worst: int = 0, best: int = 0,
+                out_dir: str | None = None, generated_at=None) -> DataFrame:
+    """The metrics command over the stored tables: per state (A3), the ``worst`` audits (L1), the
+    ``best`` ones (L2), or, without a choice, all history (A1; with ``out_dir`` exported as K4, too).
+
+    A1 and A3 come from the maintained partials: one row per day and state is read.
+    """
+    columns = schemas.AUDIT_SUMMARIES.fieldNames()
+    if by_state:
+        return M.metrics_by_state_from_partials(read_partials(spark, base))
+    if worst > 0:
+        return R.worst_performing(read_table(spark, base, "audit_summaries").select(*columns), worst)
+    if best > 0:
+        return R.best_accessibility(read_table(spark, base, "audit_summaries").select(*columns), best)
+    metrics = M.aggregated_metrics_from_partials(read_partials(spark, base))
+    if out_dir:
+        W.write_metrics_json(metrics, out_dir, generated_at)
+    return metrics
+
+
+def run_stats(spark: SparkSession, base: str, n: int = 10) -> dict[str, DataFrame]:
+    """The stats command over the stored tables: ``stats`` (A4) from the maintained partials, and
+    ``recent`` (L3), for which only the newest days are read."""
+    total = read_partials(spark, base).agg(F.sum("n_all").alias("total"), F.sum("n_err").alias("errors"))
+    counts = None if committed_loads(spark, base) is None else load_days(spark, base).select("day", "n")
+    return {"stats": M.audit_stats_from_counts(total),
+            "recent": R.recent_audits(read_table(spark, base, "audits"), n, counts)}
 
 
 def run_dashboard_export(spark: SparkSession, base: str, out_dir: str, generated_at) -> dict:
     """The dashboard export command (K7) over the stored tables; the ranking,
     summary and per-state lists come from the maintained latest-per-site and
-    per-day partial tables, which are brought up to date first."""
+    per-day partial tables, which are brought up to date first.  The export is a new version below
+    ``out_dir``, switched to when all its files are there (``versions.published_folder``)."""
     summaries = read_table(spark, base, "audit_summaries").select(
         *schemas.AUDIT_SUMMARIES.fieldNames())
     latest, partials = maintained_tables(spark, base)
-    return W.export_dashboard(summaries, read_table(spark, base, "quarantine"), out_dir,
-                              generated_at, latest=latest, partials=partials)
+    quarantine = read_table(spark, base, "quarantine")
+    return publish(spark, out_dir, lambda folder: W.export_dashboard(
+        summaries, quarantine, folder, generated_at, latest=latest, partials=partials))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import scalars as X
 from ..operators import assemble as A
+from ..operators import metrics as M
 from ..operators import quality as QL
 from ..operators import ranking as R
 from ..operators.quarantine import quarantine_current
@@ -187,33 +188,33 @@ def q_latest_json(spark, sf):
     return doc.select("last_updated", "total_sites", F.inline("audits"))
 
 
-_METRICS_JSON_SCHEMA = T.StructType(
-    [T.StructField(c, T.LongType()) for c in ("total_audits", "successful_audits", "failed_audits")]
-    + [T.StructField(c, T.DoubleType()) for c in (
-        "success_rate", "error_rate", "avg_mobile_performance", "avg_desktop_performance",
-        "avg_mobile_accessibility", "avg_desktop_accessibility", "avg_mobile_seo",
-        "avg_desktop_seo", "avg_mobile_best_practices", "avg_desktop_best_practices",
-        "std_mobile_performance", "std_desktop_performance", "min_mobile_performance",
-        "max_mobile_performance")]
-    + [T.StructField("generated_at", T.StringType())])
-_ROUNDED = [f.name for f in _METRICS_JSON_SCHEMA.fields
-            if f.name.startswith(("avg_", "std_"))]
-
-
-@report("metrics_json", O.sql(
-    "SELECT count(*) AS total_audits, CAST(count_if(NOT has_errors) AS BIGINT) AS successful_audits, "
-    "CAST(count_if(has_errors) AS BIGINT) AS failed_audits, "
-    "CASE WHEN count(*) > 0 THEN count_if(NOT has_errors) / count(*) ELSE 0.0 END AS success_rate, "
-    "CASE WHEN count(*) > 0 THEN count_if(has_errors) / count(*) ELSE 0.0 END AS error_rate, "
-    + ", ".join(f"round({'avg' if c.startswith('avg_') else 'stddev_samp'}({c[4:]}), {DIGITS}) AS {c}"
-                for c in _ROUNDED)
-    + ", min(mobile_performance) AS min_mobile_performance, "
-    f"max(mobile_performance) AS max_mobile_performance, {sql_iso(O.AS_OF)} AS generated_at "
-    "FROM summaries"))
+_COUNTS = ("total_audits", "successful_audits", "failed_audits")
+_METRIC_NAMES = (["success_rate", "error_rate"] + [f"avg_{c}" for c in M.MEAN_COLS] + [f"std_{c}" for c in M.STD_COLS]
+                 + ["min_mobile_performance", "max_mobile_performance"])
+METRICS_JSON_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in _COUNTS]
+                                   + [T.StructField(c, T.DoubleType()) for c in _METRIC_NAMES]
+                                   + [T.StructField("generated_at", T.StringType())])
+ROUNDED_METRICS = [c for c in _METRIC_NAMES if c.startswith(("avg_", "std_"))]
+
+
+def metrics_sql(table: str, more: str = "") -> str:
+    """A1 + A2 of a summaries table."""
+    return (
+        "SELECT count(*) AS total_audits, CAST(count_if(NOT has_errors) AS BIGINT) AS successful_audits, "
+        "CAST(count_if(has_errors) AS BIGINT) AS failed_audits, "
+        "CASE WHEN count(*) > 0 THEN count_if(NOT has_errors) / count(*) ELSE 0.0 END AS success_rate, "
+        "CASE WHEN count(*) > 0 THEN count_if(has_errors) / count(*) ELSE 0.0 END AS error_rate, "
+        + ", ".join(f"round({'avg' if c.startswith('avg_') else 'stddev_samp'}({c[4:]}), {DIGITS}) AS {c}"
+                    for c in ROUNDED_METRICS)
+        + ", min(mobile_performance) AS min_mobile_performance, "
+        f"max(mobile_performance) AS max_mobile_performance{more} FROM {table}")
+
+
+@report("metrics_json", O.sql(metrics_sql("summaries", f", {sql_iso(O.AS_OF)} AS generated_at")))
 def q_metrics_json(spark, sf):
     out = W.export_metrics_json(P.summaries(spark, sf), scratch_path(spark, "metrics-json"),
                                 P.as_of_value(spark, sf))
-    return rounded(spark.read.schema(_METRICS_JSON_SCHEMA).json(out), *_ROUNDED)
+    return rounded(spark.read.schema(METRICS_JSON_SCHEMA).json(out), *ROUNDED_METRICS)
 
 
 _SITE_FIELDS = [("url", T.StringType()), ("first_failure", T.StringType()),

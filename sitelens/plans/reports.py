@@ -27,6 +27,7 @@ DIGITS = 6
 TREND_URL = "https://www.cidade1.al.gov.br"
 SEARCH_TERM, SEARCH_STATE = " Cidade1 ", "AL"
 FIND_PATTERN = "cidade12"
+WILD_PATTERN = "cidade_2%.s_.gov"
 FILTER_QUERY = "12"
 STRATEGY_ARG = "Mobile"
 
@@ -110,24 +111,19 @@ def q_metrics_by_state(spark, sf):
                    "avg_accessibility")
 
 
-_MEANS = ["mobile_performance", "desktop_performance", "mobile_accessibility",
-          "desktop_accessibility", "mobile_seo", "desktop_seo", "mobile_best_practices",
-          "desktop_best_practices"]
-
-
 @report("aggregated_metrics", O.sql(
     "SELECT count(*) AS total_audits, CAST(count_if(NOT has_errors) AS BIGINT) AS successful_audits, "
     "CAST(count_if(has_errors) AS BIGINT) AS failed_audits, "
     "CASE WHEN count(*) > 0 THEN count_if(NOT has_errors) / count(*) ELSE 0.0 END AS success_rate, "
     "CASE WHEN count(*) > 0 THEN count_if(has_errors) / count(*) ELSE 0.0 END AS error_rate, "
-    + ", ".join(f"{r6(f'avg({c})')} AS avg_{c}" for c in _MEANS)
+    + ", ".join(f"{r6(f'avg({c})')} AS avg_{c}" for c in M.MEAN_COLS)
     + f", {r6('stddev_samp(mobile_performance)')} AS std_mobile_performance, "
     f"{r6('stddev_samp(desktop_performance)')} AS std_desktop_performance, "
     "min(mobile_performance) AS min_mobile_performance, "
     "max(mobile_performance) AS max_mobile_performance FROM summaries"))
 def q_aggregated_metrics(spark, sf):
     return rounded(M.aggregated_metrics(P.summaries(spark, sf)),
-                   *[f"avg_{c}" for c in _MEANS], "std_mobile_performance",
+                   *[f"avg_{c}" for c in M.MEAN_COLS], "std_mobile_performance",
                    "std_desktop_performance")
 
 
@@ -217,6 +213,12 @@ def q_find_url(spark, sf):
     return FL.find_url(P.psi_metrics(spark, sf), FIND_PATTERN)
 
 
+@report("find_url_wildcards", O.sql(
+    f"SELECT * FROM psi_metrics WHERE url LIKE '%{WILD_PATTERN}%' ORDER BY \"timestamp\" DESC"))
+def q_find_url_wildcards(spark, sf):
+    return FL.find_url(P.psi_metrics(spark, sf), WILD_PATTERN)
+
+
 @report("filter_metrics", O.sql(
     f"SELECT * FROM psi_metrics WHERE contains(lower(url), '{FILTER_QUERY.lower()}') "
     f"OR contains(coalesce(ibge_code, ''), '{FILTER_QUERY.lower()}')"))
@@ -355,7 +357,7 @@ def q_aggregated_metrics_from_partials(spark, sf):
     """A1 combined from mergeable per-(day, state) partials."""
     p = M.daily_partials(P.summaries(spark, sf))
     return rounded(M.aggregated_metrics_from_partials(p),
-                   *[f"avg_{c}" for c in _MEANS], "std_mobile_performance",
+                   *[f"avg_{c}" for c in M.MEAN_COLS], "std_mobile_performance",
                    "std_desktop_performance")
 
 

@@ -95,6 +95,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    fs, p = _resolved(spark, path)
+    fs.delete(p, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Sorted names in a folder, empty if the folder is absent."""
     fs, p = _resolved(spark, path)

@@ -104,32 +104,45 @@ def export_audits_parquet(audits: DataFrame, out: str, incremental: bool = False
     table, so a day whose number of rows there is the right one is kept, and
     only the other days are written, whoever appended to them.
     """
-    spark = audits.sparkSession
-    rows = audits.select("url", "timestamp", "error_message", "retry_count",
-                         X.day("timestamp").alias("date"))
+    return _export_days(audits, ["url", "timestamp", "error_message", "retry_count"], out, incremental)
+
+
+def export_summaries_parquet(summaries: DataFrame, out: str, incremental: bool = False) -> str:
+    """K2: every summary column; ``incremental`` as in K1, in one folder per day."""
+    columns = schemas.AUDIT_SUMMARIES.fieldNames()
+    if incremental:
+        return _export_days(summaries, columns, out, True)
+    summaries.select(*columns).write.mode("overwrite").parquet(out)
+    return out
+
+
+def _export_days(table: DataFrame, columns: list[str], out: str, incremental: bool) -> str:
+    spark = table.sparkSession
+    date = X.day("timestamp").alias("date")
+    rows = table.select(*columns, date)
     if incremental and path_exists(spark, out):
-        day = F.col("day").alias("date") if "day" in audits.columns else X.day("timestamp").alias("date")
-        now = audits.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+        day = F.col("day").alias("date") if "day" in table.columns else date
+        now = table.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
         have = spark.read.schema(rows.schema).parquet(out).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
-        # one row per day at most; a day that is gone or unknown means writing everything
+        # one row per day at most; rows without time are a day of their own
         both = now.alias("a").join(have.alias("b"), F.col("a.date").eqNullSafe(F.col("b.date")), "full")
-        stale = both.where(~F.col("a.n").eqNullSafe(F.col("b.n"))).select("a.date", F.col("a.n").alias("n")).collect()
-        if all(r["n"] is not None and r["date"] is not None for r in stale):
+        stale = both.where(~F.col("a.n").eqNullSafe(F.col("b.n"))) \
+            .select(F.coalesce("a.date", "b.date").alias("date"), F.col("a.n").alias("n")).collect()
+        # a day that is gone means writing everything
+        if all(r["n"] is not None for r in stale):
             if not stale:
                 return out
-            days = [r["date"] for r in stale]
-            kept = audits.filter(F.col("day").isin(days)) if "day" in audits.columns else audits
-            rows = kept.select(*rows.columns[:-1], X.day("timestamp").alias("date")).filter(F.col("date").isin(days))
-            rows.hint("rebalance", "date").write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(out)
-            return out
-    rows.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(out)
-    return out
 
+            def among(col):
+                return col.isin([r["date"] for r in stale if r["date"] is not None]) | \
+                    (col.isNull() if any(r["date"] is None for r in stale) else F.lit(False))
 
-def export_summaries_parquet(summaries: DataFrame, out: str) -> str:
-    """K2: every summary column."""
-    summaries.select(*schemas.AUDIT_SUMMARIES.fieldNames()).write.mode("overwrite").parquet(out)
+            kept = table.filter(among(F.col("day"))) if "day" in table.columns else table
+            kept.select(*columns, date).filter(among(F.col("date"))).hint("rebalance", "date") \
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("date").parquet(out)
+            return out
+    rows.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(out)
     return out
 
 
@@ -156,7 +169,12 @@ def export_latest_json(summaries: DataFrame, out: str, generated_at, n: int = 10
 
 def export_metrics_json(summaries: DataFrame, out: str, generated_at) -> str:
     """K4: A1 + generated_at as one JSON record."""
-    M.aggregated_metrics(summaries).withColumn("generated_at", _iso_lit(generated_at)) \
+    return write_metrics_json(M.aggregated_metrics(summaries), out, generated_at)
+
+
+def write_metrics_json(metrics: DataFrame, out: str, generated_at) -> str:
+    """K4 over an A1 row that is there (e.g. from partials)."""
+    metrics.withColumn("generated_at", _iso_lit(generated_at)) \
         .coalesce(1).write.mode("overwrite").json(out)
     return out
 

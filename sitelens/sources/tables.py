@@ -14,6 +14,7 @@ from .. import schemas
 from ..operators.quarantine import quarantine_current
 from ..session import path_exists
 from .ledger import committed_loads
+from .versions import quarantine_table
 
 TABLE_SCHEMAS = {
     "audits": schemas.AUDITS,
@@ -33,9 +34,12 @@ def read_table(spark: SparkSession, base: str, name: str, loads: list[str] | Non
 
     ``audits`` and ``audit_summaries`` keep their ``day`` partition column,
     which the time-window operators use to prune folders, and show committed
-    loads only (``loads``: just these of them).  Whether the folder
+    loads only (``loads``: just these of them); ``quarantine`` shows committed
+    versions.  Whether the folder
     is there is asked of Spark's file system, whatever form the path has.
     """
+    if name == "quarantine":
+        return quarantine_table(spark, base)[1]
     path = f"{base.rstrip('/')}/{name}"
     schema = TABLE_SCHEMAS[name]
     committed = None

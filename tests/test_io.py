@@ -14,7 +14,8 @@ from sitelens.operators import quality as QL
 from sitelens.plans.sql import run_sql
 from sitelens.sinks import writers as W
 from sitelens.sources import files as S
-from sitelens.sources.tables import register_tables
+from sitelens.sources.tables import read_table, register_tables
+from sitelens.sources.versions import published_folder
 from sitelens.streaming import ingest as ST
 from tests.conftest import NOW, summaries_df, summary_row
 from tests.test_assemble import ok_body
@@ -254,7 +255,7 @@ def test_quarantine_update_and_dashboard_commands(spark, tmp_dir):
     assert (s1.added, s1.updated, s1.total_checked) == (1, 0, 1)
     s2 = run_quarantine_update(spark, base, NOW).first()
     assert (s2.added, s2.updated, s2.total_checked) == (0, 0, 1)
-    q = spark.read.schema(schemas.QUARANTINE).parquet(os.path.join(base, "quarantine"))
+    q = read_table(spark, base, "quarantine")
     assert [(r.url, r.version, r.consecutive_failures) for r in q.collect()] == \
         [("https://down.sp.gov.br/", 1, 5)]
     res = run_dashboard_export(spark, base, os.path.join(tmp_dir, "dash"), NOW)
@@ -393,5 +394,5 @@ def test_dashboard_covers_history_written_by_any_path(spark, tmp_dir):
     W.append_responses(frame(_pair(50, "https://s9/", NOW)), base)
     spark.range(3).write.parquet(f"{base}/{B.MAINTAINED}/v-999999999999-x/latest")
     res = B.run_dashboard_export(spark, base, os.path.join(tmp_dir, "dash"), NOW)
-    assert res["total_sites"] == 6
+    assert res["total_sites"] == 6 and published_folder(spark, os.path.join(tmp_dir, "dash")) in res["files"]["summary"]
     assert _lines(res["files"]["summary"])[0]["total_audits"] == 10

@@ -134,6 +134,17 @@ def test_find_url_case_flag(spark):
     assert FL.find_url(long, "cidade", ignore_case=True).count() == 2
 
 
+def test_find_url_wildcards(spark):
+    from sitelens.operators import filters as FL
+    urls = ["https://a1.gov.br/x", "https://a22.gov.br/x", "https://b.gov.br/100%", "https://c\\d.gov.br/"]
+    long = spark.createDataFrame([(u, NOW) for u in urls] + [(None, NOW)], "url string, timestamp timestamp_ntz")
+    found = lambda p, **kw: sorted(urls.index(r.url) for r in FL.find_url(long, p, **kw).collect())
+    assert found("a_.gov") == [0] and found("a%.gov") == [0, 1] and found("A__.GOV", ignore_case=True) == [1]
+    assert found("c\\d") == [3] and found("") == [0, 1, 2, 3] and found("0%") == [2]
+    p = FL.find_url(long, "gov")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(url" in p and " LIKE " not in p
+
+
 def test_ranking_null_and_zero_scores(spark):
     # D3: a NULL mobile score is 0.0 and ranks last; D4: desktop NULL stays NULL, 0.0 stays 0.0
     rows = [summary_row(1, "https://a.sp.gov.br/", NOW, mobile_accessibility=None,
