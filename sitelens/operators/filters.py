@@ -83,15 +83,16 @@ def urls_to_audit(sites: DataFrame, audits: DataFrame, as_of, hours: float = 24,
     return exclude_urls(sites, skip_list(audits, as_of, hours, current_quarantine))
 
 
-def find_url(metrics: DataFrame, pattern: str, ignore_case: bool = False) -> DataFrame:
-    """rows whose url is LIKE '%p%', newest first.
-
-    ``%`` and ``_`` in the pattern are wildcards, a backslash is an ordinary character.
-    Without wildcards the optimizer turns LIKE into a plain search.
-    """
+def url_like(pattern: str, ignore_case: bool = False) -> Column:
+    """Whether url is LIKE '%p%': ``%`` and ``_`` in the pattern are wildcards, a backslash is an ordinary
+    character.  Without wildcards the optimizer turns LIKE into a plain search."""
     like = "%" + pattern.replace("\\", "\\\\") + "%"
-    cond = F.col("url").ilike(like) if ignore_case else F.col("url").like(like)
-    return metrics.filter(cond).orderBy(F.desc_nulls_last("timestamp"))
+    return F.col("url").ilike(like) if ignore_case else F.col("url").like(like)
+
+
+def find_url(metrics: DataFrame, pattern: str, ignore_case: bool = False) -> DataFrame:
+    """rows whose url is LIKE '%p%' (:func:`url_like`), newest first."""
+    return metrics.filter(url_like(pattern, ignore_case)).orderBy(F.desc_nulls_last("timestamp"))
 
 
 def search_sites(ranking: DataFrame, term: str | None = None, state: str | None = None,

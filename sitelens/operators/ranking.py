@@ -123,6 +123,38 @@ def bottom_sites(ranking: DataFrame, n: int = 50) -> DataFrame:
     return ranking.orderBy(F.asc("score"), F.asc("rank")).limit(n)
 
 
+def bottom_sites_from_latest(latest: DataFrame, n: int = 50) -> DataFrame:
+    """L6 out of W1 rows, without ranking every site.
+
+    The ``n`` lowest are taken by a top-k.  Their places among all sites cut the ranking
+    order into ``n + 1`` parts; one aggregate counts the sites of each part, and a
+    site's rank is one more than the counts of the parts before its own.  The ``n`` keys
+    (a bound given by the caller) are read on the driver and become literals.
+    """
+    rows = ranking_rows(latest)
+    # equal scores in ranking order
+    lowest = rows.orderBy(F.asc("score"), *rank_order()).limit(n)
+    keys = [(r["__order_score"], r["url"]) for r in lowest.select("__order_score", "url").collect()]
+    keys.sort(key=lambda k: (k[0] is None, -(k[0] or 0.0), k[1]))
+    if not keys:
+        return rows.drop("__order_score").withColumn("rank", F.lit(None).cast("long"))
+    # (no score, score with its sign turned, url) sorts as the ranking does
+    own = F.struct(F.col("__order_score").isNull().alias("none"), F.coalesce(-F.col("__order_score"), F.lit(0.0)).alias("low"), F.col("url").alias("url"))
+    cuts = F.array(*[F.struct(F.lit(s is None).alias("none"), F.lit(0.0 if s is None else -float(s)).alias("low"), F.lit(u).alias("url"))
+                     for s, u in keys])
+    part = F.size(F.filter(cuts, lambda c: c < own))
+    counts = {r["part"]: r["n"] for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranks, before = [], 0
+    for k in range(len(keys)):
+        before += counts.get(k, 0)
+        ranks.append(before)         # the site itself is the last of its part
+    place = F.array_position(F.transform(cuts, lambda c: c["url"]), F.col("url"))
+    rank = F.element_at(F.array(*[F.lit(r) for r in ranks]), place.cast("int")).cast("long")
+    # taken again: after a late change of the input the keys would not fit
+    chosen = rows.filter(F.col("url").isin([u for _, u in keys]))
+    return chosen.withColumn("rank", rank).orderBy(F.asc("score"), F.asc("rank")).drop("__order_score")
+
+
 def score_badges(ranking: DataFrame) -> DataFrame:
     """X10 on the ranking: class and text of every site's 0..100 score."""
     return ranking.select("url", "rank", "score", X.badge_class("score").alias("badge"),

@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import scalars as X
 from ..operators import quarantine as Q
+from ..operators import ranking as R
 from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources import proxy as P
 from ..sources.tables import read_table
+from ..sources.url_index import find_url_stored, temporal_evolution_stored
 from ..sources.versions import published_folder
 from . import batch as B
 from . import oracle as O
 from .io_reports import APPEND_SPLIT_DAYS, METRICS_JSON_SCHEMA, ROUNDED_METRICS, metrics_sql, sql_iso
 from .quarantine_reports import qsql
-from .reports import DIGITS, report, rounded, sql_state_group
-from ..functions import scalars as X
+from .reports import DIGITS, REPORTS, TREND_URL, WILD_PATTERN, report, rounded, sql_state_group
 
 TIMELESS_MOD = 97
 _BASES: dict = {}
@@ -106,6 +108,23 @@ def q_dashboard_by_state(spark, sf):
     return rounded(_dashboard(spark, sf, "by-state", _STATE_ROW), "avg_performance", "avg_accessibility")
 
 
+@report("find_url_stored", O.sql(
+    f"SELECT {O.SUMMARY_COLUMNS} FROM summaries WHERE url LIKE '%{WILD_PATTERN}%' UNION ALL BY NAME "
+    f"SELECT * FROM all_summaries WHERE id < 0 AND url LIKE '%{WILD_PATTERN}%'", _ALL))
+def q_find_url_stored(spark, sf):
+    return find_url_stored(spark, stored_base(spark, sf), WILD_PATTERN)
+
+
+@report("temporal_evolution_stored", REPORTS["temporal_evolution"][1])
+def q_temporal_evolution_stored(spark, sf):
+    return temporal_evolution_stored(spark, stored_base(spark, sf), TREND_URL)
+
+
+@report("bottom_sites_from_latest", REPORTS["bottom_sites"][1])
+def q_bottom_sites_from_latest(spark, sf):
+    return R.bottom_sites_from_latest(B.read_latest(spark, stored_base(spark, sf)), 50)
+
+
 @report("quarantine_commands", qsql("SELECT * FROM quarantine"))
 def q_quarantine_commands(spark, sf):
     """Update, update, set status and remove as commands; every version of the table."""

@@ -81,11 +81,21 @@ def _append(audits: DataFrame, summaries: DataFrame, base: str, load: str) -> di
     return paths
 
 
+#: Rows of a Parquet page: what a look-up of one url reads of a file that holds it.
+PAGE_ROWS = 500
+
+
 def _write_days(rows: DataFrame, path: str, load: str) -> None:
-    # only the folders of this load are replaced, so a repeated write adds nothing
+    # only the folders of this load are replaced, so a repeated write adds nothing;
+    # sorted by url, with a Bloom filter and small pages, a file is passed over or
+    # entered at the pages of the url that a look-up asks for
     rows.withColumn("day", X.day("timestamp")).withColumn("load", F.lit(load)) \
-        .hint("rebalance", "day").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("day", "load").parquet(path)
+        .hint("rebalance", "day").sortWithinPartitions("day", "load", "url") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .option("parquet.bloom.filter.enabled#url", "true") \
+        .option("parquet.bloom.filter.adaptive.enabled", "true") \
+        .option("parquet.page.row.count.limit", str(PAGE_ROWS)) \
+        .partitionBy("day", "load").parquet(path)
 
 
 def _written_days(spark, path: str, load: str) -> list:

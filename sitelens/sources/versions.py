@@ -29,18 +29,18 @@ def newest_number(spark: SparkSession, log: str) -> int:
                 if n.endswith(_ENDING) and n[0] != "."), default=0)
 
 
-def _entry(log: str, number: int) -> str:
+def entry_path(log: str, number: int) -> str:
     return f"{log}/{number:012d}{_ENDING}"
 
 
-def commit_next(spark: SparkSession, log: str, after: int, folder: str) -> bool:
+def commit_next(spark: SparkSession, log: str, after: int, folder: str, **more) -> bool:
     """Make ``folder`` the version after ``after``; False if another writer made one first."""
-    return write_once(spark, _entry(log, after + 1), json.dumps({"folder": folder}) + "\n")
+    return write_once(spark, entry_path(log, after + 1), json.dumps({"folder": folder} | more) + "\n")
 
 
 def newest_folder(spark: SparkSession, log: str) -> str | None:
     number = newest_number(spark, log)
-    return json.loads(read_text(spark, _entry(log, number)))["folder"] if number else None
+    return json.loads(read_text(spark, entry_path(log, number)))["folder"] if number else None
 
 
 def publish(spark: SparkSession, out: str, write: Callable[[str], object]):
@@ -72,7 +72,7 @@ def quarantine_table(spark: SparkSession, base: str) -> tuple[int, DataFrame]:
         rows = spark.read.schema(schemas.QUARANTINE).parquet(f"{base}/quarantine")
     if number:
         # one name per version; a version that comes now is left out, whole
-        entries = spark.read.schema("folder string").json([_entry(f"{base}/{QUARANTINE_LOG}", n) for n in range(1, number + 1)])
+        entries = spark.read.schema("folder string").json([entry_path(f"{base}/{QUARANTINE_LOG}", n) for n in range(1, number + 1)])
         folders = [f"{base}/{QUARANTINE_LOADS}/{r['folder']}" for r in entries.collect()]
         new = spark.read.schema(schemas.QUARANTINE).parquet(*folders)
         rows = rows.unionByName(new) if path_exists(spark, f"{base}/quarantine") else new

@@ -221,3 +221,16 @@ def test_latest_audits_with_day_cutoff_is_exact(spark, n):
     assert R.recent_audits(s, n, day_counts=counts).collect() == R.recent_audits(s, n).collect()
     if n <= 5:  # few rows needed: only the newest day(s) survive the cut-off
         assert R.newest_days(s, counts, n).count() < 30
+
+
+def test_bottom_sites_ranks_without_ranking_all(spark):
+    scores = [None, 0.0, 0.1234, 0.12341, 0.1234, 0.5, None, 0.9, 0.0, 0.5]
+    rows = [summary_row(i, f"https://s{i}.sp.gov.br/", NOW, mobile_accessibility=s) for i, s in enumerate(scores)]
+    latest = R.latest_per_site(summaries_df(spark, rows))
+    ranking = R.site_ranking_from_latest(latest)
+    for n in (1, 3, 6, 10, 50):
+        assert R.bottom_sites_from_latest(latest, n).collect() == R.bottom_sites(ranking, n).collect()
+    p = R.bottom_sites_from_latest(latest, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in p.split("WindowGroupLimit")[-1].split("Scan")[-1] and "SortMergeJoin" not in p
+    empty = R.bottom_sites_from_latest(latest.limit(0), 3)
+    assert empty.columns == ranking.columns and empty.collect() == []
