@@ -24,13 +24,14 @@ from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources import files as S
 from ..sources import proxy as P
+from ..sources.tables import register_tables
 from ..streaming import ingest as ST
 from . import oracle as O
 from .batch import maintained_tables
 from .quarantine_reports import Q_CTES, qsql
 from .reports import (DIGITS, SQL_LATEST, SQL_LATEST_STRATEGY, SQL_RANKING, report, rounded,
-                      sql_site_name, sql_state_label)
-from .sql import run_sql
+                      sql_site_name, sql_state_group, sql_state_label)
+from .sql import register_functions, run_sql
 
 SITE_LIST_COLUMN = "Endereço Eletrônico"
 STREAM_FILES, STREAM_FILES_PER_TRIGGER = 8, 4
@@ -302,6 +303,28 @@ def q_run_sql(spark, sf):
                    tables={"psi_metrics": P.psi_metrics(spark, sf)})
 
 
+RULES_SQL = ("SELECT r.url, r.rank, r.score, site_name(r.url) AS site, state_label(r.url) AS label, "
+             "badge_class(r.score) AS badge, score_band(r.score / 100) AS band, s.site_count, "
+             "round(s.avg_performance, 6) AS state_performance, m.total_audits, round(m.avg_mobile_seo, 6) AS avg_mobile_seo "
+             "FROM site_ranking() r LEFT JOIN metrics_by_state() s ON s.state = state_from_url(r.url), aggregated_metrics() m "
+             "WHERE is_valid_url(r.url) AND normalize_url(r.url) = r.url")
+
+
+@report("sql_functions", O.sql(
+    f"SELECT r.url, r.rank, r.score, {sql_site_name('r.url')} AS site, {sql_state_label('r.url')} AS label, "
+    f"CASE WHEN r.score >= {X.BADGE_EXCELLENT} THEN 'excellent' WHEN r.score >= {X.BADGE_GOOD} THEN 'good' ELSE 'poor' END AS badge, "
+    f"CASE WHEN r.score / 100 >= {X.BAND_GOOD} THEN 'good' WHEN r.score / 100 >= {X.BAND_OK} THEN 'ok' ELSE 'bad' END AS band, "
+    "s.site_count, s.state_performance, m.total_audits, m.avg_mobile_seo FROM ranking r LEFT JOIN ("
+    f"SELECT {sql_state_group()} AS state, count(*) AS site_count, round(avg(mobile_performance), 6) AS state_performance "
+    f"FROM summaries WHERE NOT has_errors GROUP BY 1 HAVING {sql_state_group()} <> '') s ON s.state = {sql_state_group('r.url')}, "
+    "(SELECT count(*) AS total_audits, round(avg(mobile_seo), 6) AS avg_mobile_seo FROM summaries) m",
+    SQL_LATEST + ",\n" + SQL_RANKING))
+def q_sql_functions(spark, sf):
+    register_tables(spark, frames={"audit_summaries": P.summaries(spark, sf)})
+    register_functions(spark)
+    return run_sql(spark, RULES_SQL)
+
+
 @report("null_checks", O.sql(
     "SELECT CAST(count_if(url IS NULL) AS BIGINT) AS null_url, "
     "CAST(count_if(\"timestamp\" IS NULL) AS BIGINT) AS null_timestamp, count(*) AS total_rows "

@@ -70,3 +70,22 @@ def test_iso_text_like_python(spark):
 
 def test_status_mark(spark):
     assert _eval(spark, [None, "boom"], X.status_mark) == ["✅", "❌"]
+
+
+def test_sql_functions_equal_the_column_rules(spark):
+    import datetime as dt
+    from sitelens.plans.sql import register_functions
+    spark.catalog.dropTempView("audit_summaries")
+    register_functions(spark)
+    urls = ["https://www.cidade1.sp.gov.br/x", "http://u:p@WWW.A.RJ.GOV.BR:80/", "https://x.org.br.com.br//", "no url", "", None,
+            "ftp://www.www.a.gov.br?x", "https://", "https://a.gov.br.org.br", "HTTP://a/b\n", "https://x.sp.gov.br.mg.gov.br/"]
+    numbers = [None, 0.0, 0.4999, 0.5, 0.89999, 0.9, 1.0, 0.0525, 60.0, 79.99, 80.0, -0.001]
+    times = [None, dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 60)]
+    rows = [(urls[i % len(urls)], numbers[i % len(numbers)], times[i % 3]) for i in range(len(urls) * len(numbers))]
+    df = spark.createDataFrame(rows, "url string, x double, t timestamp_ntz")
+    pairs = {f"{n}(url)": getattr(X, n)("url") for n in ("state_from_url", "state_label", "site_name", "normalize_url", "is_valid_url")}
+    pairs |= {f"{n}(x)": getattr(X, n)("x") for n in ("score_percent", "score_band", "badge_class", "badge_text")}
+    pairs |= {"iso_text(t)": X.iso_text("t"), "audit_day(t)": X.day("t"), "status_mark(url)": X.status_mark("url")}
+    for sql, rule in pairs.items():
+        wrong = df.select("url", "x", "t", F.expr(sql).alias("a"), rule.alias("b")).where(~F.col("a").eqNullSafe(F.col("b")))
+        assert wrong.collect() == [], sql
