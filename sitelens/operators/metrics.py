@@ -167,15 +167,35 @@ def available_states(ranking: DataFrame) -> DataFrame:
             .distinct().orderBy("state"))
 
 
+def trend_state(summaries: DataFrame) -> DataFrame:
+    """One mergeable row per url: its first and last (timestamp, id, mobile performance) and their number."""
+    ok = summaries.filter(not_error() & F.col("mobile_performance").isNotNull())
+    at = F.struct("timestamp", "id", "mobile_performance")
+    # a row without time is neither first nor last while there is one with time
+    timed = F.when(F.col("timestamp").isNotNull(), at)
+    return ok.groupBy("url").agg(F.coalesce(F.min(timed), F.min(at)).alias("first"),
+                                 F.coalesce(F.max(timed), F.max(at)).alias("last"),
+                                 F.count(F.lit(1)).alias("n_audits"))
+
+
+def merge_trends(states: DataFrame) -> DataFrame:
+    """Rows of :func:`trend_state` from several loads as one row per url."""
+    timed = {c: F.when(F.col(f"{c}.timestamp").isNotNull(), F.col(c)) for c in ("first", "last")}
+    return states.groupBy("url").agg(F.coalesce(F.min(timed["first"]), F.min("first")).alias("first"),
+                                     F.coalesce(F.max(timed["last"]), F.max("last")).alias("last"),
+                                     F.sum("n_audits").alias("n_audits"))
+
+
 def performance_trend(summaries: DataFrame) -> DataFrame:
     """First and last mobile performance of every url; improved if last > first."""
-    ok = summaries.filter(not_error() & F.col("mobile_performance").isNotNull())
-    order = F.struct("timestamp", "id")
-    t = ok.groupBy("url").agg(
-        F.min_by("mobile_performance", order).alias("first_performance"),
-        F.max_by("mobile_performance", order).alias("last_performance"),
-        F.count(F.lit(1)).alias("n_audits"))
-    return t.withColumn("improved", F.col("last_performance") > F.col("first_performance"))
+    return performance_trend_from_state(trend_state(summaries))
+
+
+def performance_trend_from_state(state: DataFrame) -> DataFrame:
+    """A13 from :func:`trend_state` rows, one per url."""
+    first, last = F.col("first.mobile_performance"), F.col("last.mobile_performance")
+    return state.select("url", first.alias("first_performance"), last.alias("last_performance"), "n_audits",
+                        (last > first).alias("improved"))
 
 
 def batch_counts(audits: DataFrame, run_col=None) -> DataFrame:
@@ -193,6 +213,8 @@ MEAN_COLS = ["mobile_performance", "desktop_performance", "mobile_accessibility"
               "desktop_accessibility", "mobile_seo", "desktop_seo", "mobile_best_practices",
               "desktop_best_practices"]
 STD_COLS = ["mobile_performance", "desktop_performance"]
+#: Log2 of the registers of a url sketch: a standard error of 0.8 %, 8 KB per day and state at most.
+URL_SKETCH_BITS = 14
 
 
 def daily_partials(summaries: DataFrame) -> DataFrame:
@@ -209,7 +231,8 @@ def daily_partials(summaries: DataFrame) -> DataFrame:
         aggs += [F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"s_{c}")]
     for c in STD_COLS:
         aggs.append((F.var_pop(c) * F.count(c)).alias(f"m2_{c}"))
-    aggs += [F.min("mobile_performance").alias("min_mp"), F.max("mobile_performance").alias("max_mp")]
+    aggs += [F.min("mobile_performance").alias("min_mp"), F.max("mobile_performance").alias("max_mp"),
+             F.max("timestamp").alias("max_ts"), F.hll_sketch_agg("url", URL_SKETCH_BITS).alias("urls")]
     # A3 inputs: successful audits only
     ok_perf = F.when(ok, F.col("mobile_performance"))
     ok_acc = F.when(ok, F.col("mobile_accessibility"))
@@ -230,7 +253,7 @@ def merge_partials(partials: DataFrame) -> DataFrame:
             # one row stays as it is
             aggs.append((F.sum(c) + F.when(F.count(c) > 1, F.greatest(between, F.lit(0.0))).otherwise(0.0)).alias(c))
         elif c not in keys:
-            f = {"min_mp": F.min, "max_mp": F.max}.get(c, F.sum)
+            f = {"min_mp": F.min, "max_mp": F.max, "max_ts": F.max, "urls": F.hll_union_agg}.get(c, F.sum)
             aggs.append(f(c).alias(c))
     return partials.groupBy(*keys).agg(*aggs).select(*partials.columns)
 
@@ -267,6 +290,18 @@ def aggregated_metrics_from_partials(partials: DataFrame) -> DataFrame:
     return g.select(*out)
 
 
+def metrics_overview_from_partials(partials: DataFrame) -> DataFrame:
+    """A7 of the long layout (two records per audit) from :func:`daily_partials` rows.
+
+    ``unique_urls`` is estimated from the union of the days' sketches (standard error
+    0.8 %); the other columns are exact.  No history is read.
+    """
+    return partials.agg(
+        (F.coalesce(F.sum("n_all"), F.lit(0)) * 2).cast("long").alias("total_records"),
+        F.max("max_ts").alias("latest_timestamp"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("urls")), F.lit(0)).cast("long").alias("unique_urls"))
+
+
 def metrics_by_state_from_partials(partials: DataFrame) -> DataFrame:
     """A3 from :func:`daily_partials` rows (same columns and order as A3)."""
     return (partials.filter(F.col("state") != "")

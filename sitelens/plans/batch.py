@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import scalars as X
@@ -69,10 +69,6 @@ MAINTAINED = "maintained"
 _COVERED = "covered.json"
 
 
-def _partials_schema(spark: SparkSession) -> T.StructType:
-    return M.daily_partials(schemas.empty_frame(spark, schemas.AUDIT_SUMMARIES)).schema
-
-
 def _version(spark: SparkSession, base: str) -> str | None:
     """The newest version that was written to its end (``covered.json`` is its last file)."""
     root = f"{base}/{MAINTAINED}"
@@ -82,8 +78,16 @@ def _version(spark: SparkSession, base: str) -> str | None:
     return None
 
 
-def maintained_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """The latest-per-site (W1) and per-day partial tables, complete.
+class Maintained(NamedTuple):
+    """Latest audit per site (W1), partials per day and state (A1, A3, A7), first and last audit per site."""
+
+    latest: DataFrame
+    partials: DataFrame
+    trends: DataFrame
+
+
+def maintained_tables(spark: SparkSession, base: str) -> Maintained:
+    """The maintained tables, complete.
 
     A version records the names of the loads it covers.  Committed loads never
     change, so only the loads that came since, whoever appended them, are read
@@ -95,40 +99,41 @@ def maintained_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFr
     columns = schemas.AUDIT_SUMMARIES.fieldNames()
     if loads is None:
         rows = read_table(spark, base, "audit_summaries").select(*columns)
-        return latest_per_site(rows), M.daily_partials(rows)
+        return Maintained(latest_per_site(rows), M.daily_partials(rows), M.trend_state(rows))
     root, name = f"{base}/{MAINTAINED}", _version(spark, base)
-    schema = _partials_schema(spark)
+    none = schemas.empty_frame(spark, schemas.AUDIT_SUMMARIES)
+    kinds = Maintained(none.schema, M.daily_partials(none).schema, M.trend_state(none).schema)
 
-    def part(version: str, kind: str, sch: T.StructType) -> DataFrame:
-        return spark.read.schema(sch).parquet(f"{root}/{version}/{kind}")
+    def version_tables(version: str) -> Maintained:
+        return Maintained(*[spark.read.schema(sch).parquet(f"{root}/{version}/{kind}")
+                            for kind, sch in zip(Maintained._fields, kinds)])
 
     if name is None:
-        covered = set()
-        latest, partials = (schemas.empty_frame(spark, x) for x in (schemas.AUDIT_SUMMARIES, schema))
+        covered, before = set(), Maintained(*[schemas.empty_frame(spark, sch) for sch in kinds])
     else:
-        covered = set(json.loads(read_text(spark, f"{root}/{name}/{_COVERED}")))
-        latest, partials = part(name, "latest", schemas.AUDIT_SUMMARIES), part(name, "partials", schema)
+        covered, before = set(json.loads(read_text(spark, f"{root}/{name}/{_COVERED}"))), version_tables(name)
     new = sorted(set(loads) - covered)
     if not new and name is not None:
-        return latest, partials
+        return before
     fresh = read_table(spark, base, "audit_summaries", new).select(*columns)
     # names sort by time, so the newest complete version is the last one
     version = f"v-{int(name.split('-')[1]) + 1 if name else 1:012d}-{uuid.uuid4().hex[:8]}"
-    run_concurrently([
-        lambda: update_latest(latest, fresh).write.parquet(f"{root}/{version}/latest"),
-        lambda: M.merge_partials(partials.unionByName(M.daily_partials(fresh))).write.parquet(f"{root}/{version}/partials"),
-    ])
+    after = Maintained(update_latest(before.latest, fresh),
+                       M.merge_partials(before.partials.unionByName(M.daily_partials(fresh))),
+                       M.merge_trends(before.trends.unionByName(M.trend_state(fresh))))
+    run_concurrently([lambda kind=kind, rows=rows: rows.write.parquet(f"{root}/{version}/{kind}")
+                      for kind, rows in zip(Maintained._fields, after)])
     write_once(spark, f"{root}/{version}/{_COVERED}", json.dumps(sorted(covered | set(new))))
-    return part(version, "latest", schemas.AUDIT_SUMMARIES), part(version, "partials", schema)
+    return version_tables(version)
 
 
 def read_partials(spark: SparkSession, base: str) -> DataFrame:
-    return maintained_tables(spark, base)[1]
+    return maintained_tables(spark, base).partials
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
     """The maintained latest-per-site table."""
-    return maintained_tables(spark, base)[0]
+    return maintained_tables(spark, base).latest
 
 
 def run_quarantine_update(spark: SparkSession, base: str, as_of, min_days: int = 3) -> DataFrame:
@@ -207,7 +212,7 @@ def run_dashboard_export(spark: SparkSession, base: str, out_dir: str, generated
     ``out_dir``, switched to when all its files are there (``versions.published_folder``)."""
     summaries = read_table(spark, base, "audit_summaries").select(
         *schemas.AUDIT_SUMMARIES.fieldNames())
-    latest, partials = maintained_tables(spark, base)
+    tables = maintained_tables(spark, base)
     quarantine = read_table(spark, base, "quarantine")
     return publish(spark, out_dir, lambda folder: W.export_dashboard(
-        summaries, quarantine, folder, generated_at, latest=latest, partials=partials))
+        summaries, quarantine, folder, generated_at, latest=tables.latest, partials=tables.partials))

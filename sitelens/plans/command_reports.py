@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import scalars as X
+from ..operators import metrics as M
 from ..operators import quarantine as Q
 from ..operators import ranking as R
 from ..session import scratch_path
@@ -108,6 +109,21 @@ def q_dashboard_by_state(spark, sf):
     return rounded(_dashboard(spark, sf, "by-state", _STATE_ROW), "avg_performance", "avg_accessibility")
 
 
+@report("overview_from_partials", O.sql(
+    "SELECT 2 * count(*) AS total_records, max(\"timestamp\") AS latest_timestamp, true AS urls_within_bound FROM all_summaries", _ALL))
+def q_overview_from_partials(spark, sf):
+    """The estimate of distinct urls against the exact number, within four standard errors."""
+    base = stored_base(spark, sf)
+    near = M.metrics_overview_from_partials(B.read_partials(spark, base))
+    exact = read_table(spark, base, "audit_summaries").select("url").distinct().count()
+    return near.select("total_records", "latest_timestamp", (F.abs(F.col("unique_urls") - exact) <= 0.032 * exact).alias("urls_within_bound"))
+
+
+@report("performance_trend_maintained", REPORTS["performance_trend"][1])
+def q_performance_trend_maintained(spark, sf):
+    return M.performance_trend_from_state(B.maintained_tables(spark, stored_base(spark, sf)).trends)
+
+
 @report("find_url_stored", O.sql(
     f"SELECT {O.SUMMARY_COLUMNS} FROM summaries WHERE url LIKE '%{WILD_PATTERN}%' UNION ALL BY NAME "
     f"SELECT * FROM all_summaries WHERE id < 0 AND url LIKE '%{WILD_PATTERN}%'", _ALL))

@@ -133,7 +133,7 @@ def q_dashboard_after_history(spark, sf):
     W.append_responses(raw.filter(F.col("fetched_at") < split), base)
     maintained_tables(spark, base)
     W.append_responses(raw.filter(F.col("fetched_at") >= split), base)
-    return R.site_ranking_from_latest(maintained_tables(spark, base)[0])
+    return R.site_ranking_from_latest(maintained_tables(spark, base).latest)
 
 
 @report("stream_equals_batch", O.sql("SELECT * FROM summaries"))

@@ -32,7 +32,11 @@ def ids(spark, base, name="audit_summaries"):
 def same_as_full(spark, base):
     """The maintained tables against a scan of all history; returns the total of the partials."""
     rows = read_table(spark, base, "audit_summaries").select(*schemas.AUDIT_SUMMARIES.fieldNames())
-    latest, partials = B.maintained_tables(spark, base)
+    latest, partials, trends = B.maintained_tables(spark, base)
+    assert sorted(M.performance_trend_from_state(trends).collect()) == sorted(M.performance_trend(rows).collect())
+    exact = M.metrics_overview(A.to_long_metrics(rows)).first()
+    near = M.metrics_overview_from_partials(partials).first()
+    assert near[:2] == exact[:2] and abs(near.unique_urls - exact.unique_urls) <= 0.03 * exact.unique_urls
     full = R.latest_per_site(rows)
     assert latest.exceptAll(full).count() == 0 and full.exceptAll(latest).count() == 0
     a, b = M.aggregated_metrics_from_partials(partials).first(), M.aggregated_metrics(rows).first()
