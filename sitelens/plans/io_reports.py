@@ -61,6 +61,21 @@ def q_valid_urls(spark, sf):
     return S.read_site_list(spark, path, SITE_LIST_COLUMN).select("url")
 
 
+@report("site_list_rows", O.sql(
+    "SELECT trim(url) AS url FROM pages WHERE page_id % 4 IN (0, 3) AND url IS NOT NULL AND trim(url) <> '' "
+    f"AND regexp_matches(trim(url), {_VALID})"))
+def q_site_list_rows(spark, sf):
+    """S1 with padded, invalid and empty values and notes that hold quotes, commas and line breaks."""
+    path = scratch_path(spark, "site-list-rows")
+    kind, url = F.col("page_id") % 4, F.col("url")
+    value = (F.when(kind == 0, F.concat(F.lit(" \t"), url, F.lit(" "))).when(kind == 1, F.concat(F.lit("no url "), F.col("page_id").cast("string")))
+             .when(kind == 2, F.lit("")).otherwise(url))
+    note = F.concat(F.lit('said "x", twice\n'), url, F.lit(",\n"))
+    P.page_urls(spark, sf).select(note.alias("Observação"), value.alias(SITE_LIST_COLUMN), "page_id").write.option("header", True) \
+        .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return S.read_site_list(spark, path, SITE_LIST_COLUMN).select("url")
+
+
 @report("normalized_urls", O.sql(
     "SELECT page_id, url, regexp_replace(url, '/+$', '') || '/' AS normalized FROM pages"))
 def q_normalized_urls(spark, sf):
@@ -113,6 +128,49 @@ def q_response_validation(spark, sf):
     return v.groupBy("strategy", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+# mobile responses of run id % 6: what came instead, its outcome and its error text
+_BROKEN = [(1, {"failure": "timeout", "reason": "slow"}, "transport_error", f"{A.TIMEOUT_PREFIX}slow"),
+           (2, {"failure": "request", "reason": "refused"}, "transport_error", f"{A.REQUEST_PREFIX}refused"),
+           (3, {"body": "{not json"}, "invalid_body", f"{A.VALIDATION_PREFIX}{A.VALIDATION_TEXT}"),
+           (4, {"status_code": 302, "reason": "Found", "body": ""}, "http_error", f"{A.HTTP_PREFIX}302: Found"),
+           (5, {"failure": "dns"}, "transport_error", "OK")]
+_BROKEN_MOD = 6
+
+
+def _broken_responses(spark, sf):
+    """Stored responses in which the mobile ones of successful runs fail in every way."""
+    raw = P.raw_responses(spark, sf)
+    for rem, values, _, _ in _BROKEN:
+        hit = (F.col("run_id") % _BROKEN_MOD == rem) & (F.col("strategy") == "mobile") & (F.col("status_code") == 200)
+        # the status is a condition of its own, so it is set last
+        for c, v in sorted(values.items(), key=lambda x: x[0] == "status_code"):
+            raw = raw.withColumn(c, F.when(hit, F.lit(v)).otherwise(F.col(c)))
+    return raw
+
+
+def _broken_case(column: int) -> str:
+    return "CASE" + "".join(f" WHEN id % {_BROKEN_MOD} = {b[0]} THEN '{b[column]}'" for b in _BROKEN)
+
+
+@report("response_outcomes", O.sql(
+    f"SELECT id AS run_id, 'mobile' AS strategy, CASE WHEN has_errors THEN 'http_error' ELSE {_broken_case(2)} ELSE 'ok' END END AS outcome, "
+    f"CASE WHEN has_errors THEN error_message ELSE {_broken_case(3)} END END AS problem FROM summaries "
+    "UNION ALL SELECT id, 'desktop', 'ok', NULL FROM summaries"))
+def q_response_outcomes(spark, sf):
+    """Every outcome and error text."""
+    return A.validate_responses(_broken_responses(spark, sf)).select("run_id", "strategy", "outcome", "problem")
+
+
+@report("assembled_outcomes", O.sql(
+    f"SELECT id, url, \"timestamp\", CASE WHEN has_errors THEN error_message ELSE {_broken_case(3)} END END AS error_message, "
+    + ", ".join(f"CASE WHEN id % {_BROKEN_MOD} = 0 THEN {c} END AS {c}" for c in schemas.SCORE_COLUMNS + schemas.VITAL_COLUMNS)
+    + " FROM summaries"))
+def q_assembled_outcomes(spark, sf):
+    """T1 and T2 over responses that fail in every way: all or nothing, and the values of the stored documents."""
+    audits = A.assemble_audits(_broken_responses(spark, sf))
+    return A.summarize_audits(audits).select("id", "url", "timestamp", "error_message", *schemas.SCORE_COLUMNS, *schemas.VITAL_COLUMNS)
+
+
 @report("appended_audits", O.sql("SELECT * FROM summaries"))
 def q_appended_audits(spark, sf):
     base = scratch_path(spark, "tables")
@@ -239,6 +297,19 @@ def q_quarantine_json(spark, sf):
     return spark.read.schema(schema).json(paths["sites"])
 
 
+@report("quarantine_json_stats", qsql(
+    "SELECT count(*) AS total, " + ", ".join(f"CAST(count_if(status = '{s}') AS BIGINT) AS {s}" for s in schemas.QUARANTINE_STATUSES)
+    + ", coalesce(round(avg(consecutive_failures), 1), 0.0) AS avg_failures, coalesce(max(consecutive_failures), 0) AS max_failures, "
+    f"{sql_iso(O.AS_OF)} AS generated_at FROM qcur WHERE status <> '{schemas.REMOVED_STATUS}'"))
+def q_quarantine_json_stats(spark, sf):
+    cur = quarantine_current(P.quarantine(spark, sf))
+    paths = W.export_quarantine_json(cur, scratch_path(spark, "quarantine-json"), P.as_of_value(spark, sf))
+    schema = T.StructType([T.StructField(n, T.DoubleType() if n == "avg_failures" else T.LongType())
+                           for n in ("total", *schemas.QUARANTINE_STATUSES, "avg_failures", "max_failures")]
+                          + [T.StructField("generated_at", T.StringType())])
+    return spark.read.schema(schema).json(paths["stats"])
+
+
 @report("quarantine_csv", qsql(_SITES_SQL))
 def q_quarantine_csv(spark, sf):
     cur = quarantine_current(P.quarantine(spark, sf))
@@ -258,6 +329,18 @@ def q_metrics_export(spark, sf):
     return S.read_metrics_json(spark, paths["json"], multi_line=False)
 
 
+@report("metrics_csv", O.sql(
+    "SELECT url, performance, accessibility, seo, \"bestPractices\", " + sql_iso('"timestamp"') + " AS \"timestamp\", ibge_code "
+    "FROM latest_s", SQL_LATEST_STRATEGY))
+def q_metrics_csv(spark, sf):
+    latest = R.latest_per_site_strategy(P.psi_metrics(spark, sf))
+    paths = W.export_metrics(latest, scratch_path(spark, "metrics-csv"), formats=("csv",))
+    scores = ("performance", "accessibility", "seo", "bestPractices")
+    columns = ["url", *scores, "timestamp", "ibge_code"]
+    schema = T.StructType([T.StructField(c, T.DoubleType() if c in scores else T.StringType()) for c in columns])
+    return spark.read.schema(schema).option("header", True).csv(paths["csv"])
+
+
 _DASH = [("summary", "SELECT 1"), ("ranking", "SELECT * FROM ranking"),
          ("top50", "SELECT * FROM ranking ORDER BY rank LIMIT 50"),
          ("worst50", "SELECT * FROM ranking ORDER BY score, rank LIMIT 50"),
@@ -333,6 +416,16 @@ def q_null_checks(spark, sf):
     return QL.null_counts(P.psi_metrics(spark, sf), ("url", "timestamp"))
 
 
+@report("null_checks_found", O.sql(
+    "SELECT CAST(count_if(performance IS NULL) AS BIGINT) AS null_url, CAST(count_if(seo = 0) AS BIGINT) AS null_timestamp, "
+    "count(*) AS total_rows FROM psi_metrics"))
+def q_null_checks_found(spark, sf):
+    """Q1 over a table that lacks some urls and timestamps."""
+    m = P.psi_metrics(spark, sf)
+    return QL.null_counts(m.withColumns({"url": F.when(F.col("performance").isNotNull(), F.col("url")),
+                                         "timestamp": F.when(~F.coalesce(F.col("seo") == 0, F.lit(False)), F.col("timestamp"))}), ("url", "timestamp"))
+
+
 _DUCK_TO_SPARK = ("CASE {t} WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' "
                   "WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
                   "WHEN 'BOOLEAN' THEN 'boolean' WHEN 'INTEGER' THEN 'int' ELSE lower({t}) END")
