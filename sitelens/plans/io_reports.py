@@ -388,8 +388,9 @@ def q_run_sql(spark, sf):
 
 RULES_SQL = ("SELECT r.url, r.rank, r.score, site_name(r.url) AS site, state_label(r.url) AS label, "
              "badge_class(r.score) AS badge, score_band(r.score / 100) AS band, s.site_count, "
-             "round(s.avg_performance, 6) AS state_performance, m.total_audits, round(m.avg_mobile_seo, 6) AS avg_mobile_seo "
-             "FROM site_ranking() r LEFT JOIN metrics_by_state() s ON s.state = state_from_url(r.url), aggregated_metrics() m "
+             "round(s.avg_performance, 6) AS state_performance, (SELECT total_audits FROM aggregated_metrics()) AS total_audits, "
+             "(SELECT round(avg_mobile_seo, 6) FROM aggregated_metrics()) AS avg_mobile_seo "
+             "FROM site_ranking() r LEFT JOIN metrics_by_state() s ON s.state = state_from_url(r.url) "
              "WHERE is_valid_url(r.url) AND normalize_url(r.url) = r.url")
 
 

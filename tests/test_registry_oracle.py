@@ -10,6 +10,8 @@ from sitelens.plans.registry import all_reports
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(E.oracle_sql())
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def _norm(v):
@@ -25,7 +27,7 @@ def _norm(v):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("events", "pages"):
+    for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -72,7 +74,7 @@ def test_distributed_numbering_on_driver_data(spark):
     from sitelens.sources import proxy as P
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for t in ("events", "pages"):
+    for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     _same(R.site_ranking(P.summaries(spark, sf)),
           con.sql(E.oracle_sql()["site_ranking"]))
