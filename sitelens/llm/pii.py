@@ -5,9 +5,10 @@ their checks.  They and long hexadecimal secrets are the seeds of the bootstrap:
 
 1.  Every span of a seed is an occurrence; its lexical pattern is the two words
     before the span's own start (lower-cased, without symbols glued to the start).
-2.  Patterns with at least ``MIN_SUPPORT`` known instances are looked up in all
-    texts: what follows one is an instance, whatever it is: a run of tokens with digits,
-    or a single token.  No other pattern can be trusted, so no other is looked up.
+2.  Patterns with at least ``MIN_SUPPORT`` known instances are found in all
+    texts, and the distinct plain words after each are counted by hash, at first those of one
+    hash range.  Where these alone keep a pattern below ``TRUST``, no text is cut for it in this
+    round: a bound, so no result is lost.  For the others, what follows is an instance, whatever it is: a run of tokens with digits, or a single token.
 3.  Distinct (pattern, instance) pairs form a graph.  A pattern's
     confidence is the mean score of its instances (with two unknown ones
     added), and an instance's score the noisy-or of its trusted patterns; seeds stay at 1.
@@ -16,6 +17,8 @@ their checks.  They and long hexadecimal secrets are the seeds of the bootstrap:
     and their patterns join the graph; shorter ones and plain words, which mean
     something else elsewhere, are spans after trusted patterns only.
 
+Steps 2 to 4 are repeated until no pattern and no identifier is new.
+
 Offsets come from splitting the text at the pattern: pieces and matches
 alternate, so their lengths add up to positions (code points).  Everything is
 DataFrame functions; texts are stored once and joined by what is looked up in them.
@@ -45,10 +48,13 @@ LEAD = r"^[^\p{L}0-9+@\s]*+"
 RUN = r"^(?:[^\s0-9]*+[0-9]\S*+(?:(?<=[\p{L}0-9)])[ \t]++[^\s0-9]*+[0-9]\S*+)*+|\S++)"
 BASE_KINDS = ("email", "ip", "card", "phone")
 
-ROUNDS = 3
 ACCEPT = 0.8
 TRUST = 0.5
 MIN_SUPPORT = 3
+#: Hash ranges of words; those of one are counted first.
+RANGES = 64
+#: A pass over the graph that raises no score by more is the last one.
+STEADY = 0.01
 WIDE = 6
 NEAR = 1_000
 
@@ -171,13 +177,63 @@ def _occurrences(texts: DataFrame, hits: DataFrame, raw) -> DataFrame:
     return found.select("__row", "o.start", "o.end", "o.value", F.xxhash64("o.value", F.lit(1)).alias("instance"), "o.pattern", wide.alias("wide"))
 
 
-def _after(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """What follows each occurrence of ``patterns`` (pattern)."""
-    n = F.greatest(F.size("__words") - 2, F.lit(0))
-    pairs = F.arrays_zip(F.slice("__words", F.lit(1), n).alias("a"), F.slice("__words", F.lit(2), n).alias("b"))
-    each = (texts.select("__row", F.transform(_pieces(F.col("__text")), _word).alias("__words"))
-            .select("__row", F.posexplode(F.transform(pairs, lambda x: F.xxhash64(x["a"], x["b"]))).alias("pos", "pattern")))
-    hits = each.join(patterns, "pattern").select("__row", (F.col("pos") + 2).alias("pos"), F.lit(None).cast("string").alias("want"))
+def _followed(texts: DataFrame, patterns: DataFrame, some: bool = False) -> DataFrame:
+    """(__row, pos, pattern, first, plain) of each occurrence of ``patterns`` (pattern): what follows begins with the piece at pos.
+
+    ``first`` is a hash of its letters and digits.  A ``plain`` piece is a whole word that touches no seed (no digit, no @, too
+    short for a secret, a blank after it), so it is an instance by itself.  With ``some`` only the plain pieces of one
+    hash range in ``RANGES``, told before patterns are looked up.
+    """
+    n = F.greatest(F.size("__pieces") - 2, F.lit(0))
+    after = F.arrays_zip(F.slice("__words", F.lit(1), n).alias("a"), F.slice("__words", F.lit(2), n).alias("b"), F.slice("__pieces", F.lit(3), n).alias("c"))
+    each = (texts.select("__row", _pieces(F.col("__text")).alias("__pieces")).withColumn("__words", F.transform("__pieces", _word))
+            .select("__row", F.posexplode(F.transform(after, lambda x: F.struct(F.xxhash64(x["a"], x["b"]).alias("pattern"), x["c"].alias("c")))).alias("pos", "x"))
+            .select("__row", (F.col("pos") + 2).alias("pos"), "x.pattern", "x.c"))
+    piece = F.col("c")
+    plain = piece.rlike(r"^[^0-9@]*\p{L}[^0-9@]*\s$") & (F.length(piece) < 32)
+    each = each.select("__row", "pos", "pattern", _letters(piece).alias("first"), plain.alias("plain"))
+    if some:
+        each = each.where((F.pmod("first", F.lit(RANGES)) == 0) & F.col("plain"))
+    return each.join(patterns, "pattern")
+
+
+def _scored(score: DataFrame, values: DataFrame | None) -> DataFrame:
+    """(first, m): how many scored instances that are no seeds begin with a piece."""
+    if values is None:
+        return score.select(F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("m")).limit(0)
+    told = score.where("NOT seed AND score > 0").select("instance")
+    known = values.join(told, "instance").select(_letters(F.get(_pieces(F.col("value")), F.lit(0))).alias("first"), "instance").distinct()
+    return known.groupBy("first").agg(F.count(F.lit(1)).alias("m"))
+
+
+def _can_reach(patterns: DataFrame, graph: DataFrame) -> DataFrame:
+    """The (pattern, x, u) whose confidence can reach ``TRUST``: with k seeds before it, x scored instances that may follow it, all
+    taken as sure, and u distinct plain words without a score after it, it is (k + x) / (k + x + u + 2) at most."""
+    seeds = graph.where("seed").groupBy("pattern").agg(F.count(F.lit(1)).alias("k"))
+    most = F.coalesce("k", F.lit(0)) + F.col("x")
+    return patterns.join(seeds, "pattern", "left").where(most / (most + F.col("u") + 2) >= TRUST).select("pattern")
+
+
+def _hopeful(patterns: DataFrame, sampled: DataFrame, graph: DataFrame, scored: DataFrame) -> DataFrame:
+    """The ``patterns`` not left out by the words of one hash range alone, if every scored instance followed them."""
+    x = scored.agg(F.sum("m")).first()[0] or 0
+    u = sampled.join(scored, "first", "left_anti").groupBy("pattern").agg(F.count(F.lit(1)).alias("u"))
+    return _can_reach(patterns.join(u, "pattern", "left").select("pattern", F.lit(x).cast("long").alias("x"), F.coalesce("u", F.lit(0)).alias("u")), graph)
+
+
+def _may_be_trusted(found: DataFrame, graph: DataFrame, scored: DataFrame) -> DataFrame:
+    """The patterns (pattern) of ``found`` (see :func:`_followed`) that can reach ``TRUST`` with the scores of this round.
+
+    Distinct hashes are counted, no text is cut.
+    """
+    after = found.groupBy("pattern", "first").agg(F.max("plain").alias("plain")).join(scored, "first", "left")
+    counts = after.groupBy("pattern").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("x"), F.count_if(F.col("plain") & F.col("m").isNull()).alias("u"))
+    return _can_reach(counts, graph)
+
+
+def _after(texts: DataFrame, found: DataFrame, patterns: DataFrame) -> DataFrame:
+    """What follows each occurrence of ``patterns`` (pattern) in ``found``."""
+    hits = found.join(patterns, "pattern").select("__row", "pos", F.lit(None).cast("string").alias("want"))
     return _occurrences(texts, hits, lambda tail, want: F.regexp_extract(tail, RUN, 0))
 
 
@@ -191,23 +247,29 @@ def _again(texts: DataFrame, instances: DataFrame) -> DataFrame:
 
 
 def _scores(graph: DataFrame, looked: DataFrame, accept: float) -> tuple[DataFrame, DataFrame]:
-    """(instances with their scores, trusted patterns); only patterns of ``looked`` have all their instances in ``graph``."""
+    """(instances with their scores, trusted patterns); only patterns of ``looked`` have all their instances in ``graph``.
+
+    Scores only grow; they are passed on until a pass raises none by more than ``STEADY``.
+    """
     score = stored(graph.groupBy("instance").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double")), "pii-scores")
     full = stored(graph.join(looked, "pattern"), "pii-graph")
-    for _ in range(ROUNDS):
+    while True:
         pattern = stored(full.join(score.select("instance", "score"), "instance").groupBy("pattern")
                          .agg((F.sum("score") / (F.count(F.lit(1)) + 2)).alias("conf"), F.count_if(F.col("score") >= accept).alias("support"))
                          .where((F.col("conf") >= TRUST) & (F.col("support") >= MIN_SUPPORT)), "pii-patterns")
         told = (full.join(pattern, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999)))))).alias("told")))
-        score = stored(score.join(told, "instance", "left").select("instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("told", F.lit(0.0))).alias("score")), "pii-scores")
-    return score, pattern
+        new = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("told", F.lit(0.0)))
+        score = stored(score.join(told, "instance", "left").select("instance", "seed", (new - F.col("score")).alias("more"), new.alias("score")), "pii-scores")
+        if (score.agg(F.max("more")).first()[0] or 0.0) <= STEADY:
+            return score.drop("more"), pattern
+        score = score.drop("more")
 
 
 def _touches(a: Column, spans: Column) -> Column:
     return F.exists(spans, lambda s: (s["start"] < a["end"]) & (a["start"] < s["end"]))
 
 
-def find_pii(docs: DataFrame, keep: list[str], rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
+def find_pii(docs: DataFrame, keep: list[str], accept: float = ACCEPT) -> DataFrame:
     """``keep`` columns of each row plus n_email, n_ip, n_card, n_phone, base and spans.
 
     base, spans: arrays of (kind, start, end), base kinds in their order, then ctx
@@ -228,17 +290,39 @@ def find_pii(docs: DataFrame, keep: list[str], rounds: int = ROUNDS, accept: flo
     graph = stored(texts.where(F.size("__seeds") > 0).select(F.explode(F.transform("__seeds", one)).alias("o")).where("o.pattern IS NOT NULL")
                    .select("o.pattern", "o.instance", F.lit(True).alias("seed")).distinct(), "pii-graph")
     score = graph.select("instance", "seed", F.lit(1.0).alias("score")).distinct()
-    looked = searched = seen = None
-    for _ in range(rounds):
+    looked = searched = seen = asked = sampled = found = None
+
+    def add(old, new, name):
+        return new if old is None else stored(old.unionByName(new), name)
+
+    while True:
         known = score.where(F.col("score") >= accept)
         patterns = graph.join(known.select("instance"), "instance").groupBy("pattern").count().where(F.col("count") >= MIN_SUPPORT).select("pattern")
         patterns = stored(patterns if looked is None else patterns.join(looked, "pattern", "left_anti"), "pii-look")
-        parts = [] if patterns.isEmpty() else [_after(texts, patterns)]
+        parts = []
+        scored = stored(_scored(score, seen), "pii-scored")
+        # one look at all texts for the words of a hash range, which leaves out all but few patterns, one for all that follows
+        # the others; what was seen is asked again each round, with the scores of that round
+        new = patterns if asked is None else stored(patterns.join(asked, "pattern", "left_anti"), "pii-new")
+        if not new.isEmpty():
+            some = stored(_followed(texts, new, some=True).select("pattern", "first").distinct(), "pii-some")
+            asked, sampled = add(asked, new, "pii-asked"), add(sampled, some, "pii-sampled")
+        hopeful = patterns if sampled is None else stored(_hopeful(patterns, sampled, graph, scored), "pii-hopeful")
+        new = hopeful if found is None else stored(hopeful.join(found.select("pattern").distinct(), "pattern", "left_anti"), "pii-new")
+        if not new.isEmpty():
+            found = add(found, stored(_followed(texts, new), "pii-found"), "pii-found")
+        if found is not None:
+            patterns = stored(_may_be_trusted(found.join(hopeful, "pattern", "left_semi"), graph, scored), "pii-look")
+            if not patterns.isEmpty():
+                parts.append(_after(texts, found, patterns))
+        else:
+            patterns = hopeful.limit(0)
         if seen is not None:
             fresh = seen.where("wide").select("instance", "value").distinct().join(known.where("NOT seed").select("instance"), "instance")
             fresh = stored(fresh if searched is None else fresh.join(searched, "instance", "left_anti"), "pii-fresh")
-            parts += [] if fresh.isEmpty() else [_again(texts, fresh.select("value"))]
-            searched = fresh.select("instance") if searched is None else stored(searched.union(fresh.select("instance")), "pii-searched")
+            if not fresh.isEmpty():
+                parts.append(_again(texts, fresh.select("value")))
+                searched = fresh.select("instance") if searched is None else stored(searched.union(fresh.select("instance")), "pii-searched")
         if not parts:
             break
         for part in parts:

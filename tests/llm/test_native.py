@@ -72,6 +72,50 @@ def test_every_base_entity_teaches_the_words_before_it(spark):
     assert not any(v for i, v in found.items() if i < 900)
 
 
+CHAIN = (50, 40, 30, 22)
+
+
+def _chain_rows(chain=CHAIN):
+    """Cards teach pattern 0; what is found by pattern i stands after pattern i + 1, too."""
+    cards = [c for c in (str(4_111_111_111_110_000 + i) for i in range(600)) if base_spans(c)]
+    rows = [f"please use step0 key {c} today" for c in cards]
+    for i, size in enumerate(chain):
+        rows += [f"see step{i} key id{i}-{n}77 now" for n in range(size)] + [f"and step{i + 1} key id{i}-{n}77 too" for n in range(size)]
+    # a common pair of words before three cards and very many plain words, and one before words that are known
+    rows += [f"it was of the {c} end" for c in cards[:3]] + [f"it was of the word{'abcdefghij'[n % 10]}{'klmnopqrst'[n // 10]} end" for n in range(90)]
+    return list(enumerate(rows))
+
+
+def test_bootstrap_goes_on_until_nothing_is_new(spark):
+    rows = _chain_rows()
+    got = by_id(pii.find_pii(docs_df(spark, rows), ["doc_id"]))
+    found = {t[a:b] for i, t in rows for k, a, b in (tuple(s) for s in got[i]["spans"]) if k == "ctx"}
+    assert found == {f"id{i}-{n}77" for i, size in enumerate(CHAIN) for n in range(size)}
+
+
+def test_patterns_left_out_by_their_count_could_not_be_trusted(spark, monkeypatch):
+    rows = _chain_rows(CHAIN[:1])
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = table.unionByName(docs_df(spark, [(10_000 + i, t) for i, t in rows]).select("doc_id", "text")).cache()
+
+    def spans():
+        return {i: [tuple(s) for s in r["spans"]] for i, r in by_id(pii.find_pii(docs, ["doc_id"])).items()}
+
+    left = {"_hopeful": [], "_may_be_trusted": []}
+    for name, real in [(n, getattr(pii, n)) for n in left]:
+        def counted(patterns, *rest, name=name, real=real):
+            some = real(patterns, *rest)
+            left[name].append(patterns.select("pattern").distinct().count() - some.count())
+            return some
+        monkeypatch.setattr(pii, name, counted)
+    monkeypatch.setattr(pii, "RANGES", 4)
+    pruned = spans()
+    assert max(left["_hopeful"]) > 0 and max(left["_may_be_trusted"]) > 0
+    for name in left:
+        monkeypatch.setattr(pii, name, lambda patterns, *rest: patterns.select("pattern").distinct())
+    assert pruned == spans()
+
+
 def test_redaction_replaces_spans_and_keeps_columns(spark):
     rows = [(1, "mail a@b.co or 10.0.0.1 é"), (2, "nothing"), (3, None), (4, "key " + "ab" * 16)]
     docs = docs_df(spark, rows).withColumn("spans", F.lit(5)).withColumn("base", F.lit("x")).drop("spans", "base")
@@ -214,7 +258,10 @@ def test_viterbi_fold_of_a_unigram_table():
 def test_encode_and_decode_tables(spark, pieces):
     docs = docs_df(spark, [(i, t) for i, t in enumerate(HARD)] + [(99, None), (99, None)]).withColumn("decoded", F.lit(1)).withColumn("ids", F.lit("x"))
     got = sentencepiece.encode_with_check(docs, pieces).collect()
-    assert len(got) == len(HARD) + 2 and all(r["round_trip"] for r in got)
+    assert len(got) == len(HARD) + 2 and all(r["round_trip"] == (sentencepiece.MARK not in (r["text"] or "")) for r in got)
+    # the mark of a blank in a text comes back as a blank
+    lost = sentencepiece.encode_with_check(docs_df(spark, [(1, f"a{sentencepiece.MARK}b"), (2, "a b")]), pieces)
+    assert {r["doc_id"]: r["round_trip"] for r in lost.collect()} == {1: False, 2: True}
     assert [len(r["ids"]) for r in got if r["doc_id"] == 99] == [0, 0]
     odd = spark.createDataFrame([(1, None), (2, [-5, 10**6, 413])], "k int, ids array<int>")
     assert [r["text"] for r in sentencepiece.decode(odd, pieces).orderBy("k").collect()] == ["", pieces.back[413].decode().strip()]
