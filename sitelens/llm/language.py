@@ -20,8 +20,6 @@ ties go to the language that is first by code point.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,7 +31,6 @@ BUCKETS = 1 << 16
 MAX_DOCS = 4_000
 MAX_LANGS = 256
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _trigrams(buf: np.ndarray) -> np.ndarray:
@@ -140,7 +137,7 @@ def identify(docs: DataFrame, model, penalty: float = 3.0) -> DataFrame:
     def judge(text: pd.Series) -> pd.DataFrame:
         names, logp = shared.value
         pred, score = np.full(len(text), UNDETERMINED, object), np.zeros(len(text))
-        usable = [i for i, t in enumerate(text) if t and _LETTER.search(t)] if names else []
+        usable = [i for i, t in enumerate(text) if t and any(map(str.isalpha, t))] if names else []
         lengths = np.array([len(text.iloc[i]) for i in usable], np.int64)
         for a, b in slices(lengths, 1_000_000):
             rows = usable[a:b]

@@ -93,9 +93,9 @@ def test_language_mixture_selects_the_languages_of_a_text():
 
 def test_language_defined_cases(spark):
     rows = [(i, "la le les des " * 5, "fr") for i in range(8)] + [(20 + i, "the of and to " * 5, "en") for i in range(8)]
-    docs = docs_df(spark, rows + [(50, None, None), (51, "", "en"), (52, "123 !!", "en"), (None, "the of", None), (53, "the of and", None)]).withColumn("lang_pred", F.lit("x"))
+    docs = docs_df(spark, rows + [(50, None, None), (51, "", "en"), (52, "123 !!", "en"), (54, "\u00b2\u00bd \u2460 \u2163", "en"), (None, "the of", None), (53, "the of and", None)]).withColumn("lang_pred", F.lit("x"))
     got = by_id(language.identify(docs, language.train(docs, F.lit(True))))
-    assert [got[i]["lang_pred"] for i in (50, 51, 52)] == ["und"] * 3
+    assert [got[i]["lang_pred"] for i in (50, 51, 52, 54)] == ["und"] * 4
     assert got[53]["lang_pred"] == "en" and got[None]["lang_pred"] == "en" and got[3]["lang_pred"] == "fr"
     none = language.identify(docs, language.train(docs, F.lit(False))).select("lang_pred", "score").distinct().collect()
     assert [tuple(r) for r in none] == [("und", 0.0)]
