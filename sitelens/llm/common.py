@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sitelens.session import scratch_path
+from sitelens.session import remove_folder, scratch_path
 
 #: Longest slice (bytes of text) that a task works on at once.
 SLICE_BYTES = 500_000
@@ -27,6 +27,31 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(bound))
 
 
+#: Folders written in the scopes that are open, innermost last.
+_OPEN: list[list[str]] = []
+
+
+class Scratch:
+    """The folders that :func:`stored` writes while a ``with`` block of this object runs.
+
+    ``release`` deletes them by Spark's file system; do so once what reads them has been written elsewhere.
+    """
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __enter__(self):
+        _OPEN.append(self.paths)
+        return self
+
+    def __exit__(self, *_):
+        _OPEN.pop()
+
+    def release(self, spark: SparkSession) -> None:
+        while self.paths:
+            remove_folder(spark, self.paths.pop())
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back.
 
@@ -35,8 +60,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(StructType(df.schema.fields)).parquet(path)
+    out = spark.read.schema(StructType(df.schema.fields)).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete the files of frames that :func:`stored` gave; nothing that reads them may run later."""
+    for df in frames:
+        path = None if df is None else df.__dict__.pop("_stored_at", None)
+        if path:
+            remove_folder(df.sparkSession, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,15 +133,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = mark(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m0"))
+        first = stored(both.groupBy("u").agg(F.min("v").alias("m0"))
                        .select("u", F.least("u", "m0").alias("m")), "cc-least")
-        large = stored(both.join(least, "u").where("v > u")
+        large = stored(both.join(first, "u").where("v > u")
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc-large")
         least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v")))
                  .where("u <> v").distinct())
-        e = stored(small, "cc-small")
+        old, e = e, stored(small, "cc-small")
+        discard(old, first, large, least)
         now = mark(e)
         if now == before:
             break
