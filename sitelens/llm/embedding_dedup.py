@@ -19,7 +19,12 @@ spanning forest of them, never all pairs of a group.
 Defined cases: a NULL label compares with nothing; vectors that are NULL, empty, zero or
 hold NULL or non-finite components link with nothing; vectors of different length
 never link; every row gets an output row (a NULL id: its component is NULL and
-it links with nothing); repeated rows with one id count as other vectors.
+it links with nothing); repeated rows with one id count as other vectors, and different
+vectors with one id have links of their own (classes of equal vectors are told apart by
+label and hashes, never by id).
+
+Where vectors spread evenly over many dimensions all distances are alike and no bound
+separates two nodes: then every pair of a label is compared, in products of leaves.
 """
 
 from __future__ import annotations
@@ -34,8 +39,9 @@ from .vectors import as_doubles, bounded_sample, matrix, units, usable
 
 THRESHOLD = 0.98
 SAMPLE_ROWS = 4_000
-BLOCK_ROWS = 1_500
-LEAF_POINTS = 24
+#: Vectors of a block and of a leaf: a task holds two blocks, and a pair of leaves is one matrix product.
+BLOCK_ROWS = 6_000
+LEAF_POINTS = 256
 
 
 class CoverTree:
@@ -129,11 +135,13 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, sample_
                   .withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(7), F.col("v"))), "emb-rows")
     # equal vectors collapse: one representative with weight
     kind = ["label", "h1", "h2"]
-    classes = stored(rows.where("ok").groupBy(*kind).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "emb-classes")
-    reps = stored(rows.where("ok").join(classes.select(F.col("rep").alias("vec_id"), *kind, "copies"), ["vec_id", *kind])
-                  .dropDuplicates(["vec_id", *kind]).select("vec_id", "label", "copies", "v"), "emb-reps")
+    # ``cls`` is a number of its own, written once: ids may stand on several vectors
+    classes = stored(rows.where("ok").groupBy(*kind).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+                     .withColumn("cls", F.monotonically_increasing_id()), "emb-classes")
+    reps = stored(rows.where("ok").join(classes.select(F.col("rep").alias("vec_id"), *kind, "copies", "cls"), ["vec_id", *kind])
+                  .dropDuplicates(["vec_id", *kind]).select("cls", "label", "copies", "v"), "emb-reps")
     # centres from a bounded sample, at most one per block of rows of the label; else the origin (radius 1 covers all)
-    sample = bounded_sample(reps, "vec_id", sample_rows).select("label", "v").collect()
+    sample = bounded_sample(reps, "cls", sample_rows).select("label", "v").collect()
     total = reps.count()
     by_label: dict = {}
     for r in sample:
@@ -160,7 +168,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, sample_
                 away[at] = d.min(1)
         return pd.DataFrame({"cell": cell, "away": away})
 
-    placed = stored(reps.withColumn("p", place("label", "v")).select("vec_id", "label", "copies", "v", F.size("v").alias("dim"), "p.cell", "p.away"), "emb-placed")
+    placed = stored(reps.withColumn("p", place("label", "v")).select("cls", "label", "copies", "v", F.size("v").alias("dim"), "p.cell", "p.away"), "emb-placed")
     cells = stored(placed.groupBy("label", "dim", "cell").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("n"))
                    .withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("int")), "emb-cells")
     eps = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-7
@@ -182,22 +190,22 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, sample_
             .where("cell < cell2 or block <= block2"))
     near = stored(near.select("label", "dim", "cell", "block", "cell2", "block2"), "emb-near")
     blocks = (placed.join(cells.select("label", "dim", "cell", "blocks"), ["label", "dim", "cell"])
-              .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-              .select("vec_id", "copies", "v", "label", "dim", "cell", "block"))
+              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+              .select("cls", "copies", "v", "label", "dim", "cell", "block"))
     key = ["label", "dim", "cell", "block", "cell2", "block2"]
-    left = blocks.join(near, ["label", "dim", "cell", "block"]).select(*key, "vec_id", "copies", "v", F.lit(0).alias("side"))
+    left = blocks.join(near, ["label", "dim", "cell", "block"]).select(*key, "cls", "copies", "v", F.lit(0).alias("side"))
     right = (blocks.withColumnsRenamed({"cell": "cell2", "block": "block2"})
              .join(near.where("cell <> cell2 or block <> block2"), ["label", "dim", "cell2", "block2"])
-             .select(*key, "vec_id", "copies", "v", F.lit(1).alias("side")))
+             .select(*key, "cls", "copies", "v", F.lit(1).alias("side")))
 
     def link(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["side", "vec_id"])
+        g = g.sort_values(["side", "cls"])
         a = g[g["side"] == 0]
         same = len(a) == len(g)
         b = a if same else g[g["side"] == 1]
         ta = CoverTree(units(matrix(a["v"])))
         tb = ta if same else CoverTree(units(matrix(b["v"])))
-        ia, ib, wa, wb = a["vec_id"].to_numpy(), b["vec_id"].to_numpy(), a["copies"].to_numpy(), b["copies"].to_numpy()
+        ia, ib, wa, wb = a["cls"].to_numpy(), b["cls"].to_numpy(), a["copies"].to_numpy(), b["copies"].to_numpy()
         na, nb, us, vs = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), [], []
         for i, j in dual_links(ta, tb, same, threshold):
             np.add.at(na, i, wb[j])
@@ -205,17 +213,20 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, sample_
             us.append(ia[i])
             vs.append(ib[j])
         tree = _forest(np.concatenate(us).tolist(), np.concatenate(vs).tolist()) if us else []
-        out = [pd.DataFrame({"vec_id": ia[na > 0], "links": na[na > 0], "to": -1})]
+        out = [pd.DataFrame({"cls": ia[na > 0], "links": na[na > 0], "to": -1})]
         if not same:
-            out.append(pd.DataFrame({"vec_id": ib[nb > 0], "links": nb[nb > 0], "to": -1}))
+            out.append(pd.DataFrame({"cls": ib[nb > 0], "links": nb[nb > 0], "to": -1}))
         if tree:
-            out.append(pd.DataFrame(tree, columns=["vec_id", "to"]).assign(links=0))
-        return pd.concat(out)[["vec_id", "links", "to"]]
-
-    found = stored(left.unionByName(right).groupBy(*key).applyInPandas(link, "vec_id long, links long, to long"), "emb-links")
-    n = found.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("links").alias("links"))
-    comp = components(found.where("links = 0 and vec_id <> to"), "vec_id", "to")
-    of = (classes.join(n, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+            out.append(pd.DataFrame(tree, columns=["cls", "to"]).assign(links=0))
+        return pd.concat(out)[["cls", "links", "to"]]
+
+    found = stored(left.unionByName(right).groupBy(*key).applyInPandas(link, "cls long, links long, to long"), "emb-links")
+    n = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    # classes of a component, then its smallest id
+    comp = components(found.where("links = 0 and cls <> to"), "cls", "to").withColumnsRenamed({"node": "cls", "component": "part"})
+    comp = stored(comp.join(classes.select("cls", "rep"), "cls"), "emb-parts")
+    comp = comp.join(comp.groupBy("part").agg(F.min("rep").alias("component")), "part").select("cls", "component")
+    of = (classes.join(n, "cls", "left").join(comp, "cls", "left")
           .select(*kind, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
     of = stored(of, "emb-components")
     out = rows.select("vec_id", "label", "h1", "h2", "ok").join(of.withColumn("ok", F.lit(True)), [*kind, "ok"], "left")

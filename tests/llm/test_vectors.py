@@ -45,6 +45,15 @@ def test_embedding_links_match_brute_force(spark, monkeypatch, block):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
 
 
+def test_repeated_ids_and_clashing_columns(spark):
+    """Vectors are what links: two of them with one id have links of their own."""
+    near = [1.0, 0.05, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, near, 0), (2, near, 0), (3, [0.0, 0.0, 1.0], 0), (3, [0.0, 0.0, 1.0], 1)]
+    df = spark.createDataFrame([(*r, 7, 8, 9, 10) for r in rows], SHAPE + ", cls long, rep long, cell int, n_links long")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_duplicates(df).collect())
+    assert got == [(1, 0, 1, True), (1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True), (3, 0, 3, True)]
+
+
 def test_cover_tree_finds_every_pair_once():
     x = embedding_dedup.units(np.random.default_rng(3).normal(size=(300, 3)))
     a, b = embedding_dedup.CoverTree(x, 8), embedding_dedup.CoverTree(x[:120].copy(), 8)
