@@ -33,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytehash import RangeHash, mix
@@ -169,11 +169,13 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``docs`` rows (text, d, h) joined with ``wanted`` rows collected per document."""
     maybe = member_filter(wanted.select(F.xxhash64("d", "h").alias("h")))
     per = wanted.groupBy("d", "h").agg(F.collect_list(F.struct(*[c for c in wanted.columns if c not in ("d", "h")])).alias("items"))
-    return docs.where(maybe(F.xxhash64("d", "h"))).select("d", "h", "text").join(per, ["d", "h"])
+    # equal rows with one id are one text here, reduced in each task before the shuffle
+    once = docs.where(maybe(F.xxhash64("d", "h"))).select("d", "h", "text").dropDuplicates(["d", "h"])
+    return once.join(per, ["d", "h"])
 
 
 def repeated_ranges(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: int = MOST_REGIONS) -> DataFrame:
-    """(d, h, lo, hi): ranges of window starts that are repeated, for ``docs`` (d, h, text)."""
+    """(d, h, ranges): ranges of window starts that are repeated, for ``docs`` (d, h, text); a document may have several rows."""
     found = stored(find_regions(docs.where(F.octet_length("text") >= min_bytes), min_bytes), "sfx-regions")
     item = found.select("key", "body", "d", "h", "lo", "hi", "zero", F.lit(1).cast("long").alias("n"))
     answers, parents = [], []           # per level: answers by (key, body) relative to the region; the link to the level above
@@ -195,12 +197,24 @@ def repeated_ranges(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: i
         parents.append(narrower)
         item = narrower.select("key", "body", "d", "h", "lo", "hi", "zero", "n")
     for level in range(len(answers) - 1, 0, -1):
-        below = answers[level].withColumnsRenamed({"lo": "from", "hi": "to"})
-        up = (parents[level - 1].join(below, ["key", "body"])
-              .select(F.col("key0").alias("key"), F.col("body0").alias("body"), (F.col("rel") + F.col("from")).alias("lo"), (F.col("rel") + F.col("to")).alias("hi")))
+        up = (parents[level - 1].join(_merged(answers[level]), ["key", "body"])
+              .select(F.col("key0").alias("key"), F.col("body0").alias("body"), F.inline(_moved("rel"))))
         answers[level - 1] = stored(answers[level - 1].unionByName(up), "sfx-answers")
-    done = answers[0].withColumnsRenamed({"lo": "from", "hi": "to"})
-    return found.join(done, ["key", "body"]).select("d", "h", (F.col("lo") + F.col("from")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi"))
+    return found.join(_merged(answers[0]), ["key", "body"]).select("d", "h", _moved("lo").alias("ranges"))
+
+
+def _merged(answers: DataFrame) -> DataFrame:
+    """(key, body, runs): all answers of a region as maximal runs in one row, so each of its places meets one row."""
+    inside = Window.partitionBy("key", "body").orderBy("lo", "hi")        # one region
+    reached = F.max("hi").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    marked = answers.withColumn("new", F.when(F.col("lo") <= reached + 1, 0).otherwise(1))
+    run = F.sum("new").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    runs = marked.withColumn("run", run).groupBy("key", "body", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return runs.groupBy("key", "body").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+
+
+def _moved(by: str):
+    return F.transform("runs", lambda r: F.struct((F.col(by) + r["lo"]).alias("lo"), (F.col(by) + r["hi"]).alias("hi")))
 
 
 def _shards(docs: DataFrame, classes: DataFrame, min_bytes: int) -> DataFrame:
@@ -225,7 +239,6 @@ def _shards(docs: DataFrame, classes: DataFrame, min_bytes: int) -> DataFrame:
             yield pd.DataFrame(out)
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.drop_duplicates(["key", "body"])          # a document that is given twice
         regions, n = list(g["bytes"]), g["n"].to_numpy(np.int64)
         which, first, last = possible_parts(regions, g["key"].to_numpy(np.int64), g["anchor"].to_numpy(np.int64), n, min_bytes, min(FILTER_WIDTH, min_bytes // 2))
         key, body, lo, hi = [], [], [], []
@@ -281,7 +294,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: in
     rows = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64("text").alias("h"))
     ranges = repeated_ranges(rows, min_bytes, most_regions)
-    per = stored(ranges.groupBy("d", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "sfx-ranges")
+    per = stored(ranges.groupBy("d", "h").agg(F.array_distinct(F.flatten(F.collect_set("ranges"))).alias("ranges")), "sfx-ranges")
     maybe = member_filter(per.select(F.xxhash64("d", "h").alias("h")))
     shape = "n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
 
