@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import pack, shingle_sets, shingle_stream, unpack
-from .common import bounded_batches, components, slices, stored
+from .common import bounded_batches, components, discard, slices, stored
 from .sketch import member_filter, slot_counts
 
 SKETCH_BITS = 20
@@ -134,15 +134,19 @@ def verify(pairs: DataFrame, pre: DataFrame, docs: DataFrame, k: int, num: int,
     def asked(rows: DataFrame, s: str):
         return member_filter(rows.select(F.xxhash64(s).alias("h")).distinct())
 
-    def side(s: str) -> DataFrame:
-        some = pre.where(asked(pairs, s)(F.xxhash64("doc_id")))
-        return some.select(F.col("doc_id").alias(s), F.col("matches").alias(f"m{s}"), F.col("prefix").alias(f"p{s}"), F.col("n").alias(f"n{s}"), F.col("parity").alias(f"q{s}")).hint("merge")
+    def side(rows: DataFrame, s: str, **columns: str) -> DataFrame:
+        some = pre.where(asked(rows, s)(F.xxhash64("doc_id")))
+        return some.select(F.col("doc_id").alias(s), *[F.col(c).alias(name) for name, c in columns.items()]).hint("merge")
 
     # every slot whose parity differs holds a shingle that only one of the sets has
     differ = F.aggregate(F.zip_with("qx", "qy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     close = F.lit(num + den) * differ <= F.lit(den - num) * (F.col("nx") + F.col("ny"))
-    cand = stored(pairs.join(side("x"), "x").join(side("y"), "y").where(close)
-                  .where(F.size(F.array_intersect("px", "py")) >= F.least("mx", "my")).select("x", "y"), "jac-candidates")
+    # signatures first: prefixes, several times as long, move only for pairs that these leave
+    near = pairs.join(side(pairs, "x", mx="matches", nx="n", qx="parity"), "x").join(side(pairs, "y", my="matches", ny="n", qy="parity"), "y")
+    near = stored(near.where(close).select("x", "y", F.least("mx", "my").alias("need")), "jac-close")
+    cand = stored(near.join(side(near, "x", px="prefix"), "x").join(side(near, "y", py="prefix"), "y")
+                  .where(F.size(F.array_intersect("px", "py")) >= F.col("need")).select("x", "y"), "jac-candidates")
+    discard(near)
 
     if cand.isEmpty():
         return cand
@@ -197,8 +201,11 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     pivots = stored(pivots.select("token", F.col("p.doc_id").alias("p"), F.col("p.n").alias("pn"), F.col("p.room").alias("proom")), "jac-pivots")
     pairs = stored(pairs_of(index.join(pivots, "token").where((F.col("doc_id") != F.col("p")) & possible())), "jac-pairs")
     seen = pairs
+    discard(posts, pivots)
     links = stored(verify(pairs, pre, docs, k, num, den), "jac-links")
     comp = stored(components(links, "x", "y"), "jac-components")
+    discard(links)
+    whole = index                                           # the files behind ``index``
     index = index.where("df > 2")                           # the others are done
     lower, upper = 0.0, 8.0
     while True:
@@ -209,29 +216,36 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
         if still.isEmpty():
             break
         now = stored(now.join(still, "token").withColumn("at", F.col("h") * F.col("df")).where(F.col("at") >= lower), "jac-round")
+        discard(whole, still)
+        whole = now
         turn = now.where(F.col("at") < upper).select("token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("room").alias("proom"), F.col("c").alias("pc"), F.col("h").alias("ph"))
         fresh = pairs_of(now.join(turn, "token").where((F.col("c") != F.col("pc")) & possible() & (F.struct("h", "doc_id") > F.struct("ph", "p"))))
         fresh = stored(fresh.join(seen, ["x", "y"], "left_anti"), "jac-pairs")
         if not fresh.isEmpty():
             more = stored(verify(fresh, pre, docs, k, num, den), "jac-links")
-            seen = stored(seen.unionByName(fresh), "jac-seen")
+            both = stored(seen.unionByName(fresh), "jac-seen")
+            discard(seen, fresh)
+            seen = both
             if not more.isEmpty():
-                comp = stored(components(comp.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(more), "x", "y"), "jac-components")
+                joined = stored(components(comp.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(more), "x", "y"), "jac-components")
+                discard(comp, more)
+                comp = joined
         index = now.select(*index.columns)                  # done postings stay done
         lower, upper = upper, upper * 32
+    discard(whole, still, seen, pre)
     out = sets.join(classes, kind, "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"),
                       F.coalesce("copies", F.lit(1)).alias("n_copies"))
 
 
 def keep_one_per_component(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the least of its component; of repeated ids one row stays.
+    """Rows of ``docs`` whose doc_id is the least of its component; of rows with one id and equal texts one stays.
 
-    Rows with a NULL doc_id stay.
+    Rows with a NULL doc_id stay.  Different texts with one id share their links, so they stay or go together.
     """
     rows = similarity_components(docs, k, num, den).where("doc_id = component_id")
     kept = stored(rows.groupBy(F.col("doc_id").alias("__kept")).agg(F.count(F.lit(1)).alias("__rows")), "jac-kept")
     same = F.col("doc_id").cast("long") == F.col("__kept")
     once = docs.join(kept.where("__rows = 1"), same, "left_semi")
-    repeated = docs.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates(["doc_id"])
+    repeated = docs.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated).unionByName(docs.where(F.col("doc_id").isNull()))

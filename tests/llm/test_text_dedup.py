@@ -137,6 +137,12 @@ def test_one_document_of_each_component_stays(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 2), (False, 7), (False, 8), (False, 9), (True, 0)]
 
 
+def test_different_texts_with_one_id_stay(spark):
+    rows = [(1, "one text of its own"), (1, "quite another one here"), (2, "and a third of no relation"), (1, "one text of its own")]
+    kept = jaccard_join.keep_one_per_component(docs_df(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(set(rows))
+
+
 def test_number_of_matches_follows_cost():
     assert jaccard_join.choose_matches(np.array([0.0, 0, 0, 0, 0]), 2) == 1
     # frequent shingles in the prefix: more matches are asked for as long as that saves candidates
