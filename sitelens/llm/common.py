@@ -6,6 +6,8 @@ Intermediate tables go to the folder that ``spark.checkpoint.dir`` names
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,8 @@ class Scratch:
     """The folders that :func:`stored` writes while a ``with`` block of this object runs.
 
     ``release`` deletes them by Spark's file system; do so once what reads them has been written elsewhere.
+    Shuffle files go when nothing in the driver refers to their plans any more; ``release`` has it look now,
+    as it otherwise does every half hour (spark.cleaner.periodicGC.interval).
     """
 
     def __init__(self):
@@ -48,8 +52,12 @@ class Scratch:
         _OPEN.pop()
 
     def release(self, spark: SparkSession) -> None:
+        if not self.paths:
+            return
         while self.paths:
             remove_folder(spark, self.paths.pop())
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
