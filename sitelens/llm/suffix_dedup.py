@@ -200,7 +200,9 @@ def repeated_ranges(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: i
         up = (parents[level - 1].join(_merged(answers[level]), ["key", "body"])
               .select(F.col("key0").alias("key"), F.col("body0").alias("body"), F.inline(_moved("rel"))))
         answers[level - 1] = stored(answers[level - 1].unionByName(up), "sfx-answers")
-    return found.join(_merged(answers[0]), ["key", "body"]).select("d", "h", _moved("lo").alias("ranges"))
+    # written before the join, so both sides are plain shuffles and AQE splits a region with very many places
+    done = stored(_merged(answers[0]), "sfx-runs")
+    return found.join(done, ["key", "body"]).select("d", "h", _moved("lo").alias("ranges"))
 
 
 def _merged(answers: DataFrame) -> DataFrame:
@@ -294,7 +296,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, most_regions: in
     rows = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64("text").alias("h"))
     ranges = repeated_ranges(rows, min_bytes, most_regions)
-    per = stored(ranges.groupBy("d", "h").agg(F.array_distinct(F.flatten(F.collect_set("ranges"))).alias("ranges")), "sfx-ranges")
+    per = stored(ranges.groupBy("d", "h").agg(F.flatten(F.collect_set("ranges")).alias("ranges")), "sfx-ranges")
     maybe = member_filter(per.select(F.xxhash64("d", "h").alias("h")))
     shape = "n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
 
