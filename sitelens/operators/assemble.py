@@ -141,22 +141,38 @@ def validate_responses(raw: DataFrame) -> DataFrame:
     return judged.select(*raw.columns, outcome.alias("outcome"), err.alias("problem"))
 
 
-def _per_strategy_aggs(value_cols: list[str]) -> list:
-    aggs = [F.min("fetched_at").alias("timestamp")]
-    for s in STRATEGIES:
-        when_s = F.when(F.col("strategy") == s, F.col("fetched_at"))
-        aggs += [F.max_by("body", when_s).alias(f"_{s}_body"),
-                 F.max_by("_err", when_s).alias(f"_{s}_err"),
-                 F.count(when_s).alias(f"_{s}_n")]
-        aggs += [F.max_by(c, when_s).alias(f"_{s}_{c}") for c in value_cols]
-    return aggs
+#: Responses of a partition in which runs are grouped, which sorts it (about 150 MB of bodies).
+RUN_ROWS = 100_000
+_RESPONSE = ["status_code", "reason", "failure", "body"]
 
 
 def _by_run(r: DataFrame):
     """Groups of (run_id, url).  A group holds two bodies, so combining before
     the shuffle would only sort every body once more; the rows are dealt out
-    first, and both aggregation steps follow in one stage."""
-    return r.repartition("run_id", "url").groupBy("run_id", "url")
+    first, and both aggregation steps follow in one stage.  The number of partitions
+    follows the number of responses, so that a task's sort does not grow with them."""
+    keys, parts = ("run_id", "url"), -(-r.count() // RUN_ROWS)
+    few = parts <= int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (r.repartition(*keys) if few else r.repartition(parts, *keys)).groupBy(*keys)
+
+
+def _judged_runs(raw: DataFrame) -> DataFrame:
+    """One row per run: ``timestamp`` and, per strategy, the newest response (``_mobile``), their number
+    (``_mobile_n``), its parsed document (``_mobile_doc``) and error text (``_mobile_err``).
+
+    Only the stored columns move; bodies are parsed once, in the groups.
+    """
+    aggs = [F.min("fetched_at").alias("timestamp")]
+    for s in STRATEGIES:
+        when_s = F.when(F.col("strategy") == s, F.col("fetched_at"))
+        aggs += [F.max_by(F.struct(*_RESPONSE), when_s).alias(f"_{s}"), F.count(when_s).alias(f"_{s}_n")]
+    g = _by_run(raw.select("run_id", "url", "strategy", "fetched_at", *_RESPONSE)).agg(*aggs)
+    # one row out of a Generate, as in with_documents
+    docs = F.transform(F.array(*[f"_{s}.body" for s in STRATEGIES]), parse_body)
+    judged = g.select("*", F.inline(F.array(F.struct(docs.alias("_docs")))))
+    judged = judged.withColumns({f"_{s}{DOCUMENT}": F.col("_docs")[i] for i, s in enumerate(STRATEGIES)})
+    return judged.select("*", *[response_error(f"_{s}.status_code", f"_{s}.failure", f"_{s}.reason", f"_{s}.body",
+                                               f"_{s}{DOCUMENT}").alias(f"_{s}_err") for s in STRATEGIES])
 
 
 def _audit_columns(created_at) -> tuple[Column, list]:
@@ -166,8 +182,8 @@ def _audit_columns(created_at) -> tuple[Column, list]:
     ok = error_message.isNull()
     cols = [
         F.col("run_id").alias("id"), F.col("url"), F.col("timestamp"),
-        F.when(ok, F.col("_mobile_body")).alias("mobile_result"),
-        F.when(ok, F.col("_desktop_body")).alias("desktop_result"),
+        F.when(ok, F.col("_mobile.body")).alias("mobile_result"),
+        F.when(ok, F.col("_desktop.body")).alias("desktop_result"),
         error_message.alias("error_message"),
         F.lit(0).cast("long").alias("retry_count"),
         (X.as_time(created_at) if created_at is not None else F.col("timestamp")).alias("created_at"),
@@ -178,28 +194,22 @@ def _audit_columns(created_at) -> tuple[Column, list]:
 def assemble_with_summaries(raw: DataFrame, created_at=None) -> DataFrame:
     """T1 and T2 in one pass: every audit column plus every summary column.
 
-    Each response body is parsed once, before the shuffle: the same document
+    Each newest response is parsed once, after the shuffle: the same document
     (:func:`with_documents`) decides validity (T1b) and yields the four scores and
-    four vitals (X12), which travel through the (run_id, url) exchange next to the body.  The
+    four vitals (X12), so only stored columns travel through the (run_id, url) exchange.  The
     audits table is ``select(AUDITS)`` of the result and the summaries table
     ``select(AUDIT_SUMMARIES)``, with the same values as T2 over the stored
     documents.
     """
-    parsed = F.col(DOCUMENT)
-    values = {f"c_{suffix}": X.category_score(parsed, name) for name, suffix in CATEGORY_COLUMNS}
-    values.update({f"v_{suffix}": X.audit_value(parsed, name) for name, suffix in VITAL_AUDITS})
-    judged = with_documents(raw, {DOCUMENT: "body"})
-    r = judged.select("run_id", "url", "strategy", "fetched_at", "body",
-                      response_error().alias("_err"),
-                      *[v.alias(k) for k, v in values.items()])
-    g = _by_run(r).agg(*_per_strategy_aggs(list(values)))
+    g = _judged_runs(raw)
     ok, cols = _audit_columns(created_at)
+    parsed = {s: F.col(f"_{s}{DOCUMENT}") for s in STRATEGIES}
     for s in STRATEGIES:
-        for _, suffix in CATEGORY_COLUMNS:
-            cols.append(F.when(ok, F.col(f"_{s}_c_{suffix}")).alias(f"{s}_{suffix}"))
+        for name, suffix in CATEGORY_COLUMNS:
+            cols.append(F.when(ok, X.category_score(parsed[s], name)).alias(f"{s}_{suffix}"))
     for s in STRATEGIES:
-        for _, suffix in VITAL_AUDITS:
-            cols.append(F.when(ok, F.col(f"_{s}_v_{suffix}")).alias(f"{s}_{suffix}"))
+        for name, suffix in VITAL_AUDITS:
+            cols.append(F.when(ok, X.audit_value(parsed[s], name)).alias(f"{s}_{suffix}"))
     cols.append((~ok).alias("has_errors"))
     return g.select(*cols)
 
@@ -212,12 +222,8 @@ def assemble_audits(raw: DataFrame, created_at=None) -> DataFrame:
     response counts as a failure.  Repeated responses of one strategy: the
     newest wins.  One shuffle on (run_id, url); every group holds two rows.
     """
-    judged = with_documents(raw, {DOCUMENT: "body"})
-    r = judged.select("run_id", "url", "strategy", "fetched_at", "body",
-                      response_error().alias("_err"))
-    g = _by_run(r).agg(*_per_strategy_aggs([]))
     _, cols = _audit_columns(created_at)
-    return g.select(*cols)
+    return _judged_runs(raw).select(*cols)
 
 
 def summarize_audits(audits: DataFrame) -> DataFrame:

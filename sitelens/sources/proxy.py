@@ -137,10 +137,10 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def _write_stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the derived tables into the shared work folder.
 
-    Layout as a deployment keeps them: ``audits``, ``audit_summaries`` and
-    ``raw_responses`` partitioned by ``day`` (time-window reports prune
-    partitions), the responses of one run clustered into one file,
-    ``psi_metrics`` as plain files.  Reports then read stored Parquet tables
+    Layout as a deployment keeps them: ``audits`` and ``audit_summaries``
+    partitioned by ``day`` (time-window reports prune partitions),
+    ``psi_metrics`` and ``raw_responses`` as plain files, the responses of one
+    run in one of them: writing by day would sort the bodies of a whole task.  Reports then read stored Parquet tables
     with pushed filters and pruned columns instead of re-deriving them.
     """
     from ..session import run_concurrently, scratch_path
@@ -156,15 +156,13 @@ def _write_stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     # their three writes are independent jobs, submitted together
     stored = spark.read.schema(schemas.T.StructType(schemas.AUDIT_SUMMARIES.fields + [_DAY])) \
         .parquet(f"{base}/audit_summaries")
-    # the stored summaries are read day by day (one file per day), so writing
-    # the responses by day needs no shuffle; both responses of a run come from
-    # one summary row, hence one task and one file
+    # the stored summaries are read day by day, so the responses need no shuffle and
+    # lie in the order of their days; both responses of a run come from one summary row
     run_concurrently([
         lambda: stored.select(*audits_cols).write.partitionBy("day").parquet(f"{base}/audits"),
         lambda: long_metrics_from(stored.withColumn("user_id", site_key("url")))
         .write.parquet(f"{base}/psi_metrics"),
-        lambda: raw_responses_from(stored).withColumn("day", F.to_date("fetched_at"))
-        .write.partitionBy("day").parquet(f"{base}/raw_responses"),
+        lambda: raw_responses_from(stored).write.option("compression", "zstd").parquet(f"{base}/raw_responses"),
     ])
     return {n: f"{base}/{n}" for n in ("audit_summaries", "audits", "psi_metrics", "raw_responses")}
 
@@ -199,8 +197,7 @@ def raw_responses_path(spark: SparkSession, sf_dir: str) -> str:
 
 def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored responses, two per event (see :func:`raw_responses_from`)."""
-    return spark.read.schema(schemas.T.StructType(schemas.RAW_RESPONSES.fields + [_DAY])) \
-        .parquet(raw_responses_path(spark, sf_dir)).select(*schemas.RAW_RESPONSES.fieldNames())
+    return spark.read.schema(schemas.RAW_RESPONSES).parquet(raw_responses_path(spark, sf_dir))
 
 
 def replayed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
