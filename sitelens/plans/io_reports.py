@@ -96,7 +96,8 @@ def q_site_names(spark, sf):
 def _stored_raw(spark, sf, name="raw-responses", files=STREAM_FILES):
     """Stored responses as files: the two responses of a run may land in different ones."""
     path = scratch_path(spark, name)
-    P.raw_responses(spark, sf).repartition(files, "run_id", "strategy").write.parquet(path)
+    P.raw_responses(spark, sf).repartition(files, "run_id", "strategy") \
+        .write.option("compression", "zstd").parquet(path)
     return path
 
 

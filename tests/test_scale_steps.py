@@ -2,11 +2,11 @@
 import datetime as dt
 import os
 
-from conftest import NOW
-
 from sitelens import schemas
 from sitelens.operators import assemble as A
 from sitelens.sources import proxy as P
+from sitelens.streaming import ingest as ST
+from tests.conftest import NOW
 
 
 def _responses(spark, n, start=0):
@@ -29,8 +29,19 @@ def test_only_stored_columns_move_with_the_bodies(spark):
     assert "from_json" not in below and "from_json" in plan
 
 
-def test_stored_responses_are_not_sorted_by_day(spark):
-    path = P.raw_responses_path(spark, "/root/testdata/sf0.001")
-    local = path.removeprefix("file:")
-    assert not [x for x in os.listdir(local) if x.startswith("day=")]
-    assert P.raw_responses(spark, "/root/testdata/sf0.001").count() == 2 * P.summaries(spark, "/root/testdata/sf0.001").count()
+def test_stored_responses_are_not_sorted_by_day(spark, tmp_dir):
+    rows = [(i, NOW - dt.timedelta(days=i % 5), i % 7, "error" if i % 4 == 0 else "view", float(i), '{"k": 1}') for i in range(40)]
+    spark.createDataFrame(rows, schemas.EVENTS).write.parquet(f"{tmp_dir}/events.parquet")
+    path = P.raw_responses_path(spark, tmp_dir)
+    assert not [x for x in os.listdir(path.removeprefix("file:")) if x.startswith("day=")]
+    raw = P.raw_responses(spark, tmp_dir)
+    assert raw.count() == 80 and sorted(r.id for r in A.assemble_audits(raw).collect()) == list(range(40))
+
+
+def test_stream_keeps_its_state_compressed_and_late_runs_apart(spark, tmp_dir):
+    raw, out, at = f"{tmp_dir}/raw", f"{tmp_dir}/out", f"{tmp_dir}/at"
+    for rows in (_responses(spark, 6), _responses(spark, 6, start=3)):
+        rows.coalesce(1).write.mode("append").parquet(raw)
+        ST.ingest_stream(spark, raw, out, at).awaitTermination()
+    assert "stateStore.compression.codec\":\"zstd" in open(f"{at}/offsets/0").read()
+    assert sorted(r.id for r in ST.read_ingested(spark, out).collect()) == list(range(9))
