@@ -37,9 +37,8 @@ REQUIRED_URLS = ["requestedUrl", "finalUrl"]
 REQUIRED_ITEM = ["id", "title", "description"]
 
 
-def response_body(url: Column, ts: Column, categories: dict, audits: dict) -> Column:
-    """JSON text of a successful response document with the given values."""
-    fetch = X.iso_text(ts)
+def response_body(url: Column, fetch: Column, categories: dict, audits: dict) -> Column:
+    """JSON text of a successful response document with the given values (``fetch``: its time as ISO text)."""
 
     def items(values: dict, field: str) -> Column:
         return F.create_map(*[x for name, v in values.items() for x in (
@@ -226,9 +225,9 @@ def assemble_audits(raw: DataFrame, created_at=None) -> DataFrame:
     return _judged_runs(raw).select(*cols)
 
 
-def summarize_audits(audits: DataFrame) -> DataFrame:
-    """The wide summary row of every audit (narrow, no shuffle, each document parsed once)."""
-    cols = [F.col("id"), F.col("url"), F.col("timestamp")]
+def audits_with_summaries(audits: DataFrame) -> DataFrame:
+    """Every audit column plus every summary column (narrow, no shuffle, each document parsed once)."""
+    cols = [F.col(c) for c in schemas.AUDITS.fieldNames() if c in audits.columns]
     names = {s: f"_{s}{DOCUMENT}" for s in STRATEGIES}
     parsed = {s: F.col(name) for s, name in names.items()}
     for s in STRATEGIES:
@@ -237,10 +236,13 @@ def summarize_audits(audits: DataFrame) -> DataFrame:
     for s in STRATEGIES:
         for name, suffix in VITAL_AUDITS:
             cols.append(X.audit_value(parsed[s], name).alias(f"{s}_{suffix}"))
-    cols += [F.col("error_message").isNotNull().alias("has_errors"), F.col("error_message"),
-             F.col("created_at")]
-    out = with_documents(audits, {name: f"{s}_result" for s, name in names.items()}).select(*cols)
-    return out.select(*schemas.AUDIT_SUMMARIES.fieldNames())
+    cols.append(F.col("error_message").isNotNull().alias("has_errors"))
+    return with_documents(audits, {name: f"{s}_result" for s, name in names.items()}).select(*cols)
+
+
+def summarize_audits(audits: DataFrame) -> DataFrame:
+    """The wide summary row of every audit."""
+    return audits_with_summaries(audits).select(*schemas.AUDIT_SUMMARIES.fieldNames())
 
 
 def to_long_metrics(summaries: DataFrame, ibge_code: str | None = None) -> DataFrame:

@@ -12,13 +12,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import scalars as X
 from ..operators import filters as FL
 from ..operators import metrics as M
 from ..operators import ranking as R
-from ..operators.assemble import assemble_with_summaries, summarize_audits
+from ..operators.assemble import assemble_with_summaries, audits_with_summaries
 from ..operators.quarantine import quarantine_current
 from ..session import matches, path_exists, run_concurrently
 from ..sources.ledger import commit_load, is_committed, new_load, open_ledger
@@ -35,54 +36,46 @@ def _iso_cols(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def append_audits(audits: DataFrame, base: str) -> dict[str, str]:
-    """Append audits and their summaries (T2) from one persisted input.
+    """Append audits and their summaries (T2), each document parsed once.
 
     Both tables are partitioned by ``day`` of the audit, so time-window
     reports prune folders, and below it by ``load``, one name per append;
     REBALANCE lets AQE size the write tasks.  The load is committed last, for
     both tables at once (:mod:`sitelens.sources.ledger`).
     """
-    a = audits.select(*schemas.AUDITS.fieldNames()).persist()
-    try:
-        return _append(a, summarize_audits(a), base, new_load())
-    finally:
-        a.unpersist()
+    return write_assembled(audits_with_summaries(audits), base, new_load())
 
 
 def append_responses(raw: DataFrame, base: str) -> dict[str, str]:
     """U1 from stored responses: audits and summaries written from one pass
     (``assemble_with_summaries``: each response body parsed once).  Audits keep
     their ``run_id`` as id; ``run_batch`` numbers its audits anew."""
-    both = assemble_with_summaries(raw).persist()
-    try:
-        return write_assembled(both, base, new_load())
-    finally:
-        both.unpersist()
+    return write_assembled(assemble_with_summaries(raw), base, new_load())
 
 
 def write_assembled(both: DataFrame, base: str, load: str) -> dict[str, str]:
     """Write the rows of ``assemble_with_summaries`` to both tables as one load.
 
     Repeating a committed load writes nothing; one that was cut short is replaced.
-    """
-    return _append(both.select(*schemas.AUDITS.fieldNames()),
-                   both.select(*schemas.AUDIT_SUMMARIES.fieldNames()), base, load)
-
 
-def _append(audits: DataFrame, summaries: DataFrame, base: str, load: str) -> dict[str, str]:
-    spark = audits.sparkSession
+    ``both`` is computed once and its bodies are kept nowhere else: the files of the audits hold the
+    summary columns, too, and the summaries are written from these columns of the load's audits.
+    """
+    spark = both.sparkSession
     paths = {"audits": f"{base}/audits", "audit_summaries": f"{base}/audit_summaries"}
     if is_committed(spark, base, load):
         return paths
     open_ledger(spark, base)
-    run_concurrently([lambda: _write_days(audits, paths["audits"], load),
-                      lambda: _write_days(summaries, paths["audit_summaries"], load)])
+    extra = [c for c in schemas.AUDIT_SUMMARIES.fieldNames() if c not in schemas.AUDITS.fieldNames()]
+    _write_days(both.select(*schemas.AUDITS.fieldNames(), *extra), paths["audits"], load)
+    _write_days(_written(spark, paths["audits"], load, schemas.AUDIT_SUMMARIES), paths["audit_summaries"], load)
     commit_load(spark, base, load, _written_days(spark, paths["audit_summaries"], load))
     return paths
 
 
 #: Rows of a Parquet page: what a look-up of one url reads of a file that holds it.
 PAGE_ROWS = 500
+_ID_DAY = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType())])
 
 
 def _write_days(rows: DataFrame, path: str, load: str) -> None:
@@ -98,12 +91,17 @@ def _write_days(rows: DataFrame, path: str, load: str) -> None:
         .partitionBy("day", "load").parquet(path)
 
 
-def _written_days(spark, path: str, load: str) -> list:
-    """(day, rows) of the files of one load (Parquet footers; one row per day)."""
+def _written(spark, path: str, load: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in the files of one load."""
     files = f"{path}/day=*/load={load}"
     if not matches(spark, files):
-        return []
-    rows = spark.read.schema("id long, day date").option("basePath", path).parquet(files)
+        return schemas.empty_frame(spark, schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(files).select(*schema.fieldNames())
+
+
+def _written_days(spark, path: str, load: str) -> list:
+    """(day, rows) of the files of one load (Parquet footers; one row per day)."""
+    rows = _written(spark, path, load, _ID_DAY)
     return [tuple(r) for r in rows.groupBy("day").agg(F.count(F.lit(1))).collect()]
 
 

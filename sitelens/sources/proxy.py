@@ -215,28 +215,31 @@ def raw_responses_from(s: DataFrame) -> DataFrame:
     assembly is visible.
     """
     from ..operators.assemble import CATEGORY_COLUMNS, VITAL_AUDITS, response_body
-    per_strategy = []
+    code = F.lit(500) + F.col("id") % 4
+    msg = F.regexp_extract(F.col("error_message"), r": (k=.*)$", 1)
+    err_body = F.to_json(F.struct(F.struct(code.cast("long").alias("code"),
+                                           msg.alias("message")).alias("error")))
+    bodies, per_strategy = [], []
     for strategy in ("mobile", "desktop"):
         p = f"{strategy}_"
         ok_body = response_body(
-            F.col("url"), F.col("timestamp"),
+            F.col("url"), F.col("_fetch"),
             {name: F.col(p + c) for name, c in CATEGORY_COLUMNS},
             {name: F.col(p + c) for name, c in VITAL_AUDITS},
         )
         failed = F.col("has_errors") & F.lit(strategy == "mobile")
-        code = F.lit(500) + F.col("id") % 4
-        msg = F.regexp_extract(F.col("error_message"), r": (k=.*)$", 1)
-        err_body = F.to_json(F.struct(F.struct(code.cast("long").alias("code"),
-                                               msg.alias("message")).alias("error")))
+        bodies.append(F.when(failed, err_body).otherwise(ok_body).alias(f"_{p}body"))
         per_strategy.append(F.struct(
             F.lit(strategy).alias("strategy"),
             F.when(failed, code).otherwise(F.lit(200)).cast("int").alias("status_code"),
             F.when(failed, F.lit("Internal Server Error")).otherwise(F.lit("OK")).alias("reason"),
             F.lit(None).cast("string").alias("failure"),
-            F.when(failed, err_body).otherwise(ok_body).alias("body")))
-    # both responses of an event from one scan (Generate, no union of two reads)
-    return s.select(F.col("id").alias("run_id"), "url", F.col("timestamp").alias("fetched_at"),
-                    F.inline(F.array(*per_strategy))) \
+            F.col(f"_{p}body").alias("body")))
+    # the bodies are made in a projection (compiled, their time formatted once), and both responses
+    # of an event come from one scan (Generate, no union of two reads)
+    made = s.withColumn("_fetch", X.iso_text("timestamp")).select("*", *bodies)
+    return made.select(F.col("id").alias("run_id"), "url", F.col("timestamp").alias("fetched_at"),
+                       F.inline(F.array(*per_strategy))) \
         .select(*schemas.RAW_RESPONSES.fieldNames())
 
 

@@ -114,3 +114,13 @@ def test_a_name_is_written_once(spark, tmp_dir):
     path = f"file://{tmp_dir}/x/one.json"
     assert write_once(spark, path, "é1") and not write_once(spark, path, "2")
     assert read_text(spark, path) == "é1" and child_names(spark, f"file://{tmp_dir}/x") == ["one.json"]
+
+
+def test_a_load_is_computed_once_and_not_cached(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "t")
+    # a value that differs each time it is computed
+    both = A.assemble_with_summaries(responses(spark, 5)).withColumn("error_message", F.uuid())
+    W.write_assembled(both, base, "load-a")
+    audits, rows = (read_table(spark, base, name).select("id", "error_message") for name in ("audits", "audit_summaries"))
+    assert rows.count() == 5 and audits.exceptAll(rows).isEmpty()
+    assert not both.storageLevel.useMemory and not both.storageLevel.useDisk
