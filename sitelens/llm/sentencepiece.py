@@ -88,12 +88,18 @@ class PieceTable:
         self.slot_key, self.slot_id = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
         for at, (k, i) in full.items():
             self.slot_key[at], self.slot_id[at] = k, i
+        self.seen = np.zeros(1 << 20, bool)                     # a place for most keys that are no piece to end at
+        self.seen[[(k >> 44) for k, _ in keys]] = True
 
     def find(self, h: np.ndarray, size: int) -> np.ndarray:
         """Ids of the pieces with these rolling hashes and this length, -1 where there is none."""
         k = mix(h + np.uint64(size << 40))
-        a, b = (k & self.mask).astype(np.int64), ((k >> np.uint64(32)) & self.mask).astype(np.int64)
-        return np.where(self.slot_key[a] == k, self.slot_id[a], np.where(self.slot_key[b] == k, self.slot_id[b], np.int32(-1)))
+        out = np.full(k.shape, -1, np.int32)
+        at = np.flatnonzero(self.seen[(k >> np.uint64(44)).view(np.int64)])
+        k = k.ravel()[at]
+        a, b = (k & self.mask).view(np.int64), ((k >> np.uint64(32)) & self.mask).view(np.int64)
+        out.ravel()[at] = np.where(self.slot_key[a] == k, self.slot_id[a], np.where(self.slot_key[b] == k, self.slot_id[b], np.int32(-1)))
+        return out
 
     @classmethod
     def load(cls, path: str = MODEL_FILE) -> "PieceTable":
@@ -192,43 +198,50 @@ def fold_best(n: int, score: dict[tuple[int, int], float], unknown: float) -> li
     return out[::-1]
 
 
-def _fold_bulk(words: list[str], edges: pd.DataFrame, table: PieceTable) -> list[np.ndarray]:
-    """The merge fold of many short words of one length at once."""
+def _fold_bulk(words: list[str], edges: pd.DataFrame, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """The merge fold of many short words of one length at once: (ids of all words, their number per word)."""
     n, m = len(words[0]), len(words)
     # rank of the edge [start, start + len) of every word
     grid = np.full((m, n + 1, n + 2), NO_RANK, np.int32)
     grid[edges["word"], edges["start"], edges["len"]] = table.rank[edges["id"].to_numpy()]
-    size = np.ones((m, n), np.int64)                       # length of the segment that starts here, 0 inside one
-    rows = np.arange(m)
-    todo = rows
-    pos = np.arange(n)
+    following = np.tile(np.arange(1, n + 2), (m, 1))        # start of the next segment
+    before = np.tile(np.arange(-1, n), (m, 1))              # start of the segment before
+    is_start = np.ones((m, n), bool)
+    rank = np.full((m, n), NO_RANK, np.int32)               # of the segment that starts here joined with the next
+    rank[:, :-1] = grid[:, :n - 1, 2]
+    todo = np.arange(m)
     while len(todo):
-        s = size[todo]
-        nxt = pos + s                                       # start of the next segment
-        follow = np.where((s > 0) & (nxt < n), np.take_along_axis(s, np.minimum(nxt, n - 1), 1), 0)
-        joined = np.where(follow > 0, s + follow, n + 1)
-        r = grid[todo[:, None], pos, joined]
-        at = np.argmin(r, 1)                                # least rank, leftmost
-        k = np.arange(len(todo))
-        ok = r[k, at] < NO_RANK
-        todo, at, k = todo[ok], at[ok], k[ok]
-        size[todo, nxt[k, at]] = 0
-        size[todo, at] = joined[k, at]
-    is_start = size > 0
+        at = np.argmin(rank[todo], 1)                       # least rank, leftmost
+        ok = rank[todo, at] < NO_RANK
+        todo, at = todo[ok], at[ok]
+        mid = following[todo, at]
+        end = following[todo, mid]
+        is_start[todo, mid] = False
+        rank[todo, mid] = NO_RANK
+        following[todo, at] = end
+        before[todo, end] = at
+        # only the joined segment and the one before it have a new neighbour
+        rank[todo, at] = grid[todo, at, np.where(end < n, following[todo, end] - at, n + 1)]
+        left = before[todo, at]
+        some = left >= 0
+        rank[todo[some], left[some]] = grid[todo[some], left[some], end[some] - left[some]]
     w, i = np.nonzero(is_start)
-    r = grid[w, i, size[w, i]]
-    upto = np.cumsum(is_start.sum(1)).tolist()
-    known = np.where(r < NO_RANK, table.by_rank[np.minimum(r, len(table.by_rank) - 1)], -1)
-    out = [known[a:b] for a, b in zip([0, *upto], upto)]
-    for x in np.unique(w[known < 0]):                       # single characters without a piece
-        starts = np.flatnonzero(is_start[x])
-        out[x] = np.array(list(chain.from_iterable([p] if p >= 0 else table.of_char(words[x][s]) for p, s in zip(out[x], starts))), np.int64)
-    return out
-
-
-def encode_words(words: list[str], table: PieceTable) -> dict[str, np.ndarray]:
-    """Word -> ids."""
-    out: dict[str, np.ndarray] = {}
+    r = grid[w, i, following[w, i] - i]
+    ids = table.by_rank[np.minimum(r, len(table.by_rank) - 1)].astype(np.int32)
+    times = np.ones(len(w), np.int64)
+    bare = np.flatnonzero(r >= NO_RANK)                     # single characters without a piece
+    if len(bare):
+        made = [table.of_char(words[x][y]) for x, y in zip(w[bare].tolist(), i[bare].tolist())]
+        times[bare] = [len(x) for x in made]
+        ids = np.repeat(ids, times)
+        start = (np.cumsum(times) - times)[bare]
+        size = times[bare]
+        ids[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())] = list(chain.from_iterable(made))
+    return ids, np.bincount(w, times, m).astype(np.int64)
+
+
+def fold_words(words: list[str], table: PieceTable) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """(some of the words, their ids one after the other, number of ids per word)."""
     by_length: dict[int, list[str]] = {}
     for w in words:
         by_length.setdefault(len(w), []).append(w)
@@ -238,9 +251,10 @@ def encode_words(words: list[str], table: PieceTable) -> dict[str, np.ndarray]:
             some = group[k:k + step]
             edges = lattice(some, table)
             if table.bpe and n <= LONG_WORD:
-                out.update(zip(some, _fold_bulk(some, edges, table)))
+                yield some, *_fold_bulk(some, edges, table)
                 continue
             per = dict(tuple(edges.groupby("word")))
+            out = []
             for x, w in enumerate(some):
                 e = per.get(x)
                 keys = list(zip(e["start"], e["start"] + e["len"])) if e is not None else []
@@ -249,19 +263,52 @@ def encode_words(words: list[str], table: PieceTable) -> dict[str, np.ndarray]:
                     cut = fold_merges(n, {q: int(table.rank[p]) for q, p in ids.items()})
                 else:
                     cut = fold_best(n, {q: table.score[p] for q, p in ids.items()}, float(table.score.min()) - 10)
-                out[w] = np.array(list(chain.from_iterable([ids[q]] if q in ids else chain.from_iterable(map(table.of_char, w[q[0]:q[1]])) for q in cut)), np.int64)
+                out.append(list(chain.from_iterable([ids[q]] if q in ids else chain.from_iterable(map(table.of_char, w[q[0]:q[1]])) for q in cut)))
+            yield some, np.array(list(chain.from_iterable(out)), np.int32), np.array([len(x) for x in out], np.int64)
+
+
+def encode_words(words: list[str], table: PieceTable) -> dict[str, np.ndarray]:
+    """Word -> ids."""
+    out: dict[str, np.ndarray] = {}
+    for some, ids, size in fold_words(words, table):
+        upto = np.cumsum(size).tolist()
+        out.update(zip(some, [ids[a:b] for a, b in zip([0, *upto], upto)]))
     return out
 
 
-def encode_texts(texts: list[str], table: PieceTable, known: dict[str, np.ndarray] | None = None) -> list[np.ndarray]:
+class Known:
+    """Folded words: a number per word, and the ids of all words in one array."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def add(self, words: list[str], table: PieceTable) -> None:
+        parts, sizes = [self.ids], [self.size]
+        for some, ids, size in fold_words(words, table):
+            self.number.update(zip(some, range(len(self.number), len(self.number) + len(some))))
+            parts.append(ids)
+            sizes.append(size)
+        self.ids, self.size = np.concatenate(parts), np.concatenate(sizes)
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these word numbers one after the other, number of ids per word)."""
+        size = self.size[words]
+        start = (np.cumsum(self.size) - self.size)[words]
+        return self.ids[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
+
+
+def encode_texts(texts: list[str], table: PieceTable, known: Known | None = None) -> list[np.ndarray]:
     """ids per text; ``known`` keeps the folded words of earlier texts (KNOWN_WORDS at most)."""
     split = [words_of(t) for t in texts]
-    known = {} if known is None else known
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    known |= encode_words([w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known], table)
-    none = np.zeros(0, np.int32)
-    return [np.concatenate([known[w] for w in ws]).astype(np.int32) if ws else none for ws in split]
+    known = Known() if known is None else known
+    if len(known.number) > KNOWN_WORDS:
+        known.__init__()
+    known.add(list(set(chain.from_iterable(split)).difference(known.number)), table)
+    count = np.array([len(ws) for ws in split], np.int64)
+    ids, size = known.of(np.fromiter(map(known.number.__getitem__, chain.from_iterable(split)), np.int64, count.sum()))
+    upto = np.concatenate([[0], np.cumsum(size)])[np.cumsum(count)].tolist()
+    return [ids[a:b] for a, b in zip([0, *upto], upto)]
 
 
 def decode_ids(ids, table: PieceTable) -> str:
@@ -279,7 +326,7 @@ def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col:
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, np.ndarray] = {}
+        known = Known()
         for text in batches:
             texts, out = [t or "" for t in text], []
             for a, b in slices(np.array([len(t) for t in texts])):
@@ -311,7 +358,7 @@ def encode_with_check(docs: DataFrame, table: PieceTable) -> DataFrame:
 
     @F.pandas_udf("ids array<int>, round_trip boolean")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known: dict[str, np.ndarray] = {}
+        known = Known()
         for text in batches:
             texts, out = [t or "" for t in text], []
             for a, b in slices(np.array([len(t) for t in texts])):

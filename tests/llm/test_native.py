@@ -255,6 +255,19 @@ def test_viterbi_fold_of_a_unigram_table():
     assert sentencepiece.encode_words(["axb"], table)["axb"].tolist() == [2, 0, 3]
 
 
+def test_known_words_are_kept_in_flat_arrays(pieces):
+    known = sentencepiece.Known()
+    texts = ["", "one two one", "\U0001f9ff\x00 two " + "x" * 60, " two"]
+    first = sentencepiece.encode_texts(texts, pieces, known)
+    again = sentencepiece.encode_texts(texts[::-1], pieces, known)
+    assert [x.tolist() for x in first] == [x.tolist() for x in again[::-1]]
+    assert [sentencepiece.decode_ids(x, pieces) for x in first] == texts
+    # one number a word, and no array of its own
+    words = {w for t in texts for w in sentencepiece.words_of(t)}
+    assert set(known.number) == words and sorted(known.number.values()) == list(range(len(words)))
+    assert len(known.size) == len(words) and known.size.sum() == len(known.ids)
+
+
 def test_encode_and_decode_tables(spark, pieces):
     docs = docs_df(spark, [(i, t) for i, t in enumerate(HARD)] + [(99, None), (99, None)]).withColumn("decoded", F.lit(1)).withColumn("ids", F.lit("x"))
     got = sentencepiece.encode_with_check(docs, pieces).collect()
