@@ -21,7 +21,8 @@ Steps 2 to 4 are repeated until no pattern and no identifier is new.
 
 Offsets come from splitting the text at the pattern: pieces and matches
 alternate, so their lengths add up to positions (code points).  Everything is
-DataFrame functions; texts are stored once and joined by what is looked up in them.
+DataFrame functions; texts are stored once and joined by what is looked up in them.  A join that
+moves texts moves those of rows with something to look up or to mark, told by a bitmap of fixed size.
 
 Defined cases: NULL text is empty and has no spans; two words of over ``NEAR`` characters together are no pattern; a match that fails its
 check is dropped without a retry; a ``ctx`` or ``secret`` span that touches a base span is
@@ -57,6 +58,8 @@ RANGES = 64
 STEADY = 0.01
 WIDE = 6
 NEAR = 1_000
+#: Bits of the bitmap of rows that a join needs.
+SLOTS = 1 << 22
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -153,9 +156,23 @@ def _letters(piece: Column) -> Column:
     return F.xxhash64(F.regexp_replace(F.lower(piece), r"[^\p{L}0-9]+", ""))
 
 
+def _told_apart(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """``rows`` with ``__may``, false where ``__row`` is surely not in ``few``, so that only the others need a join.
+
+    A bitmap of at most ``SLOTS`` bits goes to the tasks, whatever the number of rows; ones that share a slot are left to the join.
+    """
+    slot = F.pmod(F.xxhash64("__row"), F.lit(SLOTS))
+    bit = F.expr("shiftleft(1L, CAST(__slot % 64 AS INT))")
+    words = few.select(slot.alias("__slot")).groupBy(F.shiftright("__slot", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    held = F.coalesce(F.getbit("__bits", F.pmod(slot, F.lit(64)).cast("int")) == 1, F.lit(False))
+    return rows.withColumn("__word", F.shiftright(slot, 6)).join(F.broadcast(words), "__word", "left").withColumn("__may", held).drop("__word", "__bits")
+
+
 def _occurrences(texts: DataFrame, hits: DataFrame, raw) -> DataFrame:
     """Instances at ``hits`` (__row, pos of a piece, want); raw(tail, want) is what is taken of the text from there to the next seed."""
-    hits = stored(hits, "pii-hits").groupBy("__row").agg(F.collect_set(F.struct("pos", "want")).alias("__hits"))   # bounded by one document
+    hits = stored(hits, "pii-hits")
+    texts = _told_apart(texts, hits).where("__may").drop("__may")
+    hits = hits.groupBy("__row").agg(F.collect_set(F.struct("pos", "want")).alias("__hits"))   # bounded by one document
     found = texts.join(hits, "__row").withColumn("__pieces", _pieces(F.col("__text")))
     text, seeds = F.col("__text"), F.col("__seeds")
 
@@ -283,7 +300,7 @@ def find_pii(docs: DataFrame, keep: list[str], accept: float = ACCEPT) -> DataFr
     secret = F.when(text.rlike("[0-9A-Fa-f]{32}"), _matches(text, SECRET)).otherwise(_none())
     rows = rows.select(*keep, F.monotonically_increasing_id().alias("__row"), "__base", _spans("secret", secret).alias("__secret"), *[] if kept else ["__text"])
     # written once: row numbers, spans and texts are fixed even if an executor is lost
-    rows = stored(rows, "pii-rows")
+    rows = stored(rows, "pii-rows", compression="zstd")
     seeds = F.concat("__base", "__secret")
     texts = rows.select("__row", (text_of() if kept else text).alias("__text"), seeds.alias("__seeds"))
     one = lambda s: F.struct(_context(text, s["start"]).alias("pattern"), F.xxhash64(_value(text.substr(s["start"] + 1, s["end"] - s["start"])), F.lit(0)).alias("instance"))
@@ -339,7 +356,11 @@ def find_pii(docs: DataFrame, keep: list[str], accept: float = ACCEPT) -> DataFr
         new = stored(score.where((F.col("score") >= accept) & ~F.col("seed")).select("instance"), "pii-new")
         found = seen.join(new, "instance").join(trusted.select("pattern", F.lit(True).alias("told")), "pattern", "left").where("wide OR told")
         found = found.groupBy("__row").agg(F.sort_array(F.collect_set(F.struct(F.lit("ctx").alias("kind"), "start", "end"))).alias("__ctx"))   # bounded by one document
-        out = out.join(found, "__row", "left")
+        # written before the join, so the planner knows its size; texts without a found span stay where they are
+        found = stored(found, "pii-marked")
+        out = _told_apart(out, found)
+        out = (out.where("__may").drop("__may").join(found, "__row", "left")
+               .unionByName(out.where("NOT __may").drop("__may").withColumn("__ctx", none)))
     extra = F.coalesce("__ctx", none)
     extra = F.concat(F.filter(extra, lambda x: ~_touches(x, seeds)), F.filter("__secret", lambda x: ~_touches(x, F.col("__base"))))
     count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")

@@ -125,6 +125,57 @@ def test_redaction_replaces_spans_and_keeps_columns(spark):
     assert pii.redact(docs.limit(0)).count() == 0
 
 
+def _rows_of_text_moved(df):
+    """Rows that the executed plan of ``df`` moved in shuffles whose rows hold a text."""
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(p.plan())
+        elif name == "Exchange" and re.search(r"\b(__)?text#", p.output().toString()):
+            n += p.metrics().get("shuffleRecordsWritten").get().value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return n
+
+
+def test_only_texts_with_found_spans_are_moved(spark, monkeypatch):
+    """Without broadcasts by size, a document without a found identifier moves in no join, and every one is there."""
+    cards = [c for c in (str(4_111_111_111_110_000 + i) for i in range(300)) if base_spans(c)]
+    rows = [(i, f"please use account no {c} today") for i, c in enumerate(cards)]
+    rows += [(100, "see account no 7788-1234 now"), (101, "ref 7788-1234.")] + [(1000 + i, f"plain text {i}") for i in range(500)]
+    looked = []
+    real = pii._told_apart
+    monkeypatch.setattr(pii, "_told_apart", lambda texts, few: looked.append(real(texts, few)) or looked[-1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = pii.redact(docs_df(spark, rows + [(101, None), (1000, "plain text 0")]))
+        got = sorted((r["doc_id"], r["text"] or "") for r in clean.collect())
+        assert _rows_of_text_moved(clean) == 2
+        # the pattern's own cards and one number, the number wherever it stands, and its marks
+        assert [x.where("__may").count() for x in looked] == [len(cards) + 1, 2, 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [(i, "please use account no [card] today") for i in range(len(cards))] + [(100, "see account no [ctx] now"), (101, "ref [ctx].")]
+    assert got == sorted(want + [(i, t) for i, t in rows if i >= 1000] + [(101, ""), (1000, "plain text 0")])
+
+
+def test_rows_that_share_a_slot_are_left_to_the_join(spark, monkeypatch):
+    """Negative, large and 64 bits apart: no row of the few is told apart, with many slots hardly another one is."""
+    rows = spark.range(0, 3000).select(F.expr("CASE WHEN id % 3 = 0 THEN id * 8589934592 WHEN id % 3 = 1 THEN -id ELSE id END").alias("__row"))
+    few = rows.where("__row % 7 = 0")
+    for slots, most in ((1 << 22, 5), (128, 3000)):
+        monkeypatch.setattr(pii, "SLOTS", slots)
+        may = {r["__row"]: r["__may"] for r in pii._told_apart(rows, few).collect()}
+        assert len(may) == rows.distinct().count()
+        assert all(may[r["__row"]] for r in few.collect())
+        assert sum(may.values()) <= few.count() + most
+    assert not any(r["__may"] for r in pii._told_apart(rows, few.limit(0)).collect())
+
+
 def brute_targets(sizes, shares=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: shares[i % 3] for i, s in enumerate(names)}
