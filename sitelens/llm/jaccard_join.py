@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitelens.session import drop_unused
+
 from .bytehash import pack, shingle_sets, shingle_stream, unpack
 from .common import bounded_batches, components, discard, slices, stored
 from .sketch import member_filter, slot_counts
@@ -233,6 +235,8 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
         index = now.select(*index.columns)                  # done postings stay done
         lower, upper = upper, upper * 32
     discard(whole, still, seen, pre)
+    # what was moved for the links goes before a caller moves texts
+    drop_unused(docs.sparkSession)
     out = sets.join(classes, kind, "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"),
                       F.coalesce("copies", F.lit(1)).alias("n_copies"))
