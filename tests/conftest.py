@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 import sys
 import tempfile
@@ -35,6 +36,13 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="sitelens-test-")
 
 
+def state_lists(spark, since):
+    """Bytes on disk of the lists of files (MANIFEST) of the RocksDB state stores opened since a time; one number a store."""
+    local = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+    stats = [os.stat(p) for p in glob.glob(f"{local.split(',')[0]}/spark-*/**/MANIFEST-*", recursive=True)]
+    return [s.st_blocks * 512 for s in stats if s.st_mtime >= since]
+
+
 def summary_row(id, url, ts, has_errors=False, error=None, **scores):
     row = {f.name: None for f in schemas.AUDIT_SUMMARIES.fields}
     row.update(id=id, url=url, timestamp=ts, has_errors=has_errors, error_message=error,

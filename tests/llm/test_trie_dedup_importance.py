@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.llm import exact_dedup, importance, prefix_trie, queries
+from tests.conftest import state_lists
 from tests.llm.util import SMALL
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -167,6 +169,14 @@ def test_dedup_bitmap_passes_all_hits_and_few_others(spark, monkeypatch):
     assert exact_dedup._near_hits(rows, rows.limit(0).select("digest")).count() == 0
 
 
+def test_dedup_state_takes_no_disk_in_advance(spark, tmp_dir):
+    write(spark, f"{tmp_dir}/t", ROWS)
+    since = time.time() - 1
+    exact_dedup.advance(spark, f"{tmp_dir}/t", f"{tmp_dir}/state")
+    sizes = state_lists(spark, since)
+    assert sizes and max(sizes) < 1 << 20
+
+
 def test_dedup_of_an_empty_table(spark, tmp_dir):
     write(spark, f"{tmp_dir}/t", [])
     assert dedup_rows(spark, f"{tmp_dir}/t") == Counter()
