@@ -1,12 +1,13 @@
 """Steps whose memory, shuffles and files must not grow faster than the input."""
 import datetime as dt
 import os
+import time
 
 from sitelens import schemas
 from sitelens.operators import assemble as A
 from sitelens.sources import proxy as P
 from sitelens.streaming import ingest as ST
-from tests.conftest import NOW
+from tests.conftest import NOW, state_lists
 
 
 def _responses(spark, n, start=0):
@@ -45,3 +46,11 @@ def test_stream_keeps_its_state_compressed_and_late_runs_apart(spark, tmp_dir):
         ST.ingest_stream(spark, raw, out, at).awaitTermination()
     assert "stateStore.compression.codec\":\"zstd" in open(f"{at}/offsets/0").read()
     assert sorted(r.id for r in ST.read_ingested(spark, out).collect()) == list(range(9))
+
+
+def test_stream_state_takes_no_disk_in_advance(spark, tmp_dir):
+    _responses(spark, 6).coalesce(1).write.parquet(f"{tmp_dir}/raw")
+    since = time.time() - 1
+    ST.ingest_stream(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", f"{tmp_dir}/at").awaitTermination()
+    sizes = state_lists(spark, since)
+    assert sizes and max(sizes) < 1 << 20
