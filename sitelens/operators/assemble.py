@@ -1,7 +1,7 @@
 """From stored API responses to audits, summaries and the long metric layout.
 
 T1  assemble_audits     pair the mobile and desktop response of one run
-T1+T2 assemble_with_summaries  both in one pass, each body parsed once
+T1+T2 assemble_with_summaries  both in one pass, each body parsed once (assemble_pairs: of paired responses)
 T1b response_error      error text of one response
 T2  summarize_audits    scores and vitals out of the stored documents
 T3  to_long_metrics     wide summary -> one row per strategy
@@ -165,7 +165,11 @@ def _judged_runs(raw: DataFrame) -> DataFrame:
     for s in STRATEGIES:
         when_s = F.when(F.col("strategy") == s, F.col("fetched_at"))
         aggs += [F.max_by(F.struct(*_RESPONSE), when_s).alias(f"_{s}"), F.count(when_s).alias(f"_{s}_n")]
-    g = _by_run(raw.select("run_id", "url", "strategy", "fetched_at", *_RESPONSE)).agg(*aggs)
+    return _judged(_by_run(raw.select("run_id", "url", "strategy", "fetched_at", *_RESPONSE)).agg(*aggs))
+
+
+def _judged(g: DataFrame) -> DataFrame:
+    """Runs with their newest responses and, of each, the parsed document and the error text."""
     # one row out of a Generate, as in with_documents
     docs = F.transform(F.array(*[f"_{s}.body" for s in STRATEGIES]), parse_body)
     judged = g.select("*", F.inline(F.array(F.struct(docs.alias("_docs")))))
@@ -200,7 +204,28 @@ def assemble_with_summaries(raw: DataFrame, created_at=None) -> DataFrame:
     ``select(AUDIT_SUMMARIES)``, with the same values as T2 over the stored
     documents.
     """
-    g = _judged_runs(raw)
+    return _summarized(_judged_runs(raw), created_at)
+
+
+def assemble_pairs(pairs: DataFrame, created_at=None) -> DataFrame:
+    """:func:`assemble_with_summaries` of runs whose responses lie side by side: the structs ``first`` and
+    ``second`` of a row, either may be NULL.  A run has one row, and a row one response of a strategy at most.
+
+    The groups are there already, so no body moves and none is sorted.
+    """
+    sides = ("first", "second")
+    cols = [F.coalesce(*[f"{x}.{c}" for x in sides]).alias(c) for c in ("run_id", "url")]
+    cols.append(F.least(*[f"{x}.fetched_at" for x in sides]).alias("timestamp"))
+    for s in STRATEGIES:
+        # as in the groups, a response without time is none
+        one = F.coalesce(*[F.when((F.col(f"{x}.strategy") == s) & F.col(f"{x}.fetched_at").isNotNull(),
+                                  F.struct(*[f"{x}.{c}" for c in _RESPONSE])) for x in sides])
+        cols += [one.alias(f"_{s}"), one.isNotNull().cast("long").alias(f"_{s}_n")]
+    return _summarized(_judged(pairs.select(*cols)), created_at)
+
+
+def _summarized(g: DataFrame, created_at) -> DataFrame:
+    """Every audit and summary column of judged runs."""
     ok, cols = _audit_columns(created_at)
     parsed = {s: F.col(f"_{s}{DOCUMENT}") for s in STRATEGIES}
     for s in STRATEGIES:
